@@ -382,13 +382,17 @@ def date_coverage(df: DataFrame, date: str) -> DataFrame:
     # Years split the ordering; each year's first moment is compared with the last one before it.
     year = Window.partitionBy(F.year("day")).orderBy("day")
     known = days.where(F.col("day").isNotNull())
-    inside = known.withColumn("gap", F.datediff("first", F.lag("last").over(year)))
+
+    def whole_days(later: Column, earlier: Column) -> Column:
+        return F.floor((F.unix_micros(later) - F.unix_micros(earlier)) / 8.64e10).cast("bigint")
+
+    inside = known.withColumn("gap", whole_days(F.col("first"), F.lag("last").over(year)))
     yearly = inside.groupBy(F.year("day").alias("y")).agg(
         F.max("gap").alias("gap"), F.min("first").alias("first"), F.max("last").alias("last")
     )
-    across = yearly.withColumn("jump", F.datediff("first", F.lag("last").over(Window.orderBy("y"))))
+    across = yearly.withColumn("jump", whole_days(F.col("first"), F.lag("last").over(Window.orderBy("y"))))
     gaps = across.agg(
-        F.datediff(F.max("last"), F.min("first")).alias("days_covered"),
+        whole_days(F.max("last"), F.min("first")).alias("days_covered"),
         F.coalesce(F.greatest(F.max("gap"), F.max("jump")), F.lit(0)).alias("longest_gap_days"),
     )
     parsed = days.agg(
