@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalar import count_rows, num, numeric_columns, rnd
 from ..session import materialize
-from .ordered import positions, with_average_rank
+from .ordered import cumulative, positions, with_average_rank
 from .quality import _counted_profile, rows_of, value_counts
 from .quantiles import mode_table, quantile_table
 
@@ -185,12 +185,41 @@ def weighted_inversions(first: np.ndarray, second: np.ndarray, weight: np.ndarra
     return total
 
 
+def _inversions_between_blocks(placed: DataFrame, rows: int, block: int, fan: int = 16) -> float:
+    """Inversions whose two points lie in different blocks of ``p``.
+
+    Level by level, ``fan`` neighbouring blocks form a chunk. Running totals per sub-block in ``q``
+    order give each point the weight of earlier sub-blocks that lies beyond it.
+    """
+    total, size = 0.0, block
+    while size < rows:
+        sub = F.floor(F.col("p") / size) % fan
+        weights = [f"w{s}" for s in range(fan)]
+        level = placed.select(
+            F.floor(F.col("p") / (size * fan)).alias("chunk"), "q", sub.alias("sub"), F.col("w").cast("double").alias("w"),
+            *[F.when(sub == s, F.col("w")).otherwise(0).cast("double").alias(n) for s, n in enumerate(weights)],
+        )
+        run = cumulative(level, ["chunk", "q"], weights)
+        before = sum((F.when(F.col("sub") > s, F.col(f"before_{n}")).otherwise(0.0) for s, n in enumerate(weights)), F.lit(0.0))
+        per = run.groupBy("chunk").agg(
+            F.sum(F.col("w") * before).alias("cross"),
+            *[F.sum(n).alias(f"tot_{n}") for n in weights], *[F.min(f"before_{n}").alias(f"base_{n}") for n in weights],
+        )
+        reached, pairs = F.lit(0.0), F.lit(0.0)
+        for n in weights:
+            pairs = pairs + F.col(f"tot_{n}") * reached
+            reached = reached + F.col(f"tot_{n}") + F.col(f"base_{n}")
+        total += per.agg(F.sum(pairs - F.col("cross"))).first()[0]
+        size *= fan
+    return total
+
+
 def kendall_pair(df: DataFrame, x: str, y: str, block: int = PAIR_BLOCK) -> DataFrame:
-    """Kendall's tau-b without comparing all pairs.
+    """Kendall's tau-b without comparing all pairs, as (a, b, r, n).
 
-    Distinct (x, y) points get two unique places: by (x, y), and by y with ties in the first order.
-    Discordant pairs are then inversions between the two orders. Cutting both into equal blocks leaves
-    inversions inside a block (counted in bounded tasks) and between blocks (from the block-pair totals).
+    Distinct (x, y) points get two unique places: ``p`` by (x, y), and ``q`` by y with ties in the
+    first order. Discordant pairs are then the inversions between the two orders: inside blocks of
+    ``p`` in bounded tasks, between blocks from running totals.
     """
     points = (
         df.select(num(x).alias("x"), num(y).alias("y"))
@@ -198,33 +227,24 @@ def kendall_pair(df: DataFrame, x: str, y: str, block: int = PAIR_BLOCK) -> Data
         .groupBy("x", "y").agg(count_rows().alias("w"))
     )
     placed = materialize(positions(positions(points, ["x", "y"], "p"), ["y", "p"], "q"), "kendall")
-    cells = placed.withColumn("bp", F.floor(F.col("p") / block)).withColumn("bq", F.floor(F.col("q") / block))
-
-    def inside(by: list[str]) -> DataFrame:
-        def count(pdf: pd.DataFrame) -> pd.DataFrame:
-            v = weighted_inversions(pdf["p"].to_numpy(), pdf["q"].to_numpy(), pdf["w"].to_numpy())
-            return pd.DataFrame({"v": [v]})
-
-        return cells.select(*by, "p", "q", "w").groupBy(*by).applyInPandas(count, "v double").agg(F.sum("v").alias("v"))
-
-    pairs = lambda c: F.sum(F.col(c) * (F.col(c) - 1) / 2)
-    ties_x = points.groupBy("x").agg(F.sum("w").alias("t")).agg(pairs("t").alias("n1"), F.sum("t").alias("n"))
-    ties_y = points.groupBy("y").agg(F.sum("w").alias("t")).agg(pairs("t").alias("n2"))
-    ties_xy = placed.agg(pairs("w").alias("n3"), count_rows().alias("m"))
-    one = ties_x.crossJoin(ties_y).crossJoin(ties_xy).first()
-    discordant = inside(["bp"]).first()[0] or 0.0
-    if one["m"] > block:
-        grid = cells.groupBy("bp", "bq").agg(F.sum("w").alias("w"))
-        # (rows / block)^2 cells at most; inversions between blocks need only their totals.
-        side = int(-(-one["m"] // block))
-        totals = np.zeros((side, side))
-        for r in grid.toLocalIterator():
-            totals[r["bp"], r["bq"]] = r["w"]
-        above = np.zeros_like(totals)
-        above[1:, :] = np.cumsum(totals, axis=0)[:-1, :]
-        beyond = np.zeros_like(totals)
-        beyond[:, :-1] = np.cumsum(above[:, ::-1], axis=1)[:, ::-1][:, 1:]
-        discordant += inside(["bq"]).first()[0] - inside(["bp", "bq"]).first()[0] + float(np.sum(totals * beyond))
+
+    def count(pdf: pd.DataFrame) -> pd.DataFrame:
+        v = weighted_inversions(pdf["p"].to_numpy(), pdf["q"].to_numpy(), pdf["w"].to_numpy())
+        return pd.DataFrame({"v": [v]})
+
+    def pairs(c: str) -> Column:
+        t = F.col(c).cast("double")
+        return F.sum(t * (t - 1) / 2)
+
+    one = (
+        placed.groupBy("x").agg(F.sum("w").alias("t")).agg(pairs("t").alias("n1"), F.sum("t").alias("n"))
+        .crossJoin(placed.groupBy("y").agg(F.sum("w").alias("t")).agg(pairs("t").alias("n2")))
+        .crossJoin(placed.agg(pairs("w").alias("n3"), count_rows().alias("m")))
+        .first()
+    )
+    blocks = placed.select(F.floor(F.col("p") / block).alias("b"), "p", "q", "w")
+    discordant = blocks.groupBy("b").applyInPandas(count, "v double").agg(F.sum("v")).first()[0] or 0.0
+    discordant += _inversions_between_blocks(placed, one["m"], block)
     n0 = one["n"] * (one["n"] - 1) / 2
     concordant = n0 - one["n1"] - one["n2"] + one["n3"] - discordant
     scale = ((n0 - one["n1"]) * (n0 - one["n2"])) ** 0.5
