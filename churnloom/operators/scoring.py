@@ -168,7 +168,8 @@ def purged_folds(
     daily = df.where(F.col(date).isNotNull() & F.col(target).isNotNull()).groupBy(day.alias("day")).agg(
         count_rows().alias("n"), F.sum(num(target)).alias("pos")
     )
-    folds = date_blocks(df.where(F.col(target).isNotNull()), date, blocks).select("block", "start", "end")
+    folds = date_blocks(df.where(F.col(target).isNotNull()), date, blocks).select("block", "start", "end").collect()
+    bounds = F.array(*[F.struct(F.lit(r["block"]).alias("block"), F.lit(r["start"]).alias("start"), F.lit(r["end"]).alias("end")) for r in folds])
     cut, stop = F.date_sub("start", purge_days), F.date_add("end", embargo_days)
     d, n = F.col("day"), F.col("n")
     train = d < cut
@@ -181,7 +182,7 @@ def purged_folds(
 
     # One row per day and fold: a few thousand days times a handful of folds.
     return (
-        daily.join(F.broadcast(folds))
+        daily.select("*", F.inline(bounds))
         .groupBy("block", "start", "end")
         .agg(
             rows(train).alias("n_train"), rows(train, F.col("pos")).cast("bigint").alias("train_positives"),
