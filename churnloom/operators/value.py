@@ -204,7 +204,7 @@ def _maximise(df: DataFrame, start: Sequence[float], terms, weight: Column, pena
 
 
 def fit_bgnbd(df: DataFrame, frequency="frequency", recency="recency", age="age", monetary="monetary", penalty: float = 0.01, rounds: int = 60, tolerance: float = 1e-5) -> dict[str, float]:
-    """r, alpha, a, b of BG/NBD over structurally valid rows. Time is scaled so the longest age is 1."""
+    """r, alpha, a, b of BG/NBD over structurally valid rows. Time is scaled so the longest age is 10."""
     f, r, t, m = _filled(frequency, recency, age, monetary)
     bad = F.lit(False)
     for c in _checks(f, r, t, m).values():
@@ -212,9 +212,9 @@ def fit_bgnbd(df: DataFrame, frequency="frequency", recency="recency", age="age"
     counts = materialize(
         df.where(~bad).select(f.alias("f"), r.alias("r"), t.alias("t")).groupBy("f", "r", "t").agg(count_rows().alias("n")), "bgnbd"
     )
-    scale = 1.0 / counts.agg(F.max("t")).first()[0]
+    scale = 10.0 / counts.agg(F.max("t")).first()[0]
     params, score = _maximise(
-        counts, [1.0, 0.3, 0.5, 2.0],
+        counts, [1.0, 3.0, 0.5, 2.0],
         lambda p: _bgnbd_terms(F.col("f"), F.col("r") * scale, F.col("t") * scale, p), F.col("n"), penalty, rounds, tolerance,
     )
     return {"r": params[0], "alpha": params[1] / scale, "a": params[2], "b": params[3], "mean_log_likelihood": score}
@@ -239,24 +239,19 @@ def bgnbd_alive(f: Column, r: Column, t: Column, k: dict[str, float]) -> Column:
 
 
 def bgnbd_expected(f: Column, r: Column, t: Column, days: float, k: dict[str, float], terms: int = 200) -> Column:
-    """Expected purchases in the next ``days``; the Gauss hypergeometric value by Euler's transform and its series."""
+    """Expected purchases in the next ``days``; the hypergeometric factor by its series after Euler's transform."""
     rr, alpha, a, b = k["r"], k["alpha"], k["a"], k["b"]
-    z = F.lit(days) / (alpha + t + days)
-    # 2F1(r+f, b+f; a+b+f-1; z) = (1-z)^(a-1-r-f) * 2F1(a+b-1-r, a-1; a+b+f-1; z): short series.
-    big_a, big_b, big_c = a + b - 1 - rr, a - 1, f + (a + b - 1)
+    z = F.lit(float(days)) / (alpha + t + float(days))
+    upper_a, upper_b, lower = a + b - 1 - rr, a - 1, f + (a + b - 1)
     start = F.struct(F.lit(1.0).alias("term"), F.lit(1.0).alias("total"))
 
     def step(acc, i):
-        term = acc["term"] * (big_a + i) * (big_b + i) / ((big_c + i) * (i + 1.0)) * z
+        term = acc["term"] * (upper_a + i) * (upper_b + i) / ((lower + i) * (i + 1.0)) * z
         return F.struct(term.alias("term"), (acc["total"] + term).alias("total"))
 
     places = F.transform(F.sequence(F.lit(0), F.lit(terms - 1)), lambda i: i.cast("double"))
     series = F.aggregate(places, start, step, lambda acc: acc["total"])
-    hyper = F.pow(1.0 - z, F.lit(a - 1 - rr) - f) * series
-    # The 2F1 above already carries the factor of the original arguments.
-    ratio = F.pow((alpha + t) / (alpha + t + days), f + rr)
-    odds = F.when(f > 0, (a / F.greatest(f + (b - 1.0), F.lit(1e-9))) * F.pow((t + alpha) / (r + alpha), f + rr)).otherwise(F.lit(0.0))
-    return big_c / (a - 1) * (1.0 - ratio * hyper) / (1.0 + odds)
+    return lower / (a - 1) * (1.0 - F.pow(1.0 - z, F.lit(a - 1)) * series) * bgnbd_alive(f, r, t, k)
 
 
 def clv_bgnbd(df: DataFrame, horizons: Sequence[int] = (6, 12), frequency="frequency", recency="recency", age="age", monetary="monetary", monthly_discount: float = 0.01, min_rows: int = 40, min_repeaters: int = 30, penalty: float = 0.01) -> DataFrame:
