@@ -310,10 +310,13 @@ def compare_power_transforms(df: DataFrame, column: str) -> DataFrame:
     ).orderBy("abs_skewness", "abs_kurtosis")
 
 
-def spline_basis(df: DataFrame, columns: Sequence[str], knots: int = 5) -> tuple[DataFrame, list[str]]:
+def spline_basis(
+    df: DataFrame, columns: Sequence[str], knots: int = 5, fit_on: DataFrame | None = None
+) -> tuple[DataFrame, list[str]]:
     """Cubic truncated-power columns on standardised values, inner knots at quantiles."""
-    q = quantiles(df, columns, [i / (knots - 1) for i in range(knots)])
-    stats = df.agg(*[F.avg(num(c)).alias(f"m{i}") for i, c in enumerate(columns)],
+    source = fit_on if fit_on is not None else df
+    q = quantiles(source, columns, [i / (knots - 1) for i in range(knots)])
+    stats = source.agg(*[F.avg(num(c)).alias(f"m{i}") for i, c in enumerate(columns)],
                    *[F.stddev_pop(num(c)).alias(f"s{i}") for i, c in enumerate(columns)]).first()
     added: dict[str, Column] = {}
     for i, c in enumerate(columns):
