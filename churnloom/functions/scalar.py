@@ -24,6 +24,11 @@ def rnd(x: Column, digits: int) -> Column:
     return F.rint(x * scale) / scale
 
 
+def rounded(x: float, digits: int) -> float:
+    """``rnd`` for a Python number."""
+    return round(x * 10**digits) / 10**digits if x == x and abs(x) != float("inf") else x
+
+
 def count_rows() -> Column:
     return F.count(F.lit(1))
 
@@ -142,19 +147,15 @@ def date_like_columns(df: DataFrame) -> list[str]:
     return [c for c in df.columns if "fecha" in c.lower() or "date" in c.lower()]
 
 
-def melt_numeric(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+def melt_numeric(df: DataFrame, columns: Sequence[str], by: Sequence[str | Column] = ()) -> DataFrame:
     """Long form (by..., column_name, value) without nulls; narrow, so it combines before any shuffle."""
     cells = F.array(*[F.struct(F.lit(c).alias("column_name"), num(c).alias("value")) for c in columns])
-    return (
-        df.select(*by, F.explode(cells).alias("cell"))
-        .select(*by, "cell.column_name", "cell.value")
-        .where(F.col("value").isNotNull())
-    )
+    return df.select(*by, F.inline(cells)).where(F.col("value").isNotNull())
 
 
-def melt_text(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+def melt_text(df: DataFrame, columns: Sequence[str], by: Sequence[str | Column] = ()) -> DataFrame:
     """Long form (by..., column_name, value) with text values; nulls kept."""
     cells = F.array(
         *[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")) for c in columns]
     )
-    return df.select(*by, F.explode(cells).alias("cell")).select(*by, "cell.column_name", "cell.value")
+    return df.select(*by, F.inline(cells))

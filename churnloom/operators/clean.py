@@ -6,7 +6,6 @@ import math
 from collections.abc import Mapping, Sequence
 from typing import Any
 
-import numpy as np
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import (
     OneHotEncoder,
@@ -19,7 +18,7 @@ from pyspark.ml.feature import (
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalar import clip, num, numeric_columns, rnd, share, text_columns
+from ..functions.scalar import clip, num, numeric_columns, rnd, rounded, share, text_columns
 from ..session import materialize
 from .describe import corrected_kurtosis, corrected_skewness
 from .ordered import group_moving, moving
@@ -45,8 +44,8 @@ def outliers_iqr(df: DataFrame, columns: Sequence[str] | None = None, factor: fl
     wide = df.agg(
         *[F.count_if(outside[c]).alias(f"outliers__{i}") for i, c in enumerate(used)],
         *[rnd(F.count_if(outside[c]) / F.count(num(c)) * 100, 2).alias(f"pct_outliers__{i}") for i, c in enumerate(used)],
-        *[F.lit(round(bounds[c][0], 4)).alias(f"lower__{i}") for i, c in enumerate(used)],
-        *[F.lit(round(bounds[c][1], 4)).alias(f"upper__{i}") for i, c in enumerate(used)],
+        *[F.lit(rounded(bounds[c][0], 4)).alias(f"lower__{i}") for i, c in enumerate(used)],
+        *[F.lit(rounded(bounds[c][1], 4)).alias(f"upper__{i}") for i, c in enumerate(used)],
     )
     return rows_of(wide, used, ["lower", "upper", "outliers", "pct_outliers"]).orderBy(F.desc("pct_outliers"), "column_name")
 
@@ -74,7 +73,7 @@ def handle_outliers(
         for c in columns:
             low, high = iqr_bounds(df, [c], iqr_factor)[c]
             keep = num(c).between(low, high) | num(c).isNull()
-            rows.append((c, round(low, 4), round(high, 4), df.agg(share(~keep).alias("p")).first()[0], method))
+            rows.append((c, rounded(low, 4), rounded(high, 4), df.agg(share(~keep).alias("p")).first()[0], method))
             df = df.where(keep)
         out = df
     else:
@@ -83,7 +82,7 @@ def handle_outliers(
         if method == "winsorize":
             q = quantiles(df, columns, [limits[0], 1 - limits[1]])
             bounds = {c: (q[c][limits[0]], q[c][1 - limits[1]]) for c in columns}
-        rows = [(c, round(bounds[c][0], 4), round(bounds[c][1], 4), pct[c], method) for c in columns]
+        rows = [(c, rounded(bounds[c][0], 4), rounded(bounds[c][1], 4), pct[c], method) for c in columns]
         out = apply_bounds(df, bounds)
     report = df.sparkSession.createDataFrame(
         rows, "column_name string, lower double, upper double, pct_outliers double, method string"
@@ -120,10 +119,15 @@ def fill_values(
 
 
 def fill_nulls(df: DataFrame, rules: Mapping[str, Any] | None = None, fit_on: DataFrame | None = None, **how) -> DataFrame:
-    """Explicit values for the columns in ``rules``; the others by type. ``fit_on`` avoids learning from test rows."""
+    """Explicit values for the columns in ``rules``; the others by type. ``fit_on`` avoids learning from test rows.
+
+    Columns without nulls keep their type and cost nothing.
+    """
     rules = dict(rules or {})
-    numeric = [c for c in numeric_columns(df) if c not in rules]
-    categorical = [c for c in text_columns(df) if c not in rules]
+    free = [c for c in numeric_columns(df) + text_columns(df) if c not in rules]
+    missing = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in free]).first() if free else {}
+    numeric = [c for c in numeric_columns(df) if c in free and missing[c]]
+    categorical = [c for c in text_columns(df) if c in free and missing[c]]
     fills = {**fill_values(fit_on if fit_on is not None else df, numeric, categorical, **how), **rules}
     return df.withColumns(
         {c: F.coalesce(num(c) if c in numeric else F.col(c), F.lit(float(v) if c in numeric else v)) for c, v in fills.items()}
@@ -255,38 +259,41 @@ def lag_features(
     return group_moving(df, series, order, width, build).dropna(subset=[*names, target]), names
 
 
-def yeo_johnson(x: Column, lam: float) -> Column:
-    up = F.log1p(x) if abs(lam) < 1e-9 else (F.pow(x + 1, F.lit(lam)) - 1) / lam
-    down = -F.log1p(-x) if abs(lam - 2) < 1e-9 else -(F.pow(1 - x, F.lit(2 - lam)) - 1) / (2 - lam)
+def yeo_johnson(x: Column, lam: float | Column) -> Column:
+    """Yeo-Johnson transform; ``lam`` may be a column."""
+    k = F.lit(lam) if isinstance(lam, float) else lam
+    up = F.when(F.abs(k) < 1e-9, F.log1p(x)).otherwise((F.pow(x + 1, k) - 1) / k)
+    down = F.when(F.abs(k - 2) < 1e-9, -F.log1p(-x)).otherwise(-(F.pow(1 - x, 2 - k) - 1) / (2 - k))
     return F.when(x >= 0, up).when(x < 0, down)
 
 
-def box_cox(x: Column, lam: float) -> Column:
-    return F.log(x) if abs(lam) < 1e-9 else (F.pow(x, F.lit(lam)) - 1) / lam
+def box_cox(x: Column, lam: float | Column) -> Column:
+    k = F.lit(lam) if isinstance(lam, float) else lam
+    return F.when(F.abs(k) < 1e-9, F.log(x)).otherwise((F.pow(x, k) - 1) / k)
 
 
 def power_lambda(df: DataFrame, column: str, method: str = "yeo_johnson", steps: int = 21, refinements: int = 4) -> float:
     """Maximum-likelihood lambda: a grid in one aggregation, then finer grids around the best."""
     x = num(column)
     transform = yeo_johnson if method == "yeo_johnson" else box_cox
-    jacobian = F.sum(F.signum(x) * F.log1p(F.abs(x))) if method == "yeo_johnson" else F.sum(F.log(x))
-    low, high = -3.0, 5.0
-    best = 1.0
+    slope = F.signum("x") * F.log1p(F.abs("x")) if method == "yeo_johnson" else F.log("x")
+    rows = df.select(x.alias("x")).where(F.col("x").isNotNull())
+    low, high, best = -3.0, 5.0, 1.0
     for _ in range(refinements):
-        grid = [low + (high - low) * i / (steps - 1) for i in range(steps)]
-        row = df.agg(
-            F.count(x).alias("n"), jacobian.alias("j"),
-            *[F.var_pop(transform(x, g)).alias(f"v{i}") for i, g in enumerate(grid)],
-        ).first()
-        scores = []
-        for i, g in enumerate(grid):
-            v = row[f"v{i}"]
-            ok = v is not None and v > 0 and math.isfinite(v)
-            scores.append(-row["n"] / 2 * math.log(v) + (g - 1) * row["j"] if ok else -math.inf)
-        best = grid[int(np.argmax(scores))]
         step = (high - low) / (steps - 1)
+        grid = F.array(*[F.lit(low + step * i) for i in range(steps)])
+        found = rows.select("x", F.explode(grid).alias("k")).groupBy("k").agg(
+            F.count("x").alias("n"), F.sum(slope).alias("j"), F.var_pop(transform(F.col("x"), F.col("k"))).alias("v")
+        )
+        scores = {
+            r["k"]: -r["n"] / 2 * math.log(r["v"]) + (r["k"] - 1) * r["j"]
+            for r in found.collect() if r["v"] is not None and 0 < r["v"] < math.inf
+        }
+        if not scores:
+            return best
+        best = max(scores, key=scores.get)
         low, high = best - step, best + step
-    return best
+    return float(best)
 
 
 def compare_power_transforms(df: DataFrame, column: str) -> DataFrame:

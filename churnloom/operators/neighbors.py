@@ -102,21 +102,22 @@ def nearest(
     )
     demand = {r["cell"]: r["n"] for r in asked.groupBy("cell").agg(count_rows().alias("n")).collect()}
     # One row per cell (at most MAX_PIVOTS): how many pieces its donors and its queries are cut into.
-    plan = queries.sparkSession.createDataFrame(
-        [(c, max(1, math.ceil(info[c]["points"] / block)), max(1, math.ceil(demand.get(c, 0) / block))) for c in cells],
-        "cell int, chunks int, salts int",
-    )
+    def plan() -> DataFrame:
+        return queries.sparkSession.createDataFrame(
+            [(c, max(1, math.ceil(info[c]["points"] / block)), max(1, math.ceil(demand.get(c, 0) / block))) for c in cells],
+            "cell int, chunks int, salts int",
+        )
 
     def pieces(n: str) -> Column:
         return F.explode(F.sequence(F.lit(0), F.col(n) - 1))
 
     left = (
-        asked.join(F.broadcast(plan), "cell")
+        asked.join(F.broadcast(plan()), "cell")
         .withColumn("salt", F.floor(hash_unit(["key"], 7) * F.col("salts")).cast("int"))
         .withColumn("chunk", pieces("chunks"))
     )
     right = (
-        placed.join(F.broadcast(plan), "cell")
+        placed.join(F.broadcast(plan()), "cell")
         .withColumn("chunk", F.floor(hash_unit(names, 11) * F.col("chunks")).cast("int"))
         .withColumn("salt", pieces("salts"))
     )

@@ -17,6 +17,7 @@ from ..session import materialize
 from .skew import GROUP_ROWS, attach, largest_group
 
 BLOCK_ROWS = 200_000
+ONE_TASK_ROWS = 100_000
 _LOCAL_BITS = 33
 
 
@@ -61,7 +62,14 @@ def positions(df: DataFrame, order: Sequence[str], name: str = "position") -> Da
 
 
 def cumulative(counts: DataFrame, order: Sequence[str], weights: Sequence[str]) -> DataFrame:
-    """Adds ``before_<w>``: the sum of ``w`` over all rows earlier in the order."""
+    """Adds ``before_<w>``: the sum of ``w`` over all rows earlier in the order.
+
+    Up to ``ONE_TASK_ROWS`` counted rows are summed in one task; beyond that, range by range.
+    """
+    counts = materialize(counts, "counts")
+    if counts.count() <= ONE_TASK_ROWS:
+        earlier = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+        return counts.withColumns({f"before_{w}": F.coalesce(F.sum(w).over(earlier), F.lit(0)) for w in weights})
     blocks = _blocks(counts, order)
     offsets = _offsets(blocks.groupBy("_block").agg(*[F.sum(w).alias(w) for w in weights]), weights)
     earlier = Window.partitionBy("_block").orderBy("_local").rowsBetween(Window.unboundedPreceding, -1)
@@ -84,15 +92,13 @@ def average_ranks(df: DataFrame, column: str, by: Sequence[str] = ()) -> DataFra
 
 def with_average_rank(df: DataFrame, column: str, name: str, by: Sequence[str] = (), percent: bool = False) -> DataFrame:
     """Adds the tie-averaged rank of ``column`` to each row; as a share of the non-null rows if ``percent``."""
-    ranks = average_ranks(df, column, by).select(*by, column, "n", F.col("avg_rank").alias(name))
+    ranks = average_ranks(df, column, by)
     if percent:
-        if by:
-            totals = df.where(F.col(column).isNotNull()).groupBy(*by).agg(count_rows().alias("_total"))
-            ranks = attach(ranks, totals, by)
-        else:
-            total = df.where(F.col(column).isNotNull()).count()
-            ranks = ranks.withColumn("_total", F.lit(total))
-        ranks = ranks.withColumn(name, F.col(name) / F.col("_total")).drop("_total")
+        # The last value of a group has all its rows before or in it.
+        group = ranks.groupBy(*by).agg(F.max(F.col("before") + F.col("n")).alias("_total"))
+        ranks = attach(ranks, group, by) if by else ranks.crossJoin(F.broadcast(group))
+        ranks = ranks.withColumn("avg_rank", F.col("avg_rank") / F.col("_total"))
+    ranks = ranks.select(*by, column, "n", F.col("avg_rank").alias(name))
     return attach(df, ranks, [*by, column], weight="n").drop("n")
 
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -148,62 +148,72 @@ def _lgamma(x: Column) -> Column:
     return (z - 0.5) * F.log(z) - z + 0.5 * math.log(2 * math.pi) + series - shift
 
 
-def _bgnbd_terms(f, r, t, params):
-    rr, alpha, a, b = params
-    base = (
-        _lgamma(f + rr) - math.lgamma(rr) + rr * math.log(alpha)
-        + math.lgamma(a + b) - math.lgamma(b) + _lgamma(f + b) - _lgamma(f + (a + b))
-    )
+def _bgnbd_terms(f: Column, r: Column, t: Column, p: Sequence[Column]) -> Column:
+    rr, alpha, a, b = p
+    base = _lgamma(f + rr) - _lgamma(rr) + rr * F.log(alpha) + _lgamma(a + b) - _lgamma(b) + _lgamma(f + b) - _lgamma(f + a + b)
     alive = -(f + rr) * F.log(t + alpha)
-    died = F.when(f > 0, math.log(a) - F.log(F.greatest(f + (b - 1.0), F.lit(1e-9))) - (f + rr) * F.log(r + alpha))
-    top = F.when(f > 0, F.greatest(alive, died)).otherwise(alive)
-    mixed = F.when(f > 0, top + F.log(F.exp(alive - top) + F.exp(died - top))).otherwise(alive)
-    return base + mixed
+    died = F.log(a) - F.log(F.greatest(f + b - 1.0, F.lit(1e-9))) - (f + rr) * F.log(r + alpha)
+    top = F.greatest(alive, died)
+    return base + F.when(f > 0, top + F.log(F.exp(alive - top) + F.exp(died - top))).otherwise(alive)
 
 
-def _gamma_gamma_terms(f, m, params):
-    p, q, v = params
-    pf = f * p
+def _gamma_gamma_terms(f: Column, m: Column, p: Sequence[Column]) -> Column:
+    shape, q, v = p
+    pf = f * shape
     return (
-        _lgamma(pf + q) - _lgamma(pf) - math.lgamma(q) + q * math.log(v)
+        _lgamma(pf + q) - _lgamma(pf) - _lgamma(q) + q * F.log(v)
         + (pf - 1.0) * F.log(m) + pf * F.log(f) - (pf + q) * F.log(f * m + v)
     )
 
 
-def _maximise(df: DataFrame, start: Sequence[float], terms, weight: Column, penalty: float, rounds: int, tolerance: float) -> tuple[list[float], float]:
-    """Nelder-Mead on log-parameters; each batch of candidate points is one aggregation over ``df``."""
-
-    def evaluate(points: list[np.ndarray]) -> list[float]:
-        columns = [F.sum(weight * terms([float(x) for x in np.exp(p)])).alias(f"l{i}") for i, p in enumerate(points)]
-        row = df.agg(F.sum(weight).alias("n"), *columns).first()
-        return [
-            -(row[f"l{i}"] / row["n"]) + penalty * float(np.sum(np.exp(p) ** 2))
-            if row[f"l{i}"] is not None and math.isfinite(row[f"l{i}"]) else math.inf
-            for i, p in enumerate(points)
-        ]
-
-    x0 = np.log(np.array(start, dtype=float))
-    simplex = [x0] + [x0 + 0.7 * np.eye(len(x0))[i] for i in range(len(x0))]
-    scores = evaluate(simplex)
+def _maximise(
+    df: DataFrame, start: Sequence[float], terms: Callable[[Sequence[Column]], Column], weight: Column, penalty: float, rounds: int, tolerance: float
+) -> tuple[list[float], float]:
+    """Newton steps on log-parameters. Slopes and curvature come from one aggregation over nearby points,
+    the step length from a second one."""
+    k, h = len(start), 1e-2
+    names = [f"_p{i}" for i in range(k)]
+    term = weight * terms([F.col(n) for n in names])
+    total = df.agg(F.sum(weight)).first()[0]
+
+    def evaluate(points: Sequence[np.ndarray]) -> np.ndarray:
+        cells = F.array(
+            *[F.struct(F.lit(i).alias("_point"), *[F.lit(float(x)).alias(n) for n, x in zip(names, np.exp(p))]) for i, p in enumerate(points)]
+        )
+        sums = df.select("*", F.inline(cells)).groupBy("_point").agg(F.sum(term).alias("s")).collect()
+        out = np.full(len(points), np.inf)
+        for row in sums:
+            if row["s"] is not None and math.isfinite(row["s"]):
+                out[row["_point"]] = -row["s"] / total + penalty * float(np.sum(np.exp(points[row["_point"]]) ** 2))
+        return out
+
+    x = np.log(np.array(start, dtype=float))
+    unit = np.eye(k) * h
+    crosses = [(i, j) for i in range(k) for j in range(i + 1, k)]
+    value = math.inf
     for _ in range(rounds):
-        order = np.argsort(scores)
-        simplex, scores = [simplex[i] for i in order], [scores[i] for i in order]
-        if abs(scores[-1] - scores[0]) < tolerance:
+        found = evaluate([x, *(x + u for u in unit), *(x - u for u in unit), *(x + unit[i] + unit[j] for i, j in crosses)])
+        here, up, down, both = found[0], found[1 : k + 1], found[k + 1 : 2 * k + 1], found[2 * k + 1 :]
+        slope = (up - down) / (2 * h)
+        curve = np.diag((up - 2 * here + down) / h**2)
+        for (i, j), c in zip(crosses, both):
+            curve[i, j] = curve[j, i] = (c - up[i] - up[j] + here) / h**2
+        size, turn = np.linalg.eigh((curve + curve.T) / 2)
+        step = -turn @ ((turn.T @ slope) / np.maximum(np.abs(size), 1e-4))
+        step *= min(1.0, 2.0 / max(float(np.max(np.abs(step))), 1e-12))
+        lengths = [1.0, 0.5, 0.25, 0.1, 0.03, 0.01]
+        tried = evaluate([np.clip(x + s * step, -12, 14) for s in lengths])
+        best = int(np.argmin(tried))
+        value = here
+        if not tried[best] < here:
             break
-        centre = np.mean(simplex[:-1], axis=0)
-        tries = [np.clip(centre + k * (centre - simplex[-1]), -12, 14) for k in (1.0, 2.0, 0.5, -0.5)]
-        values = evaluate(tries)
-        best = int(np.argmin(values))
-        if values[best] < scores[-1]:
-            simplex[-1], scores[-1] = tries[best], values[best]
-        else:
-            simplex = [simplex[0]] + [simplex[0] + 0.5 * (s - simplex[0]) for s in simplex[1:]]
-            scores = [scores[0], *evaluate(simplex[1:])]
-    best = int(np.argmin(scores))
-    return [float(x) for x in np.exp(simplex[best])], -scores[best]
-
-
-def fit_bgnbd(df: DataFrame, frequency="frequency", recency="recency", age="age", monetary="monetary", penalty: float = 0.01, rounds: int = 60, tolerance: float = 1e-5) -> dict[str, float]:
+        x, value = np.clip(x + lengths[best] * step, -12, 14), float(tried[best])
+        if here - value < tolerance:
+            break
+    return [float(v) for v in np.exp(x)], -value
+
+
+def fit_bgnbd(df: DataFrame, frequency="frequency", recency="recency", age="age", monetary="monetary", penalty: float = 0.01, rounds: int = 30, tolerance: float = 1e-7) -> dict[str, float]:
     """r, alpha, a, b of BG/NBD over structurally valid rows. Time is scaled so the longest age is 10."""
     f, r, t, m = _filled(frequency, recency, age, monetary)
     bad = F.lit(False)
@@ -220,7 +230,7 @@ def fit_bgnbd(df: DataFrame, frequency="frequency", recency="recency", age="age"
     return {"r": params[0], "alpha": params[1] / scale, "a": params[2], "b": params[3], "mean_log_likelihood": score}
 
 
-def fit_gamma_gamma(df: DataFrame, frequency="frequency", recency="recency", age="age", monetary="monetary", penalty: float = 0.01, rounds: int = 60, tolerance: float = 1e-5) -> dict[str, float]:
+def fit_gamma_gamma(df: DataFrame, frequency="frequency", recency="recency", age="age", monetary="monetary", penalty: float = 0.01, rounds: int = 30, tolerance: float = 1e-7) -> dict[str, float]:
     """p, q, v of Gamma-Gamma over valid repeaters. Values are scaled by their mean."""
     f, r, t, m = _filled(frequency, recency, age, monetary)
     repeaters = materialize(

@@ -47,7 +47,12 @@ def test_grouped_quantiles(frame, small):
         assert x == pytest.approx(linear(groups[g], p), abs=1e-12)
 
 
-def test_average_rank(frame):
+@pytest.fixture(params=[0, 100_000])
+def one_task_rows(request, monkeypatch):
+    monkeypatch.setattr(ordered, "ONE_TASK_ROWS", request.param)
+
+
+def test_average_rank(frame, one_task_rows):
     rows = [r for r in frame.collect() if r.v is not None]
     values = [r.v for r in rows]
     ranked = ordered.with_average_rank(frame, "v", "rk", percent=True)
@@ -59,7 +64,7 @@ def test_average_rank(frame):
     assert all(got[i] is None for i in range(0, 1500, 29))
 
 
-def test_average_rank_within_groups(frame):
+def test_average_rank_within_groups(frame, one_task_rows):
     got = {(r.g, r.v): r.avg_rank for r in ordered.average_ranks(frame, "v", ["g"]).collect()}
     rows = [r for r in frame.collect() if r.v is not None]
     for (g, v), rank in list(got.items())[::7]:
