@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.scalar import count_rows, hash_unit, melt_numeric, num, rnd
 from .clean import box_cox, power_lambda, yeo_johnson
 from .quantiles import quantile_table, quantiles
+from .skew import attach
 
 
 def missingness_map(df: DataFrame, key: str, columns: Sequence[str], buckets: int = 20) -> DataFrame:
@@ -47,7 +48,7 @@ def five_numbers(df: DataFrame, value: str, group: str) -> DataFrame:
     )
     width = 1.5 * (F.col("q75") - F.col("q25"))
     inside = (F.col("v") >= F.col("q25") - width) & (F.col("v") <= F.col("q75") + width)
-    return rows.join(F.broadcast(q), "group").groupBy("group").agg(
+    return attach(rows, q, ["group"]).groupBy("group").agg(
         count_rows().alias("rows"), rnd(F.min(F.when(inside, F.col("v"))), 4).alias("whisker_low"),
         *[rnd(F.any_value(c), 4).alias(c) for c in ("q25", "q50", "q75")],
         rnd(F.max(F.when(inside, F.col("v"))), 4).alias("whisker_high"), F.count_if(~inside).alias("outside"),

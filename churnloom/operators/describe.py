@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalar import count_rows, num, numeric_columns, rnd
 from ..session import materialize
-from .ordered import cumulative, positions, with_average_rank
+from .ordered import cumulative, positions, with_average_ranks
 from .quality import _counted_profile, rows_of, value_counts
 from .quantiles import mode_table, quantile_table
 
@@ -123,8 +123,7 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str], method: str = "pea
             for p in parts[1:]:
                 out = out.unionByName(p)
             return out.withColumn("r", rnd(F.col("r"), digits))
-        for i, c in enumerate(columns):
-            data = with_average_rank(data, c, f"_r{i}")
+        data = with_average_ranks(data, {c: f"_r{i}" for i, c in enumerate(columns)})
         data = data.select(*[F.col(f"_r{i}").alias(c) for i, c in enumerate(columns)])
     wide = data.agg(*[F.corr(a, b).alias(f"r{i}") for i, (a, b) in enumerate(pairs)])
     cells = [F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), rnd(F.col(f"r{i}"), digits).alias("r")) for i, (a, b) in enumerate(pairs)]
@@ -152,7 +151,7 @@ def covariance_matrix(df: DataFrame, columns: Sequence[str], min_pairs: int = 3,
 def spearman_pair(df: DataFrame, x: str, y: str) -> DataFrame:
     """Spearman's r of one pair as (a, b, r), from joint value counts with tie-averaged ranks."""
     both = df.select(num(x).alias("x"), num(y).alias("y")).where(F.col("x").isNotNull() & F.col("y").isNotNull())
-    ranked = with_average_rank(with_average_rank(both, "x", "rx"), "y", "ry")
+    ranked = with_average_ranks(both, {"x": "rx", "y": "ry"})
     return ranked.agg(F.corr("rx", "ry").alias("r"), count_rows().alias("n")).select(
         F.lit(x).alias("a"), F.lit(y).alias("b"), "r", "n"
     )

@@ -17,7 +17,7 @@ from ..functions import dist
 from ..functions.scalar import count_rows, num, rnd, text_columns
 from ..session import materialize
 from .clean import dummies
-from .ordered import moving, positions, with_average_rank
+from .ordered import moving, positions, with_average_ranks
 from .quality import zero_variance_columns
 from .quantiles import quantiles
 
@@ -98,7 +98,8 @@ class Fit:
 
 def fit(df: DataFrame, names: Sequence[str], y: Column, where: Column | None = None) -> Fit:
     g = gram(df, names, y, where)
-    inverse = np.linalg.pinv(g.xx, hermitian=True)
+    scale = np.sqrt(np.clip(np.diag(g.xx), 1e-300, None))
+    inverse = np.linalg.pinv(g.xx / np.outer(scale, scale), rcond=1e-12, hermitian=True) / np.outer(scale, scale)
     slopes = inverse @ g.xy
     return Fit(g, slopes, float(g.y_mean - slopes @ g.mean), inverse)
 
@@ -108,16 +109,19 @@ def correlation_of(g: Gram) -> np.ndarray:
     return g.xx / np.outer(s, s)
 
 
-def _vif(r: np.ndarray) -> np.ndarray:
-    return np.diag(np.linalg.pinv(r, hermitian=True)) if np.linalg.matrix_rank(r) == len(r) else np.array(
-        [_vif_by_regression(r, i) for i in range(len(r))]
-    )
+SINGULAR = 1e-10
 
 
-def _vif_by_regression(r: np.ndarray, i: int) -> float:
-    rest = [j for j in range(len(r)) if j != i]
-    r2 = float(r[i, rest] @ np.linalg.pinv(r[np.ix_(rest, rest)], hermitian=True) @ r[rest, i])
-    return float("inf") if r2 >= 1 - 1e-12 else 1 / (1 - r2)
+def _vif(r: np.ndarray) -> np.ndarray:
+    """Diagonal of the inverse correlation matrix; columns that others explain fully get infinity."""
+    if len(r) < 2 or np.linalg.eigvalsh(r)[0] > SINGULAR:
+        return np.diag(np.linalg.inv(r))
+    out = []
+    for i in range(len(r)):
+        rest = [j for j in range(len(r)) if j != i]
+        r2 = float(r[i, rest] @ np.linalg.pinv(r[np.ix_(rest, rest)], rcond=SINGULAR, hermitian=True) @ r[rest, i])
+        out.append(float("inf") if r2 >= 1 - SINGULAR else 1 / (1 - r2))
+    return np.array(out)
 
 
 def vif_band(v: float) -> str:
@@ -280,11 +284,9 @@ def white(result: OlsResult) -> tuple[float, float, int]:
 def goldfeld_quandt(result: OlsResult, drop: float = 0.2) -> tuple[str, float, float]:
     """Residual variance above against below the middle of the predictor most tied to |residual|."""
     base = materialize(result.residuals.select(*result.names, "_y", F.abs("residual").alias("_abs")), "gq")
-    ranked = with_average_rank(base, "_abs", "_re")
-    strength = {}
-    for c in result.names:
-        r = with_average_rank(ranked, c, "_rc").agg(F.corr("_rc", "_re")).first()[0]
-        strength[c] = abs(r) if r is not None and np.isfinite(r) else 0.0
+    ranked = with_average_ranks(base, {"_abs": "_re", **{c: f"_r{i}" for i, c in enumerate(result.names)}})
+    found = ranked.agg(*[F.corr(f"_r{i}", "_re").alias(f"s{i}") for i in range(len(result.names))]).first()
+    strength = {c: abs(v) if v is not None and np.isfinite(v) else 0.0 for c, v in zip(result.names, found)}
     by = max(strength, key=strength.get)
     n = result.fit.gram.n
     if n <= max(40, 6 * (len(result.names) + 1)):
@@ -323,7 +325,7 @@ def dispersion_audit(result: OlsResult, alpha: float = 0.05, group: str | None =
     low = quantiles(slim.where(F.col("fitted") <= q[0.25]), ["abs_residual"], [0.5])["abs_residual"][0.5]
     high = quantiles(slim.where(F.col("fitted") >= q[0.75]), ["abs_residual"], [0.5])["abs_residual"][0.5]
     spread = high / max(low, 1e-8) if low is not None and high is not None else None
-    rho = with_average_rank(with_average_rank(slim, "fitted", "_a"), "abs_residual", "_b").agg(F.corr("_a", "_b")).first()[0]
+    rho = with_average_ranks(slim, {"fitted": "_a", "abs_residual": "_b"}).agg(F.corr("_a", "_b")).first()[0]
     rejected = sum(bool(t[3]) for t in tests)
     visual = (spread is not None and spread >= 1.25) or (rho is not None and abs(rho) >= 0.2)
     if rejected == 0 and not visual:

@@ -7,12 +7,12 @@ per range) then give each range its offset.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.scalar import count_rows
+from ..functions.scalar import count_rows, melt_numeric, num
 from ..session import materialize
 from .skew import GROUP_ROWS, attach, largest_group
 
@@ -61,45 +61,69 @@ def positions(df: DataFrame, order: Sequence[str], name: str = "position") -> Da
     )
 
 
-def cumulative(counts: DataFrame, order: Sequence[str], weights: Sequence[str]) -> DataFrame:
-    """Adds ``before_<w>``: the sum of ``w`` over all rows earlier in the order.
+def _running(counts: DataFrame, by: Sequence[str], order: Sequence[str], weights: Sequence[str]) -> tuple[DataFrame, bool]:
+    """Adds ``before_<w>`` inside each ``by`` group; also whether the table is small enough to broadcast.
 
-    Up to ``ONE_TASK_ROWS`` counted rows are summed in one task; beyond that, range by range.
+    Up to ``ONE_TASK_ROWS`` counted rows are summed by a plain window; beyond that, range by range.
     """
     counts = materialize(counts, "counts")
     if counts.count() <= ONE_TASK_ROWS:
-        earlier = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-        return counts.withColumns({f"before_{w}": F.coalesce(F.sum(w).over(earlier), F.lit(0)) for w in weights})
-    blocks = _blocks(counts, order)
+        earlier = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+        return counts.withColumns({f"before_{w}": F.coalesce(F.sum(w).over(earlier), F.lit(0)) for w in weights}), True
+    blocks = _blocks(counts, [*by, *order])
     offsets = _offsets(blocks.groupBy("_block").agg(*[F.sum(w).alias(w) for w in weights]), weights)
     earlier = Window.partitionBy("_block").orderBy("_local").rowsBetween(Window.unboundedPreceding, -1)
     out = blocks.join(F.broadcast(offsets), "_block")
     for w in weights:
         out = out.withColumn(f"before_{w}", F.coalesce(F.sum(w).over(earlier), F.lit(0)) + F.col(f"_off_{w}"))
-    return out.drop("_block", "_local", *[f"_off_{w}" for w in weights])
+    out = out.drop("_block", "_local", *[f"_off_{w}" for w in weights])
+    if by:
+        first = out.groupBy(*by).agg(*[F.min(f"before_{w}").alias(f"_first_{w}") for w in weights], count_rows().alias("_rows"))
+        out = attach(out, first, by, weight="_rows")
+        out = out.withColumns({f"before_{w}": F.col(f"before_{w}") - F.col(f"_first_{w}") for w in weights})
+        out = out.drop("_rows", *[f"_first_{w}" for w in weights])
+    return out, False
+
+
+def cumulative(counts: DataFrame, order: Sequence[str], weights: Sequence[str]) -> DataFrame:
+    """Adds ``before_<w>``: the sum of ``w`` over all rows earlier in the order."""
+    return _running(counts, (), order, weights)[0]
+
+
+def _rank_table(df: DataFrame, column: str, by: Sequence[str]) -> tuple[DataFrame, bool]:
+    counts = df.where(F.col(column).isNotNull()).groupBy(*by, column).agg(count_rows().alias("n"))
+    ranked, small = _running(counts, by, [column], ["n"])
+    ranked = ranked.withColumnRenamed("before_n", "before")
+    return ranked.withColumn("avg_rank", F.col("before") + (F.col("n") + 1) / 2.0), small
 
 
 def average_ranks(df: DataFrame, column: str, by: Sequence[str] = ()) -> DataFrame:
     """One row per distinct value: its count ``n``, rows ``before`` it and tie-averaged ``avg_rank``."""
-    counts = df.where(F.col(column).isNotNull()).groupBy(*by, column).agg(count_rows().alias("n"))
-    ranked = cumulative(counts, [*by, column], ["n"]).withColumnRenamed("before_n", "before")
-    if by:
-        first = ranked.groupBy(*by).agg(F.min("before").alias("_first"), F.sum("n").alias("_rows"))
-        ranked = attach(ranked, first, by, weight="_rows")
-        ranked = ranked.withColumn("before", F.col("before") - F.col("_first")).drop("_first", "_rows")
-    return ranked.withColumn("avg_rank", F.col("before") + (F.col("n") + 1) / 2.0)
+    return _rank_table(df, column, by)[0]
 
 
 def with_average_rank(df: DataFrame, column: str, name: str, by: Sequence[str] = (), percent: bool = False) -> DataFrame:
     """Adds the tie-averaged rank of ``column`` to each row; as a share of the non-null rows if ``percent``."""
-    ranks = average_ranks(df, column, by)
+    ranks, small = _rank_table(df, column, by)
     if percent:
         # The last value of a group has all its rows before or in it.
         group = ranks.groupBy(*by).agg(F.max(F.col("before") + F.col("n")).alias("_total"))
-        ranks = attach(ranks, group, by) if by else ranks.crossJoin(F.broadcast(group))
+        ranks = attach(ranks, group, by, small=small) if by else ranks.crossJoin(F.broadcast(group))
         ranks = ranks.withColumn("avg_rank", F.col("avg_rank") / F.col("_total"))
     ranks = ranks.select(*by, column, "n", F.col("avg_rank").alias(name))
-    return attach(df, ranks, [*by, column], weight="n").drop("n")
+    return attach(df, ranks, [*by, column], weight="n", small=small).drop("n")
+
+
+def with_average_ranks(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:
+    """Ranks of several columns (``{column: new name}``) from one pass over all their values."""
+    cells = melt_numeric(df, list(columns))
+    ranks, small = _rank_table(cells, "value", ["column_name"])
+    for column, name in columns.items():
+        mine = ranks.where(F.col("column_name") == column).select(
+            F.col("value").alias("_value"), F.col("n").alias("_n"), F.col("avg_rank").alias(name)
+        )
+        df = attach(df.withColumn("_value", num(column)), mine, ["_value"], weight="_n", small=small).drop("_value", "_n")
+    return df
 
 
 def rank_within(

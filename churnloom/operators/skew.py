@@ -23,14 +23,18 @@ def attach(
     how: str = "left",
     broadcast_rows: int = BROADCAST_ROWS,
     hot_rows: int = HOT_ROWS,
+    small: bool = False,
 ) -> DataFrame:
     """Join one-row-per-key ``stats`` onto ``rows``.
 
     The stats are written once and counted: a small table is broadcast. A large one is shuffled,
     except for keys whose ``weight`` (rows per key, a column of ``stats``) passes ``hot_rows``;
-    there can be at most total/hot_rows of those, so they are broadcast.
+    there can be at most total/hot_rows of those, so they are broadcast. ``small`` says that the
+    caller has already counted the stats.
     """
     on = list(on)
+    if small:
+        return rows.join(F.broadcast(stats), on, how)
     stats = materialize(stats, "stats")
     if stats.count() <= broadcast_rows:
         return rows.join(F.broadcast(stats), on, how)

@@ -14,7 +14,7 @@ from ..functions import dist
 from ..functions.scalar import count_rows, hash_unit, normal_cdf, num, rnd
 from ..session import materialize
 from .describe import effect_sizes, kendall_pair, spearman_pair
-from .ordered import average_ranks, with_average_rank
+from .ordered import average_ranks, cumulative, with_average_rank, with_average_ranks
 from .quantiles import quantile_table, quantiles
 from .skew import attach
 
@@ -183,8 +183,6 @@ def rank_sums(df: DataFrame, value: str, group: str) -> DataFrame:
     """Rows, rank sum and tie term per group, from counts per (value, group); ranks run over all groups."""
     counts = materialize(_one_column(df, value, group).groupBy("v", "g").agg(count_rows().alias("c")), "ranks")
     totals = counts.groupBy("v").agg(F.sum("c").alias("n"))
-    from .ordered import cumulative
-
     ranked = cumulative(totals, ["v"], ["n"]).select("v", "n", (F.col("before_n") + (F.col("n") + 1) / 2.0).alias("rank"))
     return counts.join(ranked, "v").groupBy(F.col("g").alias("group")).agg(
         F.sum("c").alias("rows"), F.sum(F.col("c") * F.col("rank")).alias("rank_sum"),
@@ -269,7 +267,7 @@ def simpson_groups(df: DataFrame, x: str, y: str, group: str, method: str = "spe
         inner = with_average_rank(with_average_rank(rows, "x", "_rx", ["g"]), "y", "_ry", ["g"]).select(
             "g", F.col("_rx").alias("x"), F.col("_ry").alias("y")
         )
-        outer = with_average_rank(with_average_rank(rows, "x", "_rx"), "y", "_ry").select(F.col("_rx").alias("x"), F.col("_ry").alias("y"))
+        outer = with_average_ranks(rows, {"x": "_rx", "y": "_ry"}).select(F.col("_rx").alias("x"), F.col("_ry").alias("y"))
     overall = outer.agg(F.corr("x", "y").alias("_all"), count_rows().alias("_n"))
     per = inner.groupBy("g").agg(count_rows().alias("n"), F.corr("x", "y").alias("r")).where(F.col("n") >= min_rows)
     opposite = (F.signum("_all") != 0) & (F.signum("r") != 0) & (F.signum("_all") != F.signum("r"))
