@@ -630,7 +630,7 @@ def multiverse(
     specifications: Sequence[Mapping] = SPECIFICATIONS, seed: int = 42, trees: int = 40,
 ) -> DataFrame:
     """The same model question under several reasonable preparations, ranked by AUC. Preparation is learned on train rows."""
-    data = materialize(df.select(*dict.fromkeys([key, target, *features])), "multiverse")
+    data = materialize(df.select(*dict.fromkeys([key, target, *features, *outlier_columns])), "multiverse")
     numeric, _ = feature_kinds(data, features)
     out = None
     for s in specifications:

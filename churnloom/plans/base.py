@@ -50,14 +50,21 @@ HISTORY = """history AS (
 def customers(spark: SparkSession, sf: str) -> DataFrame:
     """One row per customer with orders up to the snapshot; ``churned`` means none in the year after it."""
     cut = F.lit(SNAPSHOT).cast("date")
-    day = F.to_date("o_orderdate")
+    day, price = F.to_date("o_orderdate"), F.col("o_totalprice")
+    seen = day <= cut
     orders = table(spark, sf, "orders")
-    history = rfmt_summary(orders, "o_custkey", "o_orderdate", "o_totalprice", cut)
-    extra = orders.groupBy(F.col("o_custkey").alias("customer_id")).agg(
-        F.sum(F.when((day <= cut) & (day > F.date_sub(cut, 365)), F.col("o_totalprice")).otherwise(0.0)).alias("v12"),
-        F.count_if((day > cut) & (day <= F.date_add(cut, 365))).alias("later"),
-    )
-    known = orders.where(day <= cut).select("o_orderkey", "o_custkey")
+    first, last = F.min(F.when(seen, day)), F.max(F.when(seen, day))
+    # History up to the snapshot and the outcome after it, from one pass over the orders.
+    history = orders.groupBy(F.col("o_custkey").alias("customer_id")).agg(
+        (F.count_if(seen) - 1).alias("frequency"),
+        F.datediff(last, first).cast("bigint").alias("recency"),
+        F.datediff(cut, first).cast("bigint").alias("age"),
+        F.datediff(cut, last).cast("bigint").alias("days_since_last"),
+        F.avg(F.when(seen, price)).alias("monetary"),
+        F.sum(F.when(seen & (day > F.date_sub(cut, 365)), price).otherwise(0.0)).alias("v12"),
+        F.count_if(~seen & (day <= F.date_add(cut, 365))).alias("later"),
+    ).where(F.col("frequency") >= 0)
+    known = orders.where(seen).select("o_orderkey", "o_custkey")
     items = (
         table(spark, sf, "lineitem").select("l_orderkey", "l_returnflag")
         .groupBy("l_orderkey").agg(count_rows().alias("n"), F.count_if(F.col("l_returnflag") == "R").alias("b"))
@@ -68,9 +75,9 @@ def customers(spark: SparkSession, sf: str) -> DataFrame:
         count_rows().alias("n_events"), F.count_if(F.col("event_type") == "error").alias("n_errors")
     )
     people = table(spark, sf, "customer").withColumnRenamed("c_custkey", "customer_id")
-    # All four are one row per customer after map-side combined aggregations on the customer key.
+    # All are one row per customer after map-side combined aggregations on the customer key.
     base = (
-        history.join(extra, "customer_id").join(people, "customer_id")
+        history.join(people, "customer_id")
         .join(items, "customer_id", "left").join(activity, "customer_id", "left")
     )
     nation, key = F.col("c_nationkey"), F.col("customer_id")

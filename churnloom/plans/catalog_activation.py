@@ -173,10 +173,12 @@ def segment_names(spark, sf):
 
 
 @query(f"""WITH {CARD}, oc AS (SELECT segment, offer, count(*) AS n FROM card GROUP BY 1, 2), o AS (SELECT segment, offer, row_number() OVER (PARTITION BY segment ORDER BY n DESC, offer) AS k FROM oc)
-  SELECT card.segment, count(*) AS customers, {r('avg(contact)', 3)} AS share_contacted, {r('avg(score)', 3)} AS mean_score, {r('avg(clv_6m)', 3)} AS mean_clv, {r('avg(expected_contact_value)', 3)} AS mean_expected_value,
+  SELECT card.segment, count(*) AS customers, {r('avg(contact)', 3)} AS share_contacted, {r('avg(score)', 3)} AS mean_score, {r('avg(clv_6m)', 1)} AS mean_clv, {r('avg(expected_contact_value)', 1)} AS mean_expected_value,
   any_value(o.offer) AS main_offer FROM card JOIN o ON o.segment = card.segment AND k = 1 GROUP BY 1""")
 def segment_playbook(spark, sf):
-    return activation.segment_playbook(card(spark, sf), "segment", "score", "clv_6m")
+    out = activation.segment_playbook(card(spark, sf), "segment", "score", "clv_6m", digits=6)
+    ones, threes = ("mean_clv", "mean_expected_value"), ("share_contacted", "mean_score")
+    return out.withColumns({**{c: rnd(F.col(c), 1) for c in ones}, **{c: rnd(F.col(c), 3) for c in threes}})
 
 
 @query(f"""WITH {CUSTOMERS} SELECT channel, count(*) AS contacts, count(*) FILTER (churned = 0) AS successes, {r('avg((churned = 0)::int)', 4)} AS rate, {r('(1 + count(*) FILTER (churned = 0))/(2 + count(*))', 4)} AS posterior_mean FROM people GROUP BY 1""")

@@ -78,7 +78,7 @@ def parsimony(spark, sf):
 
 @query()
 def parsimony_cv(spark, sf):
-    return models.select_by_cv_then_bic(base(spark, sf), KEY, TARGET, NUMBERS, (2, 4), folds=3)
+    return models.select_by_cv_then_bic(base(spark, sf), KEY, TARGET, NUMBERS, (4,), folds=3)
 
 
 MI_BINS = 10

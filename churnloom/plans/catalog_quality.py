@@ -244,7 +244,7 @@ def psi_categorical(spark, sf):
     ((fs='critico')::int + (cs='critico')::int + (vs='critico')::int) AS critical_issues,
     CASE WHEN vs='critico' THEN 'critico' WHEN fs='ok' AND cs='ok' AND vs='ok' THEN 'ok' ELSE 'alerta' END AS severity,
     CASE WHEN vs='critico' THEN 'blocked' WHEN fs='ok' AND cs='ok' AND vs='ok' THEN 'allow' ELSE 'degraded' END AS decision FROM s""")
-def pipeline_health(spark, sf):
+def data_health(spark, sf):
     return quality.pipeline_health(
         orders_gaps(spark, sf), "orders", "o_orderdate", ["o_totalprice", "o_orderpriority"],
         F.lit("2001-08-10 06:00:00").cast("timestamp_ntz"), 5000, quality.HEALTH_PROFILES["demo"],
