@@ -18,7 +18,7 @@ from pyspark.ml.feature import (
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalar import clip, num, numeric_columns, rnd, rounded, share, text_columns
+from ..functions.scalar import clip, melt_numeric, num, numeric_columns, rnd, rounded, share, text_columns
 from ..session import materialize
 from .describe import corrected_kurtosis, corrected_skewness
 from .ordered import group_moving, moving
@@ -272,28 +272,36 @@ def box_cox(x: Column, lam: float | Column) -> Column:
     return F.when(F.abs(k) < 1e-9, F.log(x)).otherwise((F.pow(x, k) - 1) / k)
 
 
-def power_lambda(df: DataFrame, column: str, method: str = "yeo_johnson", steps: int = 21, refinements: int = 4) -> float:
-    """Maximum-likelihood lambda: a grid in one aggregation, then finer grids around the best."""
-    x = num(column)
+def power_lambdas(
+    df: DataFrame, columns: Sequence[str], method: str = "yeo_johnson", steps: int = 21, refinements: int = 4
+) -> dict[str, float]:
+    """Maximum-likelihood lambda per column: a grid for all columns in one aggregation, then finer grids around the best."""
     transform = yeo_johnson if method == "yeo_johnson" else box_cox
-    slope = F.signum("x") * F.log1p(F.abs("x")) if method == "yeo_johnson" else F.log("x")
-    rows = df.select(x.alias("x")).where(F.col("x").isNotNull())
-    low, high, best = -3.0, 5.0, 1.0
+    slope = F.signum("value") * F.log1p(F.abs("value")) if method == "yeo_johnson" else F.log("value")
+    cells = melt_numeric(df, columns)
+    spans = {c: (-3.0, 5.0) for c in columns}
+    best = {c: 1.0 for c in columns}
     for _ in range(refinements):
-        step = (high - low) / (steps - 1)
-        grid = F.array(*[F.lit(low + step * i) for i in range(steps)])
-        found = rows.select("x", F.explode(grid).alias("k")).groupBy("k").agg(
-            F.count("x").alias("n"), F.sum(slope).alias("j"), F.var_pop(transform(F.col("x"), F.col("k"))).alias("v")
+        grids = {c: [low + (high - low) * i / (steps - 1) for i in range(steps)] for c, (low, high) in spans.items()}
+        known = F.create_map(*[x for c, g in grids.items() for x in (F.lit(c), F.array(*[F.lit(k) for k in g]))])
+        found = (
+            cells.select("column_name", "value", F.explode(known[F.col("column_name")]).alias("k"))
+            .groupBy("column_name", "k")
+            .agg(F.count("value").alias("n"), F.sum(slope).alias("j"), F.var_pop(transform(F.col("value"), F.col("k"))).alias("v"))
         )
-        scores = {
-            r["k"]: -r["n"] / 2 * math.log(r["v"]) + (r["k"] - 1) * r["j"]
-            for r in found.collect() if r["v"] is not None and 0 < r["v"] < math.inf
-        }
-        if not scores:
-            return best
-        best = max(scores, key=scores.get)
-        low, high = best - step, best + step
-    return float(best)
+        scores: dict[str, dict[float, float]] = {}
+        for r in found.collect():
+            if r["v"] is not None and 0 < r["v"] < math.inf:
+                scores.setdefault(r["column_name"], {})[r["k"]] = -r["n"] / 2 * math.log(r["v"]) + (r["k"] - 1) * r["j"]
+        for c, per in scores.items():
+            best[c] = max(per, key=per.get)
+            step = (spans[c][1] - spans[c][0]) / (steps - 1)
+            spans[c] = (best[c] - step, best[c] + step)
+    return best
+
+
+def power_lambda(df: DataFrame, column: str, method: str = "yeo_johnson") -> float:
+    return power_lambdas(df, [column], method)[column]
 
 
 def compare_power_transforms(df: DataFrame, column: str) -> DataFrame:
@@ -353,12 +361,13 @@ def preprocessing_stages(
     """Fitted-on-train stages: impute, optional power transform, scale; one-hot with unseen levels as zeros."""
     numeric, categorical = list(numeric), list(categorical)
     fills = fill_values(train, numeric, categorical, "mean" if imputer == "mean" else "median")
+    lambdas = power_lambdas(train, numeric) if power and numeric else {}
 
     def sql_number(c: str) -> str:
         value = f"coalesce(try_cast(`{c}` as double), {float(fills.get(c, 0.0))!r}D)"
         if not power:
             return value
-        lam = power_lambda(train, c)
+        lam = lambdas[c]
         up = f"ln(1 + {value})" if abs(lam) < 1e-9 else f"(power(1 + {value}, {lam!r}D) - 1) / {lam!r}D"
         down = f"-ln(1 - {value})" if abs(lam - 2) < 1e-9 else f"-(power(1 - {value}, {2 - lam!r}D) - 1) / {2 - lam!r}D"
         return f"case when {value} >= 0 then {up} else {down} end"

@@ -455,7 +455,7 @@ def recursive_elimination(df: DataFrame, key: str, target: str, features: Sequen
     while len(left) > keep:
         vectors = VectorAssembler(inputCols=left, outputCol="features").transform(data)
         model = (
-            LogisticRegression(maxIter=60, regParam=1e-6) if problem == "classification" else LinearRegression(regParam=1e-9)
+            LogisticRegression(maxIter=30, tol=1e-5, regParam=1e-6) if problem == "classification" else LinearRegression(regParam=1e-9)
         ).fit(vectors)
         strength = [abs(b) * (scale[c] or 0.0) for b, c in zip(model.coefficients.toArray(), left)]
         worst = int(np.argmin(strength))

@@ -78,10 +78,10 @@ def shortlist(spark, sf):
     return activation.shortlist(card(spark, sf), "customer_id", "score").select("customer_id", "score", "expected_contact_value", "offer")
 
 
-@query(f"""WITH {CARD} SELECT risk, segment, count(*) AS customers, {r('avg(score)', 4)} AS mean_score, {r('avg(clv_12m)', 2)} AS mean_value, {r('avg(future_value)', 2)} AS mean_future_value,
-  {r('avg(expected_contact_value)', 2)} AS mean_expected_value FROM card GROUP BY ALL""")
+@query(f"""WITH {CARD} SELECT risk, segment, count(*) AS customers, {r('avg(score)', 6)} AS mean_score, {r('avg(clv_12m)', 5)} AS mean_value, {r('avg(future_value)', 5)} AS mean_future_value,
+  {r('avg(expected_contact_value)', 5)} AS mean_expected_value FROM card GROUP BY ALL""")
 def risk_segment_summary(spark, sf):
-    return activation.risk_segment_summary(card(spark, sf), "segment", "clv_12m", "score")
+    return activation.risk_segment_summary(card(spark, sf), "segment", "clv_12m", "score", 6, 5)
 
 
 @query(f"WITH {CARD} SELECT place, t.risk, count(customer_id) AS customers FROM (VALUES (0::int,'Critico'),(1::int,'Alto'),(2::int,'Medio'),(3::int,'Bajo')) t(place, risk) LEFT JOIN card ON card.risk = t.risk AND contact = 1 GROUP BY place, t.risk")
@@ -120,10 +120,10 @@ def consensus_summary(spark, sf):
 
 @query(f"""WITH {CARD}, a AS (SELECT offer AS arm, count(*) AS n, avg(expected_contact_value) AS m, median(expected_contact_value) AS md, count(*) FILTER (expected_contact_value > 0) AS w FROM card GROUP BY 1),
   s AS (SELECT *, min(m) OVER () AS lo, max(m) OVER () AS hi, count(*) OVER () AS k FROM a), l AS (SELECT *, CASE WHEN hi = lo THEN 1.0 ELSE (m - lo)/(hi - lo) END AS lv, (w+1)/(n+2) AS pm FROM s)
-  SELECT arm, n, {r('m', 4)} AS mean_reward, {r('md', 4)} AS median_reward, {r('w/n', 4)} AS positive_rate, w + 1 AS alpha, n - w + 1 AS beta, {r('pm', 4)} AS posterior_mean,
+  SELECT arm, n, {r('m', 6)} AS mean_reward, {r('md', 6)} AS median_reward, {r('w/n', 4)} AS positive_rate, w + 1 AS alpha, n - w + 1 AS beta, {r('pm', 4)} AS posterior_mean,
   {r('0.9::double*lv + 0.1::double/k', 4)} AS epsilon_greedy_score, {r('pm*greatest(lv, 0.05::double)', 4)} AS thompson_score FROM l""")
 def bandit_policy(spark, sf):
-    return activation.bandit_policy(card(spark, sf), "offer", "expected_contact_value")
+    return activation.bandit_policy(card(spark, sf), "offer", "expected_contact_value", digits=6)
 
 
 @query(f"""WITH {VALUED} SELECT customer_id, {r('0.28::double*clv_6m - 22.0', 2)} AS expected_contact_value, {r('score*clv_6m', 2)} AS priority_score FROM valued""")

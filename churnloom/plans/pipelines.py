@@ -89,9 +89,11 @@ def choose_model(data: DataFrame, c: Contract) -> tuple[str, list[str], dict[str
     return name, features, {"benchmark": table, "parsimony": study["summary"], "ensemble_metrics": study["ensemble_metrics"], "skipped": skipped}
 
 
-def bi_run(data: DataFrame, c: Contract, algorithm: str, features: Sequence[str]) -> tuple[models.Trained, dict[str, DataFrame]]:
-    """Source audit, cleaning, tests on the clean table, model with explanation, inference and conclusions."""
-    source = quality.audit(data, c.key, c.target, [c.key], [c.date], c.segments)
+def bi_run(
+    data: DataFrame, c: Contract, algorithm: str, features: Sequence[str], audit: Mapping[str, DataFrame] | None = None
+) -> tuple[models.Trained, dict[str, DataFrame]]:
+    """Source audit (reused when given), cleaning, tests on the clean table, model with explanation, inference, conclusions."""
+    source = audit or quality.audit(data, c.key, c.target, [c.key], [c.date], c.segments)
     tidy, treated = clean.etl(data, c.outlier_columns) if c.outlier_columns else (data, None)
     tidy = materialize(tidy, "tidy")
     collinear = linear.collinearity(tidy, c.vif_columns)
@@ -146,12 +148,16 @@ def conclusions(tables: Mapping[str, DataFrame]) -> DataFrame:
     return out
 
 
-def methodology_run(data: DataFrame, c: Contract, algorithm: str, features: Sequence[str], observed_at: Column, expected_rows: int | None = None) -> dict[str, DataFrame]:
+def methodology_run(
+    data: DataFrame, c: Contract, algorithm: str, features: Sequence[str], observed_at: Column, expected_rows: int | None = None,
+    audit: Mapping[str, DataFrame] | None = None,
+) -> dict[str, DataFrame]:
     """Snapshot drift, health gate, tests, feature ranking, robustness, time folds, uncertainty, fairness and flags."""
     spark = data.sparkSession
     reference, current = (materialize(p, "snapshot") for p in quality.time_split(data, c.date, 0.65, c.key))
     numeric, _ = models.feature_kinds(data, features)
-    out = {f"audit_{k}": v for k, v in quality.audit(data, c.key, c.target, [c.key], [c.date], c.segments).items()}
+    source = audit or quality.audit(data, c.key, c.target, [c.key], [c.date], c.segments)
+    out = {f"audit_{k}": v for k, v in source.items()}
     out["mcar"] = quality.little_mcar(data, numeric)
     drift = quality.dataset_drift(reference, current, [*features, c.target])
     out.update({f"drift_{k}": v for k, v in drift.items()})
@@ -256,9 +262,10 @@ def case_run(df: DataFrame, c: Contract, observed_at: Column, output: str | None
     """The full case: dataset, model choice, BI layer, methodology, activation, summary; optionally written with a run log."""
     dataset = build_dataset(df, c)
     data = dataset["data"]
+    audit = {k: v for k, v in dataset.items() if k != "data"}
     name, features, selection = choose_model(data, c)
-    trained, bi = bi_run(data, c, name, features)
-    checks = methodology_run(data, c, name, features, observed_at)
+    trained, bi = bi_run(data, c, name, features, audit)
+    checks = methodology_run(data, c, name, features, observed_at, audit=audit)
     active = activation_run(data, c, trained.predictions)
     summary = io.execution_summary(
         [
