@@ -40,13 +40,14 @@ def _blocks(df: DataFrame, order: Sequence[str], extra: Sequence[Column] = ()) -
 def _offsets(totals: DataFrame, names: Sequence[str]) -> DataFrame:
     """Exclusive running sums of one row per block (as many rows as shuffle partitions)."""
     rows = sorted(totals.collect(), key=lambda r: r["_block"])
-    running = {n: 0 for n in names}
+    types = dict(totals.dtypes)
+    running = {n: 0.0 if types[n] == "double" else 0 for n in names}
     out = []
     for r in rows:
         out.append((r["_block"], *[running[n] for n in names]))
         for n in names:
             running[n] += r[n] or 0
-    fields = ", ".join(f"_off_{n} {dict(totals.dtypes)[n]}" for n in names)
+    fields = ", ".join(f"_off_{n} {types[n]}" for n in names)
     return totals.sparkSession.createDataFrame(out, f"_block int, {fields}")
 
 

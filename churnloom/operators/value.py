@@ -141,33 +141,43 @@ def relative_gap(clv: Column, model_value: Column) -> Column:
 
 
 def _lgamma(x: Column) -> Column:
-    """log Gamma for x > 0: shifted by 8, then Stirling's series (error below 1e-12)."""
-    shift = sum((F.log(x + i) for i in range(1, 8)), F.log(x))
-    z = x + 8.0
-    series = 1.0 / (12.0 * z) - 1.0 / (360.0 * z * z * z) + 1.0 / (1260.0 * z * z * z * z * z)
-    return (z - 0.5) * F.log(z) - z + 0.5 * math.log(2 * math.pi) + series - shift
+    """log Gamma for x > 0: shifted by 6, then Stirling's series (error below 1e-10)."""
+    shift = x * (x + 1.0) * (x + 2.0) * (x + 3.0) * (x + 4.0) * (x + 5.0)
+    z = x + 6.0
+    w = 1.0 / (z * z)
+    series = (1.0 / 12.0 + w * (-1.0 / 360.0 + w * (1.0 / 1260.0 - w / 1680.0))) / z
+    return (z - 0.5) * F.log(z) - z + series - F.log(shift) + 0.5 * math.log(2 * math.pi)
 
 
 def _bgnbd_terms(f: Column, r: Column, t: Column, p: Sequence[Column]) -> Column:
+    """The part of a customer's log-likelihood that depends on the customer."""
     rr, alpha, a, b = p
-    base = _lgamma(f + rr) - _lgamma(rr) + rr * F.log(alpha) + _lgamma(a + b) - _lgamma(b) + _lgamma(f + b) - _lgamma(f + a + b)
+    base = _lgamma(f + rr) + _lgamma(f + b) - _lgamma(f + a + b)
     alive = -(f + rr) * F.log(t + alpha)
-    died = F.log(a) - F.log(F.greatest(f + b - 1.0, F.lit(1e-9))) - (f + rr) * F.log(r + alpha)
-    top = F.greatest(alive, died)
-    return base + F.when(f > 0, top + F.log(F.exp(alive - top) + F.exp(died - top))).otherwise(alive)
+    died = F.log(a / F.greatest(f + b - 1.0, F.lit(1e-9))) - (f + rr) * F.log(r + alpha)
+    gap = F.abs(alive - died)
+    return base + F.when(f > 0, F.greatest(alive, died) + F.log1p(F.exp(-gap))).otherwise(alive)
+
+
+def _bgnbd_constant(p: Sequence[float]) -> float:
+    rr, alpha, a, b = p
+    return -math.lgamma(rr) + rr * math.log(alpha) + math.lgamma(a + b) - math.lgamma(b)
 
 
 def _gamma_gamma_terms(f: Column, m: Column, p: Sequence[Column]) -> Column:
     shape, q, v = p
     pf = f * shape
-    return (
-        _lgamma(pf + q) - _lgamma(pf) - _lgamma(q) + q * F.log(v)
-        + (pf - 1.0) * F.log(m) + pf * F.log(f) - (pf + q) * F.log(f * m + v)
-    )
+    return _lgamma(pf + q) - _lgamma(pf) + pf * F.log(f * m) - F.log(m) - (pf + q) * F.log(f * m + v)
+
+
+def _gamma_gamma_constant(p: Sequence[float]) -> float:
+    _, q, v = p
+    return q * math.log(v) - math.lgamma(q)
 
 
 def _maximise(
-    df: DataFrame, start: Sequence[float], terms: Callable[[Sequence[Column]], Column], weight: Column, penalty: float, rounds: int, tolerance: float
+    df: DataFrame, start: Sequence[float], terms: Callable[[Sequence[Column]], Column], constant: Callable[[Sequence[float]], float],
+    weight: Column, penalty: float, rounds: int, tolerance: float,
 ) -> tuple[list[float], float]:
     """Newton steps on log-parameters. Slopes and curvature come from one aggregation over nearby points,
     the step length from a second one."""
@@ -184,7 +194,8 @@ def _maximise(
         out = np.full(len(points), np.inf)
         for row in sums:
             if row["s"] is not None and math.isfinite(row["s"]):
-                out[row["_point"]] = -row["s"] / total + penalty * float(np.sum(np.exp(points[row["_point"]]) ** 2))
+                at = np.exp(points[row["_point"]])
+                out[row["_point"]] = -row["s"] / total - constant(at) + penalty * float(np.sum(at**2))
         return out
 
     x = np.log(np.array(start, dtype=float))
@@ -213,7 +224,7 @@ def _maximise(
     return [float(v) for v in np.exp(x)], -value
 
 
-def fit_bgnbd(df: DataFrame, frequency="frequency", recency="recency", age="age", monetary="monetary", penalty: float = 0.01, rounds: int = 30, tolerance: float = 1e-7) -> dict[str, float]:
+def fit_bgnbd(df: DataFrame, frequency="frequency", recency="recency", age="age", monetary="monetary", penalty: float = 0.01, rounds: int = 30, tolerance: float = 1e-6) -> dict[str, float]:
     """r, alpha, a, b of BG/NBD over structurally valid rows. Time is scaled so the longest age is 10."""
     f, r, t, m = _filled(frequency, recency, age, monetary)
     bad = F.lit(False)
@@ -225,12 +236,12 @@ def fit_bgnbd(df: DataFrame, frequency="frequency", recency="recency", age="age"
     scale = 10.0 / counts.agg(F.max("t")).first()[0]
     params, score = _maximise(
         counts, [1.0, 3.0, 0.5, 2.0],
-        lambda p: _bgnbd_terms(F.col("f"), F.col("r") * scale, F.col("t") * scale, p), F.col("n"), penalty, rounds, tolerance,
+        lambda p: _bgnbd_terms(F.col("f"), F.col("r") * scale, F.col("t") * scale, p), _bgnbd_constant, F.col("n"), penalty, rounds, tolerance,
     )
-    return {"r": params[0], "alpha": params[1] / scale, "a": params[2], "b": params[3], "mean_log_likelihood": score}
+    return {"r": params[0], "alpha": params[1] / scale, "a": params[2], "b": params[3], "mean_log_likelihood": float(score)}
 
 
-def fit_gamma_gamma(df: DataFrame, frequency="frequency", recency="recency", age="age", monetary="monetary", penalty: float = 0.01, rounds: int = 30, tolerance: float = 1e-7) -> dict[str, float]:
+def fit_gamma_gamma(df: DataFrame, frequency="frequency", recency="recency", age="age", monetary="monetary", penalty: float = 0.01, rounds: int = 30, tolerance: float = 1e-6) -> dict[str, float]:
     """p, q, v of Gamma-Gamma over valid repeaters. Values are scaled by their mean."""
     f, r, t, m = _filled(frequency, recency, age, monetary)
     repeaters = materialize(
@@ -238,9 +249,10 @@ def fit_gamma_gamma(df: DataFrame, frequency="frequency", recency="recency", age
     )
     mean = repeaters.agg(F.sum(F.col("m") * F.col("n")) / F.sum("n")).first()[0]
     params, score = _maximise(
-        repeaters, [2.0, 3.0, 2.0], lambda p: _gamma_gamma_terms(F.col("f"), F.col("m") / mean, p), F.col("n"), penalty, rounds, tolerance
+        repeaters, [2.0, 3.0, 2.0], lambda p: _gamma_gamma_terms(F.col("f"), F.col("m") / mean, p), _gamma_gamma_constant,
+        F.col("n"), penalty, rounds, tolerance
     )
-    return {"p": params[0], "q": params[1], "v": params[2] * mean, "mean_log_likelihood": score}
+    return {"p": params[0], "q": params[1], "v": params[2] * mean, "mean_log_likelihood": float(score)}
 
 
 def bgnbd_alive(f: Column, r: Column, t: Column, k: dict[str, float]) -> Column:
@@ -248,7 +260,7 @@ def bgnbd_alive(f: Column, r: Column, t: Column, k: dict[str, float]) -> Column:
     return F.when(f > 0, 1.0 / (1.0 + odds)).otherwise(F.lit(1.0))
 
 
-def bgnbd_expected(f: Column, r: Column, t: Column, days: float, k: dict[str, float], terms: int = 200) -> Column:
+def bgnbd_expected(f: Column, r: Column, t: Column, days: float, k: dict[str, float], terms: int = 100) -> Column:
     """Expected purchases in the next ``days``; the hypergeometric factor by its series after Euler's transform."""
     rr, alpha, a, b = k["r"], k["alpha"], k["a"], k["b"]
     z = F.lit(float(days)) / (alpha + t + float(days))
