@@ -486,12 +486,13 @@ def population_stability(
         totals = counts.groupBy("column_name").agg(F.sum("n").alias("total"))
         return counts.join(totals, "column_name").select("column_name", "bin", (F.col("n") / F.col("total")).alias(name))
 
-    both = shares(reference, "r").join(shares(current, "c"), ["column_name", "bin"], "full_outer")
-    r, c = F.coalesce("r", F.lit(0.0)), F.coalesce("c", F.lit(0.0))
-    term = (c - r) * F.log(F.greatest(c, F.lit(1e-6)) / F.greatest(r, F.lit(1e-6)))
-    out = both.groupBy("column_name").agg(F.sum(term).alias("s"))
-    for column in flat:
-        out = out.unionByName(reference.sparkSession.createDataFrame([(column, 0.0)], "column_name string, s double"))
+    # Columns without spread cannot drift over their own deciles.
+    out = reference.sparkSession.createDataFrame([(c, 0.0) for c in flat], "column_name string, s double")
+    if used:
+        both = shares(reference, "r").join(shares(current, "c"), ["column_name", "bin"], "full_outer")
+        r, c = F.coalesce("r", F.lit(0.0)), F.coalesce("c", F.lit(0.0))
+        term = (c - r) * F.log(F.greatest(c, F.lit(1e-6)) / F.greatest(r, F.lit(1e-6)))
+        out = out.unionByName(both.groupBy("column_name").agg(F.sum(term).alias("s")))
     return out.select("column_name", rnd(F.col("s"), 4).alias("psi"), (F.col("s") >= threshold).alias("is_severe")).orderBy(
         F.desc("psi"), "column_name"
     )
