@@ -21,11 +21,14 @@ from pyspark.sql import functions as F
 from ..functions.scalar import clip, melt_numeric, num, numeric_columns, rnd, rounded, share, text_columns
 from ..session import materialize
 from .describe import corrected_kurtosis, corrected_skewness
-from .ordered import group_moving, moving
+from .ordered import group_moving, moving, with_codes
 from .quality import rows_of
 from .quantiles import bin_of, distinct_edges, mode_table, quantiles
 
 
+MAX_LEVELS = 10_000
+
+
 def iqr_bounds(df: DataFrame, columns: Sequence[str], factor: float = 1.5) -> dict[str, tuple[float, float]]:
     q = quantiles(df, columns, [0.25, 0.75])
     out = {}
@@ -178,10 +181,7 @@ def dummies(df: DataFrame, columns: Sequence[str], drop_first: bool = True, leve
 
 def category_codes(df: DataFrame, column: str) -> DataFrame:
     """Alphabetical category number in ``<column>_code``; null gives -1."""
-    indexer = StringIndexer(inputCol=column, outputCol="_code", stringOrderType="alphabetAsc", handleInvalid="keep")
-    model = indexer.fit(df.where(F.col(column).isNotNull()))
-    code = F.when(F.col(column).isNull(), -1).otherwise(F.col("_code").cast("int"))
-    return model.transform(df).withColumn(f"{column}_code", code).drop("_code")
+    return with_codes(df, column, f"{column}_code")
 
 
 def equal_frequency_bins(df: DataFrame, column: str, bins: int) -> tuple[DataFrame, list[float]]:
@@ -360,6 +360,11 @@ def preprocessing_stages(
 ) -> list:
     """Fitted-on-train stages: impute, optional power transform, scale; one-hot with unseen levels as zeros."""
     numeric, categorical = list(numeric), list(categorical)
+    if categorical:
+        levels = train.agg(*[F.approx_count_distinct(F.col(c).cast("string")).alias(c) for c in categorical]).first()
+        wide = [c for c in categorical if levels[c] > MAX_LEVELS]
+        if wide:
+            raise ValueError(f"too many levels for one-hot columns: {wide}; use category_codes")
     fills = fill_values(train, numeric, categorical, "mean" if imputer == "mean" else "median")
     lambdas = power_lambdas(train, numeric) if power and numeric else {}
 

@@ -127,6 +127,14 @@ def with_average_ranks(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:
     return df
 
 
+def with_codes(df: DataFrame, column: str, name: str) -> DataFrame:
+    """Adds the 0-based alphabetical number of each value; null gives -1. Any number of values."""
+    counts = df.where(F.col(column).isNotNull()).groupBy(column).agg(count_rows().alias("_n"), F.lit(1).cast("bigint").alias("one"))
+    coded, small = _running(counts, (), [column], ["one"])
+    coded = coded.select(column, "_n", F.col("before_one").cast("int").alias(name))
+    return attach(df, coded, [column], weight="_n", small=small).drop("_n").withColumn(name, F.coalesce(name, F.lit(-1)))
+
+
 def rank_within(
     df: DataFrame, by: Sequence[str], order: Sequence[Column], name: str, group_rows: int = GROUP_ROWS
 ) -> DataFrame:

@@ -51,13 +51,20 @@ def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def sample_values(df: DataFrame, columns: Sequence[str], key: str, limit: int = 3, separator: str = ", ") -> DataFrame:
-    """The first ``limit`` non-null values by key of every column, as one text."""
-    cells = melt_text(df, columns, [F.col(key).alias("_key")]).where(F.col("value").isNotNull())
-    first = cells.withColumn("i", F.row_number().over(Window.partitionBy("column_name").orderBy("_key"))).where(
-        F.col("i") <= limit
-    )
-    ordered = F.array_sort(F.collect_list(F.struct("i", "value")))
-    return first.groupBy("column_name").agg(F.concat_ws(separator, F.transform(ordered, lambda s: s["value"])).alias("sample"))
+    """The first ``limit`` non-null values by key of every column, as one text.
+
+    Each column reads only itself and the key, and keeps a few rows per task.
+    """
+    parts = None
+    for c in columns:
+        value = F.col(c).cast("string")
+        first = (
+            df.select(F.lit(c).alias("column_name"), F.col(key).alias("_key"), value.alias("value"))
+            .where(F.col("value").isNotNull()).orderBy("_key", "value").limit(limit)
+        )
+        parts = first if parts is None else parts.unionByName(first)
+    ordered = F.array_sort(F.collect_list(F.struct("_key", "value")))
+    return parts.groupBy("column_name").agg(F.concat_ws(separator, F.transform(ordered, lambda s: s["value"])).alias("sample"))
 
 
 def null_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:

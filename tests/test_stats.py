@@ -139,3 +139,18 @@ def test_levene_and_welch(frame):
     row = stat_tests.variance_homogeneity(frame, "y", "g").first()
     assert row.statistic == pytest.approx(f, abs=1e-4) and row.p_value == pytest.approx(dist.f_sf(f, 2, 237), abs=1e-4)
     assert stat_tests.compare_groups(frame, "y", "h").first().test in ("mann_whitney", "student_t", "welch_t")
+
+
+def test_group_normality_votes_by_name(spark):
+    rng = random.Random(2)
+    rows = [("z", rng.gauss(0, 1)) for _ in range(400)] + [("a", rng.expovariate(1)) for _ in range(400)] + [("m", 1.0), ("m", 2.0)]
+    got = {r.group: r for r in stat_tests.group_normality(spark.createDataFrame(rows, "g string, v double"), "v", "g", sample=300).collect()}
+    assert got["z"].is_normal and not got["a"].is_normal and not got["m"].is_normal
+    assert got["a"].p_anderson == 0.0 and got["z"].p_lilliefors > 0.05
+
+
+def test_codes_number_values_in_order(spark, monkeypatch):
+    for limit in (0, 100):
+        monkeypatch.setattr(ordered, "ONE_TASK_ROWS", limit)
+        df = spark.createDataFrame([(v,) for v in ["b", "a", None, "c", "b"]], "v string")
+        assert sorted((r.v or "", r.v_code) for r in clean.category_codes(df, "v").collect()) == [("", -1), ("a", 0), ("b", 1), ("b", 1), ("c", 2)]
