@@ -9,10 +9,10 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.scalar import count_rows, num, numeric_columns, rnd
+from ..functions.scalar import category_columns, count_rows, num, numeric_columns, rnd
 from ..session import materialize
 from .ordered import cumulative, positions, with_average_ranks
-from .quality import _counted_profile, rows_of, value_counts
+from .quality import _counted_profile, null_profile, quality_report, rows_of, value_counts
 from .quantiles import mode_table, quantile_table
 
 PAIR_BLOCK = 200_000
@@ -256,6 +256,20 @@ def kendall_pair(df: DataFrame, x: str, y: str, block: int = PAIR_BLOCK) -> Data
     return df.sparkSession.createDataFrame([(x, y, tau, one["n"])], "a string, b string, r double, n bigint")
 
 
+def quick_report(df: DataFrame, key: str) -> dict[str, DataFrame]:
+    """Quality, nulls, numeric and categorical summaries and outliers of a table in one call."""
+    from .clean import outliers_iqr
+
+    numbers = [c for c in numeric_columns(df) if c != key]
+    texts = category_columns(df)
+    out = {"quality": quality_report(df, key), "nulls": null_profile(df)}
+    if numbers:
+        out["numeric"], out["outliers"] = numeric_summary(df, numbers), outliers_iqr(df, numbers)
+    if texts:
+        out["categorical"] = categorical_summary(df, texts)
+    return out
+
+
 def effect_sizes(df: DataFrame, value: str, group: str) -> DataFrame:
     """Eta squared over all groups; Cohen's d of the first group (by name) against the second when there are two."""
     v = num(value)

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from check_oracles import TABLES, canonical
-from churnloom.operators import models, segments
+from churnloom.operators import describe, models, segments
 from churnloom.plans import catalog_cases
 from churnloom.plans.base import customers
 from churnloom.session import materialize
@@ -82,6 +82,20 @@ def test_value_models_and_error_weights(labelled):
     assert table.first().is_champion and table.first().mae_vs_baseline < 0.2
 
 
+def test_simple_models_win_close_races(spark):
+    table = spark.createDataFrame([("random_forest", 0.80), ("logistic", 0.79)], "model string, roc_auc double")
+    assert models.promote_simple(table) == "logistic" and models.promote_simple(table, tolerance=0.001) == "random_forest"
+    errors = spark.createDataFrame([("gradient_boosting", 10.0), ("lasso", 10.1), ("linear", 11.0)], "model string, rmse double")
+    assert models.promote_simple(errors, "regression") == "lasso"
+    assert models.benchmark_models("VALUE_prediction")[0] == "linear" and models.benchmark_models(models=["Logistic "]) == ("logistic",)
+
+
+def test_quick_report_tables(spark, sf):
+    out = describe.quick_report(spark.read.parquet(f"{sf}/part.parquet"), "p_partkey")
+    assert set(out) == {"quality", "nulls", "numeric", "outliers", "categorical"}
+    assert out["nulls"].agg(F.sum("nulls")).first()[0] == 0
+
+
 def test_kmeans_separates(spark):
     rows = [(i, float(i % 3) * 10 + (i % 7) * 0.1, float(i % 3) * -5) for i in range(90)]
     m = segments.segment_matrix(spark.createDataFrame(rows, "k long, a double, b double"), ["a", "b"])
