@@ -48,13 +48,6 @@ def scratch_root(spark: SparkSession) -> str:
     return _local_root
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the scratch folder: cuts the lineage of iterative jobs."""
-    spark = df.sparkSession
-    spark.sparkContext.setCheckpointDir(scratch_root(spark) + "/churnloom-checkpoints")
-    return df.checkpoint()
-
-
 def materialize(df: DataFrame, label: str = "t") -> DataFrame:
     """Write ``df`` once to the scratch folder and read it back.
 
