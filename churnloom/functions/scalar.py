@@ -33,6 +33,11 @@ def count_rows() -> Column:
     return F.count(F.lit(1))
 
 
+def exact_mean(x: Column) -> Column:
+    """Mean of values with at most four decimals, summed exactly: the same whatever the row order."""
+    return F.sum(x.cast("decimal(28,4)")).cast("double") / F.count(x)
+
+
 def share(condition: Column, digits: int = 2) -> Column:
     """Percentage of rows that satisfy ``condition`` (null counts as false)."""
     return rnd(F.avg(F.when(condition, 1.0).otherwise(0.0)) * 100, digits)

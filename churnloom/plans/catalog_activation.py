@@ -78,10 +78,10 @@ def shortlist(spark, sf):
     return activation.shortlist(card(spark, sf), "customer_id", "score").select("customer_id", "score", "expected_contact_value", "offer")
 
 
-@query(f"""WITH {CARD} SELECT risk, segment, count(*) AS customers, {r('avg(score)', 6)} AS mean_score, {r('avg(clv_12m)', 5)} AS mean_value, {r('avg(future_value)', 5)} AS mean_future_value,
-  {r('avg(expected_contact_value)', 5)} AS mean_expected_value FROM card GROUP BY ALL""")
+@query(f"""WITH {CARD} SELECT risk, segment, count(*) AS customers, {r('sum(score::decimal(28,4))::double/count(*)', 4)} AS mean_score, {r('sum(clv_12m::decimal(28,4))::double/count(*)', 2)} AS mean_value,
+  {r('sum(future_value::decimal(28,4))::double/count(*)', 2)} AS mean_future_value, {r('sum(expected_contact_value::decimal(28,4))::double/count(*)', 2)} AS mean_expected_value FROM card GROUP BY ALL""")
 def risk_segment_summary(spark, sf):
-    return activation.risk_segment_summary(card(spark, sf), "segment", "clv_12m", "score", 6, 5)
+    return activation.risk_segment_summary(card(spark, sf), "segment", "clv_12m", "score")
 
 
 @query(f"WITH {CARD} SELECT place, t.risk, count(customer_id) AS customers FROM (VALUES (0::int,'Critico'),(1::int,'Alto'),(2::int,'Medio'),(3::int,'Bajo')) t(place, risk) LEFT JOIN card ON card.risk = t.risk AND contact = 1 GROUP BY place, t.risk")
