@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, simhash, topk_search, url_filter
+from . import byte_bpe, chat_format, language_id, line_dedup, simhash, substring_dedup, token_counts, topk_search, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -96,3 +96,56 @@ SELECT * FROM r WHERE rank <= 10"""
 )
 def op10_topk_search(spark, sf):
     return topk_search.top_k(_table(spark, sf, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+@_query(
+    """
+WITH words AS (SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[ \\t-\\r]+'), lambda x: x <> '') AS w FROM documents),
+wins AS (SELECT doc_id, len(w) AS n, unnest(range(1, greatest(len(w) - 33, 1))) AS i, w FROM words),
+keys AS (SELECT doc_id, i, sha256(array_to_string(list_slice(w, i, i + 34), ' ')) AS k FROM wins),
+many AS (SELECT k FROM keys GROUP BY k HAVING count(*) > 1),
+hits AS (SELECT doc_id, list(i) AS hit FROM keys JOIN many USING (k) GROUP BY doc_id),
+gone AS (SELECT doc_id, list_distinct(flatten(list_transform(hit, lambda i: range(i, i + 35)))) AS g FROM hits),
+cut AS (SELECT doc_id, w, list_filter(range(1, len(w) + 1), lambda j: NOT list_contains(coalesce(g, []), j)) AS stay FROM words LEFT JOIN gone USING (doc_id))
+SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - len(stay))::BIGINT AS n_removed,
+       sha256(array_to_string(list_transform(stay, lambda j: w[j]), ' ')) AS kept_sha256 FROM cut"""
+)
+def op6_substring_dedup(spark, sf):
+    out = substring_dedup.remove_repeats(_table(spark, sf, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2(F.encode("text", "UTF-8"), 256).alias("kept_sha256"))
+
+
+@_query()
+def op4_language_id(spark, sf):
+    docs = _table(spark, sf, "documents")
+    told = language_id.predict(docs.select("doc_id", "text"), language_id.learn(docs))
+    return told.select("doc_id", language_id.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+@_query()
+def op5_byte_bpe(spark, sf):
+    out = byte_bpe.encode(_table(spark, sf, "documents").select("doc_id", "text"), outputs=("n_tokens", "packed", "decoded"))
+    return out.select("doc_id", "n_tokens", F.sha2("packed", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@_query()
+def op7_token_counts(spark, sf):
+    return token_counts.length_histogram(token_counts.lengths(_table(spark, sf, "documents")))
+
+
+CHAT_SQL = """
+WITH t AS (SELECT conv_id, turn // 256 AS part, turn, role, text FROM conversations),
+p AS (SELECT DISTINCT conv_id, part, role AS perspective FROM t WHERE role <> 'system'),
+r AS (SELECT t.*, perspective, '<|im_start|>' || CASE WHEN role = 'system' THEN 'system' WHEN role = perspective THEN 'assistant'
+  ELSE 'user name=' || role END || chr(10) AS head, text || '<|im_end|>' || chr(10) AS body FROM t JOIN p USING (conv_id, part)),
+o AS (SELECT *, sum(length(head) + length(body)) OVER (PARTITION BY conv_id, part, perspective ORDER BY turn, role, text ROWS UNBOUNDED PRECEDING)::BIGINT AS stop FROM r)
+SELECT conv_id, part, perspective, count(*) AS n_turns, string_agg(head || body, '' ORDER BY turn, role, text) AS rendered,
+  coalesce(string_agg((stop - length(body)) || '-' || stop, ',' ORDER BY turn, role, text) FILTER (WHERE role = perspective), '') AS mask
+FROM o GROUP BY conv_id, part, perspective"""
+
+
+@_query(CHAT_SQL)
+def op2_chat_format(spark, sf):
+    out = chat_format.rotate(_table(spark, sf, "conversations"))
+    spans = F.array_join(F.transform("mask", lambda s: F.concat(s["start"], F.lit("-"), s["end"])), ",")
+    return out.withColumn("mask", spans)
