@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, chat_format, language_id, line_dedup, simhash, substring_dedup, token_counts, topk_search, url_filter
+from . import byte_bpe, chat_format, decontaminate, language_id, line_dedup, simhash, substring_dedup, token_counts, topk_search, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -149,3 +149,8 @@ def op2_chat_format(spark, sf):
     out = chat_format.rotate(_table(spark, sf, "conversations"))
     spans = F.array_join(F.transform("mask", lambda s: F.concat(s["start"], F.lit("-"), s["end"])), ",")
     return out.withColumn("mask", spans)
+
+
+@_query()
+def op1_decontaminate(spark, sf):
+    return decontaminate.find_leaks(_table(spark, sf, "documents"), _table(spark, sf, "benchmark"))
