@@ -13,7 +13,9 @@ from pyspark.sql import functions as F
 
 from .common import c
 
-SLICE_ROWS = 200_000
+SLICE_ROWS = 20_000
+#: Tables with a row per rule host are broadcast up to this many rows, and shuffled beyond.
+BROADCAST_HOSTS = 100_000
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -86,13 +88,14 @@ def judge_urls(
     )
     probes = base.select("key", "url", "path", F.explode(hosts).alias("rhost"))
     ruled = stacks.select("rhost").distinct()
+    small = F.broadcast if ruled.count() <= BROADCAST_HOSTS else lambda df: df
     crowded = (
-        probes.join(ruled, "rhost", "left_semi")
+        probes.join(small(ruled), "rhost", "left_semi")
         .groupBy("rhost")
         .agg(F.ceil(F.count(F.lit(1)) / slice_rows).cast("long").alias("slices"))
     )
     slice_of = F.pmod(F.xxhash64("key", "url"), F.col("slices"))
-    points = probes.join(crowded, "rhost").select(
+    points = probes.join(small(crowded), "rhost").select(
         "rhost", slice_of.alias("slice"), "path", F.lit(1).alias("kind"), "key", "url", F.lit(None).cast(stacks.schema["stack"].dataType).alias("stack")
     )
     opened = (
