@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import base64
 import json
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,14 +19,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import c, fresh, materialize
+from .common import c, fresh, materialize, small_batches
 
 RANKS = "byte_bpe_50k.tiktoken"
 #: Words of at most this many bytes, and at most this many of them, are broadcast with their ids.
 TABLE_WORDS = 2**19
 TABLE_BYTES = 64
-BUCKETS = 2**16
-_NONE = 2**31 - 1
+BUCKETS = 2**17
+_PAIR = 2**32
+_NONE = 2**62
 _SLICE = 400_000
 
 
@@ -51,69 +51,98 @@ def _let(value: Column, use) -> Column:
     return F.transform(F.array(value), use)[0]
 
 
-def _rank(ranks: Column, piece: Column) -> Column:
-    """Rank of a piece, null if it is not in the vocabulary. Pieces are bytes written as hexadecimal digits."""
-    return ranks[F.pmod(F.crc32(piece.cast("binary")), F.lit(BUCKETS)).cast("int")][piece]
+def _slot(left, right):
+    """Where the pair of two ids stands in the literal; plain integers and columns alike."""
+    return (left * 7919 + right) % BUCKETS
 
 
-def rank_map(ranks: dict[bytes, int]) -> Column:
-    """The ranks as one literal: maps from piece to rank, in an array by a hash of the piece, as Spark searches maps in a row."""
-    maps: list[dict[str, int]] = [{} for _ in range(BUCKETS)]
+def pair_map(ranks: dict[bytes, int]) -> Column:
+    """The ranked merges as one literal: for each slot its pairs, each followed by the rank of the joined piece.
+
+    A pair of ids (a, b) is the number (a + 1) * 2**32 + b, above every rank, so that a pair that isn't found reads
+    as a number that is no rank. Spark searches a map in a row, and so the pairs are dealt over slots.
+    """
+    slots: list[list[int]] = [[] for _ in range(BUCKETS)]
     for piece, rank in ranks.items():
-        key = piece.hex().upper()
-        maps[zlib.crc32(key.encode()) % BUCKETS][key] = rank
+        for i in range(1, len(piece)):
+            left, right = ranks.get(piece[:i]), ranks.get(piece[i:])
+            if left is not None and right is not None:
+                slots[_slot(left, right)] += [(left + 1) * _PAIR + right, rank]
     # from_json of a constant is folded into a literal by the optimizer.
-    return F.from_json(F.lit(json.dumps(maps, separators=(",", ":"))), "array<map<string,int>>")
+    return F.from_json(F.lit(json.dumps([x or [_NONE] for x in slots], separators=(",", ":"))), "array<array<bigint>>")
+
+
+def _rank(pairs: Column, left: Column, right: Column) -> Column:
+    """Rank of two joined pieces by their ids; ``_PAIR`` or more if they are no piece."""
+    slot = pairs[_slot(left, right).cast("int")]
+    return F.get(slot, F.array_position(slot, (left + 1) * _PAIR + right).cast("int"))
+
+
+def merge_bytes(word: bytes, ranks: dict[bytes, int]) -> list[bytes]:
+    """The pieces of one word by the definition; for small helpers and tests."""
+    p = [word[i : i + 1] for i in range(len(word))]
+    while len(p) > 1:
+        rank, i = min((ranks.get(p[i] + p[i + 1], _NONE), i) for i in range(len(p) - 1))
+        if rank == _NONE:
+            break
+        p[i : i + 2] = [p[i] + p[i + 1]]
+    return p
 
 
-def _fold(ranks: Column, word: Column) -> Column:
+def _fold(pairs: Column, single: Column, word: Column) -> Column:
     """Token ids of one word: merges the leftmost pair of lowest rank until no pair has a rank."""
-    or_none = lambda x: F.coalesce(x, F.lit(_NONE))
-    none = F.array().cast("array<int>")
+    none = F.array().cast("array<bigint>")
 
     def merge(state: Column) -> Column:
         p, r = state["p"], state["r"]
 
-        def at(i: Column) -> Column:
-            merged = F.concat(p[i - 1], p[i])
-            # Ranks of the pairs that the merged piece forms with its neighbours.
-            left = F.when(i > 1, F.array(or_none(_rank(ranks, F.concat(p[i - 2], merged))))).otherwise(none)
-            right = F.when(i < F.size(r), F.array(or_none(_rank(ranks, F.concat(merged, p[i + 1]))))).otherwise(none)
-            pieces = F.concat(F.slice(p, F.lit(1), i - 1), F.array(merged), F.slice(p, i + 2, F.size(p)))
-            pairs = F.concat(F.slice(r, F.lit(1), F.greatest(i - 2, F.lit(0))), left, right, F.slice(r, i + 2, F.size(r)))
-            return F.struct(pieces.alias("p"), pairs.alias("r"))
+        def at(found: Column) -> Column:
+            # ``i`` is the place of the pair, ``x`` the joined piece; its neighbours' ranks are looked up again.
+            i, x = found["i"], found["x"]
+            left = F.when(i > 1, F.array(_rank(pairs, p[i - 2], x))).otherwise(none)
+            right = F.when(i < F.size(r), F.array(_rank(pairs, x, p[i + 1]))).otherwise(none)
+            pieces = F.concat(F.slice(p, F.lit(1), i - 1), F.array(x), F.slice(p, i + 2, F.size(p)))
+            near = F.concat(F.slice(r, F.lit(1), F.greatest(i - 2, F.lit(0))), left, right, F.slice(r, i + 2, F.size(r)))
+            return F.struct(pieces.alias("p"), near.alias("r"))
 
         least = F.array_min(r)
-        return F.when(F.coalesce(least, F.lit(_NONE)) == _NONE, state).otherwise(
-            _let(F.array_position(r, least).cast("int"), at)
-        )
+        place = F.struct(F.array_position(r, least).cast("int").alias("i"), least.alias("x"))
+        return F.when(F.coalesce(least, F.lit(_NONE)) >= _PAIR, state).otherwise(_let(place, at))
 
-    def merged_ids(digits: Column) -> Column:
-        pieces = F.regexp_extract_all(digits, F.lit(".."), F.lit(0))
+    def start(p: Column) -> Column:
+        near = F.when(F.size(p) < 2, none).otherwise(F.zip_with(F.slice(p, F.lit(1), F.size(p) - 1), F.slice(p, F.lit(2), F.size(p)), lambda x, y: _rank(pairs, x, y)))
+        rounds = F.sequence(F.lit(1), F.greatest(F.size(p) - 1, F.lit(1)))
+        return F.aggregate(rounds, F.struct(p.alias("p"), near.alias("r")), lambda state, _: merge(state), lambda state: state["p"])
 
-        def start(p: Column) -> Column:
-            pairs = F.when(F.size(p) < 2, none).otherwise(
-                F.transform(F.sequence(F.lit(1), F.greatest(F.size(p) - 1, F.lit(1))), lambda i: or_none(_rank(ranks, F.concat(p[i - 1], p[i]))))
-            )
-            first = F.struct(p.alias("p"), pairs.alias("r"))
-            rounds = F.sequence(F.lit(1), F.greatest(F.size(p) - 1, F.lit(1)))
-            return F.aggregate(rounds, first, lambda state, _: merge(state), lambda state: F.transform(state["p"], lambda x: _rank(ranks, x)))
+    # Each byte as one character, then as the id of the single byte.
+    letters = F.split(F.decode(F.encode(word, "UTF-8"), "ISO-8859-1"), "")
+    return _let(F.transform(letters, lambda x: single[F.ascii(x)]), start)
 
-        return _let(pieces, start)
 
-    def whole(digits: Column) -> Column:
-        return _let(_rank(ranks, digits), lambda r: F.when(r.isNotNull(), F.array(r)).otherwise(merged_ids(digits)))
+class Merges:
+    """The vocabulary as literals: one column that holds the pairs and the ids of single bytes, built once."""
 
-    return _let(F.hex(F.encode(word, "UTF-8")), whole)
+    def __init__(self, ranks: dict[bytes, int]):
+        single = F.from_json(F.lit(json.dumps([ranks.get(bytes([i]), _NONE) for i in range(256)])), "array<bigint>")
+        self.literals = F.array(F.struct(pair_map(ranks).alias("pairs"), single.alias("single")))
+        # A piece that its own merges don't reach is one id all the same, where it is a word by itself.
+        self.odd = {p.hex().upper(): rank for p, rank in ranks.items() if len(p) > 1 and merge_bytes(p, ranks) != [p]}
 
+    def ids(self, m: Column, word: Column) -> Column:
+        folded = _fold(m["pairs"], m["single"], word)
+        if not self.odd:
+            return folded
+        one = F.from_json(F.lit(json.dumps(self.odd)), "map<string,bigint>")[F.hex(F.encode(word, "UTF-8"))]
+        return F.when(one.isNotNull(), F.array(one)).otherwise(folded)
 
-def fold_words(words: Column, ranks: dict[bytes, int]) -> Column:
+
+def fold_words(words: Column, merges: Merges) -> Column:
     """Ids of each word of an array column."""
-    # One reference to the literal keeps plans and tasks small.
-    return F.flatten(F.transform(F.array(rank_map(ranks)), lambda m: F.transform(words, lambda w: _fold(m, w))))
+    # One reference to the literals keeps plans and tasks small.
+    return F.flatten(F.transform(merges.literals, lambda m: F.transform(words, lambda w: merges.ids(m, w)))).cast("array<array<int>>")
 
 
-def word_table(docs: DataFrame, text: str, ranks: dict[bytes, int], pattern: str, most: int = TABLE_WORDS) -> pa.Table:
+def word_table(docs: DataFrame, text: str, merges: Merges, pattern: str, most: int = TABLE_WORDS) -> pa.Table:
     """The corpus's most frequent words with their ids, at most ``most`` words of at most ``TABLE_BYTES`` bytes.
 
     All words of all texts are counted. Words enter by classes of frequency, so that no sort is needed.
@@ -128,8 +157,8 @@ def word_table(docs: DataFrame, text: str, ranks: dict[bytes, int], pattern: str
         if taken > most:
             break
         least = row["class"]
-    chosen = counts.where(F.col("class") >= (least if least is not None else _NONE))
-    return chosen.select("word", fold_words(F.array("word"), ranks)[0].alias("ids")).toArrow()
+    chosen = counts.where(F.col("class") >= (least if least is not None else 2**31 - 1))
+    return chosen.select("word", fold_words(F.array("word"), merges)[0].alias("ids")).toArrow()
 
 
 def _slices(offsets: np.ndarray, most: int = _SLICE) -> Iterator[tuple[int, int]]:
@@ -190,7 +219,9 @@ def encode(
     """
     ranks = read_ranks(path or public_tokenizers.path(RANKS))
     spark: SparkSession = docs.sparkSession
-    table = word_table(docs, text, ranks, pattern, table_words).combine_chunks()
+    small_batches(spark)
+    merges = Merges(ranks)
+    table = word_table(docs, text, merges, pattern, table_words).combine_chunks()
     words = table["word"].combine_chunks() if len(table) else pa.array([], pa.string())
     ids = table["ids"].combine_chunks() if len(table) else pa.array([], pa.list_(pa.int32()))
     shared = spark.sparkContext.broadcast(words)
@@ -207,11 +238,14 @@ def encode(
         """Words become places in the table, or -1 - k for the k-th of the row's other words."""
         known = shared.value
         for batch in batches:
-            for i, j in _slices(_offsets(batch.column(width))):
+            whole = _offsets(batch.column(width))
+            # One search builds one hash table of the known words for the batch.
+            places = pc.fill_null(pc.index_in(batch.column(width).flatten(), value_set=known), -1).to_numpy()
+            for i, j in _slices(whole):
                 rows = batch.slice(i, j - i)
                 column = rows.column(width)
-                flat, offsets = column.flatten(), _offsets(column) - _offsets(column)[0]
-                place = pc.fill_null(pc.index_in(flat, value_set=known), -1).to_numpy().astype(np.int32)
+                flat, offsets = column.flatten(), whole[i : j + 1] - whole[i]
+                place = places[whole[i] - whole[0] : whole[j] - whole[0]].astype(np.int32)
                 missing = np.flatnonzero(place < 0)
                 row = np.searchsorted(offsets, missing, side="right") - 1
                 coded = flat.take(pa.array(missing)).dictionary_encode()
@@ -227,7 +261,7 @@ def encode(
                     names=[f.name for f in middle.fields],
                 )
 
-    placed = split.mapInArrow(look_up, middle).withColumn(rare, fold_words(c(rare), ranks))
+    placed = split.mapInArrow(look_up, middle).withColumn(rare, fold_words(c(rare), merges))
     kinds = {"n_tokens": T.LongType(), "ids": T.ArrayType(T.IntegerType()), "packed": T.BinaryType(), "decoded": T.BinaryType()}
     final = T.StructType([*placed.schema.fields[:width], *[T.StructField(x, kinds[x]) for x in outputs]])
 

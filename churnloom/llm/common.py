@@ -6,13 +6,13 @@ import uuid
 from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import materialize
 
-__all__ = ["append_columns", "attach_lists", "blob_rows", "c", "fresh", "materialize"]
+__all__ = ["append_columns", "attach_lists", "blob_rows", "c", "fresh", "materialize", "small_batches"]
 
 #: Entries of a list table that may be broadcast; at 16 to 40 bytes each this is at most 20 MB.
 BROADCAST_ENTRIES = 500_000
@@ -35,6 +35,7 @@ def append_columns(
 
     A column of ``df`` with the name of a new field is replaced. No rows move between partitions.
     """
+    small_batches(df.sparkSession)
     names = {f.name.lower() for f in fields}
     source = fresh(df, "read")
     kept = [x for x in df.columns if x.lower() not in names]
@@ -52,6 +53,17 @@ def append_columns(
     return narrow.mapInArrow(run, schema)
 
 
+#: Rows of an Arrow batch: whole texts make wide rows, and a worker holds a batch several times over.
+BATCH_ROWS = 2000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Lowers the session's rows per Arrow batch to ``BATCH_ROWS``; the setting is read when a plan runs."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
+
+
 def blob_rows(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[list[bytes | None]]:
     """The UTF-8 bytes of a text column, batch by batch."""
     for batch in batches:

@@ -56,10 +56,17 @@ def test_query_digests(spark, encoding, tmp_path):
 def test_rank_map_is_a_literal(spark):
     df = spark.createDataFrame([(1, "ab")], "doc_id long, text string")
     ranks = {b"a": 0, b"b": 1, b"ab": 2}
-    plan = df.select(byte_bpe.fold_words(byte_bpe.words_of(df["text"]), ranks).alias("x"))._jdf.queryExecution().optimizedPlan().toString()
+    plan = df.select(byte_bpe.fold_words(byte_bpe.words_of(df["text"]), byte_bpe.Merges(ranks)).alias("x"))._jdf.queryExecution().optimizedPlan().toString()
     assert "from_json" not in plan
 
 
+def test_pieces_that_merges_do_not_reach(spark):
+    ranks = {bytes([i]): i for i in range(256)} | {b"ab": 256, b"xyz": 257}
+    df = spark.createDataFrame([(["xyz", "xy", "abab", "xyzab"],)], "w array<string>")
+    got = df.select(byte_bpe.fold_words(df["w"], byte_bpe.Merges(ranks)).alias("x")).first()["x"]
+    assert got == [[257], [120, 121], [256, 256], [120, 121, 122, 256]]
+
+
 def test_empty_table(spark):
     assert byte_bpe.encode(spark.createDataFrame([], SCHEMA)).collect() == []
 
