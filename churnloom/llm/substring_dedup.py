@@ -11,13 +11,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import c, fresh, materialize
+from .common import c, fresh, materialize, small_batches
 
 WINDOW_WORDS = 35
 #: The sketch has two rows of at most 2**MAX_WIDTH_BITS counters, whose merged "two or more" bits are broadcast (64 MB).
@@ -25,9 +26,9 @@ WINDOW_WORDS = 35
 MAX_WIDTH_BITS = 28
 MIN_WIDTH_BITS = 16
 CELL_BITS = 20
-FLUSH_WINDOWS = 3_000_000
+FLUSH_WINDOWS = 1_000_000
 SHARD_WINDOWS = 1_500_000
-_SLICE_WORDS = 500_000
+_SLICE_WORDS = 200_000
 _FACTORS = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
 _NO_REF = 2**32 - 1
 _ALL = b"all"
@@ -200,7 +201,7 @@ def repeated_starts(docs: DataFrame, text: str, window: int = WINDOW_WORDS, max_
         return np.cumsum(np.frombuffer(unpacker.decompress(x), np.int32).astype(np.int64))
 
     def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows of two kinds: known repeats (a mark and starts), and hashes for a shard, with texts and places."""
+        """Rows of two kinds for each shard: known repeats (a mark and starts), and hashes with their texts and places."""
         row0, row1 = shared.value
         packer = zstandard.ZstdCompressor(level=1)
         held: list[tuple] = []
@@ -208,6 +209,9 @@ def repeated_starts(docs: DataFrame, text: str, window: int = WINDOW_WORDS, max_
         count = 0
         names = ["shard", "mark", "starts", "hashes", "owners", "places", "marks"]
 
+        def home(mark: bytes) -> int:
+            return int.from_bytes(mark[:4], "little") % shards
+
         def flush() -> Iterator[pa.RecordBatch]:
             h1, h2, owner, place, sure = (np.concatenate(x) for x in zip(*held))
             held.clear()
@@ -228,7 +232,7 @@ def repeated_starts(docs: DataFrame, text: str, window: int = WINDOW_WORDS, max_
             own, at = owner[mine][o], place[mine][o]
             cuts = np.flatnonzero(np.diff(own, prepend=-1))
             for i, j in zip(cuts, np.append(cuts[1:], len(own))):
-                add(mark=marks[own[i]], starts=at[i:j].astype("<i4").tobytes())
+                add(shard=home(marks[own[i]]), mark=marks[own[i]], starts=at[i:j].astype("<i4").tobytes())
             # One row for each hash: known ones travel without a place, to tell the others of that hash.
             send = new
             owner, place = np.where(known, _NO_REF, owner)[send], np.where(known, 0, place)[send]
@@ -257,7 +261,7 @@ def repeated_starts(docs: DataFrame, text: str, window: int = WINDOW_WORDS, max_
             full = [m for m, n in zip(own, copies) if n > 1]
             if full:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.nulls(len(full), pa.int32()), pa.array(full, pa.binary()), pa.array([_ALL] * len(full), pa.binary()), *[pa.nulls(len(full), pa.binary())] * 4],
+                    [pa.array(map(home, full), pa.int32()), pa.array(full, pa.binary()), pa.array([_ALL] * len(full), pa.binary()), *[pa.nulls(len(full), pa.binary())] * 4],
                     names=names,
                 )
             first, second = _cells(hashes[0], bits)
@@ -272,10 +276,14 @@ def repeated_starts(docs: DataFrame, text: str, window: int = WINDOW_WORDS, max_
             yield from flush()
 
     kinds = "shard int, mark binary, starts binary, hashes binary, owners binary, places binary, marks binary"
-    found = materialize(_marked(docs, text).mapInArrow(candidates, kinds), "windows")
+    found = _marked(docs, text).mapInArrow(candidates, kinds)
 
     def group(table: pa.Table) -> pa.Table:
         unpacker = zstandard.ZstdDecompressor()
+        known = table.filter(pc.is_valid(table["mark"])).select(["mark", "starts"])
+        table = table.filter(pc.is_null(table["mark"]))
+        if not len(table):
+            return known
         h1, h2, owner, place, marks, n = [], [], [], [], [], 0
         for row in table.to_pylist():
             m = len(row["hashes"]) // 12
@@ -304,10 +312,9 @@ def repeated_starts(docs: DataFrame, text: str, window: int = WINDOW_WORDS, max_
         ends = np.append(cuts[1:], len(text))
         out_marks = [table16[first[text[i]]].tobytes() for i in cuts]
         starts = [at[i:j].astype("<i4").tobytes() for i, j in zip(cuts, ends)]
-        return pa.table({"mark": pa.array(out_marks, pa.binary()), "starts": pa.array(starts, pa.binary())})
+        return pa.concat_tables([known, pa.table({"mark": pa.array(out_marks, pa.binary()), "starts": pa.array(starts, pa.binary())}, known.schema)])
 
-    grouped = found.where("shard IS NOT NULL").drop("mark", "starts").groupBy("shard").applyInArrow(group, "mark binary, starts binary")
-    return found.where("shard IS NULL").select("mark", "starts").unionByName(grouped)
+    return found.groupBy("shard").applyInArrow(group, "mark binary, starts binary")
 
 
 def _merge_starts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -344,6 +351,7 @@ def remove_repeats(
     """
     new = ("n_words", "n_removed")
     kept = [x for x in docs.columns if x.lower() not in new]
+    small_batches(docs.sparkSession)
     starts = repeated_starts(docs, text, window, max_width_bits)
     starts = materialize(starts.repartition("mark").sortWithinPartitions("mark").mapInArrow(_merge_starts, "mark binary, starts binary"), "starts")
     mark, hits = fresh(docs, "mark"), fresh(docs, "starts")
