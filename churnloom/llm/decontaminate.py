@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from .common import append_columns, c
+from .common import append_columns, c, small_batches
 
 Q = 12
 SEGMENT_CHARS = 120
@@ -233,6 +233,7 @@ def find_leaks(
     normalised text. Null and empty texts hold nothing; items that share segments are all found; repeated rows are
     searched each; null keys are kept. An empty benchmark finds nothing.
     """
+    small_batches(docs.sparkSession)
     narrow = docs.select(c(key).alias("key"), c(text).alias("text"))
     kinds = [T.StructField(key, narrow.schema["key"].dataType), T.StructField(item, benchmark.schema[item].dataType)]
     schema = T.StructType([*kinds, *[T.StructField(x, T.LongType()) for x in ("n_segments", "n_edits", "start", "end")]])

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import blob_rows, c, materialize
+from .common import blob_rows, c, materialize, small_batches
 from .components import components
 
 SHINGLE_WORDS = 3
@@ -51,6 +51,7 @@ def fingerprints(docs: DataFrame, key: Column, text: str = "text") -> DataFrame:
                 made = np.array([fingerprint(t) for t in texts], dtype=np.uint64).view(np.int64)
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made)], names=["key", "fp"])
 
+    small_batches(docs.sparkSession)
     narrow = docs.select(key.alias("key"), c(text).alias("text"))
     kind = narrow.schema["key"].dataType.simpleString()
     return narrow.mapInArrow(run, f"key {kind}, fp long")

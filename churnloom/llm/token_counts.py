@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import c
+from .common import c, small_batches
 
 RANKS = "byte_bpe_50k.tiktoken"
 BLOCK = 1024
@@ -31,6 +31,7 @@ def _encoding(path: str, pattern: str):
 
 def lengths(docs: DataFrame, text: str = "text", path: str | None = None, pattern: str = public_tokenizers.PATTERN) -> DataFrame:
     """``length, n_docs`` of each batch of documents: partial histograms, to be added up. Null texts have length 0."""
+    small_batches(docs.sparkSession)
     named = path or public_tokenizers.path(RANKS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
