@@ -22,9 +22,12 @@ from pyspark.sql import types as T
 from .common import c, fresh, materialize, small_batches
 
 RANKS = "byte_bpe_50k.tiktoken"
-#: Words of at most this many bytes, and at most this many of them, are broadcast with their ids.
-TABLE_WORDS = 2**19
-TABLE_BYTES = 64
+#: The broadcast table of words and ids: its words, the bytes of a word, and the bytes of the whole.
+TABLE_WORDS = 2**20
+WORD_BYTES = 64
+TABLE_BYTES = 96_000_000
+#: Words that a worker holds, as numbers, between two searches of the table.
+HELD_WORDS = 4_000_000
 BUCKETS = 2**17
 _PAIR = 2**32
 _NONE = 2**62
@@ -143,21 +146,23 @@ def fold_words(words: Column, merges: Merges) -> Column:
 
 
 def word_table(docs: DataFrame, text: str, merges: Merges, pattern: str, most: int = TABLE_WORDS) -> pa.Table:
-    """The corpus's most frequent words with their ids, at most ``most`` words of at most ``TABLE_BYTES`` bytes.
+    """The corpus's most frequent words with their ids: at most ``most`` words, and at most ``TABLE_BYTES`` with their ids.
 
-    All words of all texts are counted. Words enter by classes of frequency, so that no sort is needed.
+    All words of all texts are counted. Words enter by classes of frequency, so that no sort is needed; a word of b
+    bytes has at most b ids of four bytes.
     """
     words = docs.select(F.explode(words_of(c(text), pattern)).alias("word"))
-    counts = words.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
-    counts = counts.where((F.col("n") > 1) & (F.octet_length("word") <= TABLE_BYTES))
-    counts = materialize(counts.select("word", F.floor(F.log2("n") * 16).cast("int").alias("class")), "words")
-    taken, least = 0, None
-    for row in sorted(counts.groupBy("class").agg(F.count(F.lit(1)).alias("n")).collect(), key=lambda r: -r["class"]):
-        taken += row["n"]
-        if taken > most:
+    counts = words.groupBy("word").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    size = F.octet_length("word")
+    counts = materialize(counts.where(size <= WORD_BYTES).select("word", F.floor(F.log2("n") * 16).cast("int").alias("class")), "words")
+    words_taken, bytes_taken, least = 0, 0, 2**31 - 1
+    classes = counts.groupBy("class").agg(F.count(F.lit(1)).alias("n"), F.sum(5 * size + 8).alias("b")).collect()
+    for row in sorted(classes, key=lambda r: -r["class"]):
+        words_taken, bytes_taken = words_taken + row["n"], bytes_taken + row["b"]
+        if words_taken > most or bytes_taken > TABLE_BYTES:
             break
         least = row["class"]
-    chosen = counts.where(F.col("class") >= (least if least is not None else 2**31 - 1))
+    chosen = counts.where(F.col("class") >= least)
     return chosen.select("word", fold_words(F.array("word"), merges)[0].alias("ids")).toArrow()
 
 
@@ -236,30 +241,42 @@ def encode(
 
     def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Words become places in the table, or -1 - k for the k-th of the row's other words."""
-        known = shared.value
-        for batch in batches:
-            whole = _offsets(batch.column(width))
-            # One search builds one hash table of the known words for the batch.
-            places = pc.fill_null(pc.index_in(batch.column(width).flatten(), value_set=known), -1).to_numpy()
-            for i, j in _slices(whole):
-                rows = batch.slice(i, j - i)
-                column = rows.column(width)
-                flat, offsets = column.flatten(), whole[i : j + 1] - whole[i]
-                place = places[whole[i] - whole[0] : whole[j] - whole[0]].astype(np.int32)
+        held: list[tuple] = []
+        count = 0
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            # One search builds one hash table of the known words for many batches.
+            found = pc.index_in(pa.concat_arrays([d for _, _, d, _ in held]), value_set=shared.value)
+            found = pc.fill_null(found, -1).to_numpy().astype(np.int32)
+            base = 0
+            for columns, offsets, distinct, code in held:
+                place = found[base : base + len(distinct)][code]
+                base += len(distinct)
                 missing = np.flatnonzero(place < 0)
                 row = np.searchsorted(offsets, missing, side="right") - 1
-                coded = flat.take(pa.array(missing)).dictionary_encode()
-                code = coded.indices.to_numpy().astype(np.int64)
-                pairs, back = np.unique(row * (len(coded.dictionary) + 1) + code, return_inverse=True)
-                owner, word = np.divmod(pairs, len(coded.dictionary) + 1)
-                first = np.searchsorted(owner, np.arange(j - i + 1))
+                pairs, back = np.unique(row * (len(distinct) + 1) + code[missing], return_inverse=True)
+                owner, word = np.divmod(pairs, len(distinct) + 1)
+                first = np.searchsorted(owner, np.arange(len(offsets)))
                 place[missing] = -1 - (back - first[row])
-                others = pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), coded.dictionary.take(pa.array(word)))
-                yield pa.RecordBatch.from_arrays(
-                    [rows.column(k) for k in range(width)]
-                    + [pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(place)), others],
-                    names=[f.name for f in middle.fields],
-                )
+                lists = [
+                    pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(place)),
+                    pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), distinct.take(pa.array(word))),
+                ]
+                yield pa.RecordBatch.from_arrays([*columns, *lists], names=[f.name for f in middle.fields])
+            held.clear()
+
+        for batch in batches:
+            column, rows = batch.column(width), pa.array(np.arange(batch.num_rows))
+            coded = column.flatten().dictionary_encode()
+            # Taking copies: a column of the batch would keep all its words in memory.
+            own = [batch.column(k).take(rows) for k in range(width)]
+            held.append((own, _offsets(column) - _offsets(column)[0], coded.dictionary, coded.indices.to_numpy().astype(np.int32)))
+            count += len(coded)
+            if count >= HELD_WORDS:
+                yield from flush()
+                count = 0
+        if held:
+            yield from flush()
 
     placed = split.mapInArrow(look_up, middle).withColumn(rare, fold_words(c(rare), merges))
     kinds = {"n_tokens": T.LongType(), "ids": T.ArrayType(T.IntegerType()), "packed": T.BinaryType(), "decoded": T.BinaryType()}
