@@ -80,6 +80,21 @@ def normal_cdf(z: Column) -> Column:
     return F.when(z >= 0, F.lit(1.0) - tail).otherwise(tail)
 
 
+def normal_quantile(p: Column) -> Column:
+    """Standard normal quantile by a published rational approximation; relative error below 1.2e-9."""
+    # The approximation's coefficients, highest power first.
+    a = [-3.969683028665376e01, 2.209460984245205e02, -2.759285104469687e02, 1.383577518672690e02, -3.066479806614716e01, 2.506628277459239e00]
+    b = [-5.447609879822406e01, 1.615858368580409e02, -1.556989798598866e02, 6.680131188771972e01, -1.328068155288572e01, 1.0]
+    c = [-7.784894002430293e-03, -3.223964580411365e-01, -2.400758277161838e00, -2.549732539343734e00, 4.374664141464968e00, 2.938163982698783e00]
+    d = [7.784695709041462e-03, 3.224671290700398e-01, 2.445134137142996e00, 3.754408661907416e00, 1.0]
+    poly = lambda k, x: reduce(lambda acc, v: acc * x + F.lit(v), k[1:], F.lit(k[0]))
+    q = p - F.lit(0.5)
+    r = q * q
+    t = F.sqrt(F.lit(-2.0) * F.log(F.least(p, F.lit(1.0) - p)))
+    tail = poly(c, t) / poly(d, t)
+    return F.when(F.abs(q) <= 0.47575, poly(a, r) * q / poly(b, r)).when(q < 0, tail).otherwise(-tail)
+
+
 def hash_unit(key: str | Column | Sequence[str], seed: int = 42) -> Column:
     """Uniform value in [0, 1) that depends only on the key and the seed."""
     if isinstance(key, Column):

@@ -2,77 +2,116 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import DataFrame
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalar import count_rows, num
 from ..session import materialize
 from .linear import fit
-from .neighbors import mean_of_neighbors, nearest
 from .quantiles import quantiles
 from .skew import attach
 
 
-def knn_impute(df: DataFrame, key: str, columns: Sequence[str], k: int = 5) -> DataFrame:
-    """Nulls become the mean of the k nearest complete rows, by distance over the values the row has.
+#: Rows per block of donors and of rows to fill; each block of one meets each block of the other once.
+DONOR_ROWS = 20_000
+GAP_ROWS = 500
 
-    Rows are handled per null pattern, so each distance is a plain Euclidean one. A row with no value
-    at all gets the column means.
+
+def _gap_neighbors(asked: list[dict], donors: list[dict], columns: Sequence[str], center: np.ndarray, k: int) -> list[tuple]:
+    """(key, column, distance, donor, value) of the k nearest donors of one block for each missing cell."""
+    values = lambda rows: np.array([[np.nan if v is None else v for v in r["x"]] for r in rows], dtype=float) - center
+    q, x = values(asked), values(donors)
+    mq, mx = (~np.isnan(q)).astype(float), (~np.isnan(x)).astype(float)
+    q0, x0 = np.nan_to_num(q), np.nan_to_num(x)
+    shared = mq @ mx.T
+    square = (q0**2) @ mx.T - 2 * q0 @ x0.T + mq @ (x0**2).T
+    # Distances over the shared columns are scaled up to all columns.
+    with np.errstate(divide="ignore", invalid="ignore"):
+        far = np.where(shared > 0, np.sqrt(np.maximum(square, 0.0) * len(columns) / shared), np.inf)
+    names = np.array([str(d["key"]) for d in donors])
+    out = []
+    for j, column in enumerate(columns):
+        able = np.flatnonzero(mx[:, j] > 0)
+        if not len(able):
+            continue
+        for i in np.flatnonzero(mq[:, j] == 0):
+            d = far[i, able]
+            reach = np.flatnonzero(np.isfinite(d))
+            if len(reach) > k:
+                bound = np.partition(d[reach], k - 1)[k - 1]
+                reach = reach[d[reach] <= bound]
+            best = sorted(reach.tolist(), key=lambda t: (d[t], names[able[t]]))[:k]
+            out += [(asked[i]["key"], column, float(d[t]), str(names[able[t]]), float(x[able[t], j] + center[j])) for t in best]
+    return out
+
+
+def knn_impute(df: DataFrame, key: str, columns: Sequence[str], k: int = 5, donors: DataFrame | None = None) -> DataFrame:
+    """Nulls become the mean of the k nearest rows that have the value.
+
+    Distances are Euclidean over the columns that both rows have, scaled up to all columns; ties go to the smaller key as
+    text. Donors are all rows, or those of ``donors``. Where no donor shares a column with the row, the
+    donors' column mean is used. Rows with gaps are compared with all donors, block by block, in one pass whatever
+    the null patterns are.
     """
     columns = list(columns)
-    data = materialize(df.select(key, *[num(c).alias(c) for c in columns]), "knn")
-    pattern = F.concat(*[F.when(F.col(c).isNull(), "1").otherwise("0") for c in columns])
-    tagged = data.withColumn("_pattern", pattern)
-    seen = [r["_pattern"] for r in tagged.groupBy("_pattern").agg(count_rows()).collect()]
-    donors = data.dropna(subset=columns)
-    means = donors.agg(*[F.avg(c).alias(c) for c in columns]).first()
-    out = df
-    filled = None
-    for p in sorted(seen):
-        missing = [c for c, f in zip(columns, p) if f == "1"]
-        known = [c for c, f in zip(columns, p) if f == "0"]
-        if not missing or not known:
-            continue
-        queries = tagged.where(F.col("_pattern") == p)
-        part = queries.select(key)
-        for c in missing:
-            near = nearest(queries, key, donors, c, known, k)
-            part = part.join(near.select(key, mean_of_neighbors(F.col("neighbors"), k).alias(f"_f_{c}")), key)
-        part = part.select(key, *[(F.col(f"_f_{c}") if c in missing else F.lit(None).cast("double")).alias(f"_f_{c}") for c in columns])
-        filled = part if filled is None else filled.unionByName(part)
-    if filled is None:
-        return df
-    out = attach(df, filled, [key])
-    return out.withColumns(
-        {c: F.coalesce(num(c), F.col(f"_f_{c}"), F.lit(means[c])) for c in columns}
-    ).drop(*[f"_f_{c}" for c in columns])
-
-
-def mice_impute(df: DataFrame, columns: Sequence[str], rounds: int = 10, tolerance: float = 5e-3) -> tuple[DataFrame, int]:
+    cells = F.array(*[num(c) for c in columns]).alias("x")
+    gaps = F.exists("x", lambda v: v.isNull())
+    asked = materialize(df.select(F.col(key).alias("key"), cells).where(gaps), "gaps")
+    given = materialize((df if donors is None else donors).select(F.col(key).alias("key"), cells).where(F.exists("x", lambda v: v.isNotNull())), "donors")
+    means = given.agg(*[F.avg(F.col("x")[i]).alias(f"m{i}") for i in range(len(columns))], count_rows().alias("n")).first()
+    center = [m if (m := means[f"m{i}"]) is not None else 0.0 for i in range(len(columns))]
+    blocks, parts = max(1, -(-means["n"] // DONOR_ROWS)), max(1, -(-asked.count() // GAP_ROWS))
+    mark = F.xxhash64("key", "x")
+    packed = F.collect_list(F.struct("key", "x"))
+    left = asked.groupBy(F.pmod(mark, F.lit(parts)).alias("part")).agg(packed.alias("asked"))
+    left = left.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
+    right = given.groupBy(F.pmod(mark, F.lit(blocks)).alias("block")).agg(packed.alias("donors"))
+
+    def search(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for a, b in zip(frame["asked"], frame["donors"]):
+                yield pd.DataFrame(_gap_neighbors(a, b, columns, np.array(center), k), columns=["key", "column", "distance", "donor", "value"])
+
+    kind = df.schema[key].dataType.simpleString()
+    near = left.join(right, "block").select("asked", "donors").mapInPandas(search, f"key {kind}, column string, distance double, donor string, value double")
+    order = Window.partitionBy("key", "column").orderBy("distance", "donor", "value")
+    chosen = near.withColumn("_place", F.row_number().over(order)).where(F.col("_place") <= k)
+    wide = chosen.groupBy("key").agg(*[F.avg(F.when(F.col("column") == c, F.col("value"))).alias(f"_f_{i}") for i, c in enumerate(columns)])
+    out = attach(df, wide.withColumnRenamed("key", key), [key])
+    return out.withColumns({c: F.coalesce(num(c), F.col(f"_f_{i}"), F.lit(means[f"m{i}"])) for i, c in enumerate(columns)}).drop(*[f"_f_{i}" for i in range(len(columns))])
+
+
+def mice_impute(
+    df: DataFrame, columns: Sequence[str], rounds: int = 30, tolerance: float = 5e-3, fit_on: Column | None = None
+) -> tuple[DataFrame, int]:
     """Chained linear regressions from a median start until the largest change is small; also the rounds used.
 
+    With ``fit_on`` medians and regressions are learned on those rows only, and fill the others too.
     Each step needs only cross-products. Every round is written out, so plans stay short and a lost
     executor repeats one round at most.
     """
     columns = list(columns)
-    start = quantiles(df, columns, [0.5])
+    learn = F.lit(True) if fit_on is None else fit_on
+    start = quantiles(df.where(learn), columns, [0.5])
     original = {c: F.col(f"_o_{c}") for c in columns}
     state = df.withColumns({f"_o_{c}": num(c) for c in columns})
     state = materialize(state.withColumns({c: F.coalesce(original[c], F.lit(start[c][0.5])) for c in columns}), "mice0")
     sizes = state.agg(
-        count_rows().alias("n"), *[F.count(f"_o_{c}").alias(f"n_{c}") for c in columns],
-        *[F.max(F.abs(f"_o_{c}")).alias(f"size_{c}") for c in columns],
+        count_rows().alias("n"), *[F.count(f"_o_{c}").alias(f"n_{c}") for c in columns], *[F.count(F.when(learn, F.col(f"_o_{c}"))).alias(f"l_{c}") for c in columns],
+        *[F.max(F.when(learn, F.abs(f"_o_{c}"))).alias(f"size_{c}") for c in columns],
     ).first()
-    gaps = sorted((c for c in columns if 0 < sizes[f"n_{c}"] < sizes["n"]), key=lambda c: -sizes[f"n_{c}"])
+    gaps = sorted((c for c in columns if sizes[f"l_{c}"] and sizes[f"n_{c}"] < sizes["n"]), key=lambda c: -sizes[f"n_{c}"])
     limit = tolerance * max((sizes[f"size_{c}"] or 0.0) for c in columns)
     used = 0
     for used in range(1, rounds + 1 if gaps else 1):
         # Earlier columns of the round feed later ones; ``_b_`` keeps the values before the round.
         new = state.withColumns({f"_b_{c}": F.col(c) for c in gaps})
         for c in gaps:
-            model = fit(new, [o for o in columns if o != c], original[c])
+            model = fit(new.where(learn), [o for o in columns if o != c], original[c])
             new = new.withColumn(c, F.coalesce(original[c], model.predicted()))
         state = materialize(new, "mice")
         change = state.agg(F.max(F.greatest(*[F.abs(F.col(c) - F.col(f"_b_{c}")) for c in gaps], F.lit(0.0)))).first()[0]

@@ -11,6 +11,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
+import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import (
     GBTClassifier,
@@ -52,10 +53,15 @@ COMPLEXITY = {
 }
 
 
-def benchmark_models(case: str | None = None, models: Sequence[str] | None = None) -> tuple[str, ...]:
-    if models:
-        return tuple(str(m).strip().lower() for m in models)
-    return CATALOG.get(str(case or "").strip().lower(), CATALOG["classification_general"])
+def benchmark_models(case: str = "classification_general", models: Sequence[str] = ()) -> tuple[str, ...]:
+    """The models to compare: those named, else the catalogue entry of the business case.
+
+    Catalogue entries that rest on external boosting libraries or on forecasting are not offered; an unknown case raises.
+    """
+    clean = lambda name: name.strip().lower()
+    if not models and clean(case) not in CATALOG:
+        raise ValueError(f"unknown case {case!r}; known: {sorted(CATALOG)}")
+    return tuple(map(clean, models)) or CATALOG[clean(case)]
 
 
 def split_by_key(df: DataFrame, key: str, test_size: float = 0.25, seed: int = 42) -> tuple[DataFrame, DataFrame]:
@@ -140,6 +146,17 @@ def _knn_scores(train: DataFrame, test: DataFrame, key: str, stages: list, k: in
     return b.select(key, "label").join(near, key)
 
 
+def fill_learned(train: DataFrame, test: DataFrame, key: str, numeric: Sequence[str], imputer: str) -> tuple[DataFrame, DataFrame]:
+    """Both parts with ``knn`` or ``iterative`` imputation learned on the train rows alone; other imputers are pipeline stages."""
+    if imputer not in ("knn", "iterative") or not numeric:
+        return train, test
+    if imputer == "knn":
+        return tuple(materialize(knn_impute(part, key, numeric, donors=train), "filled") for part in (train, test))
+    both = train.withColumn("_train", F.lit(True)).unionByName(test.withColumn("_train", F.lit(False)))
+    filled = mice_impute(both, numeric, fit_on=F.col("_train"))[0]
+    return filled.where("_train").drop("_train"), filled.where("NOT _train").drop("_train")
+
+
 def train_classifier(
     df: DataFrame,
     key: str,
@@ -163,6 +180,7 @@ def train_classifier(
         train, test = (p.select(*keep, num(target).alias("label")).where(F.col("label").isNotNull()) for p in split)
     used = list(features)
     numeric, text = feature_kinds(train, used)
+    train, test = fill_learned(train, test, key, numeric, prep.get("imputer", "median"))
     if algorithm == "spline":
         train, test, numeric = _spline_parts(train, test, numeric)
     fit_part, tune_part = train, None
@@ -213,6 +231,7 @@ def train_regressor(
     else:
         train, test = (p.select(*keep, label).where(F.col("label").isNotNull()) for p in split)
     numeric, text = feature_kinds(train, features)
+    train, test = fill_learned(train, test, key, numeric, prep.get("imputer", "median"))
     stages = preprocessing_stages(train, numeric, text, scaler=effective_scaler(algorithm, scaler), **prep)
     model = None
     if algorithm == "knn":
@@ -241,23 +260,21 @@ def sigmoid_calibrator(df: DataFrame, label: str, probability: str) -> Column |
 
 
 def isotonic_calibrator(df: DataFrame, label: str, probability: str) -> Column | None:
-    """Monotone step-linear curve as a column expression; scores are first counted per distinct value."""
+    """Monotone step-linear curve of the score, fitted on counts per distinct score."""
     p = clip(num(probability), 1e-6, 1 - 1e-6)
     rows = df.select(num(label).alias("label"), p.alias("p")).dropna()
     one = rows.agg(count_rows().alias("n"), F.sum("label").alias("s")).first()
     if one["n"] < 40 or one["s"] in (0.0, float(one["n"])):
         return None
-    # Scores to 4 digits: at most 10,001 distinct points, pre-aggregated before the fit.
-    points = rows.groupBy(F.round("p", 4).alias("p")).agg(F.avg("label").alias("label"), count_rows().cast("double").alias("w"))
+    points = rows.groupBy("p").agg(F.avg("label").alias("label"), count_rows().cast("double").alias("w"))
     m = IsotonicRegression(labelCol="label", featuresCol="p", weightCol="w").fit(points)
-    xs, ys = [float(x) for x in m.boundaries], [min(max(float(y), 1e-6), 1 - 1e-6) for y in m.predictions]
-    bx, by = F.array(*[F.lit(x) for x in xs]), F.array(*[F.lit(y) for y in ys])
-    # Place of the score among the boundaries by a short filter; then linear between neighbours.
-    at = F.size(F.filter(bx, lambda b: b <= p))
-    x0, x1 = F.get(bx, at - 1), F.get(bx, at)
-    y0, y1 = F.get(by, at - 1), F.get(by, at)
-    between = F.when(x1 == x0, y0).otherwise(y0 + (y1 - y0) * (p - x0) / (x1 - x0))
-    return F.when(at <= 0, F.lit(ys[0])).when(at >= len(xs), F.lit(ys[-1])).otherwise(between)
+    xs, ys = np.array(m.boundaries.toArray()), np.clip(m.predictions.toArray(), 1e-6, 1 - 1e-6)
+
+    @F.pandas_udf("double")
+    def curve(scores: pd.Series) -> pd.Series:
+        return pd.Series(np.where(scores.isna(), np.nan, np.interp(scores.fillna(0.0), xs, ys)))
+
+    return F.nanvl(curve(p), F.lit(None).cast("double"))
 
 
 def choose_calibrator(df: DataFrame, label: str, probability: str, method: str = "auto") -> tuple[str | None, Column]:
@@ -343,7 +360,8 @@ def parsimony_study(
     spark = df.sparkSession
     data = materialize(df.select(*dict.fromkeys([key, *features]), num(target).alias("label")).where(F.col("label").isNotNull()), "parsimony")
     train, test = split_by_key(data, key, test_size, seed)
-    sizes = sorted({min(max(2, int(s)), len(features)) for s in steps} | {len(features)})
+    # Proper prefixes of at least two features, then all features.
+    sizes = [n for n in range(2, len(features)) if n in steps] + [len(features)]
     rows, scores = [], test.select(key, F.col("label").cast("int").alias("actual"))
     for size in sizes:
         subset = list(features[:size])
@@ -429,12 +447,13 @@ def mutual_information(df: DataFrame, target: str, features: Sequence[str], bins
         .select("c.*", "y").where(F.col("x").isNotNull())
         .groupBy("feature", "x", "y").agg(count_rows().cast("double").alias("n"))
     )
-    # Bins x target values: a small table from here on.
-    by = lambda *c: Window.partitionBy("feature", *c)
-    p = F.col("n") / F.sum("n").over(by())
-    px = F.sum("n").over(by("x")) / F.sum("n").over(by())
-    py = F.sum("n").over(by("y")) / F.sum("n").over(by())
-    terms = joint.withColumn("t", p * F.log(p / (px * py)))
+    joint = materialize(joint, "joint")
+    # Per feature and per (feature, target value): as many rows as features and target values, whatever x holds.
+    total = joint.groupBy("feature").agg(F.sum("n").alias("_all"))
+    by_y = joint.groupBy("feature", "y").agg(F.sum("n").alias("_y"))
+    by_x = joint.groupBy("feature", "x").agg(F.sum("n").alias("_x"))
+    terms = joint.join(by_x, ["feature", "x"]).join(by_y, ["feature", "y"]).join(F.broadcast(total), "feature")
+    terms = terms.withColumn("t", F.col("n") / F.col("_all") * F.log(F.col("n") * F.col("_all") / (F.col("_x") * F.col("_y"))))
     return terms.groupBy("feature").agg(rnd(F.sum("t"), 4).alias("mutual_information")).orderBy(F.desc("mutual_information"), "feature")
 
 
@@ -517,14 +536,15 @@ def purged_validation(
         test = data.where(day.between(r["start"], r["end"]))
         t = train_classifier(data, key, target, features, algorithm, calibrate=None, seed=seed + r["block"], split=(train, test))
         row = t.metrics.select(
-            F.lit(r["block"]).alias("fold"), F.lit(r["start"]).alias("test_start"), F.lit(r["end"]).alias("test_end"),
+            F.lit(r["block"]).alias("fold"), F.date_sub(F.lit(r["start"]), purge_days + 1).alias("train_end"),
+            F.lit(r["start"]).alias("test_start"), F.lit(r["end"]).alias("test_end"), F.date_add(F.lit(r["end"]), embargo_days).alias("embargo_end"),
             F.lit(r["n_train"]).alias("n_train"), F.lit(r["n_test"]).alias("n_test"), F.lit(r["purged_rows"]).alias("purged_rows"),
             F.lit(r["embargoed_rows"]).alias("embargoed_rows"), "roc_auc", "log_loss", "brier_score",
         )
         out = row if out is None else out.unionByName(row)
     if out is None:
         out = data.sparkSession.createDataFrame(
-            [], "fold int, test_start date, test_end date, n_train bigint, n_test bigint, purged_rows bigint, embargoed_rows bigint, roc_auc double, log_loss double, brier_score double"
+            [], "fold int, train_end date, test_start date, test_end date, embargo_end date, n_train bigint, n_test bigint, purged_rows bigint, embargoed_rows bigint, roc_auc double, log_loss double, brier_score double"
         )
     out = materialize(out, "folds")
     return out, temporal_summary(out)
@@ -556,10 +576,10 @@ def quantile_validation(
 
 
 def poisson_weight(key: str, seed: int) -> Column:
-    """Poisson(1) bootstrap weight from the row key, by inverting the distribution function."""
+    """Poisson(1) bootstrap weight from the row key, by inverting the distribution function to double precision."""
     u = hash_unit(key, seed)
     weight, reached = F.lit(0.0), 0.0
-    for i in range(8):
+    for i in range(19):
         reached += math.exp(-1.0) / math.factorial(i)
         weight = weight + (u >= reached).cast("double")
     return weight
@@ -629,19 +649,13 @@ def multiverse(
     df: DataFrame, key: str, target: str, features: Sequence[str], outlier_columns: Sequence[str] = (),
     specifications: Sequence[Mapping] = SPECIFICATIONS, seed: int = 42, trees: int = 40,
 ) -> DataFrame:
-    """The same model question under several reasonable preparations, ranked by AUC. Preparation is learned on train rows."""
+    """The same model question under several reasonable preparations, ranked by AUC. Imputation and scaling are learned on train rows."""
     data = materialize(df.select(*dict.fromkeys([key, target, *features, *outlier_columns])), "multiverse")
-    numeric, _ = feature_kinds(data, features)
     out = None
     for s in specifications:
         rows = handle_outliers(data, outlier_columns, s["outliers"])[0] if outlier_columns and s["outliers"] else data
-        if s["imputer"] == "knn":
-            rows = knn_impute(rows, key, numeric)
-        elif s["imputer"] == "iterative":
-            rows = mice_impute(rows, numeric)[0]
         t = train_classifier(
-            rows, key, target, features, s["algorithm"], seed=seed, scaler=s["scaler"], trees=trees,
-            imputer="mean" if s["imputer"] == "mean" else "median", power=s["power"],
+            rows, key, target, features, s["algorithm"], seed=seed, scaler=s["scaler"], trees=trees, imputer=s["imputer"], power=s["power"],
         )
         row = t.metrics.select(
             F.lit(s["name"]).alias("scenario"), F.lit(s["algorithm"]).alias("algorithm"), F.lit(s["imputer"]).alias("imputer"),
@@ -733,14 +747,13 @@ def top_row_explanation(long: DataFrame, key: str) -> DataFrame:
 
 
 def error_weights(rmse_weight: float) -> tuple[float, float]:
-    """Weights of MAE and RMSE: from 1.35 RMSE counts more, to 0.85 MAE does, between them both alike."""
+    """Weights of MAE and RMSE for the wanted ratio of RMSE to MAE; ratios near one count both alike."""
     if rmse_weight <= 0:
         raise ValueError("rmse_weight must be positive")
-    if rmse_weight >= 1.35:
-        return 1.0, float(rmse_weight)
-    if rmse_weight <= 0.85:
-        return float(1.0 / rmse_weight), 1.0
-    return 1.0, 1.0
+    # The band of ratios read as even.
+    low, high = 0.85, 1.35
+    ratio = 1.0 if low < rmse_weight < high else float(rmse_weight)
+    return max(1.0, 1.0 / ratio), max(1.0, ratio)
 
 
 def value_benchmark(

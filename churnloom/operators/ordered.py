@@ -18,12 +18,16 @@ from .skew import GROUP_ROWS, attach, largest_group
 
 BLOCK_ROWS = 200_000
 ONE_TASK_ROWS = 100_000
+RANGE_ROWS = 2_000_000
 _LOCAL_BITS = 33
 
 
-def _blocks(df: DataFrame, order: Sequence[str], extra: Sequence[Column] = ()) -> DataFrame:
+def _blocks(df: DataFrame, order: Sequence[str], rows: int | None = None) -> DataFrame:
     """Rows in global order with ``_block`` (range number) and ``_local`` (place inside the range)."""
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if rows is not None:
+        # An explicit number is not split at run time, so it follows the rows.
+        n = max(n, -(-rows // RANGE_ROWS))
     numbered = (
         df.repartitionByRange(n, *order)
         .sortWithinPartitions(*order)
@@ -53,7 +57,7 @@ def _offsets(totals: DataFrame, names: Sequence[str]) -> DataFrame:
 
 def positions(df: DataFrame, order: Sequence[str], name: str = "position") -> DataFrame:
     """Adds the 0-based place of each row in the order; the order must identify rows."""
-    blocks = _blocks(df, order)
+    blocks = _blocks(df, order, df.count())
     offsets = _offsets(blocks.groupBy("_block").agg(count_rows().alias("n")), ["n"])
     return (
         blocks.join(F.broadcast(offsets), "_block")
@@ -62,16 +66,17 @@ def positions(df: DataFrame, order: Sequence[str], name: str = "position") -> Da
     )
 
 
-def _running(counts: DataFrame, by: Sequence[str], order: Sequence[str], weights: Sequence[str]) -> tuple[DataFrame, bool]:
+def running_sums(counts: DataFrame, by: Sequence[str], order: Sequence[str], weights: Sequence[str]) -> tuple[DataFrame, bool]:
     """Adds ``before_<w>`` inside each ``by`` group; also whether the table is small enough to broadcast.
 
     Up to ``ONE_TASK_ROWS`` counted rows are summed by a plain window; beyond that, range by range.
     """
     counts = materialize(counts, "counts")
-    if counts.count() <= ONE_TASK_ROWS:
+    size = counts.count()
+    if size <= ONE_TASK_ROWS:
         earlier = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
         return counts.withColumns({f"before_{w}": F.coalesce(F.sum(w).over(earlier), F.lit(0)) for w in weights}), True
-    blocks = _blocks(counts, [*by, *order])
+    blocks = _blocks(counts, [*by, *order], size)
     offsets = _offsets(blocks.groupBy("_block").agg(*[F.sum(w).alias(w) for w in weights]), weights)
     earlier = Window.partitionBy("_block").orderBy("_local").rowsBetween(Window.unboundedPreceding, -1)
     out = blocks.join(F.broadcast(offsets), "_block")
@@ -88,12 +93,12 @@ def _running(counts: DataFrame, by: Sequence[str], order: Sequence[str], weights
 
 def cumulative(counts: DataFrame, order: Sequence[str], weights: Sequence[str]) -> DataFrame:
     """Adds ``before_<w>``: the sum of ``w`` over all rows earlier in the order."""
-    return _running(counts, (), order, weights)[0]
+    return running_sums(counts, (), order, weights)[0]
 
 
 def _rank_table(df: DataFrame, column: str, by: Sequence[str]) -> tuple[DataFrame, bool]:
     counts = df.where(F.col(column).isNotNull()).groupBy(*by, column).agg(count_rows().alias("n"))
-    ranked, small = _running(counts, by, [column], ["n"])
+    ranked, small = running_sums(counts, by, [column], ["n"])
     ranked = ranked.withColumnRenamed("before_n", "before")
     return ranked.withColumn("avg_rank", F.col("before") + (F.col("n") + 1) / 2.0), small
 
@@ -130,7 +135,7 @@ def with_average_ranks(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:
 def with_codes(df: DataFrame, column: str, name: str) -> DataFrame:
     """Adds the 0-based alphabetical number of each value; null gives -1. Any number of values."""
     counts = df.where(F.col(column).isNotNull()).groupBy(column).agg(count_rows().alias("_n"), F.lit(1).cast("bigint").alias("one"))
-    coded, small = _running(counts, (), [column], ["one"])
+    coded, small = running_sums(counts, (), [column], ["one"])
     coded = coded.select(column, "_n", F.col("before_one").cast("int").alias(name))
     return attach(df, coded, [column], weight="_n", small=small).drop("_n").withColumn(name, F.coalesce(name, F.lit(-1)))
 
@@ -141,7 +146,7 @@ def rank_within(
     """Row number inside each group; groups above ``group_rows`` rows are ranked over many tasks."""
     if largest_group(df, by) <= group_rows:
         return df.withColumn(name, F.row_number().over(Window.partitionBy(*by).orderBy(*order)))
-    blocks = _blocks(df, [*[F.col(b) for b in by], *order])
+    blocks = _blocks(df, [*[F.col(b) for b in by], *order], df.count())
     pieces = materialize(
         blocks.groupBy(*by, "_block").agg(count_rows().alias("_n"), F.min("_local").alias("_start")), "pieces"
     )

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import json
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -352,10 +353,10 @@ def segment_coverage(df: DataFrame, segments: Sequence[str], target: str | None
     if target:
         aggs.append((F.avg("_t") * 100).alias("rate"))
     counts = cells.groupBy("column_name", value.alias("value")).agg(*aggs)
-    total = F.sum("rows").over(Window.partitionBy("column_name"))
-    out = counts.select(
+    # Every row counts once in each dimension, so one total serves all.
+    out = counts.crossJoin(F.broadcast(df.agg(count_rows().alias("_total")))).select(
         F.col("column_name").alias("dimension"), "value",
-        rnd(F.col("rows") / total * 100, 2).alias("pct_rows"), "rows",
+        rnd(F.col("rows") / F.col("_total") * 100, 2).alias("pct_rows"), "rows",
         *([rnd(F.col("rate"), 2).alias("pct_target")] if target else []),
     )
     return out.orderBy("dimension", F.desc("rows"), "value")
@@ -593,10 +594,12 @@ def execution_gate(health: DataFrame, profile: str) -> DataFrame:
 
 
 def target_balance(df: DataFrame, target: str, max_levels: int = 10) -> DataFrame:
-    """Share of each target value, flagged from 80%; more than ``max_levels`` values raise."""
+    """Share of each target value, flagged from 80%; the numeric summary of a target of more than ``max_levels`` values."""
     counts = df.groupBy(F.col(target).cast("string").alias("value")).agg(count_rows().alias("rows"))
-    if counts.limit(max_levels + 1).count() > max_levels:
-        raise ValueError(f"{target} has more than {max_levels} values; use numeric_summary")
+    if counts.limit(max_levels + 1).count() > max_levels and isinstance(df.schema[target].dataType, T.NumericType):
+        from .describe import numeric_summary
+
+        return numeric_summary(df, [target])
     total = F.sum("rows").over(Window.partitionBy(F.lit(1)))
     pct = F.col("rows") / total * 100
     return counts.select("value", "rows", rnd(pct, 2).alias("pct_rows"), (pct >= 80).alias("is_dominant"))
@@ -639,19 +642,24 @@ def little_mcar(df: DataFrame, columns: Sequence[str], alpha: float = 0.05) -> D
         cov[i, j] = cov[j, i] = one[f"c_{i}_{j}"] if one[f"c_{i}_{j}"] is not None else 0.0
     mean = np.array([one[f"m_{n}"] or 0.0 for n in names])
     pattern = F.concat(*[F.when(F.col(names[i]).isNull(), "1").otherwise("0") for i in used])
-    # At most 2^k patterns of k columns, and never more than seen: one small row each.
     groups = cells.groupBy(pattern.alias("pattern")).agg(
-        count_rows().alias("n"), *[F.avg(names[i]).alias(f"g_{i}") for i in used]
-    )
-    statistic, dof = 0.0, 0
-    for g in groups.toLocalIterator():
-        seen = [i for flag, i in zip(g["pattern"], used) if flag == "0"]
-        if not seen:
-            continue
-        d = np.array([g[f"g_{i}"] for i in seen]) - mean[seen]
-        statistic += g["n"] * float(d @ np.linalg.pinv(cov[np.ix_(seen, seen)]) @ d)
-        dof += len(seen)
-    dof = max(dof - len(used), 1)
+        count_rows().alias("n"), F.array(*[F.avg(names[i]) for i in used]).alias("means")
+    )
+
+    def distances(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Each pattern's squared distance from the overall means, and its number of seen columns."""
+        for part in parts:
+            out = []
+            for flags, n, means in zip(part["pattern"], part["n"], part["means"]):
+                at = [j for j, flag in enumerate(flags) if flag == "0"]
+                if at:
+                    seen = [used[j] for j in at]
+                    d = np.array([means[j] for j in at], dtype=float) - mean[seen]
+                    out.append((n * float(d @ np.linalg.pinv(cov[np.ix_(seen, seen)]) @ d), len(seen)))
+            yield pd.DataFrame(out, columns=["statistic", "dof"])
+
+    total = groups.mapInPandas(distances, "statistic double, dof bigint").agg(F.sum("statistic").alias("s"), F.sum("dof").alias("d")).first()
+    statistic, dof = total["s"] or 0.0, max((total["d"] or 0) - len(used), 1)
     p = dist.chi2_sf(statistic, dof)
     return spark.createDataFrame([("little_mcar", round(statistic, 4), dof, round(p, 4), p >= alpha)], schema)
 
@@ -711,24 +719,50 @@ def audit(
     return tables
 
 
-def risk_flags(spark: SparkSession, facts: dict[str, float | bool | str | None]) -> DataFrame:
-    """Traffic light per risk dimension from headline facts; absent facts give no row."""
-    rows = []
-
-    def flag(dimension: str, fact: str, state) -> None:
-        if facts.get(fact) is not None:
-            rows.append((dimension, state(facts[fact])))
-
-    flag("missingness", "is_mcar_compatible", lambda v: "OK" if v else "Alerta")
-    flag("normality", "is_normal", lambda v: "OK" if v else "Seguimiento")
-    flag("parsimony", "features_dropped", lambda v: "OK" if v > 0 else "Seguimiento")
-    flag("drift", "severe_drift_columns", lambda v: "OK" if v == 0 else "Alerta")
-    flag("health", "decision", lambda v: {"blocked": "Bloqueado", "degraded": "Alerta"}.get(v, "OK"))
-    flag("temporal_validation", "std_roc_auc", lambda v: "OK" if v <= 0.06 else "Seguimiento")
-    flag("calibration", "brier_score", lambda v: "OK" if v <= 0.16 else "Seguimiento")
-    flag("uncertainty", "mean_interval_width", lambda v: "OK" if v <= 0.25 else "Seguimiento")
-    flag("coefficients", "coefficients_stable", lambda v: "OK" if v else "Seguimiento")
-    flag("tabular_contract", "tabular_alerts", lambda v: "OK" if v == 0 else "Seguimiento")
-    flag("fairness", "fairness_max_gap", lambda v: "OK" if v <= 0.10 else "Seguimiento")
-    flag("representativeness", "sampling_alerts", lambda v: "OK" if v == 0 else "Seguimiento")
-    return spark.createDataFrame(rows, "dimension string, state string")
+def tabular_alerts(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """One row that counts the alerts of an ``audit``: headers, null tokens, dates, identifiers and numeric-like text."""
+    parts = {
+        "nonstandard_headers": tables["headers"].where("NOT is_standard"),
+        "inconsistent_null_tokens": tables["text_standards"].where("null_tokens_inconsistent") if "text_standards" in tables else None,
+        "dates_to_normalize": tables["dates"].where("needs_normalization") if "dates" in tables else None,
+        "ids_with_duplicates": tables["ids"].where("NOT is_unique") if "ids" in tables else None,
+        "numeric_like_columns": tables.get("numeric_like"),
+    }
+    out = None
+    for name, part in parts.items():
+        spark = tables["headers"].sparkSession
+        one = part.agg(count_rows().alias(name)) if part is not None else spark.range(1).select(F.lit(0).cast("bigint").alias(name))
+        out = one if out is None else out.crossJoin(F.broadcast(one))
+    return out
+
+
+def risk_flags(spark: SparkSession, facts: Mapping[str, float | bool | str | None]) -> DataFrame:
+    """Traffic light and its meaning for each of twelve risk dimensions, from headline facts; every row is always there.
+
+    Without folds, time validation is followed up; without intervals, uncertainty is; a blocked gate blocks
+    calibration; without a fairness gap, fairness is in order.
+    """
+    get = facts.get
+    low = lambda name, limit: get(name) is not None and get(name) <= limit
+    blocked = get("decision") == "blocked"
+    matrix_stable = (
+        low("top_vif", math.nextafter(5, 0)) and low("top_condition_index", math.nextafter(30, 0)) and not get("critical_components") and not get("paradox")
+    )
+    follow = lambda good: "OK" if good else "Seguimiento"
+    gap = get("fairness_max_gap")
+    states = [
+        ("missingness", "OK" if get("is_mcar_compatible") else "Alerta", "no sign of selective nulls", "nulls do not look random: keep imputing and watch their causes"),
+        ("normality", follow(get("is_normal")), "parametric tests are defensible", "prefer rank tests or a transformation"),
+        ("parsimony", follow((get("features_dropped") or 0) > 0), "the simpler model was enough", "no feature could be dropped"),
+        ("drift", "OK" if get("severe_drift_columns") == 0 else "Alerta", "distributions are stable between the snapshots", "review the columns that drifted before the score is used more widely"),
+        ("health", {"blocked": "Bloqueado", "degraded": "Alerta"}.get(get("decision"), "OK"), "the data may be modelled", "repair the data first"),
+        ("temporal_validation", follow((get("folds") or 0) > 0 and low("std_roc_auc", 0.06)), "the score ranks alike over time", "the score varies over time, or no fold had enough rows"),
+        ("calibration", "Bloqueado" if blocked else follow(low("brier_score", 0.16)), "probabilities may carry thresholds", "not calibrated: the gate is closed" if blocked else "watch probabilities by bin"),
+        ("uncertainty", follow(low("mean_interval_width", 0.25)), "score intervals are narrow", "scores are uncertain: act on the lower bound"),
+        ("coefficients", follow(matrix_stable), "coefficients can be read one by one", "collinearity or a reversal between groups: do not read coefficients causally"),
+        ("tabular_contract", follow(get("tabular_alerts") == 0), "headers, types, dates and identifiers follow the contract", "mend the columns listed in the audit"),
+        ("fairness", follow(gap is None or gap != gap or gap <= 0.10), "groups are treated alike", "groups differ in selection or error rates"),
+        ("representativeness", follow(get("sampling_alerts") == 0), "no segment is dominant or rare", "sample or weight by segment"),
+    ]
+    rows = [(name, state, fine if state == "OK" else other) for name, state, fine, other in states]
+    return spark.createDataFrame(rows, "dimension string, state string, implication string")

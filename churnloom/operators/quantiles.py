@@ -1,24 +1,22 @@
 """Exact quantiles, modes and bin edges without unbounded aggregation buffers.
 
 ``percentile`` keeps every distinct value of a group in one buffer. It is used here only when the
-largest group is known to be small. Beyond that the wanted order statistics are bracketed: a sketch
-proposes a narrow bracket, a counting pass proves which side of it the statistic lies on, and the
-bracket shrinks until few rows remain. Every pass combines before it shuffles.
+largest group is known to be small. Beyond that the wanted order statistics are picked from counts per
+distinct value with running sums over many tasks.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalar import count_rows, melt_numeric, melt_text
+from .ordered import running_sums
+from .skew import attach
 
 SMALL_GROUP = 1_000_000
-GRID = 256
-MAX_UNITS = 200_000
 
 
 def quantile_table(
@@ -38,7 +36,7 @@ def quantile_table(
         found = cells.groupBy(*keys).agg(F.percentile("value", levels).alias("q"))
         pairs = F.arrays_zip(F.array(*[F.lit(p) for p in levels]).alias("prob"), F.col("q").alias("value"))
         return found.select(*keys, F.explode(pairs).alias("pair")).select(*keys, "pair.prob", "pair.value")
-    return _select_order_statistics(cells, sizes, keys, probs, small_group)
+    return _select_order_statistics(cells, keys, probs)
 
 
 def quantiles(
@@ -51,115 +49,31 @@ def quantiles(
     return out
 
 
-def _select_order_statistics(
-    cells: DataFrame, sizes: DataFrame, keys: list[str], probs: Sequence[float], small_group: int
-) -> DataFrame:
-    spark = cells.sparkSession
-    key_type = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in sizes.schema.fields if f.name in keys)
-    groups = sizes.limit(MAX_UNITS + 1).collect()
-    if len(groups) * len(probs) * 2 > MAX_UNITS:
-        raise ValueError("too many groups for exact selection; aggregate to fewer groups first")
-
-    units = []
-    for g in groups:
-        wanted = set()
-        for p in probs:
-            position = (g["n"] - 1) * float(p)
-            wanted |= {math.floor(position), math.ceil(position)}
-        for rank in sorted(wanted):
-            units.append(
-                {
-                    "unit": len(units), "key": tuple(g[k] for k in keys), "rank": rank,
-                    "index": rank, "rows": g["n"], "low": None, "high": None, "answer": None,
-                }
-            )
-
-    def bracketed(active: list[dict]) -> DataFrame:
-        brackets = spark.createDataFrame(
-            [(*u["key"], u["unit"], u["low"], u["high"]) for u in active],
-            f"{key_type}, unit int, low double, high double",
-        )
-        same = [cells[k].eqNullSafe(brackets[k]) for k in keys]
-        inside = (brackets["low"].isNull() | (cells["value"] > brackets["low"])) & (
-            brackets["high"].isNull() | (cells["value"] < brackets["high"])
-        )
-        condition = inside
-        for s in same:
-            condition = condition & s
-        return cells.join(F.broadcast(brackets), condition).select(brackets["unit"], cells["value"])
-
-    while True:
-        active = [u for u in units if u["answer"] is None and u["rows"] > small_group]
-        if not active:
-            break
-        grid = [i / GRID for i in range(GRID + 1)]
-        sketch = {
-            r["unit"]: r["q"]
-            for r in bracketed(active).groupBy("unit").agg(F.percentile_approx("value", grid, 10000).alias("q")).collect()
-        }
-        probes = {}
-        for u in active:
-            at = (u["index"] + 0.5) / u["rows"] * GRID
-            probes[u["unit"]] = (
-                sketch[u["unit"]][max(0, math.floor(at) - 1)],
-                sketch[u["unit"]][min(GRID, math.ceil(at) + 1)],
-            )
-        probe_rows = spark.createDataFrame([(k, a, b) for k, (a, b) in probes.items()], "unit int, a double, b double")
-        v, a, b = F.col("value"), F.col("a"), F.col("b")
-        counted = (
-            bracketed(active)
-            .join(F.broadcast(probe_rows), "unit")
-            .groupBy("unit")
-            .agg(
-                F.count_if(v < a).alias("under"), F.count_if(v == a).alias("at_a"),
-                F.count_if((v > a) & (v < b)).alias("between"), F.count_if((v == b) & (b > a)).alias("at_b"),
-                F.count_if(v > b).alias("over"),
-            )
-        )
-        by_unit = {u["unit"]: u for u in active}
-        for r in counted.collect():
-            u, (low, high) = by_unit[r["unit"]], probes[r["unit"]]
-            i = u["index"]
-            if i < r["under"]:
-                u.update(high=low, rows=r["under"])
-                continue
-            i -= r["under"]
-            if i < r["at_a"]:
-                u["answer"] = low
-                continue
-            i -= r["at_a"]
-            if i < r["between"]:
-                u.update(low=low, high=high, rows=r["between"], index=i)
-                continue
-            i -= r["between"]
-            if i < r["at_b"]:
-                u["answer"] = high
-            else:
-                u.update(low=high, rows=r["over"], index=i - r["at_b"])
-
-    rest = [u for u in units if u["answer"] is None]
-    if rest:
-        index = spark.createDataFrame([(u["unit"], u["index"]) for u in rest], "unit int, i int")
-        last = (
-            bracketed(rest)
-            .groupBy("unit")
-            .agg(F.sort_array(F.collect_list("value")).alias("v"))
-            .join(F.broadcast(index), "unit")
-            .select("unit", F.element_at("v", F.col("i") + 1).alias("x"))
-        )
-        for r in last.collect():
-            units[r["unit"]]["answer"] = r["x"]
-
-    found = {(u["key"], u["rank"]): u["answer"] for u in units}
-    rows = []
-    for g in groups:
-        key = tuple(g[k] for k in keys)
-        for p in probs:
-            position = (g["n"] - 1) * float(p)
-            low, high = found[key, math.floor(position)], found[key, math.ceil(position)]
-            part = position - math.floor(position)
-            rows.append((*key, float(p), (1 - part) * low + part * high))
-    return spark.createDataFrame(rows, f"{key_type}, prob double, value double")
+def _select_order_statistics(cells: DataFrame, keys: list[str], probs: Sequence[float]) -> DataFrame:
+    """Quantiles of groups of any size and number, from counts per distinct value with running sums.
+
+    A value holds the places ``before`` to ``before + n - 1`` of its group, so the two order statistics of a
+    probability are the values whose places contain them. Nothing is collected and no group meets one task.
+    """
+    # One text per group stands for its keys, so that null keys join like others.
+    grouped = cells.withColumn("_g", F.to_json(F.struct(*keys)))
+    counts = grouped.groupBy("_g", "value").agg(count_rows().alias("n"), *[F.first(k).alias(k) for k in keys])
+    ranked, _ = running_sums(counts, ["_g"], ["value"], ["n"])
+    totals = ranked.groupBy("_g").agg(F.sum("n").alias("_rows"), count_rows().alias("_values"))
+    ranked = attach(ranked, totals, ["_g"], weight="_values")
+    levels = F.array(*[F.lit(float(p)) for p in probs])
+    place = lambda p: (F.col("_rows") - 1) * p
+    holds = lambda i: (i >= F.col("before_n")) & (i < F.col("before_n") + F.col("n"))
+    wanted = F.filter(levels, lambda p: holds(F.floor(place(p))) | holds(F.ceil(place(p))))
+    hits = ranked.select(*keys, "_g", "value", "before_n", "n", "_rows", F.explode(wanted).alias("prob"))
+    at = place(F.col("prob"))
+    ends = hits.groupBy("_g", "prob").agg(
+        *[F.first(k).alias(k) for k in keys],
+        F.max(at - F.floor(at)).alias("part"),
+        F.max(F.when(holds(F.floor(at)), F.col("value"))).alias("low"),
+        F.max(F.when(holds(F.ceil(at)), F.col("value"))).alias("high"),
+    )
+    return ends.select(*keys, "prob", ((1 - F.col("part")) * F.col("low") + F.col("part") * F.col("high")).alias("value"))
 
 
 def mode_table(df: DataFrame, columns: Sequence[str], by: Sequence[str] = (), keep_null: bool = False) -> DataFrame:

@@ -4,23 +4,19 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
-from statistics import NormalDist
 
-import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import dist
-from ..functions.scalar import count_rows, hash_unit, normal_cdf, num, rnd
+from ..functions.scalar import count_rows, normal_cdf, normal_quantile, num, rnd
 from ..session import materialize
 from .describe import effect_sizes, kendall_pair, spearman_pair
 from .ordered import average_ranks, cumulative, with_average_rank, with_average_ranks
 from .quantiles import quantile_table, quantiles
 from .skew import attach
 
-MAX_GROUPS = 10_000
-
 
 def _one_column(df: DataFrame, value: str, group: str | None = None) -> DataFrame:
     v = num(value)
@@ -57,22 +53,37 @@ def edf_statistics(df: DataFrame, value: str) -> DataFrame:
     )
 
 
-def shapiro_francia(df: DataFrame, value: str, key: str, size: int = 5000) -> tuple[float, float, int]:
-    """W' and p-value on at most ``size`` rows chosen by key hash (the test is defined for small samples)."""
-    rows = df.where(num(value).isNotNull()).select(num(value).alias("v"), hash_unit(key).alias("u"))
-    sample = sorted(r["v"] for r in rows.orderBy("u", "v").limit(size).collect())
-    n = len(sample)
-    x = np.array(sample)
-    scores = np.array([NormalDist().inv_cdf((i - 0.375) / (n + 0.25)) for i in range(1, n + 1)])
-    w = float(np.corrcoef(x, scores)[0, 1] ** 2)
-    return w, dist.shapiro_francia_p(w, n), n
+def _score_sums() -> list[Column]:
+    """Sums for the correlation of values with normal scores, from rows (v, n, rank, total, m): centred at the mean."""
+    x, w = F.col("v") - F.col("m"), F.col("n").cast("double")
+    score = normal_quantile((F.col("rank") - 0.375) / (F.col("total") + 0.25))
+    return [F.sum(w * x).alias("sx"), F.sum(w * x * x).alias("sxx"), F.sum(w * score).alias("sy"), F.sum(w * score * score).alias("syy"), F.sum(w * x * score).alias("sxy")]
+
+
+def _score_correlation() -> Column:
+    """Squared correlation from ``_score_sums`` and ``total``."""
+    n = F.col("total").cast("double")
+    xy, xx, yy = F.col("sxy") - F.col("sx") * F.col("sy") / n, F.col("sxx") - F.col("sx") * F.col("sx") / n, F.col("syy") - F.col("sy") * F.col("sy") / n
+    return F.when((xx > 0) & (yy > 0), xy * xy / (xx * yy))
+
+
+def shapiro_francia(df: DataFrame, value: str) -> tuple[float, float, int]:
+    """W' and its p-value from all rows: the squared correlation of values and normal scores of their average ranks.
+
+    The p-value's formula is published for 5 to 5,000 rows; beyond, it is the same formula carried on.
+    """
+    rows = _one_column(df, value)
+    one = rows.agg(F.avg("v").alias("m"), count_rows().alias("total")).first()
+    ranked = average_ranks(rows, "v").select("v", "n", F.col("avg_rank").alias("rank"), F.lit(one["total"]).alias("total"), F.lit(one["m"]).alias("m"))
+    w = ranked.agg(F.max("total").alias("total"), *_score_sums()).select(_score_correlation().alias("w")).first()["w"]
+    return w, dist.shapiro_francia_p(w, one["total"]), one["total"]
 
 
-def normality(df: DataFrame, value: str, key: str, alpha: float = 0.05) -> DataFrame:
-    """Four tests with their p-value and rejection; ``is_normal`` when at least half do not reject."""
+def normality(df: DataFrame, value: str, alpha: float = 0.05) -> DataFrame:
+    """Four tests with their p-value and rejection, on all rows; ``is_normal`` when at least half do not reject."""
     edf = edf_statistics(df, value).first()
     jb = jarque_bera(df, value).first()
-    w, p_w, used = shapiro_francia(df, value, key)
+    w, p_w, used = shapiro_francia(df, value)
     n = edf["n"]
     rows = [
         ("shapiro_francia", w, p_w, used),
@@ -88,52 +99,39 @@ def normality(df: DataFrame, value: str, key: str, alpha: float = 0.05) -> DataF
     )
 
 
-def group_normality(df: DataFrame, value: str, group: str, alpha: float = 0.05, sample: int = 5000) -> DataFrame:
+def group_normality(df: DataFrame, value: str, group: str, alpha: float = 0.05) -> DataFrame:
     """The four normality tests per group, matched to the group by name; normal when at least half do not reject.
 
-    Moments and rank statistics use every row. Only Shapiro-Francia, which is defined for small
-    samples, reads at most ``sample`` rows of a group, chosen by hash.
+    Moments, rank statistics and normal scores use every row, so the result does not depend on partitions.
     """
     rows = _one_column(df, value, group)
     stats = materialize(
         rows.groupBy("g").agg(
-            count_rows().alias("n"), F.avg("v").alias("m"), F.stddev_samp("v").alias("sd"), F.skewness("v").alias("s"), F.kurtosis("v").alias("k")
+            count_rows().alias("total"), F.avg("v").alias("m"), F.stddev_samp("v").alias("sd"), F.skewness("v").alias("s"), F.kurtosis("v").alias("k")
         ), "group_stats",
     )
-    ranked = average_ranks(rows, "v", ["g"]).select("g", "v", F.col("n").alias("c"), "before")
+    ranked = average_ranks(rows, "v", ["g"]).select("g", "v", "n", "before", F.col("avg_rank").alias("rank"))
     z = (F.col("v") - F.col("m")) / F.col("sd")
-    n = F.col("n").cast("double")
-    below, upper = F.col("before").cast("double"), (F.col("before") + F.col("c")).cast("double")
+    n = F.col("total").cast("double")
+    below, upper = F.col("before").cast("double"), (F.col("before") + F.col("n")).cast("double")
     low, high = F.greatest(normal_cdf(z), F.lit(1e-300)), F.greatest(normal_cdf(-z), F.lit(1e-300))
     term = (upper * upper - below * below) * F.log(low) + ((n - below) * (n - below) - (n - upper) * (n - upper)) * F.log(high)
-    edf = attach(ranked, stats.where((F.col("n") >= 5) & (F.col("sd") > 0)), ["g"], "n", how="inner").groupBy("g").agg(
-        F.max(F.greatest(upper / n - low, low - below / n)).alias("d"), (-F.max(n) - F.sum(term / n)).alias("a2")
-    )
-    # Hash thinning keeps about ``sample`` rows of a large group; the row number then cuts exactly.
-    thin = attach(rows.select("g", "v", F.monotonically_increasing_id().alias("_i")), stats.select("g", "n"), ["g"], "n")
-    thin = thin.withColumn("u", hash_unit(["_i", "v"], 3)).where(F.col("u") < F.lit(1.2 * sample) / F.col("n"))
-    place = F.row_number().over(Window.partitionBy("g").orderBy("u", "v"))
-    drawn = thin.withColumn("_place", place).where(F.col("_place") <= sample).select("g", "v")
-
-    def francia(pdf: pd.DataFrame) -> pd.DataFrame:
-        x = np.sort(pdf["v"].to_numpy())
-        if len(x) < 5 or x[0] == x[-1]:
-            return pd.DataFrame({"g": [pdf["g"].iloc[0]], "p_francia": [None]})
-        scores = np.array([NormalDist().inv_cdf((i - 0.375) / (len(x) + 0.25)) for i in range(1, len(x) + 1)])
-        return pd.DataFrame({"g": [pdf["g"].iloc[0]], "p_francia": [dist.shapiro_francia_p(float(np.corrcoef(x, scores)[0, 1] ** 2), len(x))]})
-
-    w = drawn.groupBy("g").applyInPandas(francia, "g string, p_francia double")
-
-    @F.pandas_udf("p_anderson double, p_lilliefors double")
-    def edf_p(a2: pd.Series, d: pd.Series, size: pd.Series) -> pd.DataFrame:
-        pairs = [
-            (None, None) if pd.isna(a) else (dist.anderson_normal_p(a, int(m)), dist.lilliefors_p(b, int(m))) for a, b, m in zip(a2, d, size)
+    edf = attach(ranked, stats.where((F.col("total") >= 5) & (F.col("sd") > 0)), ["g"], "total", how="inner").groupBy("g").agg(
+        F.max(F.greatest(upper / n - low, low - below / n)).alias("d"), (-F.max(n) - F.sum(term / n)).alias("a2"),
+        F.max("total").alias("total"), *_score_sums(),
+    ).select("g", "d", "a2", _score_correlation().alias("w"))
+
+    @F.pandas_udf("p_francia double, p_anderson double, p_lilliefors double")
+    def p_values(w: pd.Series, a2: pd.Series, d: pd.Series, size: pd.Series) -> pd.DataFrame:
+        out = [
+            (None if pd.isna(x) else dist.shapiro_francia_p(x, int(m)), None if pd.isna(a) else dist.anderson_normal_p(a, int(m)), None if pd.isna(a) else dist.lilliefors_p(b, int(m)))
+            for x, a, b, m in zip(w, a2, d, size)
         ]
-        return pd.DataFrame(pairs, columns=["p_anderson", "p_lilliefors"], dtype=float)
+        return pd.DataFrame(out, columns=["p_francia", "p_anderson", "p_lilliefors"], dtype=float)
 
     jb = F.when(F.col("n") >= 3, F.exp(-(F.col("n") / 6.0 * (F.col("s") * F.col("s") + F.col("k") * F.col("k") / 4.0)) / 2.0))
-    joined = stats.join(edf, "g", "left").join(w, "g", "left").withColumn("p", edf_p("a2", "d", "n"))
-    tests = [F.col("p_francia"), F.col("p.p_anderson"), F.col("p.p_lilliefors"), jb]
+    joined = stats.withColumnRenamed("total", "n").join(edf, "g", "left").withColumn("p", p_values("w", "a2", "d", "n"))
+    tests = [F.col("p.p_francia"), F.col("p.p_anderson"), F.col("p.p_lilliefors"), jb]
     rejects = sum((F.when(F.nanvl(t, F.lit(None)) < alpha, 1).otherwise(0) for t in tests), F.lit(0))
     keeps = sum((F.when(F.nanvl(t, F.lit(None)) >= alpha, 1).otherwise(0) for t in tests), F.lit(0))
     return joined.select(
@@ -142,24 +140,23 @@ def group_normality(df: DataFrame, value: str, group: str, alpha: float = 0.05,
     )
 
 
-def _group_moments(rows: DataFrame) -> list[tuple[float, float, float]]:
-    per = rows.groupBy("g").agg(count_rows().alias("n"), F.avg("v").alias("m"), F.var_samp("v").alias("s2")).orderBy("g")
-    found = per.limit(MAX_GROUPS + 1).collect()
-    if len(found) > MAX_GROUPS:
-        raise ValueError("too many groups to compare")
-    return [(float(r["n"]), r["m"], r["s2"] or 0.0) for r in found]
+def _moments(rows: DataFrame, label: str = "moments") -> DataFrame:
+    """Rows, mean and variance of every group (``n, m, s2``), written once: one row per group."""
+    return materialize(rows.groupBy("g").agg(count_rows().cast("double").alias("n"), F.avg("v").alias("m"), F.coalesce(F.var_samp("v"), F.lit(0.0)).alias("s2")), label)
 
 
-def _f_oneway(groups: Sequence[tuple[float, float, float]]) -> tuple[float, float, int, float]:
-    n = sum(g[0] for g in groups)
-    grand = sum(g[0] * g[1] for g in groups) / n
-    between = sum(g[0] * (g[1] - grand) ** 2 for g in groups)
-    within = sum((g[0] - 1) * g[2] for g in groups)
-    d1, d2 = len(groups) - 1, n - len(groups)
-    if within <= 0 or d2 <= 0:
-        return float("nan"), float("nan"), d1, d2
-    f = (between / d1) / (within / d2)
-    return f, dist.f_sf(f, d1, d2), d1, d2
+def _one_way(groups: DataFrame) -> tuple[float, float, int]:
+    """F, its p-value and the number of groups, from ``_moments``; only one-row sums reach the driver."""
+    n, m, s2 = F.col("n"), F.col("m"), F.col("s2")
+    one = groups.agg(count_rows().alias("k"), F.sum(n).alias("n"), (F.sum(n * m) / F.sum(n)).alias("grand")).first()
+    if one["k"] < 2:
+        return float("nan"), float("nan"), one["k"]
+    two = groups.agg(F.sum(n * (m - one["grand"]) * (m - one["grand"])).alias("between"), F.sum((n - 1) * s2).alias("within")).first()
+    d1, d2 = one["k"] - 1, one["n"] - one["k"]
+    if two["within"] <= 0 or d2 <= 0:
+        return float("nan"), float("nan"), one["k"]
+    f = (two["between"] / d1) / (two["within"] / d2)
+    return f, dist.f_sf(f, d1, d2), one["k"]
 
 
 def _test_row(df: DataFrame, name: str, statistic: float, p: float, groups: int) -> DataFrame:
@@ -170,20 +167,18 @@ def _test_row(df: DataFrame, name: str, statistic: float, p: float, groups: int)
 
 
 def anova(df: DataFrame, value: str, group: str) -> DataFrame:
-    g = _group_moments(_one_column(df, value, group))
-    f, p, _, _ = _f_oneway(g)
-    return _test_row(df, "anova", f, p, len(g))
+    f, p, k = _one_way(_moments(_one_column(df, value, group)))
+    return _test_row(df, "anova", f, p, k)
 
 
 def welch_anova(df: DataFrame, value: str, group: str) -> DataFrame:
-    g = _group_moments(_one_column(df, value, group))
-    k = len(g)
-    w = [n / s2 for n, _, s2 in g]
-    total = sum(w)
-    grand = sum(wi * m for wi, (_, m, _) in zip(w, g)) / total
-    lam = sum((1 - wi / total) ** 2 / (n - 1) for wi, (n, _, _) in zip(w, g))
-    f = sum(wi * (m - grand) ** 2 for wi, (_, m, _) in zip(w, g)) / (k - 1) / (1 + 2 * (k - 2) / (k * k - 1) * lam)
-    return _test_row(df, "welch_anova", f, dist.f_sf(f, k - 1, (k * k - 1) / (3 * lam)), k)
+    groups = _moments(_one_column(df, value, group))
+    n, m, w = F.col("n"), F.col("m"), F.col("n") / F.col("s2")
+    one = groups.agg(count_rows().alias("k"), F.sum(w).alias("w"), (F.sum(w * m) / F.sum(w)).alias("grand")).first()
+    k, share = one["k"], 1 - w / one["w"]
+    two = groups.agg(F.sum(share * share / (n - 1)).alias("lam"), F.sum(w * (m - one["grand"]) * (m - one["grand"])).alias("between")).first()
+    f = two["between"] / (k - 1) / (1 + 2 * (k - 2) / (k * k - 1) * two["lam"])
+    return _test_row(df, "welch_anova", f, dist.f_sf(f, k - 1, (k * k - 1) / (3 * two["lam"])), k)
 
 
 def _two(groups: Sequence) -> None:
@@ -193,9 +188,9 @@ def _two(groups: Sequence) -> None:
 
 def student_t(df: DataFrame, value: str, group: str, equal_variance: bool = True) -> DataFrame:
     """Student's or Welch's t-test; the sign is first group minus second, by name."""
-    g = _group_moments(_one_column(df, value, group))
+    g = _moments(_one_column(df, value, group)).orderBy("g").limit(3).collect()
     _two(g)
-    (n1, m1, v1), (n2, m2, v2) = g
+    (n1, m1, v1), (n2, m2, v2) = ((r["n"], r["m"], r["s2"]) for r in g)
     if equal_variance:
         dof = n1 + n2 - 2
         se = math.sqrt(((n1 - 1) * v1 + (n2 - 1) * v2) / dof * (1 / n1 + 1 / n2))
@@ -214,13 +209,13 @@ def variance_homogeneity(df: DataFrame, value: str, group: str, center: str = "m
         centre = quantile_table(rows, ["v"], [0.5], ["g"]).select("g", F.col("value").alias("c"))
     else:
         centre = rows.groupBy("g").agg(F.avg("v").alias("c"))
-    spread = attach(rows, centre, ["g"]).select("g", F.abs(F.col("v") - F.col("c")).alias("v"))
-    g = _group_moments(spread)
-    if len(g) < 2:
+    sizes = rows.groupBy("g").agg(count_rows().alias("_rows"))
+    spread = attach(rows, centre.join(sizes, "g"), ["g"], "_rows").select("g", F.abs(F.col("v") - F.col("c")).alias("v"))
+    f, p, k = _one_way(_moments(spread))
+    if k < 2:
         raise ValueError("at least two groups are needed")
-    f, p, _, _ = _f_oneway(g)
     name = "brown_forsythe" if center == "median" else "levene"
-    return _test_row(df, name, f, p, len(g)).withColumn("equal_variance", F.col("p_value") >= alpha)
+    return _test_row(df, name, f, p, k).withColumn("equal_variance", F.col("p_value") >= alpha)
 
 
 def rank_sums(df: DataFrame, value: str, group: str) -> DataFrame:
@@ -277,11 +272,11 @@ def correlation_band(r):
     return F.when(F.abs(r) >= 0.7, "fuerte").when(F.abs(r) >= 0.4, "moderada").when(F.abs(r) >= 0.2, "debil").otherwise("muy debil")
 
 
-def correlation_test(df: DataFrame, x: str, y: str, method: str = "auto", key: str | None = None, alpha: float = 0.05) -> DataFrame:
+def correlation_test(df: DataFrame, x: str, y: str, method: str = "auto", alpha: float = 0.05) -> DataFrame:
     """Pearson, Spearman or Kendall with p-value and strength; ``auto`` asks the normality tests."""
     both = df.where(num(x).isNotNull() & num(y).isNotNull())
     if method == "auto":
-        normal = all(normality(both, c, key or c, alpha).first()["is_normal"] for c in (x, y))
+        normal = all(normality(both, c, alpha).first()["is_normal"] for c in (x, y))
         method = "pearson" if normal else "spearman"
     if method == "pearson":
         one = both.agg(F.corr(num(x), num(y)).alias("r"), count_rows().alias("n")).first()

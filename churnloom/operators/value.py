@@ -260,8 +260,11 @@ def bgnbd_alive(f: Column, r: Column, t: Column, k: dict[str, float]) -> Column:
     return F.when(f > 0, 1.0 / (1.0 + odds)).otherwise(F.lit(1.0))
 
 
-def bgnbd_expected(f: Column, r: Column, t: Column, days: float, k: dict[str, float], terms: int = 100) -> Column:
-    """Expected purchases in the next ``days``; the hypergeometric factor by its series after Euler's transform."""
+def bgnbd_expected(f: Column, r: Column, t: Column, days: float, k: dict[str, float], tolerance: float = 1e-13) -> Column:
+    """Expected purchases in the next ``days``; the hypergeometric factor by its series after Euler's transform.
+
+    Terms fall at least like z to their number in the end, so each row sums as many as its z needs for the tolerance.
+    """
     rr, alpha, a, b = k["r"], k["alpha"], k["a"], k["b"]
     z = F.lit(float(days)) / (alpha + t + float(days))
     upper_a, upper_b, lower = a + b - 1 - rr, a - 1, f + (a + b - 1)
@@ -271,7 +274,8 @@ def bgnbd_expected(f: Column, r: Column, t: Column, days: float, k: dict[str, fl
         term = acc["term"] * (upper_a + i) * (upper_b + i) / ((lower + i) * (i + 1.0)) * z
         return F.struct(term.alias("term"), (acc["total"] + term).alias("total"))
 
-    places = F.transform(F.sequence(F.lit(0), F.lit(terms - 1)), lambda i: i.cast("double"))
+    terms = F.lit(60) + F.ceil(F.log(F.lit(tolerance) * (1.0 - z)) / F.log(z)).cast("int")
+    places = F.transform(F.sequence(F.lit(0), terms), lambda i: i.cast("double"))
     series = F.aggregate(places, start, step, lambda acc: acc["total"])
     return lower / (a - 1) * (1.0 - F.pow(1.0 - z, F.lit(a - 1)) * series) * bgnbd_alive(f, r, t, k)
 

@@ -40,7 +40,7 @@ def lilliefors(spark, sf):
 @query()
 def normality(spark, sf):
     li = table(spark, sf, "lineitem").withColumn("row_key", F.concat_ws("|", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity"))
-    return stat_tests.normality(li, "l_extendedprice", "row_key")
+    return stat_tests.normality(li, "l_extendedprice")
 
 
 def levene_sql(center: str, name: str) -> str:

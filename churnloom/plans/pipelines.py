@@ -12,7 +12,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalar import numeric_columns, require_columns, require_rows, rnd, text_columns
+from ..functions.scalar import hash_unit, numeric_columns, require_columns, require_rows, rnd, text_columns
 from ..operators import activation, clean, describe, events, linear, models, quality, scoring, segments, stat_tests, value
 from ..operators.impute import mice_impute
 from ..session import materialize
@@ -103,6 +103,11 @@ def bi_run(
     out = {
         **{f"audit_{k}": v for k, v in source.items()},
         "eda_numeric": describe.numeric_summary(tidy, c.vif_columns),
+        "eda_categorical": describe.categorical_summary(tidy, text_columns(tidy)),
+        "eda_normality": stat_tests.normality(tidy, c.value_target),
+        "eda_transforms": clean.compare_power_transforms(tidy, c.value_target),
+        "eda_variances": stat_tests.variance_homogeneity(tidy, c.value_target, c.group),
+        "eda_pair": stat_tests.correlation_test(tidy, next((v for v in c.vif_columns if v != c.value_target), c.vif_columns[0]), c.value_target),
         "eda_correlation": describe.correlation_matrix(tidy, c.vif_columns, "spearman"),
         "vif": collinear["vif"], "model_metrics": trained.metrics, "group_test": groups, "ols": regression.coefficients,
         "ols_fit": regression.fit_stats,
@@ -118,33 +123,37 @@ def bi_run(
 
 
 def conclusions(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """One row per finding whose condition holds: phase, finding and reading."""
+    """One row per finding that holds: ``phase``, ``finding``, ``impact`` and ``action``.
+
+    The model's row is about ROC AUC, else F1, else R2, whichever its metrics have.
+    """
     spark = tables["model_metrics"].sparkSession
 
-    def when_rows(name: str, phase: str, finding: str, condition: Column | None = None) -> DataFrame | None:
-        if name not in tables:
-            return None
-        df = tables[name] if condition is None else tables[name].where(condition)
-        return df.limit(1).select(F.lit(phase).alias("phase"), F.lit(finding).alias("finding"), F.lit("review before modelling").alias("reading"))
+    def line(df: DataFrame, phase: str, finding: Column, impact: Column, action: str) -> DataFrame:
+        return df.select(F.lit(phase).alias("phase"), finding.alias("finding"), impact.alias("impact"), F.lit(action).alias("action"))
 
+    def where_any(name: str, phase: str, finding: str, impact: str, action: str, condition: str = "true") -> list[DataFrame]:
+        rows = [tables[name].where(condition).limit(1)] if name in tables else []
+        return [line(df, phase, F.lit(finding), F.lit(impact), action) for df in rows]
+
+    advice = {
+        "roc_auc": "use the score to order contacts, beside business judgement",
+        "f1": "review the threshold and the cost of each error",
+        "r2": "compare the expected error with what the business tolerates",
+    }
+    metric = next(m for m in advice if m in tables["model_metrics"].columns)
+    value = F.col(metric).cast("double")
     rows = [
-        when_rows("audit_high_null_columns", "ingest", "columns with many nulls"),
-        when_rows("audit_leakage", "ingest", "columns that may leak the target"),
-        when_rows("vif", "eda", "relevant collinearity", F.col("vif") >= 5),
+        *where_any("audit_high_null_columns", "ingest", "columns with many nulls", "indicators may be biased by the way values go missing", "study why values are missing, then set imputation rules"),
+        *where_any("audit_leakage", "ingest", "columns that may leak the target", "measured quality may not hold on new data", "check when each column is known and drop the late ones"),
+        *where_any("vif", "eda", "relevant collinearity", "coefficients are unstable", "drop or group redundant columns, or regularise", "vif >= 5"),
+        line(tables["model_metrics"], "model", F.format_string(metric + " = %.4f", value), scoring.metric_reading(F.lit(metric), value), advice[metric]),
+        line(tables["group_test"], "inference", F.format_string("%s with p = %.4f", "test", F.col("p_value").cast("double")), scoring.metric_reading(F.lit("p_value"), F.col("p_value")), "weigh the effect size before a policy changes"),
+        line(spark.range(1), "governance", F.lit("cleaning, tests, model and inference are traceable"), F.lit("the analysis can be repeated"), "monitor drift, calibration and data quality"),
     ]
-    metric = tables["model_metrics"].select(
-        F.lit("model").alias("phase"), F.concat(F.lit("roc_auc = "), F.col("roc_auc").cast("string")).alias("finding"),
-        scoring.metric_reading(F.lit("roc_auc"), F.col("roc_auc")).alias("reading"),
-    )
-    test = tables["group_test"].select(
-        F.lit("inference").alias("phase"), F.concat_ws(" p = ", "test", F.col("p_value").cast("string")).alias("finding"),
-        scoring.metric_reading(F.lit("p_value"), F.col("p_value")).alias("reading"),
-    )
-    closing = spark.createDataFrame([("governance", "cleaning, tests, model and inference are traceable", "monitor drift and recalibrate")], metric.schema)
-    out = metric.unionByName(test).unionByName(closing)
-    for row in rows:
-        if row is not None:
-            out = row.unionByName(out)
+    out = rows[0]
+    for row in rows[1:]:
+        out = out.unionByName(row)
     return out
 
 
@@ -165,10 +174,10 @@ def methodology_run(
     health = quality.pipeline_health(current, "case", c.date, required, observed_at, expected_rows or reference.count(), c.health)
     out["health"], out["gate"] = health, quality.execution_gate(health, "case")
     decision = health.first()["decision"]
-    out["normality"] = stat_tests.normality(data, c.vif_columns[0], c.key)
+    out["normality"] = stat_tests.normality(data, c.vif_columns[0])
     collinear = linear.collinearity(data, c.vif_columns)
     out["vif"], out["critical_components"] = collinear["vif"], collinear["critical"]
-    out["correlation"] = stat_tests.correlation_test(data, c.vif_columns[0], c.value_target, "auto", c.key)
+    out["correlation"] = stat_tests.correlation_test(data, c.vif_columns[0], c.value_target, "auto")
     out["simpson"] = stat_tests.simpson_verdict(stat_tests.simpson_groups(data, c.vif_columns[0], c.value_target, c.group))
     out["groups"] = stat_tests.compare_groups(data, c.value_target, c.group)
     fitted = linear.ols(data, c.value_target, [f for f in c.vif_columns if f != c.value_target])
@@ -178,9 +187,13 @@ def methodology_run(
         "is_mcar_compatible": out["mcar"].first()["is_mcar_compatible"], "is_normal": out["normality"].first()["is_normal"],
         "features_dropped": len(c.features) - len(features), "decision": decision,
         "severe_drift_columns": drift["drift"].where("is_severe").count(),
-        "coefficients_stable": out["vif"].where("vif >= 5").isEmpty() and out["critical_components"].isEmpty(),
+        "top_vif": out["vif"].agg(F.max("vif")).first()[0],
+        "top_condition_index": collinear["components"].agg(F.max("condition_index")).first()[0],
+        "critical_components": out["critical_components"].count(), "paradox": out["simpson"].first()["paradox"],
         "sampling_alerts": out["audit_sampling"].where("is_dominated or has_rare").count(),
     }
+    out["tabular_alerts"] = quality.tabular_alerts(source)
+    facts["tabular_alerts"] = sum(out["tabular_alerts"].first())
     if decision != "blocked":
         out["rfe"] = models.recursive_elimination(data, c.key, c.target, features, min(6, len(features)))
         out["multiverse"] = models.multiverse(data, c.key, c.target, features, c.outlier_columns, seed=c.seed, trees=c.trees)
@@ -195,7 +208,7 @@ def methodology_run(
         scored = trained.predictions
         out["calibration"] = scoring.calibration_gaps(scored, "actual", "probability")
         facts["brier_score"] = trained.metrics.first()["brier_score"]
-        facts["std_roc_auc"] = out["temporal"].first()["std_roc_auc"]
+        facts["folds"], facts["std_roc_auc"] = out["folds"].count(), out["temporal"].first()["std_roc_auc"]
         facts["mean_interval_width"] = out["uncertainty"].first()["mean_width"]
         if c.sensitive:
             # The sensitive columns come from the source table by key, whether or not the model used them.
@@ -203,7 +216,8 @@ def methodology_run(
             joined = scored.join(named, c.key)
             out["fairness_groups"] = scoring.fairness_groups(joined, {n: F.col(f"_s_{n}") for n in c.sensitive}, "actual", "predicted", "probability")
             out["fairness"] = scoring.fairness_summary(out["fairness_groups"])
-            facts["fairness_max_gap"] = out["fairness"].agg(F.max("demographic_parity_difference")).first()[0]
+            gaps = [F.max(f"{g}_difference") for g in ("demographic_parity", "equal_opportunity", "equalized_odds")]
+            facts["fairness_max_gap"] = out["fairness"].agg(F.greatest(*gaps)).first()[0]
     out["risk_flags"] = quality.risk_flags(spark, facts)
     return out
 
@@ -251,7 +265,7 @@ def activation_run(data: DataFrame, c: Contract, predictions: DataFrame) -> dict
         "recommended_threshold": chosen, "scorecard": named, "shortlist": activation.shortlist(card, c.key),
         "risk_summary": activation.risk_segment_summary(card, c.group, high),
         "consensus": activation.consensus_summary(card, c.group, "probability", "expected_contact_value"),
-        "bandit": policy, "segment_options": options, "segment_profile": profile,
+        "bandit": policy, "bandit_summary": activation.bandit_summary(policy), "segment_options": options, "segment_profile": profile,
         "playbook": activation.segment_playbook(named, "segment_name", "probability", low),
     }
     out.update({f"dashboard_{k}": v for k, v in activation.dashboard_tables(card, c.group).items()})
@@ -288,17 +302,25 @@ def case_run(df: DataFrame, c: Contract, observed_at: Column, output: str | None
 
 
 def event_run(df: DataFrame, event: str, key: str, target: str, position: str, features: Sequence[str], outlier_columns: Sequence[str], **training) -> dict[str, DataFrame]:
-    """Audit, cleaning, collinearity, a model over whole events, its ranking metrics and prediction board."""
+    """Audit, cleaning, normality, transforms, collinearity, correlation, a model over whole events with its ranking
+    metrics and prediction board, and the comparison of winners with the others.
+
+    ``key`` names a competitor, who may come back in other events. The first numeric feature is the one examined.
+    """
     audit = quality.audit(df, key, target, [key])
     tidy, treated = clean.handle_outliers(df, outlier_columns, "clip_iqr")
     tidy = materialize(tidy, "events")
     numeric = [f for f in features if f in numeric_columns(df)]
     scored, metrics = events.train_event_model(tidy, event, key, target, features, **training)
-    scored = materialize(scored.join(tidy.select(key, position), key), "scored_events")
+    # A competitor may come back in other events, so the event is part of the key.
+    scored = materialize(scored.join(tidy.select(event, key, position), [event, key]), "scored_events")
     per_event = materialize(events.event_metrics(scored, event, key, "actual", "competitive_probability"), "per_event")
     board = events.event_board(scored, event, key, "competitive_probability", position)
     return {
         "audit_summary": audit["summary"], "outliers": treated, "vif": linear.collinearity(tidy, numeric)["vif"],
+        "normality": stat_tests.normality(tidy, numeric[0]), "transforms": clean.compare_power_transforms(tidy, numeric[0]),
+        "correlation": stat_tests.correlation_test(tidy, numeric[1 % len(numeric)], numeric[0]),
+        "winners": stat_tests.compare_groups(tidy, numeric[0], target),
         "binary_metrics": metrics, "event_metrics": events.event_metric_means(per_event), "event_report": per_event, "board": board,
         "tickets": events.event_tickets(board),
     }
@@ -312,8 +334,8 @@ def base_run(df: DataFrame, key: str, target: str, features: Sequence[str], valu
     trained = models.train_classifier(tidy, key, target, features)
     return {
         "audit_summary": quality.audit(df, key, target, [key])["summary"], "outliers": treated,
-        "normality": stat_tests.normality(tidy, value_column, key), "transforms": clean.compare_power_transforms(tidy, value_column),
-        "vif": linear.collinearity(tidy, numeric)["vif"], "correlation": stat_tests.correlation_test(tidy, numeric[0], value_column, "auto", key),
+        "normality": stat_tests.normality(tidy, value_column), "transforms": clean.compare_power_transforms(tidy, value_column),
+        "vif": linear.collinearity(tidy, numeric)["vif"], "correlation": stat_tests.correlation_test(tidy, numeric[0], value_column, "auto"),
         "model_metrics": trained.metrics, "group_test": stat_tests.compare_groups(tidy, value_column, group),
         "ols": linear.ols(tidy, value_column, [f for f in numeric if f != value_column]).coefficients,
     }
@@ -323,7 +345,8 @@ def universal_run(df: DataFrame, c: Contract, observed_at: Column) -> dict[str,
     """The full methodology on clipped and iteratively imputed data: every check and model."""
     numeric, _ = models.feature_kinds(df, c.features)
     tidy, treated = clean.handle_outliers(materialize(df, "universal"), c.outlier_columns or numeric, "clip_iqr")
-    filled, _ = mice_impute(tidy, numeric)
+    # Learned on the rows that every split of this seed trains on.
+    filled, _ = mice_impute(tidy, numeric, fit_on=hash_unit(c.key, c.seed) >= c.test_size)
     out = methodology_run(filled, c, "logistic", c.features, observed_at)
     out["outliers"] = treated
     out["transforms"] = clean.compare_power_transforms(filled, c.value_target)

@@ -48,6 +48,18 @@ def scratch_root(spark: SparkSession) -> str:
     return _local_root
 
 
+def run_folder(spark: SparkSession) -> str:
+    """The folder of this application's intermediate tables."""
+    return f"{scratch_root(spark)}/churnloom/{spark.sparkContext.applicationId}"
+
+
+def drop_scratch(spark: SparkSession) -> bool:
+    """Removes the application's intermediate tables; call it when no DataFrame that reads them is needed any more."""
+    jvm, folder = spark.sparkContext._jvm, run_folder(spark)
+    path = jvm.org.apache.hadoop.fs.Path(folder)
+    return bool(path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True))
+
+
 def materialize(df: DataFrame, label: str = "t") -> DataFrame:
     """Write ``df`` once to the scratch folder and read it back.
 
@@ -55,6 +67,6 @@ def materialize(df: DataFrame, label: str = "t") -> DataFrame:
     change when a lost executor forces a recompute.
     """
     spark = df.sparkSession
-    path = f"{scratch_root(spark)}/churnloom/{label}-{uuid.uuid4().hex}"
+    path = f"{run_folder(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

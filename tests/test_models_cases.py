@@ -1,12 +1,16 @@
 """Models by invariants, sources, and registered queries against SQL."""
 
+import datetime
+import os
+
 import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from check_oracles import TABLES, canonical
-from churnloom.operators import describe, models, segments
+from churnloom import session
+from churnloom.operators import activation, describe, models, segments
 from churnloom.plans import catalog_cases
 from churnloom.plans.base import customers
 from churnloom.session import materialize
@@ -145,3 +149,26 @@ def test_query_equals_sql(spark, sf, name):
     cursor = con.execute(oracle_sql()[name])
     names = [d[0] for d in cursor.description]
     assert canonical(df.columns, [tuple(r) for r in df.collect()]) == canonical(names, cursor.fetchall())
+
+
+def test_a_run_written_twice_keeps_its_rows_once(spark, tmp_path):
+    df = spark.createDataFrame([(1, "x"), (2, "y")], "a int, b string")
+    for run in ("r1", "r2", "r1"):
+        assert io.write_tables({"t": df}, str(tmp_path), "raw", run) == ["t"]
+    assert spark.read.parquet(f"{tmp_path}/raw/t").groupBy("run_id").count().where("count <> 2").isEmpty()
+    assert io.to_json_text({"d": datetime.date(2024, 1, 2), 3: (float("nan"), {"z": object})}).startswith('{"d": "2024-01-02", "3": [null, {"z": "')
+
+
+def test_unknown_case_and_labels(spark):
+    with pytest.raises(ValueError):
+        models.benchmark_models("weather")
+    profile = spark.createDataFrame([(0, 5.0, 1.0), (1, 9.0, 2.0), (2, 9.0, 0.5), (3, 1.0, 3.0)], "cluster int, v double, s double")
+    rules = [{"label": "top", "metric": "v"}, {"label": "none", "metric": "absent"}, {"label": "calm", "metric": "s", "direction": "min"}, {"label": "risk", "metric": "s"}]
+    assert activation.greedy_labels(profile, "cluster", rules) == {0: "none", 1: "top", 2: "calm", 3: "risk"}
+
+
+def test_scratch_tables_can_be_dropped(spark):
+    df = materialize(spark.range(5).toDF("a"), "drop")
+    folder = session.run_folder(spark)
+    assert os.path.isdir(folder) and df.count() == 5
+    assert session.drop_scratch(spark) and not os.path.exists(folder)

@@ -1,5 +1,6 @@
 """Whole-table order helpers against plain Python on small frames with ties and a hot group."""
 
+import math
 import random
 
 import pytest
@@ -112,3 +113,22 @@ def test_mode_prefers_lowest_on_ties(spark):
     assert quantiles.mode_table(df, ["x"]).first().mode == "a"
     kept = quantiles.mode_table(df, ["x"], keep_null=True).first()
     assert kept.mode is None and kept.mode_rows == 3
+
+
+def test_quantiles_of_one_hot_group_among_many(spark):
+    hot, many = 50_000, 300_000
+    rows = spark.range(hot + many).select(
+        F.when(F.col("id") >= hot, F.col("id").cast("string")).otherwise(F.when(F.col("id") % 2 == 0, "hot")).alias("g"),
+        F.pmod(F.xxhash64("id"), F.lit(1000)).cast("double").alias("v"),
+    )
+    table = quantiles.quantile_table(rows, ["v"], [0.25, 0.5], ["g"], small_group=10_000)
+    assert table.count() == 2 * (many + 2)
+    for g in ("hot", None):
+        values = sorted(r.v for r in rows.where(F.col("g").eqNullSafe(F.lit(g))).collect())
+        got = {r.prob: r.value for r in table.where(F.col("g").eqNullSafe(F.lit(g))).collect()}
+        for p in (0.25, 0.5):
+            place = (len(values) - 1) * p
+            low, high = values[math.floor(place)], values[math.ceil(place)]
+            assert got[p] == pytest.approx(low + (high - low) * (place - math.floor(place)))
+    alone = table.join(rows.where(F.col("g").cast("long") >= hot), "g").where(F.abs(F.col("value") - F.col("v")) > 1e-9)
+    assert alone.isEmpty()

@@ -1,13 +1,14 @@
 """Quality and cleaning operators: nulls, ties, constants, empty and odd input."""
 
 import math
+import random
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from churnloom.functions.scalar import rnd, standard_name
-from churnloom.operators import clean, describe, impute, neighbors, quality
+from churnloom.operators import clean, describe, impute, models, neighbors, quality
 
 
 @pytest.fixture(scope="module")
@@ -137,3 +138,73 @@ def test_dummies_and_bins(spark):
     assert names == ["c_b"] and [r.c_b for r in out.orderBy("v").collect()] == [1.0, 0.0, 0.0]
     binned, edges = clean.equal_frequency_bins(df, "v", 2)
     assert edges == [1.0, 2.0, 3.0] and [r.bin for r in binned.orderBy("v").collect()] == [0, 0, 1]
+
+
+def test_knn_impute_against_brute_force(spark):
+    rng = random.Random(3)
+    rows = [(i, *[None if rng.random() < 0.3 else round(rng.gauss(0, 1), 2) for _ in range(3)]) for i in range(80)]
+    rows.append((80, None, None, None))
+    df = spark.createDataFrame(rows, "k long, a double, b double, c double")
+    got = {r.k: tuple(r)[1:] for r in impute.knn_impute(df, "k", ["a", "b", "c"], 4).collect()}
+    for k, *x in rows:
+        for j in range(3):
+            if x[j] is not None:
+                assert got[k][j] == x[j]
+                continue
+            near = []
+            for other, *y in rows:
+                both = [t for t in range(3) if x[t] is not None and y[t] is not None]
+                if y[j] is not None and both:
+                    near.append((sum((x[t] - y[t]) ** 2 for t in both) * 3 / len(both), str(other), y[j]))
+            have = [y[j] for _, *y in rows if y[j] is not None]
+            best = [v for _, _, v in sorted((round(d, 9), o, v) for d, o, v in near)[:4]] if near else have
+            assert got[k][j] == pytest.approx(sum(best) / len(best), abs=1e-6)
+
+
+def test_imputers_learn_on_train_rows_only(spark):
+    train = spark.createDataFrame([(i, float(i), 2.0 * i) for i in range(30)], "k long, a double, b double")
+    test = spark.createDataFrame([(100, 5.0, None), (101, 5.0, 9999.0)], "k long, a double, b double")
+    for imputer in ("knn", "iterative"):
+        filled = models.fill_learned(train, test, "k", ["a", "b"], imputer)[1]
+        assert filled.where("k = 100").first().b == pytest.approx(10, abs=0.5)
+
+
+def test_risk_flags_cover_every_dimension(spark):
+    blocked = {r.dimension: r for r in quality.risk_flags(spark, {"decision": "blocked"}).collect()}
+    assert len(blocked) == 12 and blocked["calibration"].state == blocked["health"].state == "Bloqueado"
+    assert blocked["temporal_validation"].state == blocked["uncertainty"].state == "Seguimiento" and blocked["fairness"].state == "OK"
+    fine = {
+        "decision": "healthy", "is_mcar_compatible": True, "is_normal": True, "features_dropped": 1, "severe_drift_columns": 0, "folds": 3,
+        "std_roc_auc": 0.05, "brier_score": 0.1, "mean_interval_width": 0.2, "top_vif": 4.9, "top_condition_index": 29.0, "critical_components": 0,
+        "paradox": False, "tabular_alerts": 0, "fairness_max_gap": 0.1, "sampling_alerts": 0,
+    }
+    assert {r.state for r in quality.risk_flags(spark, fine).collect()} == {"OK"}
+    for fact, value, dimension in (
+        ("paradox", True, "coefficients"), ("top_condition_index", 30.0, "coefficients"), ("folds", 0, "temporal_validation"),
+        ("tabular_alerts", 1, "tabular_contract"), ("fairness_max_gap", 0.11, "fairness"),
+    ):
+        rows = {r.dimension: r.state for r in quality.risk_flags(spark, {**fine, fact: value}).collect()}
+        assert rows[dimension] == "Seguimiento" and list(rows.values()).count("OK") == 11
+
+
+def test_tabular_alerts_and_continuous_balance(spark):
+    df = spark.createDataFrame([(1, "1,5", "NA", 1.5), (1, "2,5", "n/a", 2.5)] + [(i, f"{i},5", "x", float(i)) for i in range(2, 20)], "`Bad Name` long, t string, u string, y double")
+    one = quality.tabular_alerts(quality.audit(df, "Bad Name", None, ["Bad Name"])).first()
+    assert one.nonstandard_headers == 1 and one.ids_with_duplicates == 1 and one.numeric_like_columns == 1 and one.inconsistent_null_tokens == 1
+    assert quality.target_balance(df, "y").first().column_name == "y"
+
+
+def test_little_mcar_patterns_on_the_executors(spark):
+    rows = [(float(i), float(i * i % 17) if i % 4 else None, float(i % 5) if i % 3 else None) for i in range(200)]
+    df = spark.createDataFrame(rows, "a double, b double, c double")
+    one = quality.little_mcar(df, ["a", "b", "c"]).first()
+    a = np.array([[np.nan if v is None else v for v in r] for r in rows])
+    mean = np.nanmean(a, axis=0)
+    cov = np.array([[np.cov(a[~np.isnan(a[:, i]) & ~np.isnan(a[:, j])][:, [i, j]].T)[0, 1] if i != j else np.nanvar(a[:, i], ddof=1) for j in range(3)] for i in range(3)])
+    stat, dof = 0.0, 0
+    for flags in {tuple(np.isnan(r)) for r in a}:
+        part = a[[tuple(np.isnan(r)) == flags for r in a]]
+        seen = [i for i in range(3) if not flags[i]]
+        d = part[:, seen].mean(axis=0) - mean[seen]
+        stat, dof = stat + len(part) * d @ np.linalg.pinv(cov[np.ix_(seen, seen)]) @ d, dof + len(seen)
+    assert one.statistic == pytest.approx(stat, abs=1e-3) and one.dof == dof - 3

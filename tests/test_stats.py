@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from churnloom.functions import dist
+from churnloom.functions.scalar import normal_quantile
 from churnloom.operators import clean, describe, linear, ordered, stat_tests
 
 
@@ -99,8 +100,8 @@ def test_normality_votes(spark):
     rng = random.Random(1)
     rows = [(i, rng.gauss(5, 2), rng.expovariate(1)) for i in range(800)]
     df = spark.createDataFrame(rows, "k long, a double, b double")
-    assert stat_tests.normality(df, "a", "k").first().is_normal
-    assert not stat_tests.normality(df, "b", "k").first().is_normal
+    assert stat_tests.normality(df, "a").first().is_normal
+    assert not stat_tests.normality(df, "b").first().is_normal
     x = np.array(sorted(r[1] for r in rows))
     z = (x - x.mean()) / x.std(ddof=1)
     cdf = np.array([dist.normal_cdf(v) for v in z])
@@ -144,7 +145,7 @@ def test_levene_and_welch(frame):
 def test_group_normality_votes_by_name(spark):
     rng = random.Random(2)
     rows = [("z", rng.gauss(0, 1)) for _ in range(400)] + [("a", rng.expovariate(1)) for _ in range(400)] + [("m", 1.0), ("m", 2.0)]
-    got = {r.group: r for r in stat_tests.group_normality(spark.createDataFrame(rows, "g string, v double"), "v", "g", sample=300).collect()}
+    got = {r.group: r for r in stat_tests.group_normality(spark.createDataFrame(rows, "g string, v double"), "v", "g").collect()}
     assert got["z"].is_normal and not got["a"].is_normal and not got["m"].is_normal
     assert got["a"].p_anderson == 0.0 and got["z"].p_lilliefors > 0.05
 
@@ -154,3 +155,29 @@ def test_codes_number_values_in_order(spark, monkeypatch):
         monkeypatch.setattr(ordered, "ONE_TASK_ROWS", limit)
         df = spark.createDataFrame([(v,) for v in ["b", "a", None, "c", "b"]], "v string")
         assert sorted((r.v or "", r.v_code) for r in clean.category_codes(df, "v").collect()) == [("", -1), ("a", 0), ("b", 1), ("b", 1), ("c", 2)]
+
+
+def test_normality_uses_all_rows_whatever_the_partitions(spark):
+    rng = random.Random(5)
+    rows = [("a" if i % 3 else "b", rng.gauss(0, 1) if i % 3 else rng.expovariate(1)) for i in range(9000)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    got = [sorted(map(tuple, stat_tests.group_normality(df.repartition(n), "v", "g").collect())) for n in (1, 3, 7)]
+    assert got[0] == got[1] == got[2]
+    x = np.array(sorted(v for g, v in rows if g == "a"))
+    scores = np.array([dist.normal_ppf((i - 0.375) / (len(x) + 0.25)) for i in range(1, len(x) + 1)])
+    w = np.corrcoef(x, scores)[0, 1] ** 2
+    assert stat_tests.shapiro_francia(df.where("g = 'a'"), "v")[0] == pytest.approx(w, rel=1e-7)
+    assert {r[0]: r[1] for r in got[0]} == {"a": 6000, "b": 3000}
+
+
+def test_normal_quantile_expression(spark):
+    ps = [1e-9, 1e-4, 0.02, 0.0243, 0.3, 0.5, 0.77, 0.98, 1 - 1e-6]
+    got = spark.createDataFrame([(p,) for p in ps], "p double").select(normal_quantile(F.col("p")).alias("z")).collect()
+    for p, r in zip(ps, got):
+        assert r.z == pytest.approx(dist.normal_ppf(p), rel=2e-8, abs=1e-9)
+
+
+def test_many_groups_compare_without_a_list(spark):
+    df = spark.range(60_000).select((F.col("id") % 15_000).cast("string").alias("g"), F.pmod(F.xxhash64("id"), F.lit(97)).cast("double").alias("v"))
+    row = stat_tests.anova(df, "v", "g").first()
+    assert row.groups == 15_000 and 0 <= row.p_value <= 1

@@ -8,6 +8,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from churnloom.operators import activation, events, scoring, value
+from churnloom.plans.pipelines import event_run
 
 
 @pytest.fixture(scope="module")
@@ -145,3 +146,29 @@ def test_regression_metrics(spark):
     df = spark.createDataFrame([(1.0, 2.0), (3.0, 3.0), (5.0, 4.0)], "y double, p double")
     row = scoring.regression_metrics(df, "y", "p").first()
     assert row.mae == 0.6667 and row.r2 == 0.75 and row.mean_error == 0.0
+
+
+def test_bgnbd_series_near_one_converges(spark):
+    k = {"r": 0.8, "alpha": 5.0, "a": 1.6, "b": 2.4}
+    one = spark.createDataFrame([(0.0, 0.0, 0.5)], "f double, r double, t double")
+    e = one.select(value.bgnbd_expected(F.col("f"), F.col("r"), F.col("t"), 720.0, k).alias("e")).first().e
+    z = 720 / (5 + 0.5 + 720)
+    term = total = 1.0
+    for i in range(20_000):
+        term *= (k["a"] + k["b"] - 1 - k["r"] + i) * (k["a"] - 1 + i) / ((k["a"] + k["b"] - 1 + i) * (i + 1)) * z
+        total += term
+    assert e == pytest.approx((k["a"] + k["b"] - 1) / (k["a"] - 1) * (1 - (1 - z) ** (k["a"] - 1) * total), rel=1e-9)
+
+
+def test_event_run_with_competitors_that_return(spark):
+    rng = random.Random(4)
+    rows = []
+    for e in range(60):
+        strength = [rng.random() for _ in range(5)]
+        order = sorted(range(5), key=lambda i: -strength[i])
+        rows += [(f"e{e}", f"c{i}", int(order[0] == i), order.index(i) + 1, strength[i], rng.random()) for i in range(5)]
+    df = spark.createDataFrame(rows, "event string, who string, won int, place int, a double, b double")
+    out = event_run(df, "event", "who", "won", "place", ["a", "b"], ["b"])
+    held = out["event_report"].count()
+    assert 5 <= held <= 30 and out["board"].agg(F.count("*")).first()[0] == held
+    assert {"normality", "transforms", "correlation", "winners"} <= set(out) and out["winners"].first().rejects
