@@ -248,14 +248,24 @@ def _gradients(net: Network, x: np.ndarray, size: np.ndarray, y: np.ndarray) ->
 
 
 def training_sample(docs: DataFrame, usable: Column, key: str, text: str, lang: str, per_language: int = SAMPLE_DOCS) -> tuple[list[bytes], list[str]]:
-    """At most ``per_language`` slices of labelled texts of each language, chosen and placed by hashes."""
+    """At most ``per_language`` slices of labelled texts of each language, chosen and placed by hashes.
+
+    Documents are counted per language first; a hash then keeps about three times as many as are wanted, whatever the
+    size of the table, and of these the lowest hashes are taken.
+    """
     size = F.length("text")
     place = F.pmod(F.xxhash64("text"), F.greatest(size - SLICE_CHARS, F.lit(0)) + F.lit(1)).cast("int") + F.lit(1)
     order = Window.partitionBy("lang").orderBy("mark", "part")
+    labelled = docs.where(F.coalesce(usable, F.lit(False)) & c(lang).isNotNull()).select(
+        c(key).alias("key"), c(text).alias("text"), c(lang).cast("string").alias("lang")
+    )
+    counts = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    # As many rows as the network has outputs.
+    near = labelled.join(F.broadcast(counts), "lang").where(
+        F.pmod(F.xxhash64(F.lit(1), "key"), F.lit(2**30)) / float(2**30) * F.col("n") < 3 * per_language + 50
+    )
     rows = (
-        docs.where(F.coalesce(usable, F.lit(False)))
-        .select(c(key).alias("key"), c(text).alias("text"), c(lang).cast("string").alias("lang"))
-        .where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
+        near.where(F.col("text").rlike(r"\p{L}"))
         .select("lang", F.xxhash64("key", "text").alias("mark"), F.substring("text", place, F.lit(SLICE_CHARS)).alias("part"))
         .withColumn("place", F.row_number().over(order))
         .where(F.col("place") <= per_language)
