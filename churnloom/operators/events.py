@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from ..functions.scalar import clip, count_rows, hash_unit, logit, num, numeric_columns, require_columns, rnd, text_columns
 from .clean import preprocessing_stages
 from .scoring import classification_metrics
-from .skew import attach
+from .skew import GROUP_ROWS, largest_group, with_group_values
 
 
 def event_softmax(df: DataFrame, event: str, score: str, temperature: float = 1.0, name: str = "probability") -> DataFrame:
@@ -27,11 +27,11 @@ def event_softmax(df: DataFrame, event: str, score: str, temperature: float = 1.
     scaled = num(score) / temperature
     missing = F.raise_error(F.lit("null score or event in event_softmax"))
     guarded = F.when(scaled.isNull() | F.col(event).isNull(), missing.cast("double")).otherwise(scaled)
-    peak = df.groupBy(event).agg(F.max(guarded).alias("_peak"), count_rows().alias("_n"))
-    shifted = attach(df, peak, [event], "_n").withColumn("_e", F.exp(scaled - F.col("_peak")))
-    total = shifted.groupBy(event).agg(F.sum("_e").alias("_total"), count_rows().alias("_m"))
-    out = attach(shifted, total, [event], "_m")
-    return out.withColumn(name, F.col("_e") / F.col("_total")).drop("_peak", "_n", "_e", "_total", "_m")
+    small = largest_group(df, [event]) <= GROUP_ROWS
+    peaked = with_group_values(df, [event], {"_peak": F.max(guarded)}, small)
+    shifted = peaked.withColumn("_e", F.exp(scaled - F.col("_peak")))
+    out = with_group_values(shifted, [event], {"_total": F.sum("_e")}, small)
+    return out.withColumn(name, F.col("_e") / F.col("_total")).drop("_peak", "_e", "_total")
 
 
 def top_places(df: DataFrame, event: str, order: Sequence[Column], k: int, name: str = "place") -> DataFrame:
@@ -51,12 +51,11 @@ def event_metrics(df: DataFrame, event: str, key: str, target: str, probability:
         event, F.col(key).alias("_key"), F.col(target).cast("int").alias("_t"), p.alias("_p")
     )
     win = F.col("_t") == 1
-    heads = rows.groupBy(event).agg(
-        count_rows().alias("field_size"), F.sum("_t").alias("_winners"),
-        F.max(F.when(win, F.col("_p"))).alias("_wp"), F.max(F.when(win, F.col("_key"))).alias("_wk"),
-        F.avg((F.col("_p") - F.col("_t")) * (F.col("_p") - F.col("_t"))).alias("_brier"),
-    ).where((F.col("field_size") >= 2) & (F.col("_winners") == 1))
-    joined = attach(rows, heads, [event], "field_size", how="inner")
+    heads = {
+        "field_size": count_rows(), "_winners": F.sum("_t"), "_wp": F.max(F.when(win, F.col("_p"))), "_wk": F.max(F.when(win, F.col("_key"))),
+        "_brier": F.avg((F.col("_p") - F.col("_t")) * (F.col("_p") - F.col("_t"))),
+    }
+    joined = with_group_values(rows, [event], heads).where((F.col("field_size") >= 2) & (F.col("_winners") == 1))
     higher, same = F.col("_p") > F.col("_wp"), F.col("_p") == F.col("_wp")
     counted = joined.groupBy(event).agg(
         F.any_value("field_size").alias("field_size"), F.any_value("_wp").alias("_wp"), F.any_value("_brier").alias("_brier"),
@@ -152,10 +151,8 @@ def event_tickets(board: DataFrame) -> DataFrame:
 def valid_events(df: DataFrame, event: str, target: str, min_rows: int = 2) -> DataFrame:
     """Rows of events with enough rows and exactly one winner."""
     rows = df.where(F.col(event).isNotNull() & num(target).isin(0.0, 1.0))
-    good = rows.groupBy(event).agg(count_rows().alias("_n"), F.sum(num(target)).alias("_w")).where(
-        (F.col("_n") >= min_rows) & (F.col("_w") == 1)
-    )
-    return attach(rows, good, [event], "_n", how="inner").drop("_n", "_w")
+    told = with_group_values(rows, [event], {"_n": count_rows(), "_w": F.sum(num(target))})
+    return told.where((F.col("_n") >= min_rows) & (F.col("_w") == 1)).drop("_n", "_w")
 
 
 def train_event_model(

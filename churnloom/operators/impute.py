@@ -23,8 +23,9 @@ GAP_ROWS = 500
 
 def _gap_neighbors(asked: list[dict], donors: list[dict], columns: Sequence[str], center: np.ndarray, k: int) -> list[tuple]:
     """(key, column, distance, donor, value) of the k nearest donors of one block for each missing cell."""
-    values = lambda rows: np.array([[np.nan if v is None else v for v in r["x"]] for r in rows], dtype=float) - center
-    q, x = values(asked), values(donors)
+    values = lambda rows: np.array([[np.nan if v is None else v for v in r["x"]] for r in rows], dtype=float)
+    raw_q, raw_x = values(asked), values(donors)
+    q, x = raw_q - center, raw_x - center
     mq, mx = (~np.isnan(q)).astype(float), (~np.isnan(x)).astype(float)
     q0, x0 = np.nan_to_num(q), np.nan_to_num(x)
     shared = mq @ mx.T
@@ -33,6 +34,7 @@ def _gap_neighbors(asked: list[dict], donors: list[dict], columns: Sequence[str]
     with np.errstate(divide="ignore", invalid="ignore"):
         far = np.where(shared > 0, np.sqrt(np.maximum(square, 0.0) * len(columns) / shared), np.inf)
     names = np.array([str(d["key"]) for d in donors])
+    slack = 1e-6 * (1.0 + np.sqrt(max((q0**2).max(initial=0), (x0**2).max(initial=0))))
     out = []
     for j, column in enumerate(columns):
         able = np.flatnonzero(mx[:, j] > 0)
@@ -42,10 +44,14 @@ def _gap_neighbors(asked: list[dict], donors: list[dict], columns: Sequence[str]
             d = far[i, able]
             reach = np.flatnonzero(np.isfinite(d))
             if len(reach) > k:
+                # The products round; what is near the bound is measured again value by value.
                 bound = np.partition(d[reach], k - 1)[k - 1]
-                reach = reach[d[reach] <= bound]
-            best = sorted(reach.tolist(), key=lambda t: (d[t], names[able[t]]))[:k]
-            out += [(asked[i]["key"], column, float(d[t]), str(names[able[t]]), float(x[able[t], j] + center[j])) for t in best]
+                reach = reach[d[reach] <= bound * (1 + 1e-6) + slack]
+            own = np.flatnonzero(mq[i] > 0)
+            apart = np.nansum((raw_x[able[reach]][:, own] - raw_q[i, own]) ** 2, axis=1)
+            exact = np.sqrt(apart * len(columns) / shared[i, able[reach]])
+            best = sorted(range(len(reach)), key=lambda t: (exact[t], names[able[reach[t]]]))[:k]
+            out += [(asked[i]["key"], column, float(exact[t]), str(names[able[reach[t]]]), float(raw_x[able[reach[t]], j])) for t in best]
     return out
 
 

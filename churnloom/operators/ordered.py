@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalar import count_rows, melt_numeric, num
 from ..session import materialize
-from .skew import GROUP_ROWS, attach, largest_group
+from .skew import BROADCAST_ROWS, GROUP_ROWS, HOT_ROWS, attach, largest_group
 
 BLOCK_ROWS = 200_000
 ONE_TASK_ROWS = 100_000
@@ -123,12 +123,23 @@ def with_average_rank(df: DataFrame, column: str, name: str, by: Sequence[str] =
 def with_average_ranks(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:
     """Ranks of several columns (``{column: new name}``) from one pass over all their values."""
     cells = melt_numeric(df, list(columns))
-    ranks, small = _rank_table(cells, "value", ["column_name"])
+    ranks, _ = _rank_table(cells, "value", ["column_name"])
+    ranks = materialize(ranks, "ranks")
+    # One small job tells how each column's ranks are joined.
+    sizes = {r["column_name"]: r for r in ranks.groupBy("column_name").agg(count_rows().alias("values"), F.max("n").alias("most")).collect()}
     for column, name in columns.items():
         mine = ranks.where(F.col("column_name") == column).select(
             F.col("value").alias("_value"), F.col("n").alias("_n"), F.col("avg_rank").alias(name)
         )
-        df = attach(df.withColumn("_value", num(column)), mine, ["_value"], weight="_n", small=small).drop("_value", "_n")
+        df = df.withColumn("_value", num(column))
+        size = sizes.get(column)
+        if size is None or size["values"] <= BROADCAST_ROWS:
+            df = df.join(F.broadcast(mine), "_value", "left")
+        elif size["most"] <= HOT_ROWS:
+            df = df.join(mine, "_value", "left")
+        else:
+            df = attach(df, mine, ["_value"], weight="_n")
+        df = df.drop("_value", "_n")
     return df
 
 

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalar import count_rows
@@ -50,6 +50,23 @@ def attach(
     return busy.unionByName(quiet.select(*busy.columns))
 
 
+def with_group_values(
+    rows: DataFrame, by: Sequence[str], values: Mapping[str, Column], small: bool | None = None, group_rows: int = GROUP_ROWS
+) -> DataFrame:
+    """Adds aggregates of each row's group as columns.
+
+    While every group is known to fit one task (``small``, else counted here) a window does it in one shuffle, which later
+    windows and aggregations by the same keys reuse. Beyond that, combined group rows are attached.
+    """
+    if small is None:
+        small = largest_group(rows, by) <= group_rows
+    if small:
+        window = Window.partitionBy(*by)
+        return rows.withColumns({name: value.over(window) for name, value in values.items()})
+    stats = rows.groupBy(*by).agg(count_rows().alias("_rows"), *[value.alias(name) for name, value in values.items()])
+    return attach(rows, stats, by, "_rows").drop("_rows")
+
+
 def largest_group(df: DataFrame, by: Sequence[str]) -> int:
     sizes = df.groupBy(*by).agg(count_rows().alias("n"))
     return sizes.agg(F.max("n")).first()[0] or 0

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scalar import clip, count_rows, rnd, sigmoid
-from ..operators.skew import attach
+from ..operators.skew import with_group_values
 from ..operators.value import rfmt_summary
 
 SNAPSHOT = "2000-08-01"
@@ -143,10 +143,8 @@ def line_events(spark: SparkSession, sf: str) -> DataFrame:
         "l_discount", "l_tax", "l_returnflag",
         rnd(F.col("l_quantity") / 10.0 - F.col("l_discount") * 5.0 + F.col("l_tax"), 4).alias("score"),
     )
-    best = rows.groupBy("event_id").agg(F.max("l_extendedprice").alias("_best"), count_rows().alias("_n"))
-    return attach(rows, best, ["event_id"], "_n").withColumn(
-        "target", (F.col("l_extendedprice") == F.col("_best")).cast("int")
-    ).drop("_best", "_n")
+    best = with_group_values(rows, ["event_id"], {"_best": F.max("l_extendedprice")})
+    return best.withColumn("target", (F.col("l_extendedprice") == F.col("_best")).cast("int")).drop("_best")
 
 
 LINE_EVENTS = """rivals AS (

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.scalar import accentless, rnd, yes_no
+from ..functions.scalar import ACCENTED, PLAIN, accentless, rnd, yes_no
 from ..operators import charts, clean, describe, impute, quality
 from .base import CUSTOMERS, ORDERS_GAPS, customers, orders_gaps, table
 from .registry import query, r
@@ -83,9 +83,18 @@ def corr_matrix_spearman(spark, sf):
     return describe.correlation_matrix(table(spark, sf, "lineitem"), LINE, "spearman")
 
 
-@query(f"WITH {RANKED}, m AS (" + union(f"SELECT '{a}' AS a, '{b}' AS b, abs({r(f'corr({a}, {b})', 4)}) AS abs_spearman FROM ranked" for a, b in PAIRS) + ") SELECT * FROM m WHERE abs_spearman >= 0.65")
+NET = "round_even(l_extendedprice*(1.0::double - l_discount)*1e2,0)/1e2"
+NET_RANKED = "ranked AS (SELECT " + ", ".join(
+    f"rank() OVER (ORDER BY {c}) + (count(*) OVER (PARTITION BY {c}) - 1)/2.0::double AS {c}" for c in [*LINE, "l_net"]
+) + f" FROM (SELECT *, {NET} AS l_net FROM lineitem))"
+NET_PAIRS = [(a, b) for i, a in enumerate([*LINE, "l_net"]) for b in [*LINE, "l_net"][i + 1 :]]
+
+
+# The net price goes with the price, so one pair at least does depend.
+@query(f"WITH {NET_RANKED}, m AS (" + union(f"SELECT '{a}' AS a, '{b}' AS b, abs({r(f'corr({a}, {b})', 4)}) AS abs_spearman FROM ranked" for a, b in NET_PAIRS) + ") SELECT * FROM m WHERE abs_spearman >= 0.65")
 def dependent_pairs(spark, sf):
-    return describe.dependent_pairs(table(spark, sf, "lineitem"), LINE)
+    rows = table(spark, sf, "lineitem").withColumn("l_net", rnd(F.col("l_extendedprice") * (F.lit(1.0) - F.col("l_discount")), 2))
+    return describe.dependent_pairs(rows, [*LINE, "l_net"])
 
 
 GAP_PAIRS = [("o_totalprice", "o_totalprice"), ("o_totalprice", "o_custkey"), ("o_custkey", "o_custkey")]
@@ -256,15 +265,24 @@ def prepare_target(spark, sf):
     return table(spark, sf, "orders").select("o_orderkey", raw.alias("raw")).select("o_orderkey", yes_no("raw").alias("target"))
 
 
-@query("SELECT doc_id, length(strip_accents(lang || ' ' || source)) AS n FROM documents")
+@query(f"""SELECT doc_id, md5(translate(text, '{ACCENTED}', '{PLAIN}')) AS plain_md5, text = translate(text, '{ACCENTED}', '{PLAIN}') AS was_plain FROM documents""")
 def plain_text(spark, sf):
-    d = table(spark, sf, "documents")
-    return d.select("doc_id", F.length(accentless(F.concat_ws(" ", "lang", "source"))).cast("bigint").alias("n"))
-
-
-@query()
+    plain = accentless(F.col("text"))
+    return table(spark, sf, "documents").select("doc_id", F.md5(plain.cast("binary")).alias("plain_md5"), (F.col("text") == plain).alias("was_plain"))
+
+
+# Gaps in two columns, so that donors have gaps too and distances run over what both rows have.
+@query(f"""WITH {CUSTOMERS}, g AS (SELECT customer_id, CASE WHEN customer_id % 25 <> 0 THEN balance END AS b, frequency::double AS f,
+    CASE WHEN customer_id % 40 <> 3 THEN age::double END AS a FROM people),
+  ask AS (SELECT * FROM g WHERE b IS NULL),
+  d AS (SELECT q.customer_id, x.customer_id AS donor, x.b, sqrt(((q.f - x.f)*(q.f - x.f) + coalesce((q.a - x.a)*(q.a - x.a), 0)) * 3.0::double / CASE WHEN q.a - x.a IS NULL THEN 1 ELSE 2 END) AS dist
+    FROM ask q, g x WHERE x.b IS NOT NULL),
+  near AS (SELECT customer_id, b, row_number() OVER (PARTITION BY customer_id ORDER BY dist, donor::varchar) AS place FROM d),
+  fill AS (SELECT customer_id, avg(b) AS b FROM near WHERE place <= 5 GROUP BY 1)
+  SELECT customer_id, {r('coalesce(g.b, fill.b)', 2)} AS balance FROM g LEFT JOIN fill USING (customer_id)""")
 def knn_impute(spark, sf):
-    c = customers(spark, sf).select("customer_id", "frequency", "age", F.when(F.col("customer_id") % 25 != 0, F.col("balance")).alias("balance"))
+    k = F.col("customer_id")
+    c = customers(spark, sf).select("customer_id", "frequency", F.when(k % 40 != 3, F.col("age")).alias("age"), F.when(k % 25 != 0, F.col("balance")).alias("balance"))
     out = impute.knn_impute(c, "customer_id", ["balance", "frequency", "age"])
     return out.select("customer_id", rnd(F.col("balance"), 2).alias("balance"))
 

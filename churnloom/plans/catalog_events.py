@@ -8,6 +8,7 @@ from ..functions.scalar import rnd
 from ..operators import charts, events, ordered, scoring
 from ..operators.clean import fixed_bins
 from ..operators.skew import attach
+from ..session import materialize
 from .base import CUSTOMERS, LINE_EVENTS, customers, line_events, table
 from .registry import query, r
 
@@ -18,8 +19,9 @@ SOFT = f"""{LINE_EVENTS}, soft AS (
 
 
 def scored_events(spark, sf):
-    out = events.event_softmax(line_events(spark, sf), "event_id", "score")
-    return out.withColumn("probability", rnd(F.col("probability"), 6))
+    """Competitors and their scored events, each written once: the queries read them several times."""
+    out = events.event_softmax(materialize(line_events(spark, sf), "rivals"), "event_id", "score")
+    return materialize(out.withColumn("probability", rnd(F.col("probability"), 6)), "scored")
 
 
 @query(f"WITH {SOFT} SELECT event_id, competitor, {r('p', 4)} AS probability FROM soft")

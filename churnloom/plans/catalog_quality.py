@@ -131,13 +131,17 @@ def date_audit(spark, sf):
     return quality.date_audit(messy(spark, sf), ["date_text"])
 
 
-@query("""SELECT * FROM (VALUES ('Cliente ID','cliente_id',false), ('Región','region',false), ('total','total',true), (' Gasto  Mensual ','gasto_mensual',false))
-  t(column_name, standard_name, is_standard) WHERE (SELECT count(*) FROM orders) > 0""")
+HEADERS = {"o_custkey": ("Cliente ID", "cliente_id"), "o_orderstatus": ("Región", "region"), "o_totalprice": ("total", "total"), "o_orderpriority": (" Gasto  Mensual ", "gasto_mensual")}
+
+
+# The standard names must lead to the same data: nulls are counted under them.
+@query(f"WITH {ORDERS_GAPS} " + union(
+    f"SELECT '{old}' AS column_name, '{new}' AS standard_name, {str(old == new).lower()} AS is_standard, count(*) - count({c}) AS nulls FROM orders_gaps"
+    for c, (old, new) in HEADERS.items()))
 def header_audit(spark, sf):
-    o = table(spark, sf, "orders").select("o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate")
-    renamed = o.toDF("Cliente ID", "Región", "total", " Gasto  Mensual ")
-    standardize_names(renamed).limit(1).count()
-    return quality.header_audit(renamed)
+    renamed = orders_gaps(spark, sf).select(*[F.col(c).alias(old) for c, (old, _) in HEADERS.items()])
+    nulls = quality.null_profile(standardize_names(renamed)).select(F.col("column_name").alias("standard_name"), "nulls")
+    return quality.header_audit(renamed).join(nulls, "standard_name")
 
 
 DICT_ROLES = {

@@ -1,6 +1,7 @@
 """Hypothesis tests and regression diagnostics.
 
-SQL gives the test statistics; p-values and matrix inverses are covered by the unit tests.
+SQL gives the test statistics, and p-values where they have a closed form (three groups); other p-values and matrix
+inverses are covered by the unit tests.
 """
 
 from __future__ import annotations
@@ -14,6 +15,11 @@ from .base import customers, table
 from .registry import query, r
 
 
+def f_tail(f: str, d2: str) -> str:
+    """P-value of F with two numerator degrees of freedom, that is for three groups."""
+    return r(f"pow(1.0::double + 2.0::double*({f})/({d2}), -({d2})/2.0::double)", 4)
+
+
 def line(spark, sf):
     return table(spark, sf, "lineitem").select("l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus")
 
@@ -43,37 +49,42 @@ def normality(spark, sf):
     return stat_tests.normality(li, "l_extendedprice")
 
 
+ONE_WAY = "(sum(n*(m-gm)*(m-gm))/(any_value(k)-1))/(sum((n-1)*s2)/(any_value(nn)-any_value(k)))"
+
+
 def levene_sql(center: str, name: str) -> str:
     return f"""WITH c AS (SELECT l_returnflag AS g, {center}(l_extendedprice) AS c FROM lineitem GROUP BY 1),
       d AS (SELECT g, abs(l_extendedprice - c) AS v FROM lineitem JOIN c ON g = l_returnflag),
       p AS (SELECT g, count(*) AS n, avg(v) AS m, var_samp(v) AS s2 FROM d GROUP BY 1), t AS (SELECT sum(n*m)/sum(n) AS gm, sum(n) AS nn, count(*) AS k FROM p)
-      SELECT '{name}' AS test, {r('(sum(n*(m-gm)*(m-gm))/(any_value(k)-1))/(sum((n-1)*s2)/(any_value(nn)-any_value(k)))', 4)} AS statistic, count(*)::int AS groups FROM p, t"""
+      SELECT '{name}' AS test, {r(ONE_WAY, 4)} AS statistic, {f_tail(ONE_WAY, 'any_value(nn) - 3')} AS p_value, count(*)::int AS groups,
+      {f_tail(ONE_WAY, 'any_value(nn) - 3')} >= 0.05 AS equal_variance FROM p, t"""
 
 
 @query(levene_sql("median", "brown_forsythe"))
 def brown_forsythe(spark, sf):
-    return stat_tests.variance_homogeneity(line(spark, sf), "l_extendedprice", "l_returnflag").select("test", "statistic", "groups")
+    return stat_tests.variance_homogeneity(line(spark, sf), "l_extendedprice", "l_returnflag")
 
 
 @query(levene_sql("avg", "levene"))
 def levene(spark, sf):
-    return stat_tests.variance_homogeneity(line(spark, sf), "l_extendedprice", "l_returnflag", "mean").select("test", "statistic", "groups")
+    return stat_tests.variance_homogeneity(line(spark, sf), "l_extendedprice", "l_returnflag", "mean")
 
 
+WELCH = "q/(k-1)/(1 + 2*(k-2)/(k*k-1)*lam)"
 MOMENTS = "p AS (SELECT l_returnflag AS g, count(*) AS n, avg(l_extendedprice) AS m, var_samp(l_extendedprice) AS s2 FROM lineitem GROUP BY 1)"
 
 
 @query(f"""WITH {MOMENTS}, t AS (SELECT sum(n*m)/sum(n) AS gm, sum(n) AS nn, count(*) AS k FROM p)
-  SELECT 'anova' AS test, {r('(sum(n*(m-gm)*(m-gm))/(any_value(k)-1))/(sum((n-1)*s2)/(any_value(nn)-any_value(k)))', 4)} AS statistic, count(*)::int AS groups FROM p, t""")
+  SELECT 'anova' AS test, {r(ONE_WAY, 4)} AS statistic, {f_tail(ONE_WAY, 'any_value(nn) - 3')} AS p_value, count(*)::int AS groups FROM p, t""")
 def anova(spark, sf):
-    return stat_tests.anova(line(spark, sf), "l_extendedprice", "l_returnflag").select("test", "statistic", "groups")
+    return stat_tests.anova(line(spark, sf), "l_extendedprice", "l_returnflag")
 
 
 @query(f"""WITH {MOMENTS}, w AS (SELECT *, n/s2 AS w FROM p), t AS (SELECT sum(w*m)/sum(w) AS gm, sum(w) AS ww, count(*) AS k FROM w),
   l AS (SELECT sum(pow(1 - w/ww, 2)/(n - 1)) AS lam, sum(w*(m-gm)*(m-gm)) AS q, any_value(k) AS k FROM w, t)
-  SELECT 'welch_anova' AS test, {r('q/(k-1)/(1 + 2*(k-2)/(k*k-1)*lam)', 4)} AS statistic, k::int AS groups FROM l""")
+  SELECT 'welch_anova' AS test, {r(WELCH, 4)} AS statistic, {f_tail(WELCH, '(k*k-1)/(3*lam)')} AS p_value, k::int AS groups FROM l""")
 def welch(spark, sf):
-    return stat_tests.welch_anova(line(spark, sf), "l_extendedprice", "l_returnflag").select("test", "statistic", "groups")
+    return stat_tests.welch_anova(line(spark, sf), "l_extendedprice", "l_returnflag")
 
 
 TWO = "p AS (SELECT l_linestatus AS g, count(*) AS n, avg(l_quantity) AS m, var_samp(l_quantity) AS v FROM lineitem GROUP BY 1), a AS (SELECT * FROM p ORDER BY g LIMIT 1), b AS (SELECT * FROM p ORDER BY g DESC LIMIT 1)"
@@ -92,10 +103,14 @@ def ranks_sql(group: str) -> str:
       s AS (SELECT g, count(*) AS n, sum(rk) AS rs FROM k GROUP BY 1), tt AS (SELECT sum(c::double*c*c - c) AS t, sum(c)::double AS nn FROM (SELECT count(*) AS c FROM lineitem GROUP BY l_quantity))"""
 
 
-@query(f"""WITH {ranks_sql('l_returnflag')} SELECT 'kruskal' AS test,
-  {r('(12.0/(any_value(nn)*(any_value(nn)+1))*sum(rs*rs/n) - 3*(any_value(nn)+1))/(1 - any_value(t)/(any_value(nn)*any_value(nn)*any_value(nn) - any_value(nn)))', 3)} AS statistic, count(*)::int AS groups FROM s, tt""")
+H = "(12.0/(any_value(nn)*(any_value(nn)+1))*sum(rs*rs/n) - 3*(any_value(nn)+1))/(1 - any_value(t)/(any_value(nn)*any_value(nn)*any_value(nn) - any_value(nn)))"
+
+
+# With three groups the chi-square tail is exp(-H / 2).
+@query(f"""WITH {ranks_sql('l_returnflag')} SELECT 'kruskal' AS test, {r(H, 3)} AS statistic, {r(f'exp(-({H})/2.0::double)', 3)} AS p_value, count(*)::int AS groups FROM s, tt""")
 def kruskal(spark, sf):
-    return stat_tests.kruskal(line(spark, sf), "l_quantity", "l_returnflag").select("test", rnd(F.col("statistic"), 3).alias("statistic"), "groups")
+    out = stat_tests.kruskal(line(spark, sf), "l_quantity", "l_returnflag")
+    return out.select("test", rnd(F.col("statistic"), 3).alias("statistic"), rnd(F.col("p_value"), 3).alias("p_value"), "groups")
 
 
 @query(f"""WITH {ranks_sql('l_linestatus')} SELECT 'mann_whitney' AS test, arg_min(rs - n*(n+1)/2.0::double, g) AS statistic, 2::int AS groups FROM s""")
@@ -112,14 +127,24 @@ def spearman(spark, sf):
     return spearman_pair(line(spark, sf), "l_quantity", "l_extendedprice").withColumn("r", rnd(F.col("r"), 4))
 
 
-@query()
+# Pairs are counted per quantity level: at each price, how many lower prices every level has.
+@query(f"""WITH p AS (SELECT l_quantity AS q, l_extendedprice AS v, count(*) AS c FROM lineitem GROUP BY ALL), lv AS (SELECT DISTINCT q AS k FROM p), vs AS (SELECT DISTINCT v FROM p),
+  under AS (SELECT k, vs.v, sum(coalesce(c, 0)) OVER (PARTITION BY k ORDER BY vs.v) - coalesce(c, 0) AS b FROM lv CROSS JOIN vs LEFT JOIN p ON p.q = k AND p.v = vs.v),
+  s AS (SELECT sum(c*b) FILTER (k < q) AS conc, sum(c*b) FILTER (k > q) AS disc FROM p JOIN under USING (v)),
+  n AS (SELECT count(*)::double AS n FROM lineitem), tx AS (SELECT sum(m::double*(m-1)/2) AS t FROM (SELECT count(*) AS m FROM lineitem GROUP BY l_quantity)),
+  ty AS (SELECT sum(m::double*(m-1)/2) AS t FROM (SELECT count(*) AS m FROM lineitem GROUP BY l_extendedprice))
+  SELECT 'l_quantity' AS a, 'l_extendedprice' AS b, {r('(conc - disc)::double/sqrt((n*(n-1)/2 - tx.t)*(n*(n-1)/2 - ty.t))', 4)} AS r, n::bigint AS n FROM s, n, tx, ty""")
 def kendall(spark, sf):
     return kendall_pair(line(spark, sf), "l_quantity", "l_extendedprice").withColumn("r", rnd(F.col("r"), 4))
 
 
-@query()
+# Neither column passes the normality tests, so the ranks are correlated; with so many rows t is normal to three digits.
+@query(f"""WITH {RK}, one AS (SELECT corr(a, b) AS c, count(*) AS n FROM rk), u AS (SELECT *, abs(c)*sqrt((n - 2)/(1 - c*c))/sqrt(2.0::double) AS x FROM one),
+  w AS (SELECT *, 1.0::double/(1.0::double + 0.5::double*x) AS t FROM u) SELECT 'spearman' AS method, {r('c', 4)} AS r, {r(f'2*{ERFC}', 3)} AS p_value, n,
+  CASE WHEN abs(c) >= 0.7 THEN 'fuerte' WHEN abs(c) >= 0.4 THEN 'moderada' WHEN abs(c) >= 0.2 THEN 'debil' ELSE 'muy debil' END AS strength FROM w""")
 def correlation_auto(spark, sf):
-    return stat_tests.correlation_test(line(spark, sf), "l_quantity", "l_extendedprice", "auto")
+    out = stat_tests.correlation_test(line(spark, sf), "l_quantity", "l_extendedprice", "auto")
+    return out.withColumn("p_value", rnd(F.col("p_value"), 3))
 
 
 @query(f"""WITH a AS (SELECT l_returnflag AS g, corr(l_quantity, l_extendedprice) AS r, count(*) AS n FROM lineitem GROUP BY 1), o AS (SELECT corr(l_quantity, l_extendedprice) AS r, count(*) AS n FROM lineitem)
@@ -137,9 +162,17 @@ def simpson_spearman(spark, sf):
     return stat_tests.simpson_verdict(stat_tests.simpson_groups(line(spark, sf), "l_quantity", "l_extendedprice", "l_returnflag"))
 
 
-@query()
+PRICE_RANKS = """k AS (SELECT l_returnflag AS g, rank() OVER (ORDER BY l_extendedprice) + (count(*) OVER (PARTITION BY l_extendedprice) - 1)/2.0::double AS rk FROM lineitem),
+  s AS (SELECT g, count(*) AS n, sum(rk) AS rs FROM k GROUP BY 1), tt AS (SELECT sum(c::double*c*c - c) AS t, sum(c)::double AS nn FROM (SELECT count(*) AS c FROM lineitem GROUP BY l_extendedprice))"""
+
+
+# The groups are not normal, so three of them are compared by ranks; the effect size is eta squared.
+@query(f"""WITH {PRICE_RANKS}, h AS (SELECT {H} AS h FROM s, tt), {MOMENTS}, t AS (SELECT sum(n*m)/sum(n) AS gm FROM p),
+  e AS (SELECT sum(n*(m-gm)*(m-gm)) AS b, sum(n*(m-gm)*(m-gm)) + sum((n-1)*s2) AS a FROM p, t)
+  SELECT 'kruskal' AS test, {r('h', 3)} AS statistic, {r('exp(-h/2.0::double)', 3)} AS p_value, 3::int AS groups, {r('b/a', 4)} AS effect_size, exp(-h/2.0::double) < 0.05 AS rejects FROM h, e""")
 def compare_groups(spark, sf):
-    return stat_tests.compare_groups(line(spark, sf), "l_extendedprice", "l_returnflag")
+    out = stat_tests.compare_groups(line(spark, sf), "l_extendedprice", "l_returnflag")
+    return out.withColumns({"statistic": rnd(F.col("statistic"), 3), "p_value": rnd(F.col("p_value"), 3), "effect_size": rnd(F.col("effect_size"), 4)})
 
 
 # For two predictors the VIF has the closed form 1 / (1 - r^2).
@@ -150,6 +183,15 @@ def vif_two(spark, sf):
     return linear.collinearity(line(spark, sf), ["l_quantity", "l_extendedprice"])["vif"]
 
 
+# Three predictors: the inverse of a 3 x 3 correlation matrix written out.
+@query(f"""WITH c AS (SELECT corr(l_quantity, l_extendedprice) AS ab, corr(l_quantity, l_discount) AS ac, corr(l_extendedprice, l_discount) AS bc FROM lineitem),
+  d AS (SELECT *, 1 + 2*ab*ac*bc - ab*ab - ac*ac - bc*bc AS det FROM c), v AS (SELECT 'l_quantity' AS column_name, (1 - bc*bc)/det AS v FROM d
+    UNION ALL SELECT 'l_extendedprice', (1 - ac*ac)/det FROM d UNION ALL SELECT 'l_discount', (1 - ab*ab)/det FROM d)
+  SELECT column_name, {r('v', 4)} AS vif, CASE WHEN v >= 10 THEN 'severa' WHEN v >= 5 THEN 'relevante' ELSE 'manejable' END AS band FROM v""")
+def vif_three(spark, sf):
+    return linear.collinearity(line(spark, sf), ["l_quantity", "l_extendedprice", "l_discount"])["vif"]
+
+
 @query()
 def vif(spark, sf):
     rows = line(spark, sf).withColumn("echo", F.col("l_quantity") * 2.0 + F.col("l_discount"))
