@@ -27,11 +27,11 @@ TABLE_WORDS = 2**20
 WORD_BYTES = 64
 TABLE_BYTES = 96_000_000
 #: Words that a worker holds, as numbers, between two searches of the table.
-HELD_WORDS = 4_000_000
+HELD_WORDS = 2_000_000
 BUCKETS = 2**17
 _PAIR = 2**32
 _NONE = 2**62
-_SLICE = 400_000
+_SLICE = 200_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:

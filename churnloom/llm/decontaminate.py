@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from .common import append_columns, c, small_batches
+from .common import append_columns, c, fresh, small_batches
 
 Q = 12
 SEGMENT_CHARS = 120
@@ -25,7 +25,7 @@ STRIDE_CHARS = 60
 EDIT_RATE = 0.06
 #: Benchmark characters that are indexed and broadcast at a time, on average.
 BLOCK_CHARS = 2_000_000
-_SLICE_CHARS = 3_000_000
+_SLICE_CHARS = 400_000
 _MULTIPLIERS = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
 
 
@@ -263,7 +263,8 @@ def drop_leaks(
 ) -> DataFrame:
     """The rows of ``docs`` whose text holds no benchmark item in the sense of ``find_leaks``; all columns stay."""
     columns = [c(x) for x in docs.columns]
-    flag = T.StructType([T.StructField("_leaks", T.BooleanType())])
+    name = fresh(docs, "leaks")
+    flag = T.StructType([T.StructField(name, T.BooleanType())])
     out = docs
     for index in blocks(benchmark, item, item_text):
         shared = docs.sparkSession.sparkContext.broadcast(index)
@@ -271,5 +272,5 @@ def drop_leaks(
         def compute(column: pa.Array, shared=shared) -> list[pa.Array]:
             return [pa.array([bool(x) for x in search(shared.value, column.to_pylist())], pa.bool_())]
 
-        out = append_columns(out, text, flag, compute).where(~F.col("_leaks")).select(*columns)
+        out = append_columns(out, text, flag, compute).where(~F.col(name)).select(*columns)
     return out

@@ -27,7 +27,7 @@ MAX_WIDTH_BITS = 28
 MIN_WIDTH_BITS = 16
 CELL_BITS = 20
 FLUSH_WINDOWS = 1_000_000
-SHARD_WINDOWS = 1_500_000
+SHARD_WINDOWS = 1_000_000
 _SLICE_WORDS = 200_000
 _FACTORS = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
 _NO_REF = 2**32 - 1
