@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import append_columns, c
+from .common import append_columns, c, fresh
 
 HIDDEN = 8
 WINDOW = 256
@@ -29,7 +29,7 @@ BATCH = 192
 RATE = 0.02
 MIN_SCORE = 0.5
 UNKNOWN = "und"
-_CHUNK = 4096
+_CHUNK = 2048
 _LETTER = re.compile(rb"[A-Za-z]")
 
 
@@ -282,8 +282,10 @@ def has_letter(text: bytes | None) -> bool:
     return bool(_LETTER.search(text)) or any(map(str.isalpha, text.decode("utf-8", "ignore")))
 
 
-def predict(docs: DataFrame, net: Network, text: str = "text", window: int = WINDOW) -> DataFrame:
-    """All columns of ``docs`` with ``lang_pred`` and ``score``, from the whole text alone.
+def predict(
+    docs: DataFrame, net: Network, text: str = "text", window: int = WINDOW, names: tuple[str, str] = ("lang_pred", "score")
+) -> DataFrame:
+    """All columns of ``docs`` with ``lang_pred`` and ``score`` (or other ``names``), from the whole text alone.
 
     ``lang_pred`` is the language of the highest pooled probability (ties: the first by name) and ``score`` that
     probability. Null texts and texts without a letter, empty ones included, get ``und`` and 0; so does every text
@@ -293,16 +295,16 @@ def predict(docs: DataFrame, net: Network, text: str = "text", window: int = WIN
     def compute(column: pa.Array) -> list[pa.Array]:
         texts = column.cast(pa.binary()).to_pylist()
         readable = np.array([bool(net.languages) and has_letter(t) for t in texts], bool)
-        names = np.full(len(texts), UNKNOWN, object)
+        labels = np.full(len(texts), UNKNOWN, object)
         scores = np.zeros(len(texts))
         if readable.any():
             p = pool(net, [t if ok else b"" for t, ok in zip(texts, readable)], window)
             best = p.argmax(axis=1)
-            names[readable] = np.array(net.languages, object)[best[readable]]
+            labels[readable] = np.array(net.languages, object)[best[readable]]
             scores[readable] = np.minimum(p.max(axis=1)[readable], 1.0)
-        return [pa.array(names.tolist(), pa.string()), pa.array(scores)]
+        return [pa.array(labels.tolist(), pa.string()), pa.array(scores)]
 
-    fields = T.StructType([T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
+    fields = T.StructType([T.StructField(names[0], T.StringType()), T.StructField(names[1], T.DoubleType())])
     return append_columns(docs, text, fields, compute)
 
 
@@ -319,6 +321,6 @@ def learn(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str =
 
 def keep_known(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", min_score: float = MIN_SCORE) -> DataFrame:
     """The rows of ``docs`` whose text is in a learned language with a pooled probability of ``min_score`` or more."""
-    kept = [c(x) for x in docs.columns]
-    told = predict(docs.select(*kept), learn(docs, key, text, lang), text)
-    return told.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= min_score)).select(*kept)
+    name, score = fresh(docs, "lang"), fresh(docs, "score")
+    told = predict(docs, learn(docs, key, text, lang), text, names=(name, score))
+    return told.where((F.col(name) != UNKNOWN) & (F.col(score) >= min_score)).select(*[c(x) for x in docs.columns])

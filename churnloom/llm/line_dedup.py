@@ -54,19 +54,19 @@ def drop_boilerplate(
     kept = [x for x in docs.columns if x.lower() not in ("n_lines", "n_dropped")]
     trimmed = lambda x: F.regexp_replace(x, r"^[ \t\r]+|[ \t\r]+$", "")
     name = F.when(c(site).isNull(), F.lit("-")).otherwise(F.concat(F.lit("+"), c(site).cast("string")))
-    lines = F.split(c(text), "\n")
-    pages = docs.select(name.alias("_site"), F.transform(lines, trimmed).alias("_lines"))
+    pages = docs.select(name.alias("_site"), F.transform(F.split(c(text), "\n"), trimmed).alias("_lines"))
+    # The row travels as one struct, so its columns can't clash with the names used here.
     rows = attach_lists(
-        docs.select(*[c(x) for x in kept], name.alias("_site")),
+        docs.select(F.struct(*[c(x) for x in kept]).alias("_row"), name.alias("_site"), F.split(c(text), "\n").alias("_lines")),
         boilerplate(pages, ratio, min_pages),
         "_site",
         F.size("_codes"),
-        [c(text)],
+        [F.col("_lines")],
         slice_rows,
         "_pages",
     )
-    stays = F.filter(lines, lambda x: ~F.array_contains("_codes", _code(trimmed(x))))
-    rows = rows.withColumn("_stays", F.when(F.col("_codes").isNull(), lines).otherwise(stays))
-    size = lambda x: F.coalesce(F.when(x.isNotNull(), F.size(x)), F.lit(0)).cast("long")
-    out = [F.array_join("_stays", "\n").alias(x) if x == text else c(x) for x in kept]
-    return rows.select(*out, size(lines).alias("n_lines"), (size(lines) - size(F.col("_stays"))).alias("n_dropped"))
+    stays = F.filter("_lines", lambda x: ~F.array_contains("_codes", _code(trimmed(x))))
+    rows = rows.withColumn("_stays", F.when(F.col("_codes").isNull(), F.col("_lines")).otherwise(stays))
+    size = lambda x: F.coalesce(F.when(F.col(x).isNotNull(), F.size(x)), F.lit(0)).cast("long")
+    out = [F.array_join("_stays", "\n").alias(x) if x == text else F.col("_row").getField(x).alias(x) for x in kept]
+    return rows.select(*out, size("_lines").alias("n_lines"), (size("_lines") - size("_stays")).alias("n_dropped"))
