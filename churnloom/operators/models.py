@@ -489,37 +489,50 @@ def recursive_elimination(df: DataFrame, key: str, target: str, features: Sequen
 def permutation_importance(trained: Trained, rows: DataFrame, key: str, target: str, features: Sequence[str] | None = None, repeats: int = 10, seed: int = 42) -> DataFrame:
     """Drop in AUC (or R2) when one feature is shuffled between rows.
 
-    Rows and shuffled values are both numbered in hash order and joined on the number, so the shuffle
-    is a distributed one-to-one exchange.
+    Rows are numbered once, in hash order. In each repeat a row's partner is another row by a one-to-one map of the
+    numbers, so a repeat is one join; all features and repeats are scored in one pass and compared group by group.
     """
-    from .ordered import positions
+    from .ordered import positions, running_sums
 
     features = list(features or trained.features)
-    data = materialize(rows.select(*dict.fromkeys([key, target, *trained.features])).where(F.col(target).isNotNull()), "perm")
-
-    def score(part: DataFrame) -> float:
-        out = trained.model.transform(part)
-        if trained.problem == "classification":
-            s = out.select(num(target).cast("int").alias("a"), vector_to_array("probability")[1].alias("p"))
-            return roc_auc(s, "a", "p", 12).first()["roc_auc"]
-        return regression_metrics(out, target, "prediction", 12).first()["r2"]
-
-    keyed = data.withColumn("label", num(target))
-    base = score(keyed)
-    result = []
-    for f in features:
-        drops = []
-        for r in range(repeats):
-            at = positions(keyed.withColumn("_h", hash_unit(key, seed + 2 * r)), ["_h", key], "_i").drop("_h")
-            values = keyed.select(F.col(f).alias("_v"), hash_unit(key, seed + 2 * r + 1).alias("_h"), key)
-            values = positions(values, ["_h", key], "_i").select("_i", "_v")
-            mixed = at.join(values, "_i").withColumn(f, F.col("_v")).drop("_i", "_v")
-            drops.append(base - score(mixed))
-        result.append((f, round(float(np.mean(drops)), 4), round(float(np.std(drops)), 4)))
-    return data.sparkSession.createDataFrame(result, "feature string, importance double, std double").orderBy(F.desc("importance"), "feature")
-
-
-# --- validation over time and uncertainty -----------------------------------------------------------
+    inputs = list(dict.fromkeys(trained.features))
+    data = rows.where(F.col(target).isNotNull()).select(key, num(target).alias("label"), *inputs)
+    at = materialize(positions(data.withColumn("_h", hash_unit(key, seed)), ["_h", key], "_i").drop("_h"), "perm")
+    n = at.count()
+    rng = np.random.default_rng(seed)
+    maps = []
+    while len(maps) < repeats:
+        step = int(rng.integers(1, max(n, 2)))
+        if math.gcd(step, n) == 1:
+            maps.append((len(maps), step, int(rng.integers(0, max(n, 1)))))
+    # One row per repeat, and one for the unshuffled rows.
+    plan = F.array(*[F.struct(F.lit(r).alias("repeat"), F.lit(m).cast("decimal(20,0)").alias("m"), F.lit(o).alias("o")) for r, m, o in maps])
+    tried = at.withColumn("_plan", F.explode(plan)).withColumn(
+        "_partner", F.pmod(F.col("_i").cast("decimal(20,0)") * F.col("_plan.m") + F.col("_plan.o"), F.lit(n)).cast("bigint")
+    )
+    other = at.select(F.col("_i").alias("_partner"), F.struct(*inputs).alias("_other"))
+    mixed = tried.join(other, "_partner").withColumn("_feature", F.explode(F.array(*[F.lit(f) for f in features])))
+    mixed = mixed.select(
+        key, "label", F.col("_plan.repeat").alias("_repeat"), "_feature",
+        *[F.when(F.col("_feature") == f, F.col(f"_other.{f}")).otherwise(F.col(f)).alias(f) for f in inputs],
+    )
+    plain = at.select(key, "label", F.lit(-1).alias("_repeat"), F.lit("").alias("_feature"), *inputs)
+    out = trained.model.transform(mixed.unionByName(plain))
+    group = ["_feature", "_repeat"]
+    if trained.problem == "classification":
+        scores = out.select(*group, F.col("label").cast("int").alias("y"), vector_to_array("probability")[1].alias("p"))
+        counts = scores.groupBy(*group, "p").agg(F.sum("y").alias("pos"), F.sum(1 - F.col("y")).alias("neg"))
+        ranked, _ = running_sums(counts, group, ["p"], ["neg"])
+        value = F.sum(F.col("pos") * (F.col("before_neg") + F.col("neg") / 2.0)) / (F.sum("pos").cast("double") * F.sum("neg"))
+        scored = ranked.groupBy(*group).agg(value.alias("value"))
+    else:
+        e = F.col("label") - F.col("prediction")
+        scored = out.groupBy(*group).agg((1 - F.sum(e * e) / (F.var_pop("label") * F.count("label"))).alias("value"))
+    found = scored.collect()
+    base = next(r["value"] for r in found if r["_repeat"] == -1)
+    drops = {f: [base - r["value"] for r in found if r["_feature"] == f] for f in features}
+    result = [(f, round(float(np.mean(d)), 4), round(float(np.std(d)), 4)) for f, d in drops.items()]
+    return at.sparkSession.createDataFrame(result, "feature string, importance double, std double").orderBy(F.desc("importance"), "feature")
 
 
 def purged_validation(

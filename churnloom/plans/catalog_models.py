@@ -33,7 +33,7 @@ def train_logistic(spark, sf):
 
 @query()
 def train_forest(spark, sf):
-    return metrics_with_calibration(models.train_classifier(base(spark, sf), KEY, TARGET, FEATURES, "random_forest", trees=40))
+    return metrics_with_calibration(models.train_classifier(base(spark, sf), KEY, TARGET, FEATURES, "random_forest", trees=400))
 
 
 @query()
@@ -48,19 +48,19 @@ def train_mlp(spark, sf):
 
 @query()
 def train_spline(spark, sf):
-    return metrics_with_calibration(models.train_classifier(base(spark, sf), KEY, TARGET, NUMBERS[:4], "spline"))
+    return metrics_with_calibration(models.train_classifier(base(spark, sf), KEY, TARGET, NUMBERS, "spline"))
 
 
 @query()
 def knn_score(spark, sf):
-    return metrics_with_calibration(models.train_classifier(base(spark, sf), KEY, TARGET, NUMBERS[:4], "knn", calibrate=None))
+    return metrics_with_calibration(models.train_classifier(base(spark, sf), KEY, TARGET, NUMBERS, "knn"))
 
 
 @query()
 def train_regressors(spark, sf):
     data, out = base(spark, sf), None
-    for m in ("linear", "ridge", "lasso", "elasticnet"):
-        row = models.train_regressor(data, KEY, "value_12m", NUMBERS[:5], m).metrics.select(F.lit(m).alias("model"), "*")
+    for m in ("linear", "ridge", "lasso", "elasticnet", "random_forest", "gradient_boosting"):
+        row = models.train_regressor(data, KEY, "value_12m", [n for n in NUMBERS if n != "value_12m"], m).metrics.select(F.lit(m).alias("model"), "*")
         out = row if out is None else out.unionByName(row)
     return out
 
@@ -73,12 +73,12 @@ def model_benchmark(spark, sf):
 
 @query()
 def parsimony(spark, sf):
-    return models.parsimony_study(base(spark, sf), KEY, TARGET, FEATURES, (4, 8))["summary"]
+    return models.parsimony_study(base(spark, sf), KEY, TARGET, FEATURES)["summary"]
 
 
 @query()
 def parsimony_cv(spark, sf):
-    return models.select_by_cv_then_bic(base(spark, sf), KEY, TARGET, NUMBERS, (4,), folds=3)
+    return models.select_by_cv_then_bic(base(spark, sf), KEY, TARGET, NUMBERS, (4, 8), folds=5)
 
 
 MI_BINS = 10
@@ -103,8 +103,8 @@ def rfe(spark, sf):
 @query()
 def permutation_importance(spark, sf):
     data = base(spark, sf)
-    trained = models.train_classifier(data, KEY, TARGET, NUMBERS[:4], calibrate=None)
-    return models.permutation_importance(trained, data, KEY, TARGET, repeats=1)
+    trained = models.train_classifier(data, KEY, TARGET, FEATURES, calibrate=None)
+    return models.permutation_importance(trained, data, KEY, TARGET)
 
 
 @query()
@@ -121,23 +121,23 @@ def purged_validation(spark, sf):
 @query()
 def quantile_validation(spark, sf):
     o = table(spark, sf, "orders").withColumn("late", (F.col("o_orderstatus") == "F").cast("int"))
-    return models.quantile_validation(o, "o_orderkey", "late", ["o_totalprice", "o_orderpriority"], "o_orderdate", folds=3)
+    return models.quantile_validation(o, "o_orderkey", "late", ["o_totalprice", "o_orderpriority"], "o_orderdate")
 
 
 @query()
 def bootstrap_intervals(spark, sf):
-    rows, _ = models.bootstrap_intervals(base(spark, sf), KEY, TARGET, NUMBERS[:1] + NUMBERS[4:], "last_order", iterations=8)
+    rows, _ = models.bootstrap_intervals(base(spark, sf), KEY, TARGET, NUMBERS[:1] + NUMBERS[4:], "last_order")
     return rows
 
 
 @query()
 def bootstrap_summary(spark, sf):
-    return models.bootstrap_intervals(base(spark, sf), KEY, TARGET, NUMBERS[:1] + NUMBERS[4:], "last_order", iterations=8)[1]
+    return models.bootstrap_intervals(base(spark, sf), KEY, TARGET, NUMBERS[:1] + NUMBERS[4:], "last_order")[1]
 
 
 @query()
 def multiverse(spark, sf):
-    return models.multiverse(base(spark, sf), KEY, TARGET, NUMBERS[:5], ["monetary", "balance"], trees=20)
+    return models.multiverse(base(spark, sf), KEY, TARGET, FEATURES, ["monetary", "balance"], trees=100)
 
 
 @query()
