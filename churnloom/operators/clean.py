@@ -169,11 +169,16 @@ def levels_of(df: DataFrame, column: str, limit: int = 1000) -> list[str]:
     return sorted(r["v"] for r in found)
 
 
-def dummies(df: DataFrame, columns: Sequence[str], drop_first: bool = True, levels: Mapping[str, list[str]] | None = None) -> tuple[DataFrame, list[str]]:
-    """0/1 columns per level, the first sorted level dropped; null and unseen levels give zeros."""
+def dummies(
+    df: DataFrame, columns: Sequence[str], drop_first: bool = True, levels: Mapping[str, list[str]] | None = None, max_levels: int = 1000
+) -> tuple[DataFrame, list[str]]:
+    """0/1 columns per level, the first sorted level dropped; null and unseen levels give zeros.
+
+    A column of more than ``max_levels`` levels raises: each level becomes a column of the table.
+    """
     added: dict[str, Column] = {}
     for c in columns:
-        known = list(levels[c]) if levels else levels_of(df, c)
+        known = list(levels[c]) if levels else levels_of(df, c, max_levels)
         for v in known[1 if drop_first else 0 :]:
             added[f"{c}_{v}"] = F.when(F.col(c).cast("string") == v, 1.0).otherwise(0.0)
     return df.withColumns(added), list(added)
@@ -357,12 +362,16 @@ def preprocessing_stages(
     scaler: str = "standard",
     power: bool = False,
     output: str = "features",
+    max_levels: int = MAX_LEVELS,
 ) -> list:
-    """Fitted-on-train stages: impute, optional power transform, scale; one-hot with unseen levels as zeros."""
+    """Fitted-on-train stages: impute, optional power transform, scale; one-hot with unseen levels as zeros.
+
+    A categorical column of more than ``max_levels`` levels (counted exactly) raises: each becomes a feature.
+    """
     numeric, categorical = list(numeric), list(categorical)
     if categorical:
-        levels = train.agg(*[F.approx_count_distinct(F.col(c).cast("string")).alias(c) for c in categorical]).first()
-        wide = [c for c in categorical if levels[c] > MAX_LEVELS]
+        levels = train.agg(*[F.count_distinct(F.col(c).cast("string")).alias(c) for c in categorical]).first()
+        wide = [c for c in categorical if levels[c] > max_levels]
         if wide:
             raise ValueError(f"too many levels for one-hot columns: {wide}; use category_codes")
     fills = fill_values(train, numeric, categorical, "mean" if imputer == "mean" else "median")

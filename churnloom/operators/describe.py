@@ -98,15 +98,14 @@ def grouped(df: DataFrame, by: Sequence[str], aggregates: dict[str, Column], dig
 def crosstab_shares(df: DataFrame, row: str, column: str, digits: int = 3) -> DataFrame:
     """Share of each ``column`` value inside each ``row`` value, zero where a pair is absent (long form)."""
     pairs = df.groupBy(row, column).agg(count_rows().alias("n"))
-    levels = [r[0] for r in pairs.select(column).distinct().limit(1001).collect()]
-    if len(levels) > 1000:
-        raise ValueError(f"{column} has too many values for a cross-tab")
-    per = pairs.groupBy(row).agg(
-        F.sum("n").alias("total"), F.map_from_entries(F.collect_list(F.struct(F.coalesce(column, F.lit("<NA>")), "n"))).alias("m")
-    )
-    value = F.explode(F.array(*[F.lit(v if v is not None else "<NA>") for v in levels]))
-    grid = per.select(row, "total", "m", value.alias(column))
-    return grid.select(row, column, rnd(F.coalesce(F.try_element_at("m", F.col(column)), F.lit(0)) / F.col("total"), digits).alias("share"))
+    named = pairs.withColumn("_level", F.coalesce(F.col(column).cast("string"), F.lit("<NA>"))).withColumn("_row", F.to_json(F.struct(row)))
+    # One row that holds the levels: as many as the result has columns in its wide form.
+    levels = named.agg(F.array_sort(F.collect_set("_level")).alias("_levels"))
+    per = named.groupBy("_row").agg(F.first(row).alias(row), F.sum("n").alias("_total"))
+    grid = per.crossJoin(F.broadcast(levels)).withColumn("_level", F.explode("_levels")).drop("_levels")
+    counts = named.groupBy("_row", "_level").agg(F.sum("n").alias("n"))
+    filled = grid.join(counts, ["_row", "_level"], "left")
+    return filled.select(row, F.col("_level").alias(column), rnd(F.coalesce("n", F.lit(0)) / F.col("_total"), digits).alias("share"))
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str], method: str = "pearson", digits: int = 4) -> DataFrame:

@@ -293,7 +293,8 @@ def goldfeld_quandt(result: OlsResult, drop: float = 0.2) -> tuple[str, float, f
         return by, float("nan"), float("nan")
     cut = min(max(int(n * drop), 1), max(n - 2 * (len(result.names) + 5), 0))
     half = (n - cut) // 2
-    placed = positions(base, [by, "_y"])
+    # Rows that agree in all of these are interchangeable, so the cut does not depend on chance.
+    placed = positions(base, [by, "_y", *[c for c in result.names if c != by]])
     a, b = (fit(placed, result.names, F.col("_y"), where) for where in (F.col("position") < half, F.col("position") >= half + cut))
     k = len(result.names) + 1
     da, db = a.gram.n - k, b.gram.n - k
@@ -328,6 +329,7 @@ def dispersion_audit(result: OlsResult, alpha: float = 0.05, group: str | None =
     rho = with_average_ranks(slim, {"fitted": "_a", "abs_residual": "_b"}).agg(F.corr("_a", "_b")).first()[0]
     rejected = sum(bool(t[3]) for t in tests)
     visual = (spread is not None and spread >= 1.25) or (rho is not None and abs(rho) >= 0.2)
+    # The four verdict texts and their relevance.
     if rejected == 0 and not visual:
         verdict, relevance = "sin evidencia relevante de heterocedasticidad", "baja"
     elif rejected >= 2 and visual:
@@ -348,8 +350,10 @@ def dispersion_audit(result: OlsResult, alpha: float = 0.05, group: str | None =
 
 
 def influence_report(result: OlsResult, top: int = 20) -> DataFrame:
-    """The rows with the largest Cook's distance."""
-    return result.residuals.orderBy(F.desc("cooks_distance")).limit(top)
+    """The rows with the largest Cook's distance; ties go by the kept columns, then by the predictors."""
+    made = ("_y", "fitted", "leverage", "residual", "standard_residual", "cooks_distance")
+    kept = [c for c in result.residuals.columns if c not in made and c not in result.names]
+    return result.residuals.orderBy(F.desc("cooks_distance"), *kept, "_y", *result.names).limit(top)
 
 
 def linear_contributions(df: DataFrame, coefficients: dict[str, float], means: dict[str, float]) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..functions.scalar import rnd
 from ..operators import charts, linear, stat_tests
 from ..operators.describe import kendall_pair, spearman_pair
-from .base import customers, table
+from .base import CUSTOMERS, customers, table
 from .registry import query, r
 
 
@@ -43,10 +43,60 @@ def lilliefors(spark, sf):
     return stat_tests.edf_statistics(line(spark, sf), "l_extendedprice").select("n", rnd(F.col("lilliefors_d"), 4).alias("lilliefors_d"))
 
 
-@query()
+def horner(coefficients: list[str], x: str) -> str:
+    out = coefficients[0]
+    for c in coefficients[1:]:
+        out = f"({out}*{x} + {c})"
+    return out
+
+
+def erfc_tail(x: str) -> str:
+    """Upper normal tail at |z|, with x = |z| / sqrt(2)."""
+    return ERFC.replace("t*", "(1.0::double/(1.0::double + 0.5::double*(X_)))*").replace("-x*x", "-(X_)*(X_)").replace("X_", x)
+
+
+# The published coefficients of the normal quantile, as in the library.
+QUANTILE = [
+    ["-3.969683028665376e01", "2.209460984245205e02", "-2.759285104469687e02", "1.383577518672690e02", "-3.066479806614716e01", "2.506628277459239e00"],
+    ["-5.447609879822406e01", "1.615858368580409e02", "-1.556989798598866e02", "6.680131188771972e01", "-1.328068155288572e01", "1.0"],
+    ["-7.784894002430293e-03", "-3.223964580411365e-01", "-2.400758277161838e00", "-2.549732539343734e00", "4.374664141464968e00", "2.938163982698783e00"],
+    ["7.784695709041462e-03", "3.224671290700398e-01", "2.445134137142996e00", "3.754408661907416e00", "1.0"],
+]
+_A, _B, _C, _D = QUANTILE
+
+
+def normality_ctes(rows: str) -> str:
+    """Per group ``g`` of ``rows`` (g, v): n, W', A2, D and the Jarque-Bera statistic with their p-values."""
+    mid = f"({horner(_A, '(p-0.5)*(p-0.5)')}*(p-0.5)/{horner(_B, '(p-0.5)*(p-0.5)')})"
+    end = f"({horner(_C, 'e')}/{horner(_D, 'e')})"
+    return f"""nv AS ({rows}), ns AS (SELECT g, count(*)::double AS n, avg(v) AS m, stddev_samp(v) AS sd, stddev_pop(v) AS sp FROM nv GROUP BY g),
+      nk AS (SELECT g, avg(pow((v - m)/sp, 3)) AS s, avg(pow((v - m)/sp, 4)) - 3 AS k FROM nv JOIN ns USING (g) GROUP BY g),
+      nd AS (SELECT g, v, count(*)::double AS c FROM nv GROUP BY ALL), nu AS (SELECT *, sum(c) OVER (PARTITION BY g ORDER BY v) AS up FROM nd),
+      nz AS (SELECT nu.*, n, (v - m) AS x, (v - m)/sd AS z, abs((v - m)/sd)/sqrt(2.0::double) AS ax, (up - (c - 1)/2.0::double - 0.375::double)/(n + 0.25::double) AS p FROM nu JOIN ns USING (g)),
+      nt AS (SELECT *, {erfc_tail('ax')} AS tail, sqrt(-2.0::double*ln(least(p, 1.0::double - p))) AS e FROM nz),
+      nl AS (SELECT *, greatest(CASE WHEN z >= 0 THEN 1 - tail ELSE tail END, 1e-300) AS lo, greatest(CASE WHEN z >= 0 THEN tail ELSE 1 - tail END, 1e-300) AS hi,
+        CASE WHEN abs(p - 0.5) <= 0.47575 THEN {mid} WHEN p < 0.5 THEN {end} ELSE -{end} END AS y FROM nt),
+      na AS (SELECT g, any_value(n) AS n, max(greatest(up/n - lo, lo - (up - c)/n)) AS d,
+        -any_value(n) - sum(((up*up - (up - c)*(up - c))*ln(lo) + ((n - up + c)*(n - up + c) - (n - up)*(n - up))*ln(hi))/n) AS a2,
+        pow(sum(c*x*y) - sum(c*x)*sum(c*y)/any_value(n), 2)/((sum(c*x*x) - pow(sum(c*x), 2)/any_value(n))*(sum(c*y*y) - pow(sum(c*y), 2)/any_value(n))) AS w FROM nl GROUP BY g),
+      nb AS (SELECT *, n/6.0::double*(s*s + k*k/4.0::double) AS jb, a2*(1 + 0.75::double/n + 2.25::double/(n*n)) AS a, least(n, 100) AS ln_, d*CASE WHEN n > 100 THEN pow(n/100.0::double, 0.49::double) ELSE 1 END AS ld,
+        (ln(greatest(1 - w, 1e-300)) - (-1.2725::double + 1.0521::double*(ln(ln(n)) - ln(n))))/(1.0308::double - 0.26758::double*(ln(ln(n)) + 2/ln(n))) AS fz FROM na JOIN nk USING (g)),
+      np AS (SELECT *, exp(-jb/2) AS p_jb,
+        least(exp(-7.01256::double*ld*ld*(ln_ + 2.78019::double) + 2.99587::double*ld*sqrt(ln_ + 2.78019::double) - 0.122119::double + 0.974598::double/sqrt(ln_) + 1.67997::double/ln_), 1.0::double) AS p_d,
+        greatest(0.0::double, least(1.0::double, CASE WHEN a >= 153 THEN 0.0::double WHEN a >= 0.6 THEN exp(1.2937::double - 5.709::double*a + 0.0186::double*a*a) WHEN a > 0.34 THEN exp(0.9177::double - 4.279::double*a - 1.38::double*a*a)
+          WHEN a > 0.2 THEN 1 - exp(-8.318::double + 42.796::double*a - 59.938::double*a*a) ELSE 1 - exp(-13.436::double + 101.14::double*a - 223.73::double*a*a) END)) AS p_a,
+        CASE WHEN fz >= 0 THEN {erfc_tail('(abs(fz)/sqrt(2.0::double))')} ELSE 1 - {erfc_tail('(abs(fz)/sqrt(2.0::double))')} END AS p_w FROM nb)"""
+
+
+VOTES = "(p_w < 0.05)::int + (p_a < 0.05)::int + (p_d < 0.05)::int + (p_jb < 0.05)::int"
+
+
+@query(f"""WITH {normality_ctes("SELECT 1 AS g, l_extendedprice AS v FROM lineitem")}, t AS (
+    SELECT 'shapiro_francia' AS test, w AS s, p_w AS p, n, {VOTES} AS votes FROM np UNION ALL SELECT 'anderson_darling', a2, p_a, n, {VOTES} FROM np
+    UNION ALL SELECT 'lilliefors', d, p_d, n, {VOTES} FROM np UNION ALL SELECT 'jarque_bera', jb, p_jb, n, {VOTES} FROM np)
+  SELECT test, {r('s', 3)} AS statistic, {r('p', 4)} AS p_value, p < 0.05 AS rejects, n::bigint AS "rows", votes <= 2 AS is_normal FROM t""")
 def normality(spark, sf):
-    li = table(spark, sf, "lineitem").withColumn("row_key", F.concat_ws("|", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity"))
-    return stat_tests.normality(li, "l_extendedprice")
+    return stat_tests.normality(table(spark, sf, "lineitem"), "l_extendedprice").withColumn("statistic", rnd(F.col("statistic"), 3))
 
 
 ONE_WAY = "(sum(n*(m-gm)*(m-gm))/(any_value(k)-1))/(sum((n-1)*s2)/(any_value(nn)-any_value(k)))"
@@ -257,7 +307,12 @@ def durbin_watson(spark, sf):
     return linear.durbin_watson(o.withColumn("e", F.col("o_totalprice") - mean), "e", ["o_orderdate", "o_orderkey"])
 
 
-@query()
+# One categorical predictor: the fit is the group mean and the leverage one over the group's rows.
+@query(f"""WITH g AS (SELECT o_orderpriority, avg(o_totalprice) AS m, count(*)::double AS n FROM orders GROUP BY 1),
+  e AS (SELECT o_orderkey, o_totalprice - m AS e, 1.0::double/n AS h FROM orders JOIN g USING (o_orderpriority)),
+  s AS (SELECT sum(e*e)/(count(*) - (SELECT count(*) FROM g)) AS s2, (SELECT count(*) FROM g) AS k FROM e),
+  c AS (SELECT o_orderkey, e*e*h/(k*s2*(1-h)*(1-h)) AS cooks, h, e/sqrt(s2*(1-h)) AS z FROM e, s)
+  SELECT o_orderkey, {r('cooks', 6)} AS cooks_distance, {r('h', 6)} AS leverage, {r('z', 4)} AS standard_residual FROM c ORDER BY cooks DESC, o_orderkey LIMIT 10""")
 def influence(spark, sf):
     result = linear.ols(table(spark, sf, "orders"), "o_totalprice", ["o_orderpriority"], keep=["o_orderkey"])
     top = linear.influence_report(result, 10)
@@ -275,6 +330,7 @@ def chart_residuals(spark, sf):
     return charts.binned_pairs(result.residuals, F.col("fitted"), F.col("residual"), 10)
 
 
-@query()
+@query(f"""WITH {CUSTOMERS}, {normality_ctes("SELECT segment AS g, balance::double AS v FROM people")}
+  SELECT g AS "group", n::bigint AS n, {r('p_w', 4)} AS p_francia, {r('p_a', 4)} AS p_anderson, {r('p_d', 4)} AS p_lilliefors, {r('p_jb', 4)} AS p_jarque_bera, {VOTES} <= 2 AS is_normal FROM np""")
 def group_normality(spark, sf):
     return stat_tests.group_normality(customers(spark, sf), "balance", "segment")
