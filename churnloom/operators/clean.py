@@ -289,15 +289,19 @@ def power_lambdas(
     for _ in range(refinements):
         grids = {c: [low + (high - low) * i / (steps - 1) for i in range(steps)] for c, (low, high) in spans.items()}
         known = F.create_map(*[x for c, g in grids.items() for x in (F.lit(c), F.array(*[F.lit(k) for k in g]))])
+        # One row per value throughout: the grid is as many variances beside it.
+        spread = [F.var_pop(transform(F.col("value"), F.col("_grid")[i])).alias(f"v{i}") for i in range(steps)]
         found = (
-            cells.select("column_name", "value", F.explode(known[F.col("column_name")]).alias("k"))
-            .groupBy("column_name", "k")
-            .agg(F.count("value").alias("n"), F.sum(slope).alias("j"), F.var_pop(transform(F.col("value"), F.col("k"))).alias("v"))
+            cells.withColumn("_grid", known[F.col("column_name")])
+            .groupBy("column_name")
+            .agg(F.count("value").alias("n"), F.sum(slope).alias("j"), *spread)
         )
         scores: dict[str, dict[float, float]] = {}
         for r in found.collect():
-            if r["v"] is not None and 0 < r["v"] < math.inf:
-                scores.setdefault(r["column_name"], {})[r["k"]] = -r["n"] / 2 * math.log(r["v"]) + (r["k"] - 1) * r["j"]
+            for i, k in enumerate(grids[r["column_name"]]):
+                v = r[f"v{i}"]
+                if v is not None and 0 < v < math.inf:
+                    scores.setdefault(r["column_name"], {})[k] = -r["n"] / 2 * math.log(v) + (k - 1) * r["j"]
         for c, per in scores.items():
             best[c] = max(per, key=per.get)
             step = (spans[c][1] - spans[c][0]) / (steps - 1)
