@@ -19,17 +19,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import c, fresh, materialize, small_batches
+from .common import c, fresh, materialize, short_plans, small_batches
 
 RANKS = "byte_bpe_50k.tiktoken"
 #: The broadcast table of words and ids: its words, the bytes of a word, and the bytes of the whole.
-TABLE_WORDS = 2**20
+TABLE_WORDS = 2**19
 WORD_BYTES = 64
 TABLE_BYTES = 96_000_000
 #: Words that a worker holds, as numbers, between two searches of the table.
 HELD_WORDS = 2_000_000
-BUCKETS = 2**17
-_PAIR = 2**32
+BUCKETS = 2**16
 _NONE = 2**62
 _SLICE = 200_000
 
@@ -59,26 +58,26 @@ def _slot(left, right):
     return (left * 7919 + right) % BUCKETS
 
 
-def pair_map(ranks: dict[bytes, int]) -> Column:
+def pair_map(ranks: dict[bytes, int], unit: int) -> Column:
     """The ranked merges as one literal: for each slot its pairs, each followed by the rank of the joined piece.
 
-    A pair of ids (a, b) is the number (a + 1) * 2**32 + b, above every rank, so that a pair that isn't found reads
-    as a number that is no rank. Spark searches a map in a row, and so the pairs are dealt over slots.
+    A pair of ids (a, b) is the number (a + 1) * unit + b. ``unit`` is above every rank, so that a pair that isn't found
+    reads as a number that is no rank. Spark searches a map in a row, and so the pairs are dealt over slots.
     """
     slots: list[list[int]] = [[] for _ in range(BUCKETS)]
     for piece, rank in ranks.items():
         for i in range(1, len(piece)):
             left, right = ranks.get(piece[:i]), ranks.get(piece[i:])
             if left is not None and right is not None:
-                slots[_slot(left, right)] += [(left + 1) * _PAIR + right, rank]
+                slots[_slot(left, right)] += [(left + 1) * unit + right, rank]
     # from_json of a constant is folded into a literal by the optimizer.
-    return F.from_json(F.lit(json.dumps([x or [_NONE] for x in slots], separators=(",", ":"))), "array<array<bigint>>")
+    return F.from_json(F.lit(json.dumps([x or [unit * (unit + 1)] for x in slots], separators=(",", ":"))), "array<array<bigint>>")
 
 
-def _rank(pairs: Column, left: Column, right: Column) -> Column:
-    """Rank of two joined pieces by their ids; ``_PAIR`` or more if they are no piece."""
-    slot = pairs[_slot(left, right).cast("int")]
-    return F.get(slot, F.array_position(slot, (left + 1) * _PAIR + right).cast("int"))
+def _rank(m: Column, unit: int, left: Column, right: Column) -> Column:
+    """Rank of two joined pieces by their ids; ``unit`` or more if they are no piece."""
+    slot = m["pairs"][_slot(left, right).cast("int")]
+    return F.get(slot, F.array_position(slot, (left + 1) * unit + right).cast("int"))
 
 
 def merge_bytes(word: bytes, ranks: dict[bytes, int]) -> list[bytes]:
@@ -92,7 +91,7 @@ def merge_bytes(word: bytes, ranks: dict[bytes, int]) -> list[bytes]:
     return p
 
 
-def _fold(pairs: Column, single: Column, word: Column) -> Column:
+def _fold(m: Column, unit: int, word: Column) -> Column:
     """Token ids of one word: merges the leftmost pair of lowest rank until no pair has a rank."""
     none = F.array().cast("array<bigint>")
 
@@ -102,24 +101,24 @@ def _fold(pairs: Column, single: Column, word: Column) -> Column:
         def at(found: Column) -> Column:
             # ``i`` is the place of the pair, ``x`` the joined piece; its neighbours' ranks are looked up again.
             i, x = found["i"], found["x"]
-            left = F.when(i > 1, F.array(_rank(pairs, p[i - 2], x))).otherwise(none)
-            right = F.when(i < F.size(r), F.array(_rank(pairs, x, p[i + 1]))).otherwise(none)
+            left = F.when(i > 1, F.array(_rank(m, unit, p[i - 2], x))).otherwise(none)
+            right = F.when(i < F.size(r), F.array(_rank(m, unit, x, p[i + 1]))).otherwise(none)
             pieces = F.concat(F.slice(p, F.lit(1), i - 1), F.array(x), F.slice(p, i + 2, F.size(p)))
             near = F.concat(F.slice(r, F.lit(1), F.greatest(i - 2, F.lit(0))), left, right, F.slice(r, i + 2, F.size(r)))
             return F.struct(pieces.alias("p"), near.alias("r"))
 
         least = F.array_min(r)
         place = F.struct(F.array_position(r, least).cast("int").alias("i"), least.alias("x"))
-        return F.when(F.coalesce(least, F.lit(_NONE)) >= _PAIR, state).otherwise(_let(place, at))
+        return F.when(F.coalesce(least, F.lit(_NONE)) >= unit, state).otherwise(_let(place, at))
 
     def start(p: Column) -> Column:
-        near = F.when(F.size(p) < 2, none).otherwise(F.zip_with(F.slice(p, F.lit(1), F.size(p) - 1), F.slice(p, F.lit(2), F.size(p)), lambda x, y: _rank(pairs, x, y)))
+        near = F.when(F.size(p) < 2, none).otherwise(F.zip_with(F.slice(p, F.lit(1), F.size(p) - 1), F.slice(p, F.lit(2), F.size(p)), lambda x, y: _rank(m, unit, x, y)))
         rounds = F.sequence(F.lit(1), F.greatest(F.size(p) - 1, F.lit(1)))
         return F.aggregate(rounds, F.struct(p.alias("p"), near.alias("r")), lambda state, _: merge(state), lambda state: state["p"])
 
     # Each byte as one character, then as the id of the single byte.
     letters = F.split(F.decode(F.encode(word, "UTF-8"), "ISO-8859-1"), "")
-    return _let(F.transform(letters, lambda x: single[F.ascii(x)]), start)
+    return _let(F.transform(letters, lambda x: m["single"][F.ascii(x)]), start)
 
 
 class Merges:
@@ -127,12 +126,13 @@ class Merges:
 
     def __init__(self, ranks: dict[bytes, int]):
         single = F.from_json(F.lit(json.dumps([ranks.get(bytes([i]), _NONE) for i in range(256)])), "array<bigint>")
-        self.literals = F.array(F.struct(pair_map(ranks).alias("pairs"), single.alias("single")))
+        self.unit = 1 << max(ranks.values(), default=0).bit_length()
+        self.literals = F.array(F.struct(pair_map(ranks, self.unit).alias("pairs"), single.alias("single")))
         # A piece that its own merges don't reach is one id all the same, where it is a word by itself.
         self.odd = {p.hex().upper(): rank for p, rank in ranks.items() if len(p) > 1 and merge_bytes(p, ranks) != [p]}
 
     def ids(self, m: Column, word: Column) -> Column:
-        folded = _fold(m["pairs"], m["single"], word)
+        folded = _fold(m, self.unit, word)
         if not self.odd:
             return folded
         one = F.from_json(F.lit(json.dumps(self.odd)), "map<string,bigint>")[F.hex(F.encode(word, "UTF-8"))]
@@ -225,12 +225,16 @@ def encode(
     ranks = read_ranks(path or public_tokenizers.path(RANKS))
     spark: SparkSession = docs.sparkSession
     small_batches(spark)
+    short_plans(spark)
     merges = Merges(ranks)
     table = word_table(docs, text, merges, pattern, table_words).combine_chunks()
     words = table["word"].combine_chunks() if len(table) else pa.array([], pa.string())
     ids = table["ids"].combine_chunks() if len(table) else pa.array([], pa.list_(pa.int32()))
     shared = spark.sparkContext.broadcast(words)
-    lists = spark.sparkContext.broadcast((np.diff(_offsets(ids)), ids.flatten().to_numpy().astype(np.int32), Pieces(ranks)))
+    lists = spark.sparkContext.broadcast((np.diff(_offsets(ids)).astype(np.int32), ids.flatten().to_numpy().astype(np.int32), Pieces(ranks)))
+    # The table lives on in the broadcasts' files only.
+    del table, words, ids
+    pa.default_memory_pool().release_unused()
 
     taken = {x.lower() for x in outputs}
     kept = [x for x in docs.columns if x.lower() not in taken]

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from ..session import materialize
 
-__all__ = ["append_columns", "attach_lists", "blob_rows", "c", "fresh", "materialize", "small_batches"]
+__all__ = ["append_columns", "attach_lists", "blob_rows", "c", "fresh", "materialize", "short_plans", "small_batches"]
 
 #: Entries of a list table that may be broadcast; at 16 to 40 bytes each this is at most 20 MB.
 BROADCAST_ENTRIES = 500_000
@@ -64,6 +64,14 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(name, str(BATCH_ROWS))
 
 
+def short_plans(spark: SparkSession, most: int = 100_000) -> None:
+    """Limits the characters that the session prints of a plan, for plans that hold a large literal; a set limit stays."""
+    name, unlimited = "spark.sql.maxPlanStringLength", 2_000_000_000
+    value = spark.conf.get(name).rstrip("bB")
+    if value.isdigit() and int(value) > unlimited:
+        spark.conf.set(name, str(most))
+
+
 def blob_rows(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[list[bytes | None]]:
     """The UTF-8 bytes of a text column, batch by batch."""
     for batch in batches:
