@@ -29,6 +29,8 @@ CELL_BITS = 20
 FLUSH_WINDOWS = 1_000_000
 SHARD_WINDOWS = 1_000_000
 _SLICE_WORDS = 200_000
+#: Words of the runs by which windows are dealt to shards.
+ANCHOR_WORDS = 5
 _FACTORS = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
 _NO_REF = 2**32 - 1
 _ALL = b"all"
@@ -60,8 +62,23 @@ def window_hashes(words: np.ndarray, size: int) -> list[np.ndarray]:
     return out
 
 
+def anchors(words: np.ndarray, size: int) -> np.ndarray:
+    """For each window of ``size`` words the smallest hash of its runs of ``ANCHOR_WORDS`` words.
+
+    Equal windows have equal anchors, and neighbouring windows mostly share theirs.
+    """
+    run = min(ANCHOR_WORDS, size)
+    low, width = window_hashes(words, run)[0], 1
+    while 2 * width <= size - run + 1:
+        low = np.minimum(low[: len(low) - width], low[width:])
+        width *= 2
+    rest = size - run + 1 - width
+    return np.minimum(low[: len(low) - rest], low[rest:]) if rest else low
+
+
 def _groups(texts: list[bytes | None], marks: list, window: int) -> Iterator[tuple[list, np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]]:
-    """Windows of distinct texts, some at a time: (marks, copies of each text here, text and word index of each window, hashes)."""
+    """Windows of distinct texts, some at a time: (marks, copies of each text here, text and word index of each window,
+    hashes: two of the window and its anchor)."""
     seen: dict = {}
     order = []
     for text, mark in zip(texts, marks):
@@ -77,7 +94,7 @@ def _groups(texts: list[bytes | None], marks: list, window: int) -> Iterator[tup
         words = np.concatenate(parts)
         n = np.array(sizes)
         start = np.cumsum(n) - n
-        hashes = window_hashes(words, window)
+        hashes = [*window_hashes(words, window), anchors(words, window)]
         text = np.repeat(np.arange(len(n)), n - window + 1)
         place = np.arange(len(text)) - np.repeat(np.cumsum(n - window + 1) - (n - window + 1), n - window + 1)
         at = start[text] + place
@@ -213,10 +230,10 @@ def repeated_starts(docs: DataFrame, text: str, window: int = WINDOW_WORDS, max_
             return int.from_bytes(mark[:4], "little") % shards
 
         def flush() -> Iterator[pa.RecordBatch]:
-            h1, h2, owner, place, sure = (np.concatenate(x) for x in zip(*held))
+            h1, h2, anchor, owner, place, sure = (np.concatenate(x) for x in zip(*held))
             held.clear()
             order = np.lexsort((h2, h1))
-            h1, h2, owner, place, sure = h1[order], h2[order], owner[order], place[order], sure[order]
+            h1, h2, anchor, owner, place, sure = h1[order], h2[order], anchor[order], owner[order], place[order], sure[order]
             new = np.ones(len(h1), bool)
             new[1:] = (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])
             run = np.cumsum(new) - 1
@@ -237,7 +254,8 @@ def repeated_starts(docs: DataFrame, text: str, window: int = WINDOW_WORDS, max_
             send = new
             owner, place = np.where(known, _NO_REF, owner)[send], np.where(known, 0, place)[send]
             h1, h2 = h1[send], h2[send]
-            shard = (h1 % np.uint64(shards)).astype(np.int64)
+            # By anchor, so that a text's windows go to as many shards as it has anchors, however many shards there are.
+            shard = (anchor[send] % np.uint64(shards)).astype(np.int64)
             o = np.lexsort((place, owner, shard))
             h1, h2, owner, place, shard = h1[o], h2[o], owner[o], place[o], shard[o]
             cuts = np.searchsorted(shard, np.arange(shards + 1))
@@ -266,7 +284,7 @@ def repeated_starts(docs: DataFrame, text: str, window: int = WINDOW_WORDS, max_
                 )
             first, second = _cells(hashes[0], bits)
             passed = np.flatnonzero(_bit(row0, first) & _bit(row1, second))
-            held.append((hashes[0][passed], (hashes[1][passed] >> np.uint64(32)).astype(np.uint32), owner[passed] + len(marks), place[passed], copies[owner[passed]] > 1))
+            held.append((hashes[0][passed], (hashes[1][passed] >> np.uint64(32)).astype(np.uint32), hashes[2][passed], owner[passed] + len(marks), place[passed], copies[owner[passed]] > 1))
             marks += own
             count += len(passed)
             if count >= FLUSH_WINDOWS or len(marks) > 500_000:

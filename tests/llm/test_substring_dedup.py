@@ -65,5 +65,14 @@ def test_sketch_never_undercounts(spark):
             assert substring_dedup._bit(a, first)[0] and substring_dedup._bit(b, second)[0]
 
 
+def test_anchors_are_window_minima():
+    words = np.random.default_rng(1).integers(0, 2**63, 60).astype(np.uint64)
+    for size in (3, 5, 6, 20, 35, 60):
+        runs = substring_dedup.window_hashes(words, min(5, size))[0]
+        wide = size - min(5, size) + 1
+        want = [runs[i : i + wide].min() for i in range(60 - size + 1)]
+        assert substring_dedup.anchors(words, size).tolist() == want
+
+
 def test_empty_table(spark):
     assert substring_dedup.remove_repeats(spark.createDataFrame([], SCHEMA)).collect() == []
