@@ -146,7 +146,7 @@ FROM o GROUP BY conv_id, part, perspective"""
 
 @_query(CHAT_SQL)
 def op2_chat_format(spark, sf):
-    out = chat_format.rotate(_table(spark, sf, "conversations"))
+    out = chat_format.rotate_whole(_table(spark, sf, "conversations"))
     spans = F.array_join(F.transform("mask", lambda s: F.concat(s["start"], F.lit("-"), s["end"])), ",")
     return out.withColumn("mask", spans)
 
