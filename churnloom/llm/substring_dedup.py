@@ -27,7 +27,11 @@ MAX_WIDTH_BITS = 28
 MIN_WIDTH_BITS = 16
 CELL_BITS = 20
 FLUSH_WINDOWS = 1_000_000
+#: A shard is planned for at most twice as many windows.
 SHARD_WINDOWS = 1_000_000
+#: Anchors are counted in so many buckets, by which windows are dealt to shards, and these counts merged in so many pieces.
+BUCKET_BITS = 16
+BUCKET_PIECES = 16
 _SLICE_WORDS = 200_000
 #: Words of the runs by which windows are dealt to shards.
 ANCHOR_WORDS = 5
@@ -128,8 +132,36 @@ def _batches(batches: Iterator[pa.RecordBatch], window: int):
         yield from _groups(batch.column(1).cast(pa.binary()).to_pylist(), batch.column(0).to_pylist(), window)
 
 
+def _bucket(anchor: np.ndarray) -> np.ndarray:
+    return (anchor & np.uint64(2**BUCKET_BITS - 1)).astype(np.int64)
+
+
+def plan_shards(loads: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, int]:
+    """First shard and number of shards of each bucket, and all shards, so that no shard is planned for over ``most`` windows.
+
+    Buckets share shards while they fit; one of more than ``most`` windows has shards of its own, among which its
+    windows are dealt by their hash. Equal windows have anchor and hash alike, so they still meet.
+    """
+    parts = np.maximum(-(-loads // most), 1)
+    first = np.zeros(len(loads), np.int64)
+    shard, held = 0, 0
+    for k in np.flatnonzero(parts == 1).tolist():
+        if held + int(loads[k]) > most:
+            shard, held = shard + 1, 0
+        first[k] = shard
+        held += int(loads[k])
+    large = np.flatnonzero(parts > 1)
+    first[large] = shard + 1 + np.cumsum(parts[large]) - parts[large]
+    return first, parts, int(shard + 1 + parts[large].sum())
+
+
 def sketch(docs: DataFrame, text: str, window: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
     """For each row of the sketch the bits of its counters that reach two, over all windows of all texts."""
+    return sketch_and_loads(docs, text, window, bits)[:2]
+
+
+def sketch_and_loads(docs: DataFrame, text: str, window: int, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The rows of ``sketch``, and how many windows of distinct texts of a batch have their anchor in each bucket."""
     cell_bits = min(CELL_BITS, bits)
     per_row = 1 << (bits - cell_bits)
 
@@ -137,6 +169,7 @@ def sketch(docs: DataFrame, text: str, window: int, bits: int) -> tuple[np.ndarr
         packer = zstandard.ZstdCompressor(level=1)
         rows: list[list[np.ndarray]] = [[], []]
         held = 0
+        loads = np.zeros(1 << BUCKET_BITS, np.int64)
 
         def flush() -> Iterator[pa.RecordBatch]:
             cells, data = [], []
@@ -152,6 +185,7 @@ def sketch(docs: DataFrame, text: str, window: int, bits: int) -> tuple[np.ndarr
             yield pa.RecordBatch.from_arrays([pa.array(cells, pa.int32()), pa.array(data, pa.binary())], names=["cell", "data"])
 
         for _, copies, owner, _, hashes in _batches(batches, window):
+            np.add(loads, np.bincount(_bucket(hashes[2]), minlength=len(loads)), out=loads)
             again = copies[owner] > 1
             for r, index in enumerate(_cells(hashes[0], bits)):
                 rows[r] += [index.astype(np.uint32), index[again].astype(np.uint32)]
@@ -161,14 +195,19 @@ def sketch(docs: DataFrame, text: str, window: int, bits: int) -> tuple[np.ndarr
                 held = 0
         if held:
             yield from flush()
+        if loads.any():
+            pieces = [packer.compress(x.tobytes()) for x in np.split(loads, BUCKET_PIECES)]
+            cells = range(2 * per_row, 2 * per_row + BUCKET_PIECES)
+            yield pa.RecordBatch.from_arrays([pa.array(cells, pa.int32()), pa.array(pieces, pa.binary())], names=["cell", "data"])
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows come sorted by cell, so one cell's counters are held at a time, however many sketches there are."""
         unpacker = zstandard.ZstdDecompressor()
         cell, counts = None, np.zeros(1 << cell_bits, np.uint8)
+        loads = np.zeros((1 << BUCKET_BITS) // BUCKET_PIECES, np.int64)
 
         def done() -> pa.RecordBatch:
-            packed = np.packbits(counts >= 2, bitorder="little").tobytes()
+            packed = loads.tobytes() if cell >= 2 * per_row else np.packbits(counts >= 2, bitorder="little").tobytes()
             return pa.RecordBatch.from_arrays([pa.array([cell], pa.int32()), pa.array([packed], pa.binary())], names=["cell", "data"])
 
         for batch in batches:
@@ -178,6 +217,10 @@ def sketch(docs: DataFrame, text: str, window: int, bits: int) -> tuple[np.ndarr
                         yield done()
                     cell = k
                     counts[:] = 0
+                    loads[:] = 0
+                if k >= 2 * per_row:
+                    np.add(loads, np.frombuffer(unpacker.decompress(data), np.int64), out=loads)
+                    continue
                 index = np.cumsum(np.frombuffer(unpacker.decompress(data), np.uint32).astype(np.int64))
                 second = np.diff(index, prepend=-1) == 0
                 counts[index[~second]] += 1
@@ -189,37 +232,39 @@ def sketch(docs: DataFrame, text: str, window: int, bits: int) -> tuple[np.ndarr
     parts = _marked(docs, text).mapInArrow(partial, "cell int, data binary")
     merged = parts.repartition("cell").sortWithinPartitions("cell").mapInArrow(merge, "cell int, data binary").toArrow()
     whole = np.zeros((2 * per_row, (1 << cell_bits) // 8 or 1), np.uint8)
+    loads = np.zeros((BUCKET_PIECES, (1 << BUCKET_BITS) // BUCKET_PIECES), np.int64)
     for k, data in zip(merged["cell"].to_pylist(), merged["data"]):
-        whole[k] = np.frombuffer(data.as_buffer(), np.uint8)
+        if k >= 2 * per_row:
+            loads[k - 2 * per_row] = np.frombuffer(data.as_buffer(), np.int64)
+        else:
+            whole[k] = np.frombuffer(data.as_buffer(), np.uint8)
     flat = whole.reshape(2, -1)
-    return flat[0], flat[1]
+    return flat[0], flat[1], loads.reshape(-1)
 
 
 def _bit(bits: np.ndarray, index: np.ndarray) -> np.ndarray:
     return (bits[index >> 3] >> (index & 7).astype(np.uint8)) & 1
 
 
-def repeated_starts(docs: DataFrame, text: str, window: int = WINDOW_WORDS, max_width_bits: int = MAX_WIDTH_BITS) -> DataFrame:
-    """``mark, starts``: for each distinct text (MD5) with repeated windows, the word indexes where these start.
+def dealt_windows(docs: DataFrame, text: str, window: int = WINDOW_WORDS, max_width_bits: int = MAX_WIDTH_BITS) -> DataFrame:
+    """Rows of two kinds for each shard: repeats known inside a task (``mark, starts``), and 12 bytes of hash for each
+    window that the sketch lets through (``hashes``) with their texts and places (``owners, places, marks``).
 
-    ``starts`` holds little-endian 32-bit integers in order, or ``all`` for a text that occurs more than once in full.
+    Windows of one shard are grouped in one task, so shards are planned from counted windows (``plan_shards``).
     """
     spark = docs.sparkSession
     size = docs.agg(F.sum(F.octet_length(c(text)))).first()[0] or 0
     # About two counters for each word of six bytes, spaces included.
     bits = int(np.clip(np.ceil(np.log2(max(size, 1) / 3)), MIN_WIDTH_BITS, max_width_bits))
-    shards = max(1, size // 12 // SHARD_WINDOWS)
-    shared = spark.sparkContext.broadcast(sketch(docs, text, window, bits))
+    row0, row1, loads = sketch_and_loads(docs, text, window, bits)
+    first_shard, shard_parts, shards = plan_shards(loads, 2 * SHARD_WINDOWS)
+    shared = spark.sparkContext.broadcast((row0, row1, first_shard, shard_parts))
 
     def pack(x: np.ndarray, packer) -> bytes:
         return packer.compress(np.diff(x.astype(np.int64), prepend=0).astype(np.int32).tobytes())
 
-    def unpack(x: bytes, unpacker) -> np.ndarray:
-        return np.cumsum(np.frombuffer(unpacker.decompress(x), np.int32).astype(np.int64))
-
     def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows of two kinds for each shard: known repeats (a mark and starts), and hashes with their texts and places."""
-        row0, row1 = shared.value
+        row0, row1, first_shard, shard_parts = shared.value
         packer = zstandard.ZstdCompressor(level=1)
         held: list[tuple] = []
         marks: list = []
@@ -254,8 +299,10 @@ def repeated_starts(docs: DataFrame, text: str, window: int = WINDOW_WORDS, max_
             send = new
             owner, place = np.where(known, _NO_REF, owner)[send], np.where(known, 0, place)[send]
             h1, h2 = h1[send], h2[send]
-            # By anchor, so that a text's windows go to as many shards as it has anchors, however many shards there are.
-            shard = (anchor[send] % np.uint64(shards)).astype(np.int64)
+            # By anchor, so that a text's windows go to as many shards as it has anchors, however many shards there are;
+            # only those of a crowded anchor are dealt further.
+            bucket = _bucket(anchor[send])
+            shard = first_shard[bucket] + (h1 % shard_parts[bucket].astype(np.uint64)).astype(np.int64)
             o = np.lexsort((place, owner, shard))
             h1, h2, owner, place, shard = h1[o], h2[o], owner[o], place[o], shard[o]
             cuts = np.searchsorted(shard, np.arange(shards + 1))
@@ -294,7 +341,17 @@ def repeated_starts(docs: DataFrame, text: str, window: int = WINDOW_WORDS, max_
             yield from flush()
 
     kinds = "shard int, mark binary, starts binary, hashes binary, owners binary, places binary, marks binary"
-    found = _marked(docs, text).mapInArrow(candidates, kinds)
+    return _marked(docs, text).mapInArrow(candidates, kinds)
+
+
+def repeated_starts(docs: DataFrame, text: str, window: int = WINDOW_WORDS, max_width_bits: int = MAX_WIDTH_BITS) -> DataFrame:
+    """``mark, starts``: for each distinct text (MD5) with repeated windows, the word indexes where these start.
+
+    ``starts`` holds little-endian 32-bit integers in order, or ``all`` for a text that occurs more than once in full.
+    """
+
+    def unpack(x: bytes, unpacker) -> np.ndarray:
+        return np.cumsum(np.frombuffer(unpacker.decompress(x), np.int32).astype(np.int64))
 
     def group(table: pa.Table) -> pa.Table:
         unpacker = zstandard.ZstdDecompressor()
@@ -332,6 +389,7 @@ def repeated_starts(docs: DataFrame, text: str, window: int = WINDOW_WORDS, max_
         starts = [at[i:j].astype("<i4").tobytes() for i, j in zip(cuts, ends)]
         return pa.concat_tables([known, pa.table({"mark": pa.array(out_marks, pa.binary()), "starts": pa.array(starts, pa.binary())}, known.schema)])
 
+    found = dealt_windows(docs, text, window, max_width_bits)
     return found.groupBy("shard").applyInArrow(group, "mark binary, starts binary")
 
 

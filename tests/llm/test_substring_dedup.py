@@ -4,6 +4,7 @@ from collections import Counter
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from churnloom.llm import substring_dedup
 
@@ -74,5 +75,35 @@ def test_anchors_are_window_minima():
         assert substring_dedup.anchors(words, size).tolist() == want
 
 
+def test_plan_keeps_every_shard_under_the_limit():
+    loads = np.random.default_rng(2).integers(0, 60, 1000)
+    loads[[3, 500]] = 100, 12_345
+    first, parts, shards = substring_dedup.plan_shards(loads, 100)
+    assert parts.tolist() == [124 if k == 500 else 1 for k in range(1000)]
+    planned = np.zeros(shards, np.int64)
+    for f, p, n in zip(first, parts, loads):
+        planned[f : f + p] += -(-n // p)
+    assert planned.max() <= 100 and first.min() == 0 and shards <= 124 + 2 * loads.sum() // 100
+
+
+def test_a_phrase_in_many_texts_is_spread(spark, monkeypatch):
+    """A short line in every text: its windows all differ and share its anchor, so one shard would get all of them."""
+    rng = random.Random(8)
+    fresh = lambda n: [f"w{rng.getrandbits(60)}" for _ in range(n)]
+    hash5 = lambda line: int(substring_dedup.window_hashes(np.array([xxhash.xxh3_64_intdigest(w.encode()) for w in line], np.uint64), 5)[0][0])
+    line = min((fresh(5) for _ in range(3000)), key=hash5)
+    data = [(i, " ".join(fresh(34) + line + fresh(34)), "o") for i in range(300)] + [(900, " ".join(line * 9), "o"), (901, " ".join(line * 9), "o")]
+    # A full sketch lets all windows through.
+    monkeypatch.setattr(substring_dedup, "MIN_WIDTH_BITS", 8)
+    monkeypatch.setattr(substring_dedup, "SHARD_WINDOWS", 500)
+    df = spark.createDataFrame(data, SCHEMA).repartition(4)
+    dealt = substring_dedup.dealt_windows(df, "text", 35, 8).where("hashes IS NOT NULL").groupBy("shard").agg(F.sum(F.length("hashes") / 12).alias("n")).collect()
+    assert sum(r["n"] for r in dealt) > 300 * 39 * 0.9
+    # Parts of one anchor are dealt by hash, so they differ a little.
+    assert max(r["n"] for r in dealt) <= 1.2 * 2 * 500
+    got = substring_dedup.remove_repeats(df, max_width_bits=8)
+    assert sorted(((r["doc_id"], r["text"], r["n_words"], r["n_removed"]) for r in got.collect()), key=str) == brute(data, 35)
+
+
 def test_empty_table(spark):
     assert substring_dedup.remove_repeats(spark.createDataFrame([], SCHEMA)).collect() == []
