@@ -105,3 +105,16 @@ def test_item_blocks_give_the_same(spark):
     assert len(parts) > 3
     assert sorted(x for p in parts for x in set(p.items)) == list(range(20))
     assert np.all([(p.bound >= 1).all() for p in parts])
+
+
+def test_shortest_part_that_is_certainly_found():
+    """The README states 165 characters."""
+    rng = random.Random(11)
+    chars = lambda n: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(n))
+    item = chars(700)
+    index = d.build_index([(1, item)])
+    # Digits around a part match nothing of the item by chance.
+    parts = lambda n: ["1" * 200 + item[i : i + n] + "1" * 200 for i in range(len(item) - n + 1)]
+    assert all(d.search(index, parts(165)))
+    assert not all(d.search(index, parts(164)))
+    assert d.search(d.build_index([(2, item[:300])]), [item[:110], item[:165]])[0] == {}
