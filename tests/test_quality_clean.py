@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from churnloom.functions.scalar import rnd, standard_name
 from churnloom.operators import clean, describe, impute, models, neighbors, quality
+from churnloom.plans import catalog_describe
 
 
 @pytest.fixture(scope="module")
@@ -132,6 +133,14 @@ def test_knn_and_mice_fill_everything(spark):
     assert worst < 1e-6
 
 
+def test_mice_query_keeps_all_orders(spark, sf):
+    out = catalog_describe.mice_impute(spark, sf)
+    lines = spark.read.parquet(f"{sf}/lineitem.parquet").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.count("*").alias("lines"))
+    both = lines.join(out, "o_orderkey", "full").collect()
+    assert all(r["lines"] == r["rows"] and r["mean_price"] is not None and r["mean_quantity"] is not None for r in both)
+    assert any(r["o_orderkey"] % 30 == 1 for r in both)
+
+
 def test_dummies_and_bins(spark):
     df = spark.createDataFrame([("b", 1.0), ("a", 2.0), (None, 3.0)], "c string, v double")
     out, names = clean.dummies(df, ["c"])
