@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, chat_format, decontaminate, language_id, line_dedup, simhash, substring_dedup, token_counts, topk_search, url_filter
+from . import byte_bpe, chat_format, decontaminate, language_id, line_dedup, simhash, substring_dedup, token_counts, topk_search, url_filter, vector_codes
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -154,3 +155,41 @@ def op2_chat_format(spark, sf):
 @_query()
 def op1_decontaminate(spark, sf):
     return decontaminate.find_leaks(_table(spark, sf, "documents"), _table(spark, sf, "benchmark"))
+
+
+def _codes_sql(rounds: int, parts: int = 8, entries: int = 16) -> str:
+    """The rounds as a chain of tables: entries, then the entry of each part, then the next entries."""
+    width = f"(len(v) // {parts})"
+    ctes = [
+        """kept AS MATERIALIZED (SELECT row_number() OVER () AS id, vec_id, label, list_transform(embedding, lambda x: floor(4096 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)""",
+        "cells AS MATERIALIZED (SELECT id, i // w AS p, i % w AS k, x FROM (SELECT id, unnest(range(len(v))) AS i, unnest(v) AS x, "
+        + width + " AS w FROM kept))",
+        f"firsts AS (SELECT id, row_number() OVER (ORDER BY vec_id) - 1 AS e FROM (SELECT id, vec_id FROM kept ORDER BY vec_id LIMIT {entries}))",
+        "c0 AS MATERIALIZED (SELECT p, e, k, x AS c FROM cells JOIN firsts USING (id))",
+    ]
+    for r in range(rounds + 1):
+        ctes.append(
+            f"""n{r} AS MATERIALIZED (SELECT id, p, min(d * {entries} + e)::BIGINT AS m FROM
+  (SELECT id, p, e, sum((x - c) * (x - c))::BIGINT AS d FROM cells JOIN c{r} USING (p, k) GROUP BY id, p, e) GROUP BY id, p)"""
+        )
+        if r < rounds:
+            ctes.append(
+                f"""s{r} AS (SELECT p, m % {entries} AS e, k, sum(x)::BIGINT AS s, count(*)::BIGINT AS n FROM cells JOIN n{r} USING (id, p) GROUP BY ALL),
+c{r + 1} AS MATERIALIZED (SELECT p, e, k, CASE WHEN n IS NULL THEN c ELSE (s - ((s % n) + n) % n) // n END AS c FROM c{r} LEFT JOIN s{r} USING (p, e, k))"""
+            )
+    return (
+        "WITH " + ",\n".join(ctes) + f""",
+coded AS (SELECT id, string_agg(format('{{:02x}}', m % {entries}), '' ORDER BY p) AS code, sum(m // {entries})::BIGINT AS error FROM n{rounds} GROUP BY id),
+labelled AS (SELECT vec_id, label, code, error FROM coded JOIN kept USING (id))
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+  (SELECT sha256(string_agg(c::VARCHAR, ',' ORDER BY p, e, k)) FROM c{rounds}) AS codebooks_sha256 FROM labelled"""
+    )
+
+
+@_query(_codes_sql(vector_codes.ROUNDS))
+def op11_vector_codes(spark, sf):
+    out, books = vector_codes.compress(_table(spark, sf, "embeddings"))
+    digest = hashlib.sha256(",".join(map(str, vector_codes.components(books))).encode()).hexdigest()
+    code = F.array_join(F.transform("code", lambda i: F.lpad(F.lower(F.hex(i)), 2, "0")), "")
+    return out.select("vec_id", code.alias("code"), "error", "label_error", F.lit(digest).alias("codebooks_sha256"))
