@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, chat_format, decontaminate, language_id, line_dedup, simhash, substring_dedup, token_counts, topk_search, url_filter, vector_codes
+from . import byte_bpe, chat_format, decontaminate, language_id, line_dedup, ranked_search, simhash, substring_dedup, token_counts, topk_search, url_filter, vector_codes
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -193,3 +193,24 @@ def op11_vector_codes(spark, sf):
     digest = hashlib.sha256(",".join(map(str, vector_codes.components(books))).encode()).hexdigest()
     code = F.array_join(F.transform("code", lambda i: F.lpad(F.lower(F.hex(i)), 2, "0")), "")
     return out.select("vec_id", code.alias("code"), "error", "label_error", F.lit(digest).alias("codebooks_sha256"))
+
+
+_WORDS = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+
+@_query(
+    f"""
+WITH words AS MATERIALIZED (SELECT doc_id, {_WORDS} AS w FROM documents WHERE text IS NOT NULL),
+sizes AS MATERIALIZED (SELECT doc_id, len(w)::BIGINT AS n FROM words WHERE len(w) > 0),
+total AS (SELECT count(*)::BIGINT AS nd, sum(n)::BIGINT AS nt FROM sizes),
+asked AS MATERIALIZED (SELECT DISTINCT item_id, unnest({_WORDS}) AS t FROM benchmark WHERE text IS NOT NULL),
+tfs AS MATERIALIZED (SELECT doc_id, t, count(*)::BIGINT AS tf FROM (SELECT doc_id, unnest(w) AS t FROM words) WHERE t IN (SELECT t FROM asked) GROUP BY doc_id, t),
+weights AS (SELECT t, floor(1000 * ln((2 * nd + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS w FROM (SELECT t, count(*)::BIGINT AS df FROM tfs GROUP BY t), total),
+impacts AS (SELECT doc_id, t, w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * nd) // nt))) AS impact
+  FROM tfs JOIN weights USING (t) JOIN sizes USING (doc_id), total),
+scores AS (SELECT item_id, doc_id, sum(impact)::BIGINT AS score FROM asked JOIN impacts USING (t) GROUP BY item_id, doc_id),
+ranked AS (SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank, doc_id, score FROM scores WHERE score > 0)
+SELECT * FROM ranked WHERE rank <= 10"""
+)
+def op12_ranked_search(spark, sf):
+    return ranked_search.search(_table(spark, sf, "documents"), _table(spark, sf, "benchmark"))
