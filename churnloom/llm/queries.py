@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, chat_format, decontaminate, language_id, line_dedup, ranked_search, simhash, substring_dedup, token_counts, topk_search, url_filter, vector_codes
+from . import byte_bpe, chat_format, decontaminate, language_id, license_rules, license_scan, line_dedup, ranked_search, simhash, substring_dedup, token_counts, topk_search, url_filter, vector_codes
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -214,3 +214,55 @@ SELECT * FROM ranked WHERE rank <= 10"""
 )
 def op12_ranked_search(spark, sf):
     return ranked_search.search(_table(spark, sf, "documents"), _table(spark, sf, "benchmark"))
+
+
+LICENSE_PHRASES = {"under the mit license": "mit", "apache license version 2": "apache-2", "cc by nc": "cc-by-nc"}
+
+
+def _licenses_sql() -> str:
+    own = [license_rules.Rule(label, tuple(dict.fromkeys(p.split())), p, license_rules.TEXT) for p, label in LICENSE_PHRASES.items()]
+    rules = ",\n".join(
+        f"({i}, '{r.label}', {list(r.keywords)}, '{r.regex}', {r.priority}, {license_rules.CONFIDENCE[r.priority]}::DOUBLE)"
+        for i, r in enumerate([*own, *license_rules.signature_rules()])
+    )
+    places = " UNION ALL ".join(
+        f"SELECT doc_id, '{label}' AS label, unnest(list_filter(range(n), lambda i: list_slice(ws, i + 1, i + {len(p.split())}) = {p.split()})) AS s FROM p"
+        for p, label in LICENSE_PHRASES.items()
+    )
+    return rf"""
+WITH rules(rank, label, kw, re, pri, conf) AS (VALUES {rules}),
+w AS (SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS ws FROM documents),
+p AS MATERIALIZED (SELECT doc_id, ws, len(ws) AS n, ' ' || array_to_string(ws, '  ') || ' ' AS t FROM w),
+hit AS (SELECT doc_id, rank, label, pri, conf, string_split_regex(regexp_replace(t, re, chr(1) || '\0' || chr(2), 'g'), '[\x01\x02]') AS pieces
+  FROM p JOIN rules ON list_has_all(ws, kw) AND regexp_matches(t, re)),
+cut AS (SELECT doc_id, rank, label, pri, conf, unnest(range(len(pieces))) AS i, unnest(pieces) AS x FROM hit),
+sized AS (SELECT *, (length(x) - length(replace(x, ' ', ''))) // 2 AS k FROM cut),
+placed AS (SELECT *, sum(k) OVER (PARTITION BY doc_id, rank ORDER BY i) AS e FROM sized),
+spans AS MATERIALIZED (SELECT doc_id, rank, label, pri, conf, k, e - k AS s, e FROM placed WHERE i % 2 = 1),
+alive AS (SELECT * FROM spans a WHERE NOT EXISTS (SELECT 1 FROM spans b WHERE a.doc_id = b.doc_id AND a.rank <> b.rank AND b.s <= a.s AND b.e >= a.e
+  AND (b.pri > a.pri OR (b.pri = a.pri AND (b.k > a.k OR b.rank < a.rank))))),
+base AS MATERIALIZED ({places}),
+b AS (SELECT doc_id, count(*)::BIGINT AS n_base, min(s)::BIGINT AS first_word, max(s)::BIGINT AS last_word, string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels FROM base GROUP BY doc_id),
+m AS (SELECT doc_id, string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(conf) AS score
+  FROM (SELECT doc_id, label, conf FROM alive UNION ALL SELECT doc_id, label, 1.0 FROM base) GROUP BY doc_id)
+SELECT doc_id, n::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base, first_word, last_word, coalesce(base_labels, '') AS base_labels,
+  coalesce(labels, '') AS labels, coalesce(score, 0)::DOUBLE AS score FROM p LEFT JOIN b USING (doc_id) LEFT JOIN m USING (doc_id)"""
+
+
+@_query(_licenses_sql())
+def op13_license_scan(spark, sf):
+    out = license_scan.scan(_table(spark, sf, "documents").select("doc_id", "text"), LICENSE_PHRASES)
+    starts = F.transform("places", lambda x: x["start"].cast("long"))
+    both = F.concat(F.transform("places", lambda x: x["label"]), F.transform("detections", lambda x: x["label"]))
+    strongest = F.coalesce(F.array_max(F.transform("detections", lambda x: x["confidence"])), F.lit(0.0))
+    return out.select(
+        "doc_id",
+        "n_words",
+        F.size("places").cast("long").alias("n_base"),
+        F.array_min(starts).alias("first_word"),
+        F.array_max(starts).alias("last_word"),
+        license_scan.joined(F.transform("places", lambda x: x["label"])).alias("base_labels"),
+        license_scan.joined(both).alias("labels"),
+        F.when(F.size("places") > 0, F.lit(1.0)).otherwise(strongest).alias("score"),
+    )
