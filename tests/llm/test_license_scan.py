@@ -94,5 +94,5 @@ def test_overlapping_places_and_containment(spark):
 
 @pytest.mark.parametrize("text,label", [("MIT No Attribution", "mit-0"), ("GNU Lesser General Public License v2.1", "lgpl-2.1"), ("Creative Commons Attribution-ShareAlike 4.0 International License", "cc-by-sa"), ("you may use CC BY-NC-SA 4.0", "cc-by-nc-sa"), ("CC-BY 4.0", "cc-by")])
 def test_labels(spark, text, label):
-    ((_, _, found),) = run(spark, [text])
+    ((_, _, found),) = run(spark, [text], {})
     assert [d[1] for d in found] == [label]
