@@ -6,6 +6,7 @@ partitioning, and nothing is shuffled to split.
 
 from __future__ import annotations
 
+import datetime
 import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
@@ -22,14 +23,16 @@ from pyspark.ml.classification import (
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, IsotonicRegression, LinearRegression, RandomForestRegressor
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalar import clip, count_rows, hash_unit, num, numeric_columns, rnd, text_columns
 from ..session import materialize
 from .clean import effective_scaler, handle_outliers, lag_features, preprocessing_stages, spline_basis
 from .impute import knn_impute, mice_impute
+from .linear import gram
 from .neighbors import mean_of_neighbors, nearest
+from .newton import Candidate, design, fit_stack, long_scores, score_stack
 from .quality import time_split
 from .quantiles import bin_of, distinct_edges, quantiles
 from .scoring import (
@@ -38,9 +41,14 @@ from .scoring import (
     purged_folds,
     regression_metrics,
     roc_auc,
+    score_metrics_by,
     temporal_summary,
 )
 
+#: Penalty of plain logistic models.
+LOGISTIC_L2 = 1e-6
+
+
 # Models compared per business case, and the complexity order used for ties.
 CATALOG = {
     "classification_general": ("logistic", "random_forest", "gradient_boosting", "mlp"),
@@ -73,7 +81,7 @@ def classifier(algorithm: str, width: int = 0, seed: int = 42, weight: str | Non
     extra = {"weightCol": weight} if weight else {}
     base = {"featuresCol": "features", "labelCol": "label"}
     if algorithm in ("logistic", "spline"):
-        return LogisticRegression(**base, maxIter=100, regParam=1e-6 if algorithm == "logistic" else 1e-3, **extra)
+        return LogisticRegression(**base, maxIter=100, regParam=LOGISTIC_L2 if algorithm == "logistic" else 1e-3, **extra)
     if algorithm == "random_forest":
         return RandomForestClassifier(**base, numTrees=trees, maxDepth=8, seed=seed, **extra)
     if algorithm == "gradient_boosting":
@@ -362,30 +370,28 @@ def parsimony_study(
     train, test = split_by_key(data, key, test_size, seed)
     # Proper prefixes of at least two features, then all features.
     sizes = [n for n in range(2, len(features)) if n in steps] + [len(features)]
-    rows, scores = [], test.select(key, F.col("label").cast("int").alias("actual"))
-    for size in sizes:
-        subset = list(features[:size])
-        numeric, text = feature_kinds(train, subset)
-        estimator = LogisticRegression(featuresCol="features", labelCol="label", maxIter=100, regParam=0.0)
-        model = Pipeline(stages=[*preprocessing_stages(train, numeric, text), estimator]).fit(train)
-        p = vector_to_array("probability")[1]
-        fitted = model.transform(train).select("label", clip(p, 1e-15, 1 - 1e-15).alias("p"))
-        y = F.col("label")
-        one = fitted.agg(F.sum(y * F.log("p") + (1 - y) * F.log(1 - F.col("p"))).alias("ll"), count_rows().alias("n")).first()
-        coefficients = model.stages[-1].coefficients.toArray()
-        k = 1 + int(np.sum(np.abs(coefficients) > 1e-10))
-        held = materialize(model.transform(test).select(key, p.alias(f"p_{size}")), "prefix")
-        scores = scores.join(held, key)
-        rows.append((size, ", ".join(subset), round(-2 * one["ll"] + 2 * k, 4), round(-2 * one["ll"] + k * math.log(one["n"]), 4), round(one["ll"], 4), k))
-    scores = materialize(scores, "parsimony_scores")
+    numeric, text = feature_kinds(train, list(features))
+    d = design(train, numeric, text, [key])
+    fills = d.fills(d.rows)
+    # All prefixes are fitted together: they are column sets of one design.
+    fits = fit_stack(d.rows, d.width, [Candidate(columns=d.columns(features[:n]), fills=fills) for n in sizes])
+    held = design(test, numeric, text, [key], levels=d.levels).rows.withColumn("actual", F.col("label").cast("int"))
+    scored = materialize(score_stack(held, [key, "actual"], fits), "parsimony_scores")
+    rows = []
+    for size, f in zip(sizes, fits):
+        k = 1 + int(np.sum(np.abs(f.coefficients) > 1e-10))
+        ll = f.log_likelihood
+        rows.append((size, ", ".join(features[:size]), round(-2 * ll + 2 * k, 4), round(-2 * ll + k * math.log(f.rows), 4), round(ll, 4), k))
+    scores = scored.select(key, "actual", *[F.col("scores")[i].alias(f"p_{n}") for i, n in enumerate(sizes)])
+    found = score_metrics_by(long_scores(scored, ["actual"], dict(enumerate(sizes))), ["model"], "actual", "p").collect()
+    measured = {r["model"]: r for r in found}
     low = min(r[2] for r in rows)
     weights = [math.exp(-0.5 * (r[2] - low)) for r in rows]
     total = sum(weights)
     table = []
     for r, w in zip(rows, weights):
-        auc = roc_auc(scores, "actual", f"p_{r[0]}").first()["roc_auc"]
-        loss = probability_losses(scores, "actual", f"p_{r[0]}").first()
-        table.append((f"logistic_top_{r[0]}", r[0], r[1], auc, loss["log_loss"], loss["brier_score"], r[2], r[3], r[4], r[5], round(w / total, 6)))
+        m = measured[r[0]]
+        table.append((f"logistic_top_{r[0]}", r[0], r[1], m["roc_auc"], m["log_loss"], m["brier_score"], r[2], r[3], r[4], r[5], round(w / total, 6)))
     summary = spark.createDataFrame(
         table,
         "candidate string, n_features int, features string, roc_auc double, log_loss double, brier_score double, "
@@ -402,30 +408,45 @@ def parsimony_study(
 
 def cross_validated_auc(df: DataFrame, key: str, target: str, features: Sequence[str], folds: int = 5, seed: int = 42) -> DataFrame:
     """AUC of a logistic model on hash folds, one row per fold."""
-    data = materialize(
-        df.select(*dict.fromkeys([key, *features]), num(target).alias("label")).where(F.col("label").isNotNull())
-        .withColumn("_fold", F.floor(hash_unit(key, seed) * folds).cast("int")), "cv"
-    )
-    out = None
-    for i in range(folds):
-        t = train_classifier(data, key, "label", features, "logistic", calibrate=None, seed=seed,
-                             split=(data.where(F.col("_fold") != i), data.where(F.col("_fold") == i)))
-        row = t.metrics.select(F.lit(i).alias("fold"), "roc_auc", "log_loss", "brier_score")
-        out = row if out is None else out.unionByName(row)
-    return out
+    found = _fold_metrics(df, key, target, [features], folds, seed)
+    return found.select(F.col("_fold").alias("fold"), "roc_auc", "log_loss", "brier_score")
+
+
+def _fold_metrics(df: DataFrame, key: str, target: str, subsets: Sequence[Sequence[str]], folds: int, seed: int) -> DataFrame:
+    """Held-out metrics by ``subset`` (its place) and ``_fold``: logistic models of all subsets and folds fitted together.
+
+    A fold's missing values are filled as its own training rows say.
+    """
+    every = list(dict.fromkeys(f for s in subsets for f in s))
+    numeric, text = feature_kinds(df, every)
+    rows = df.withColumn("_label", num(target))
+    fold = F.floor(hash_unit(key, seed) * folds).cast("int")
+    apart = F.array(*[(fold != i).cast("double") for i in range(folds)])
+    d = design(rows, numeric, text, [key], "_label", _fold=fold, _weights=apart)
+    fills = [d.fills(d.rows.where(F.col("_fold") != i)) for i in range(folds)]
+    models = [Candidate(i, d.columns(s), LOGISTIC_L2, fills[i]) for s in subsets for i in range(folds)]
+    fits = fit_stack(d.rows, d.width, models, "_label", "_weights")
+    scored = score_stack(d.rows, ["_label", "_fold"], fits)
+    own = [F.struct(F.lit(j).alias("subset"), F.col("scores")[F.lit(j * folds) + F.col("_fold")].alias("p")) for j in range(len(subsets))]
+    usable = [F.struct(F.lit(j).alias("j"), F.lit(i).alias("i")) for j in range(len(subsets)) for i in range(folds) if fits[j * folds + i].ok]
+    if not usable:
+        raise ValueError("no fold has training rows of both classes")
+    long = scored.select("_label", "_fold", F.inline(F.array(*own)))
+    long = long.where(F.array_contains(F.array(*usable), F.struct(F.col("subset").alias("j"), F.col("_fold").alias("i"))))
+    return score_metrics_by(long, ["subset", "_fold"], "_label", "p").orderBy("subset", "_fold")
 
 
 def select_by_cv_then_bic(df: DataFrame, key: str, target: str, features: Sequence[str], steps: Sequence[int], tolerance: float = 0.015, folds: int = 3) -> DataFrame:
     """Mean fold AUC and BIC per prefix; the lowest BIC among prefixes within the tolerance of the best AUC is chosen."""
     study = {r["n_features"]: r["bic"] for r in parsimony_study(df, key, target, features, steps)["summary"].collect()}
-    rows = []
-    for size, bic in study.items():
-        auc = cross_validated_auc(df, key, target, features[:size], folds).agg(F.avg("roc_auc")).first()[0]
-        rows.append((size, round(auc, 4), bic))
+    sizes = sorted(study)
+    found = _fold_metrics(df, key, target, [features[:n] for n in sizes], folds, 42)
+    means = {r["subset"]: r["auc"] for r in found.groupBy("subset").agg(F.avg("roc_auc").alias("auc")).collect()}
+    rows = [(n, round(means[j], 4), study[n]) for j, n in enumerate(sizes)]
     best = max(r[1] for r in rows)
     chosen = min((r for r in rows if r[1] >= best - tolerance), key=lambda r: r[2])[0]
     return df.sparkSession.createDataFrame(
-        [(*r, r[0] == chosen) for r in sorted(rows)], "n_features int, mean_cv_auc double, bic double, is_selected boolean"
+        [(*r, r[0] == chosen) for r in rows], "n_features int, mean_cv_auc double, bic double, is_selected boolean"
     )
 
 
@@ -459,27 +480,42 @@ def mutual_information(df: DataFrame, target: str, features: Sequence[str], bins
 
 def recursive_elimination(df: DataFrame, key: str, target: str, features: Sequence[str], keep: int = 8, problem: str = "classification") -> DataFrame:
     """Drops the feature with the smallest |standardised coefficient| until ``keep`` remain; rank 1 is kept."""
-    numeric, text = feature_kinds(df, features)
     from .clean import dummies, fill_values
 
+    numeric, text = feature_kinds(df, features)
     data = df.where(F.col(target).isNotNull()).select(key, num(target).alias("label"), *features)
     if text:
         data, added = dummies(data, text)
         numeric = numeric + added
     fills = fill_values(data, numeric)
-    data = materialize(data.select("label", *[F.coalesce(num(c), F.lit(float(fills.get(c, 0.0)))).alias(c) for c in numeric]), "rfe")
-    scale = data.agg(*[F.stddev_samp(c).alias(c) for c in numeric]).first()
+    filled = data.select("label", *[F.coalesce(num(c), F.lit(float(fills.get(c, 0.0)))).alias(c) for c in numeric])
     left, ranks = list(numeric), {}
     keep = min(max(1, keep), len(left))
-    while len(left) > keep:
-        vectors = VectorAssembler(inputCols=left, outputCol="features").transform(data)
-        model = (
-            LogisticRegression(maxIter=30, tol=1e-5, regParam=1e-6) if problem == "classification" else LinearRegression(regParam=1e-9)
-        ).fit(vectors)
-        strength = [abs(b) * (scale[c] or 0.0) for b, c in zip(model.coefficients.toArray(), left)]
-        worst = int(np.argmin(strength))
-        ranks[left[worst]] = len(left) - keep + 1
-        left.pop(worst)
+    if problem == "classification":
+        d = design(filled, numeric, [])
+        fits = None
+        while len(left) > keep:
+            # Each round starts from the larger model, so that a few passes are enough.
+            fits = fit_stack(d.rows, d.width, [Candidate(columns=d.columns(left), l2=LOGISTIC_L2)], start=fits)
+            if not fits[0].ok:
+                raise ValueError("the target has one class")
+            spread = fits[0].frame[1] * fits[0].frame[2]
+            strength = np.abs(fits[0].coefficients) * spread
+            worst = min(left, key=lambda c: strength[d.slots[c][0]])
+            ranks[worst] = len(left) - keep + 1
+            left.remove(worst)
+    else:
+        # Least squares need the cross-products only: one pass, then every elimination is arithmetic.
+        g = gram(filled, numeric, F.col("label"))
+        spread = np.sqrt(np.diag(g.xx) / max(g.n - 1, 1))
+        while len(left) > keep:
+            at = [numeric.index(c) for c in left]
+            unit = np.where(spread[at] > 0, spread[at], 1.0)
+            inner = g.xx[np.ix_(at, at)] / np.outer(unit, unit) / g.n
+            slopes = np.linalg.lstsq(inner + 1e-9 * np.eye(len(at)), g.xy[at] / unit / g.n, rcond=None)[0]
+            worst = int(np.argmin(np.abs(slopes)))
+            ranks[left[worst]] = len(left) - keep + 1
+            left.pop(worst)
     ranks.update({c: 1 for c in left})
     return df.sparkSession.createDataFrame(
         [(c, ranks[c], ranks[c] == 1) for c in numeric], "feature string, ranking int, selected boolean"
@@ -535,6 +571,24 @@ def permutation_importance(trained: Trained, rows: DataFrame, key: str, target:
     return at.sparkSession.createDataFrame(result, "feature string, importance double, std double").orderBy(F.desc("importance"), "feature")
 
 
+def _date_fold_metrics(data: DataFrame, key: str, target: str, features: Sequence[str], train: Sequence[Column], test: Sequence[Column]) -> dict[int, Row]:
+    """Held-out metrics by fold of logistic models that are fitted together, one for each pair of conditions.
+
+    A fold's missing values are filled as its own training rows say; folds whose training rows have one class are left out.
+    """
+    numeric, text = feature_kinds(data, features)
+    both = {"_weights": F.array(*[F.coalesce(c, F.lit(False)).cast("double") for c in train]), "_held": F.array(*[F.coalesce(c, F.lit(False)) for c in test])}
+    d = design(data.withColumn("_label", num(target)), numeric, text, [key], "_label", **both)
+    fills = [d.fills(d.rows.where(F.col("_weights")[i] > 0)) for i in range(len(train))]
+    fits = fit_stack(d.rows, d.width, [Candidate(i, d.columns(features), LOGISTIC_L2, f) for i, f in enumerate(fills)], "_label", "_weights")
+    names = {i: i for i, f in enumerate(fits) if f.ok}
+    if not names:
+        return {}
+    long = long_scores(score_stack(d.rows, ["_label", "_held"], fits), ["_label", "_held"], names)
+    found = score_metrics_by(long.where(F.col("_held")[F.col("model")]), ["model"], "_label", "p")
+    return {r["model"]: r for r in found.collect()}
+
+
 def purged_validation(
     df: DataFrame, key: str, target: str, features: Sequence[str], date: str, algorithm: str = "logistic", blocks: int = 4,
     purge_days: int = 7, embargo_days: int = 14, seed: int = 42,
@@ -543,22 +597,29 @@ def purged_validation(
     data = materialize(df.select(*dict.fromkeys([key, date, target, *features])).dropna(subset=[date, target]), "purged")
     folds = purged_folds(data, date, target, blocks, purge_days, embargo_days).where("is_valid").orderBy("block").collect()
     day = F.to_date(date)
-    out = None
-    for r in folds:
-        train = data.where(day < F.date_sub(F.lit(r["start"]), purge_days))
-        test = data.where(day.between(r["start"], r["end"]))
-        t = train_classifier(data, key, target, features, algorithm, calibrate=None, seed=seed + r["block"], split=(train, test))
-        row = t.metrics.select(
-            F.lit(r["block"]).alias("fold"), F.date_sub(F.lit(r["start"]), purge_days + 1).alias("train_end"),
-            F.lit(r["start"]).alias("test_start"), F.lit(r["end"]).alias("test_end"), F.date_add(F.lit(r["end"]), embargo_days).alias("embargo_end"),
-            F.lit(r["n_train"]).alias("n_train"), F.lit(r["n_test"]).alias("n_test"), F.lit(r["purged_rows"]).alias("purged_rows"),
-            F.lit(r["embargoed_rows"]).alias("embargoed_rows"), "roc_auc", "log_loss", "brier_score",
-        )
-        out = row if out is None else out.unionByName(row)
-    if out is None:
-        out = data.sparkSession.createDataFrame(
-            [], "fold int, train_end date, test_start date, test_end date, embargo_end date, n_train bigint, n_test bigint, purged_rows bigint, embargoed_rows bigint, roc_auc double, log_loss double, brier_score double"
+    schema = "fold int, train_end date, test_start date, test_end date, embargo_end date, n_train bigint, n_test bigint, purged_rows bigint, embargoed_rows bigint, roc_auc double, log_loss double, brier_score double"
+    if not folds:
+        out = materialize(data.sparkSession.createDataFrame([], schema), "folds")
+        return out, temporal_summary(out)
+    before = [day < F.date_sub(F.lit(r["start"]), purge_days) for r in folds]
+    # The last training day of each fold, from the daily counts.
+    last = data.agg(*[F.max(F.when(c, day)).alias(f"d{i}") for i, c in enumerate(before)]).first()
+    within = [day.between(r["start"], r["end"]) for r in folds]
+    if algorithm == "logistic":
+        measured = _date_fold_metrics(data, key, target, features, before, within)
+    else:
+        measured = {}
+        for i, r in enumerate(folds):
+            t = train_classifier(data, key, target, features, algorithm, calibrate=None, seed=seed + r["block"], split=(data.where(before[i]), data.where(within[i])))
+            measured[i] = t.metrics.select("roc_auc", "log_loss", "brier_score").first()
+    rows = [
+        (
+            r["block"], last[f"d{i}"], r["start"], r["end"], r["end"] + datetime.timedelta(days=embargo_days), r["n_train"], r["n_test"],
+            r["purged_rows"], r["embargoed_rows"], *(measured[i][m] for m in ("roc_auc", "log_loss", "brier_score")),
         )
+        for i, r in enumerate(folds) if i in measured
+    ]
+    out = data.sparkSession.createDataFrame(rows, schema)
     out = materialize(out, "folds")
     return out, temporal_summary(out)
 
@@ -571,21 +632,26 @@ def quantile_validation(
     stamp = F.unix_micros(F.col(date).cast("timestamp"))
     q = quantiles(data.select(stamp.alias("m")), ["m"], [i / (folds + 1) for i in range(folds + 2)])["m"]
     cuts = list(q.values())
-    out = None
-    for i in range(1, folds + 1):
-        low, high = cuts[i], cuts[i + 1]
-        test = data.where((stamp > low) & (stamp <= high))
-        train = data.where(stamp <= low - purge_days * 8.64e10)
-        if train.limit(min_train).count() < min_train:
-            train = data.where(stamp <= low)
-        if test.limit(min_test).count() < min_test or any(p.select(target).distinct().count() < 2 for p in (train, test)):
-            continue
-        t = train_classifier(data, key, target, features, "logistic", calibrate=None, split=(train, test))
-        row = t.metrics.select(F.lit(i).alias("fold"), "roc_auc", "log_loss", "brier_score")
-        out = row if out is None else out.unionByName(row)
-    if out is None:
+    held = [(stamp > cuts[i]) & (stamp <= cuts[i + 1]) for i in range(1, folds + 1)]
+    full = [stamp <= cuts[i] for i in range(1, folds + 1)]
+    purged = [stamp <= cuts[i] - purge_days * 8.64e10 for i in range(1, folds + 1)]
+    y = num(target)
+    found = data.agg(
+        *[F.count_if(c).alias(f"{n}{i}") for n, cs in (("test", held), ("full", full), ("purged", purged)) for i, c in enumerate(cs)],
+        *[F.count_distinct(F.when(c, y)).alias(f"{n}{i}") for n, cs in (("test_y", held), ("full_y", full), ("purged_y", purged)) for i, c in enumerate(cs)],
+    ).first()
+    train, test, names = [], [], []
+    for i in range(folds):
+        part = "purged" if found[f"purged{i}"] >= min_train else "full"
+        if found[f"test{i}"] >= min_test and found[f"test_y{i}"] == 2 and found[f"{part}_y{i}"] == 2:
+            train.append(purged[i] if part == "purged" else full[i])
+            test.append(held[i])
+            names.append(i + 1)
+    if not names:
         raise ValueError("no fold has enough rows of both classes")
-    return out
+    measured = _date_fold_metrics(data, key, target, features, train, test)
+    rows = [(names[i], r["roc_auc"], r["log_loss"], r["brier_score"]) for i, r in sorted(measured.items())]
+    return data.sparkSession.createDataFrame(rows, "fold int, roc_auc double, log_loss double, brier_score double")
 
 
 def poisson_weight(key: str, seed: int) -> Column:
@@ -598,37 +664,63 @@ def poisson_weight(key: str, seed: int) -> Column:
     return weight
 
 
-def bootstrap_intervals(
-    df: DataFrame, key: str, target: str, features: Sequence[str], date: str, algorithm: str = "logistic",
-    iterations: int = 40, alpha: float = 0.10, seed: int = 42,
-) -> tuple[DataFrame, DataFrame]:
-    """Score intervals for the newest 35% of rows from refits on reweighted history; rows and a portfolio summary.
+def _logistic_replicates(train: DataFrame, recent: DataFrame, key: str, features: Sequence[str], iterations: int, seed: int) -> tuple[DataFrame, int]:
+    """Scores of the recent rows by the base model and, sorted in ``_all``, by all replicates; and how many there are."""
+    numeric, text = feature_kinds(train, features)
+    weights = F.array(*[poisson_weight(key, seed + i) for i in range(iterations)]).cast("array<double>")
+    d = design(train, numeric, text, [key], _weights=weights)
+    fills = d.fills(d.rows)
+    wanted = [Candidate(l2=LOGISTIC_L2, fills=fills), *[Candidate(i, l2=LOGISTIC_L2, fills=fills) for i in range(iterations)]]
+    base, *more = fit_stack(d.rows, d.width, wanted, weights="_weights")
+    if not base.ok:
+        raise ValueError("the target has one class")
+    more = [f for f in more if f.ok] or [base]
+    rows = design(recent, numeric, text, [key], levels=d.levels).rows.withColumn("actual", F.col("label").cast("int"))
+    scored = score_stack(rows, [key, "actual"], [base, *more])
+    used = sum(f is not base for f in more)
+    return scored.select(
+        key, "actual", F.col("scores")[0].alias("probability_base"), F.sort_array(F.slice("scores", 2, len(more))).alias("_all")
+    ), used
 
-    Refits use Poisson row weights, so no resampled copy is made; each row's scores sit in one array,
-    so the quantiles need no shuffle.
-    """
-    data = df.select(*dict.fromkeys([key, date, *features]), num(target).alias("label")).dropna(subset=[date, "label"])
-    train, recent = time_split(materialize(data, "boot"), date, 0.65, key)
+
+def _refitted_replicates(train: DataFrame, recent: DataFrame, key: str, features: Sequence[str], algorithm: str, iterations: int, seed: int) -> tuple[DataFrame, int]:
+    """The same by one fit per replicate, for models without a common gradient."""
     numeric, text = feature_kinds(train, features)
     prep = Pipeline(stages=preprocessing_stages(train, numeric, text)).fit(train)
     ready = materialize(prep.transform(train).select(key, "label", "features"), "boot_train")
     scored = prep.transform(recent).select(key, F.col("label").cast("int").alias("actual"), "features")
-    estimator = classifier(algorithm, seed=seed)
-    drop = ("rawPrediction", "probability", "prediction")
 
     def add(out: DataFrame, model, name: str) -> DataFrame:
-        return model.transform(out).withColumn(name, vector_to_array("probability")[1]).drop(*drop)
+        return model.transform(out).withColumn(name, vector_to_array("probability")[1]).drop("rawPrediction", "probability", "prediction")
 
-    scored = add(scored, estimator.fit(ready), "probability_base")
+    scored = add(scored, classifier(algorithm, seed=seed).fit(ready), "probability_base")
     names = []
-    for i in range(int(iterations)):
+    for i in range(iterations):
         weighted = ready.withColumn("_w", poisson_weight(key, seed + i)).where(F.col("_w") > 0)
         if weighted.select("label").distinct().count() < 2:
             continue
         scored = add(scored, classifier(algorithm, seed=seed + i + 1, weight="_w").fit(weighted), f"_s{i}")
         names.append(f"_s{i}")
     sample = F.sort_array(F.array(*names)) if names else F.array("probability_base")
-    m = max(len(names), 1)
+    return scored.select(key, "actual", "probability_base", sample.alias("_all")), len(names)
+
+
+def bootstrap_intervals(
+    df: DataFrame, key: str, target: str, features: Sequence[str], date: str, algorithm: str = "logistic",
+    iterations: int = 40, alpha: float = 0.10, seed: int = 42,
+) -> tuple[DataFrame, DataFrame]:
+    """Score intervals for the newest 35% of rows from refits on reweighted history; rows and a portfolio summary.
+
+    Refits use Poisson row weights, so no resampled copy is made; each row's scores sit in one array,
+    so the quantiles need no shuffle. Logistic replicates are fitted together, in as many passes as one of them needs.
+    """
+    data = df.select(*dict.fromkeys([key, date, *features]), num(target).alias("label")).dropna(subset=[date, "label"])
+    train, recent = time_split(materialize(data, "boot"), date, 0.65, key)
+    if algorithm == "logistic":
+        scored, used = _logistic_replicates(train, recent, key, features, int(iterations), seed)
+    else:
+        scored, used = _refitted_replicates(train, recent, key, features, algorithm, int(iterations), seed)
+    m = max(used, 1)
 
     def at(p: float) -> Column:
         place = (m - 1) * p
@@ -636,13 +728,13 @@ def bootstrap_intervals(
         part = place - low
         return F.col("_all")[low] * (1 - part) + F.col("_all")[min(low + 1, m - 1)] * part
 
-    rows = scored.withColumn("_all", sample).select(
+    rows = scored.select(
         key, "actual", rnd(F.col("probability_base"), 4).alias("probability_base"), rnd(at(alpha / 2), 4).alias("p_low"),
         rnd(at(0.5), 4).alias("p_mid"), rnd(at(1 - alpha / 2), 4).alias("p_high"),
     ).withColumn("width", rnd(F.col("p_high") - F.col("p_low"), 4))
     rows = materialize(rows, "intervals")
     summary = rows.agg(
-        F.lit(len(names)).alias("iterations"), rnd(F.avg("probability_base"), 4).alias("mean_probability"),
+        F.lit(used).alias("iterations"), rnd(F.avg("probability_base"), 4).alias("mean_probability"),
         rnd(F.avg("width"), 4).alias("mean_width"), rnd(F.avg((F.col("p_low") >= 0.5).cast("double")), 4).alias("share_low_at_half"),
         rnd(F.avg((F.col("p_high") >= 0.5).cast("double")), 4).alias("share_high_at_half"),
     )

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalar import clip, count_rows, num, rnd
 from ..session import materialize
-from .ordered import cumulative
+from .ordered import cumulative, running_sums
 from .quantiles import bin_of, distinct_edges, quantiles
 
 
@@ -30,6 +30,25 @@ def roc_auc(df: DataFrame, actual: str, probability: str, digits: int = 4) -> Da
     )
 
 
+def score_metrics_by(df: DataFrame, by: Sequence[str], actual: str, probability: str, digits: int = 4) -> DataFrame:
+    """``roc_auc``, ``log_loss`` and ``brier_score`` of every group, from one table of counts per group and distinct score."""
+    p, y = num(probability), F.col(actual).cast("int")
+    inner = clip(F.col("p"), 1e-15, 1 - 1e-15)
+    counts = (
+        df.where(p.isNotNull() & y.isNotNull()).groupBy(*by, p.alias("p"))
+        .agg(F.sum(y).cast("bigint").alias("pos"), F.sum(1 - y).cast("bigint").alias("neg"))
+    )
+    ranked, _ = running_sums(counts, by, ["p"], ["neg"])
+    pairs = F.sum("pos").cast("double") * F.sum("neg")
+    n = F.sum(F.col("pos") + F.col("neg"))
+    lost = F.col("pos") * F.log(inner) + F.col("neg") * F.log(1 - inner)
+    off = F.col("pos") * (1 - F.col("p")) * (1 - F.col("p")) + F.col("neg") * F.col("p") * F.col("p")
+    return ranked.groupBy(*by).agg(
+        F.when(pairs > 0, rnd(F.sum(F.col("pos") * (F.col("before_neg") + F.col("neg") / 2.0)) / pairs, digits)).alias("roc_auc"),
+        rnd(-F.sum(lost) / n, digits).alias("log_loss"), rnd(F.sum(off) / n, digits).alias("brier_score"),
+    )
+
+
 def confusion_counts(df: DataFrame, actual: str, predicted: str) -> DataFrame:
     a, b = F.col(actual).cast("int"), F.col(predicted).cast("int")
     return df.groupBy(a.alias("actual"), b.alias("predicted")).agg(count_rows().alias("rows"))
