@@ -95,14 +95,14 @@ def normal_quantile(p: Column) -> Column:
     return F.when(F.abs(q) <= 0.47575, poly(a, r) * q / poly(b, r)).when(q < 0, tail).otherwise(-tail)
 
 
-def hash_unit(key: str | Column | Sequence[str], seed: int = 42) -> Column:
+def hash_unit(key: str | Column | Sequence[str], seed: int | Column = 42) -> Column:
     """Uniform value in [0, 1) that depends only on the key and the seed."""
     if isinstance(key, Column):
         parts = [key.cast("string")]
     else:
         names = [key] if isinstance(key, str) else list(key)
         parts = [F.col(n).cast("string") for n in names]
-    text = F.concat_ws("|", *parts, F.lit(str(seed)))
+    text = F.concat_ws("|", *parts, seed.cast("string") if isinstance(seed, Column) else F.lit(str(seed)))
     return F.conv(F.substring(F.md5(text.cast("binary")), 1, 8), 16, 10).cast("bigint") / F.lit(4294967296.0)
 
 

@@ -10,6 +10,7 @@ import datetime
 import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import partial, reduce
 
 import numpy as np
 import pandas as pd
@@ -27,7 +28,7 @@ from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalar import clip, count_rows, hash_unit, num, numeric_columns, rnd, text_columns
-from ..session import materialize
+from ..session import materialize, side_by_side
 from .clean import effective_scaler, handle_outliers, lag_features, preprocessing_stages, spline_basis
 from .impute import knn_impute, mice_impute
 from .linear import gram
@@ -328,13 +329,20 @@ def benchmark(
     done: dict[str, Trained] = {}
     failed: dict[str, str] = {}
     train = train_classifier if problem == "classification" else train_regressor
-    for m in models:
+
+    def attempt(m: str) -> Trained | str:
         try:
-            done[m] = train(data, key, target, features, m, seed=seed, split=split, trees=trees)
-            done[m].metrics.first()
+            t = train(data, key, target, features, m, seed=seed, split=split, trees=trees)
+            t.metrics.first()
+            return t
         except Exception as error:  # noqa: BLE001 - one failing model must not stop the comparison
-            done.pop(m, None)
-            failed[m] = str(error).splitlines()[0] if str(error) else type(error).__name__
+            return str(error).splitlines()[0] if str(error) else type(error).__name__
+
+    for m, t in zip(models, side_by_side([partial(attempt, m) for m in models])):
+        if isinstance(t, Trained):
+            done[m] = t
+        else:
+            failed[m] = t
     if not done:
         raise ValueError(f"no model could be trained: {failed}")
     table = None
@@ -608,10 +616,12 @@ def purged_validation(
     if algorithm == "logistic":
         measured = _date_fold_metrics(data, key, target, features, before, within)
     else:
-        measured = {}
-        for i, r in enumerate(folds):
-            t = train_classifier(data, key, target, features, algorithm, calibrate=None, seed=seed + r["block"], split=(data.where(before[i]), data.where(within[i])))
-            measured[i] = t.metrics.select("roc_auc", "log_loss", "brier_score").first()
+        def trained(i: int) -> Row:
+            parts = (data.where(before[i]), data.where(within[i]))
+            t = train_classifier(data, key, target, features, algorithm, calibrate=None, seed=seed + folds[i]["block"], split=parts)
+            return t.metrics.select("roc_auc", "log_loss", "brier_score").first()
+
+        measured = dict(enumerate(side_by_side([partial(trained, i) for i in range(len(folds))])))
     rows = [
         (
             r["block"], last[f"d{i}"], r["start"], r["end"], r["end"] + datetime.timedelta(days=embargo_days), r["n_train"], r["n_test"],
@@ -654,20 +664,27 @@ def quantile_validation(
     return data.sparkSession.createDataFrame(rows, "fold int, roc_auc double, log_loss double, brier_score double")
 
 
+def _poisson_cuts() -> list[float]:
+    """The distribution function of Poisson(1), to double precision."""
+    return np.cumsum([math.exp(-1.0) / math.factorial(i) for i in range(19)]).tolist()
+
+
+def poisson_weights(key: str, seed: int, n: int) -> Column:
+    """``n`` Poisson(1) bootstrap weights from the row key, one for each seed from ``seed`` on."""
+    cuts = F.array(*map(F.lit, _poisson_cuts()))
+    units = F.transform(F.sequence(F.lit(seed), F.lit(seed + n - 1)), lambda s: hash_unit(key, s))
+    return F.transform(units, lambda u: F.size(F.filter(cuts, lambda c: c <= u)).cast("double"))
+
+
 def poisson_weight(key: str, seed: int) -> Column:
-    """Poisson(1) bootstrap weight from the row key, by inverting the distribution function to double precision."""
-    u = hash_unit(key, seed)
-    weight, reached = F.lit(0.0), 0.0
-    for i in range(19):
-        reached += math.exp(-1.0) / math.factorial(i)
-        weight = weight + (u >= reached).cast("double")
-    return weight
+    """One Poisson(1) bootstrap weight from the row key, by inverting the distribution function."""
+    return poisson_weights(key, seed, 1)[0]
 
 
 def _logistic_replicates(train: DataFrame, recent: DataFrame, key: str, features: Sequence[str], iterations: int, seed: int) -> tuple[DataFrame, int]:
     """Scores of the recent rows by the base model and, sorted in ``_all``, by all replicates; and how many there are."""
     numeric, text = feature_kinds(train, features)
-    weights = F.array(*[poisson_weight(key, seed + i) for i in range(iterations)]).cast("array<double>")
+    weights = poisson_weights(key, seed, iterations) if iterations else F.array().cast("array<double>")
     d = design(train, numeric, text, [key], _weights=weights)
     fills = d.fills(d.rows)
     wanted = [Candidate(l2=LOGISTIC_L2, fills=fills), *[Candidate(i, l2=LOGISTIC_L2, fills=fills) for i in range(iterations)]]
@@ -756,17 +773,18 @@ def multiverse(
 ) -> DataFrame:
     """The same model question under several reasonable preparations, ranked by AUC. Imputation and scaling are learned on train rows."""
     data = materialize(df.select(*dict.fromkeys([key, target, *features, *outlier_columns])), "multiverse")
-    out = None
-    for s in specifications:
+
+    def scenario(s: Mapping) -> DataFrame:
         rows = handle_outliers(data, outlier_columns, s["outliers"])[0] if outlier_columns and s["outliers"] else data
         t = train_classifier(
             rows, key, target, features, s["algorithm"], seed=seed, scaler=s["scaler"], trees=trees, imputer=s["imputer"], power=s["power"],
         )
-        row = t.metrics.select(
+        return materialize(t.metrics.select(
             F.lit(s["name"]).alias("scenario"), F.lit(s["algorithm"]).alias("algorithm"), F.lit(s["imputer"]).alias("imputer"),
             F.lit(s["outliers"]).alias("outliers"), F.lit(s["power"]).alias("power"), "roc_auc", "f1", "accuracy", "log_loss", "brier_score",
-        )
-        out = row if out is None else out.unionByName(row)
+        ), "scenario")
+
+    out = reduce(DataFrame.unionByName, side_by_side([partial(scenario, s) for s in specifications]))
     return out.orderBy(F.desc("roc_auc"), "scenario")
 
 
@@ -870,8 +888,13 @@ def value_benchmark(
     train, test = split_by_key(data, key, test_size, seed)
     middle = quantiles(train, [target], [0.5])[target][0.5]
     naive = regression_metrics(test.withColumn("_naive", F.lit(middle)), target, "_naive").first()
-    done = {m: train_regressor(data, key, target, features, m, seed=seed, trees=trees, split=(train, test)) for m in models}
-    rows = {m: t.metrics.first() for m, t in done.items()}
+
+    def trained(m: str) -> tuple[Trained, Row]:
+        t = train_regressor(data, key, target, features, m, seed=seed, trees=trees, split=(train, test))
+        return t, t.metrics.first()
+
+    found = dict(zip(models, side_by_side([partial(trained, m) for m in models])))
+    done, rows = {m: t for m, (t, _) in found.items()}, {m: r for m, (_, r) in found.items()}
     wa, wr = error_weights(rmse_weight)
 
     def scaled(metric: str, m: str) -> float:

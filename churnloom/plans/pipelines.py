@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..functions.scalar import hash_unit, numeric_columns, require_columns, require_rows, rnd, text_columns
 from ..operators import activation, clean, describe, events, linear, models, quality, scoring, segments, stat_tests, value
 from ..operators.impute import mice_impute
-from ..session import materialize
+from ..session import materialize, side_by_side
 from ..sources import io
 
 
@@ -76,17 +76,19 @@ def build_dataset(df: DataFrame, c: Contract) -> dict[str, DataFrame]:
     return tables
 
 
-def choose_model(data: DataFrame, c: Contract) -> tuple[str, list[str], dict[str, DataFrame]]:
-    """Benchmark, nested logistic study and the simple model when it is close enough."""
-    table, _, failed = models.benchmark(data, c.key, c.target, c.features, c.models, "classification", c.test_size, c.seed, c.trees)
-    study = models.parsimony_study(data, c.key, c.target, c.features, c.parsimony_steps, c.test_size, c.seed)
+def choose_model(data: DataFrame, c: Contract) -> tuple[str, list[str], dict[str, DataFrame], models.Trained | None]:
+    """Benchmark, nested logistic study and the simple model when it is close enough; the benchmark's fit where it is the choice."""
+    (table, done, failed), study = side_by_side([
+        lambda: models.benchmark(data, c.key, c.target, c.features, c.models, "classification", c.test_size, c.seed, c.trees),
+        lambda: models.parsimony_study(data, c.key, c.target, c.features, c.parsimony_steps, c.test_size, c.seed),
+    ])
     best = table.first()
     simple = study["summary"].first()
     name, features = best["model"], list(c.features)
     if best["roc_auc"] - simple["roc_auc"] <= c.tolerance:
         name, features = "logistic", list(study["recommended"])
     skipped = data.sparkSession.createDataFrame(list(failed.items()), "model string, reason string")
-    return name, features, {"benchmark": table, "parsimony": study["summary"], "ensemble_metrics": study["ensemble_metrics"], "skipped": skipped}
+    return name, features, {"benchmark": table, "parsimony": study["summary"], "ensemble_metrics": study["ensemble_metrics"], "skipped": skipped}, done.get(name) if features == list(c.features) else None
 
 
 def bi_run(
@@ -159,9 +161,12 @@ def conclusions(tables: Mapping[str, DataFrame]) -> DataFrame:
 
 def methodology_run(
     data: DataFrame, c: Contract, algorithm: str, features: Sequence[str], observed_at: Column, expected_rows: int | None = None,
-    audit: Mapping[str, DataFrame] | None = None,
+    audit: Mapping[str, DataFrame] | None = None, fitted_model: models.Trained | None = None,
 ) -> dict[str, DataFrame]:
-    """Snapshot drift, health gate, tests, feature ranking, robustness, time folds, uncertainty, fairness and flags."""
+    """Snapshot drift, health gate, tests, feature ranking, robustness, time folds, uncertainty, fairness and flags.
+
+    ``fitted_model`` is a fit of the same rows, features and settings, if there is one already.
+    """
     spark = data.sparkSession
     reference, current = (materialize(p, "snapshot") for p in quality.time_split(data, c.date, 0.65, c.key))
     numeric, _ = models.feature_kinds(data, features)
@@ -195,16 +200,19 @@ def methodology_run(
     out["tabular_alerts"] = quality.tabular_alerts(source)
     facts["tabular_alerts"] = sum(out["tabular_alerts"].first())
     if decision != "blocked":
-        out["rfe"] = models.recursive_elimination(data, c.key, c.target, features, min(6, len(features)))
-        out["multiverse"] = models.multiverse(data, c.key, c.target, features, c.outlier_columns, seed=c.seed, trees=c.trees)
-        out["folds"], out["temporal"] = models.purged_validation(
-            data, c.key, c.target, features, c.date, algorithm, c.folds, c.purge_days, c.embargo_days, c.seed
-        )
         simple = algorithm if algorithm != "mlp" else "logistic"
-        out["intervals"], out["uncertainty"] = models.bootstrap_intervals(
-            data, c.key, c.target, features, c.date, simple, c.bootstrap_iterations, c.interval_alpha, c.seed
-        )
-        trained = models.train_classifier(data, c.key, c.target, features, algorithm, c.test_size, c.seed, trees=c.trees)
+        # Independent of one another, so their jobs run side by side.
+        out["rfe"], out["multiverse"], (out["folds"], out["temporal"]), (out["intervals"], out["uncertainty"]), trained = side_by_side([
+            lambda: models.recursive_elimination(data, c.key, c.target, features, min(6, len(features))),
+            lambda: models.multiverse(data, c.key, c.target, features, c.outlier_columns, seed=c.seed, trees=c.trees),
+            lambda: models.purged_validation(
+                data, c.key, c.target, features, c.date, algorithm, c.folds, c.purge_days, c.embargo_days, c.seed
+            ),
+            lambda: models.bootstrap_intervals(
+                data, c.key, c.target, features, c.date, simple, c.bootstrap_iterations, c.interval_alpha, c.seed
+            ),
+            lambda: fitted_model or models.train_classifier(data, c.key, c.target, features, algorithm, c.test_size, c.seed, trees=c.trees),
+        ])
         scored = trained.predictions
         out["calibration"] = scoring.calibration_gaps(scored, "actual", "probability")
         facts["brier_score"] = trained.metrics.first()["brier_score"]
@@ -277,10 +285,15 @@ def case_run(df: DataFrame, c: Contract, observed_at: Column, output: str | None
     dataset = build_dataset(df, c)
     data = dataset["data"]
     audit = {k: v for k, v in dataset.items() if k != "data"}
-    name, features, selection = choose_model(data, c)
-    trained, bi = bi_run(data, c, name, features, audit)
-    checks = methodology_run(data, c, name, features, observed_at, audit=audit)
-    active = activation_run(data, c, trained.predictions)
+    name, features, selection, fitted = choose_model(data, c)
+
+    def acted() -> tuple[models.Trained, dict[str, DataFrame], dict[str, DataFrame]]:
+        trained, bi = bi_run(data, c, name, features, audit)
+        return trained, bi, activation_run(data, c, trained.predictions)
+
+    (trained, bi, active), checks = side_by_side(
+        [acted, lambda: methodology_run(data, c, name, features, observed_at, audit=audit, fitted_model=fitted)]
+    )
     summary = io.execution_summary(
         [
             trained.metrics.select(F.lit(name).alias("champion_model"), "roc_auc", "log_loss", "brier_score"),

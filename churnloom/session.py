@@ -6,9 +6,18 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Callable, Sequence
+from multiprocessing.pool import ThreadPool
+from typing import TypeVar
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
+T = TypeVar("T")
+
+#: Independent fits whose jobs are submitted side by side.
+SIDE_BY_SIDE = 4
+
 SQL_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -70,3 +79,12 @@ def materialize(df: DataFrame, label: str = "t") -> DataFrame:
     path = f"{run_folder(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def side_by_side(calls: Sequence[Callable[[], T]], workers: int = SIDE_BY_SIDE) -> list[T]:
+    """Results of independent ``calls`` in their order; their Spark jobs share the executors instead of queueing up.
+
+    The first exception is raised once all calls have ended.
+    """
+    with ThreadPool(max(1, min(workers, len(calls)))) as pool:
+        return [r.get() for r in [pool.apply_async(inheritable_thread_target(f)) for f in calls]]
