@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import c, fresh, materialize, short_plans, small_batches
+from .common import c, fresh, give_back, materialize, short_plans, small_batches
 
 RANKS = "byte_bpe_50k.tiktoken"
 #: The broadcast table of words and ids: its words, the bytes of a word, and the bytes of the whole.
@@ -27,7 +27,9 @@ TABLE_WORDS = 2**19
 WORD_BYTES = 64
 TABLE_BYTES = 96_000_000
 #: Words that a worker holds, as numbers, between two searches of the table.
-HELD_WORDS = 2_000_000
+HELD_WORDS = 500_000
+#: Rows of an Arrow batch: a row holds all words of a text.
+BATCH_ROWS = 500
 BUCKETS = 2**16
 _NONE = 2**62
 _SLICE = 200_000
@@ -224,7 +226,7 @@ def encode(
     """
     ranks = read_ranks(path or public_tokenizers.path(RANKS))
     spark: SparkSession = docs.sparkSession
-    small_batches(spark)
+    small_batches(spark, BATCH_ROWS)
     short_plans(spark)
     merges = Merges(ranks)
     table = word_table(docs, text, merges, pattern, table_words).combine_chunks()
@@ -268,6 +270,7 @@ def encode(
                 ]
                 yield pa.RecordBatch.from_arrays([*columns, *lists], names=[f.name for f in middle.fields])
             held.clear()
+            give_back()
 
         for batch in batches:
             column, rows = batch.column(width), pa.array(np.arange(batch.num_rows))
@@ -314,5 +317,6 @@ def encode(
                 yield pa.RecordBatch.from_arrays(
                     [rows.column(k) for k in range(width)] + [made[x]() for x in outputs], names=[f.name for f in final.fields]
                 )
+        give_back()
 
     return placed.mapInArrow(assemble, final)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Callable, Iterator, Sequence
 
@@ -12,7 +13,7 @@ from pyspark.sql import types as T
 
 from ..session import materialize
 
-__all__ = ["append_columns", "attach_lists", "blob_rows", "c", "fresh", "materialize", "short_plans", "small_batches"]
+__all__ = ["append_columns", "attach_lists", "blob_rows", "c", "fresh", "give_back", "materialize", "short_plans", "small_batches"]
 
 #: Entries of a list table that may be broadcast; at 16 to 40 bytes each this is at most 20 MB.
 BROADCAST_ENTRIES = 500_000
@@ -49,6 +50,7 @@ def append_columns(
             yield pa.RecordBatch.from_arrays(
                 [batch.column(i) for i in range(width)] + new, names=[f.name for f in schema.fields]
             )
+        give_back()
 
     return narrow.mapInArrow(run, schema)
 
@@ -57,11 +59,19 @@ def append_columns(
 BATCH_ROWS = 2000
 
 
-def small_batches(spark: SparkSession) -> None:
-    """Lowers the session's rows per Arrow batch to ``BATCH_ROWS``; the setting is read when a plan runs."""
+def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
+    """Lowers the session's rows per Arrow batch to ``rows``; the setting is read when a plan runs."""
     name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
-        spark.conf.set(name, str(BATCH_ROWS))
+    if not 0 < int(spark.conf.get(name)) <= rows:
+        spark.conf.set(name, str(rows))
+
+
+def give_back() -> None:
+    """Returns freed memory to the system: a worker is used again for later stages, and would keep it."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
 
 
 def short_plans(spark: SparkSession, most: int = 100_000) -> None:
