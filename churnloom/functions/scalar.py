@@ -116,8 +116,8 @@ def accentless(x: Column) -> Column:
 
 
 # Texts read as yes and as no.
-YES_TEXTS = ("1", "true", "t", "yes", "y", "si", "sí", "s")
-NO_TEXTS = ("0", "false", "f", "no", "n")
+YES_TEXTS = ("si", "sí", "s", "1", "true", "yes", "y")
+NO_TEXTS = ("no", "n", "0", "false")
 
 
 def standard_name(name: str) -> str:
@@ -131,13 +131,34 @@ def standardize_names(df: DataFrame) -> DataFrame:
 
 
 def yes_no(column: str) -> Column:
-    """Target column as 1/0: yes and no texts in any case, else the number when it parses."""
+    """1 for yes texts and 0 for no texts in any case; null for all others."""
     text = F.lower(F.trim(F.col(column).cast("string")))
-    return (
-        F.when(text.isin(*YES_TEXTS), F.lit(1.0))
-        .when(text.isin(*NO_TEXTS), F.lit(0.0))
-        .otherwise(num(F.col(column).cast("string")))
-    )
+    return F.when(text.isin(*YES_TEXTS), F.lit(1)).when(text.isin(*NO_TEXTS), F.lit(0))
+
+
+def prepared_targets(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Target columns as whole numbers, in place.
+
+    Numbers are cut to whole numbers. Texts are read as yes and no; only where some value is neither, and every value of the
+    column (nulls count as values) parses as a number, all are read as numbers instead. What is left is null. Which of
+    the two holds is found for all columns in one aggregation.
+    """
+    kinds = dict(df.dtypes)
+    texts = [c for c in columns if kinds[c] in ("string", "date", "timestamp")]
+
+    def number(c: str) -> Column:
+        value = num(F.col(c).cast("string"))
+        return F.when(~F.isnan(value), value)
+
+    found = df.agg(
+        *[F.bool_and(yes_no(c).isNotNull()).alias(f"words_{i}") for i, c in enumerate(texts)],
+        *[F.bool_and(number(c).isNotNull()).alias(f"numbers_{i}") for i, c in enumerate(texts)],
+    ).first() if texts else {}
+    out = {c: num(c).cast("bigint") for c in columns if c not in texts}
+    for i, c in enumerate(texts):
+        as_numbers = not found[f"words_{i}"] and found[f"numbers_{i}"]
+        out[c] = (number(c) if as_numbers else yes_no(c)).cast("bigint")
+    return df.withColumns(out)
 
 
 def require_columns(df: DataFrame, columns: Iterable[str]) -> None:

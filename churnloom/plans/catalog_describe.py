@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.scalar import ACCENTED, PLAIN, accentless, rnd, yes_no
+from ..functions.scalar import ACCENTED, PLAIN, accentless, prepared_targets, rnd
 from ..operators import charts, clean, describe, impute, quality
 from .base import CUSTOMERS, ORDERS_GAPS, customers, orders_gaps, table
 from .registry import query, r
@@ -258,11 +258,26 @@ def fixed_bins(spark, sf):
     return table(spark, sf, "lineitem").groupBy(clean.fixed_bins(F.col("l_quantity"), [10, 25, 40]).alias("bucket")).agg(F.count("*").alias("rows"))
 
 
-@query("""SELECT o_orderkey, CASE WHEN o_orderkey % 5 = 0 THEN 1.0 WHEN o_orderkey % 5 = 1 THEN 1.0 WHEN o_orderkey % 5 = 2 THEN 0.0 WHEN o_orderkey % 5 = 3 THEN 2.5 END::double AS target FROM orders""")
+TARGET_WORDS = "WHEN t IN ('si', 'sí', 's', '1', 'true', 'yes', 'y') THEN 1 WHEN t IN ('no', 'n', '0', 'false') THEN 0"
+_RAW = """SELECT o_orderkey, CASE o_orderkey % 5 WHEN 0 THEN ' SÍ ' WHEN 1 THEN 'true' WHEN 2 THEN 'No' WHEN 3 THEN '2.5' ELSE 'maybe' END AS mixed,
+  CASE WHEN o_orderstatus = 'F' THEN 'Yes' ELSE 'n' END AS words, o_totalprice::VARCHAR AS numbers FROM orders"""
+
+
+def _target_sql(c: str) -> str:
+    """Words first; numbers only where a value is no word and all values parse."""
+    words = f"(CASE {TARGET_WORDS.replace('t IN', f'lower(trim({c})) IN')} END)"
+    all_words, all_numbers = f"(bool_and({words} IS NOT NULL) OVER ())", f"(bool_and(try_cast({c} AS DOUBLE) IS NOT NULL) OVER ())"
+    return f"CASE WHEN NOT {all_words} AND {all_numbers} THEN trunc(try_cast({c} AS DOUBLE))::BIGINT ELSE {words}::BIGINT END AS {c}"
+
+
+@query(f"""WITH raw AS ({_RAW}) SELECT o_orderkey, {', '.join(map(_target_sql, ('mixed', 'words', 'numbers')))} FROM raw""")
 def prepare_target(spark, sf):
     k = F.col("o_orderkey") % 5
-    raw = F.when(k == 0, " SÍ ").when(k == 1, "true").when(k == 2, "No").when(k == 3, "2.5").otherwise("maybe")
-    return table(spark, sf, "orders").select("o_orderkey", raw.alias("raw")).select("o_orderkey", yes_no("raw").alias("target"))
+    raw = table(spark, sf, "orders").select(
+        "o_orderkey", F.when(k == 0, " SÍ ").when(k == 1, "true").when(k == 2, "No").when(k == 3, "2.5").otherwise("maybe").alias("mixed"),
+        F.when(F.col("o_orderstatus") == "F", "Yes").otherwise("n").alias("words"), F.col("o_totalprice").cast("string").alias("numbers"),
+    )
+    return prepared_targets(raw, ["mixed", "words", "numbers"])
 
 
 @query(f"""SELECT doc_id, md5(translate(text, '{ACCENTED}', '{PLAIN}')) AS plain_md5, text = translate(text, '{ACCENTED}', '{PLAIN}') AS was_plain FROM documents""")
