@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -141,28 +142,28 @@ def relative_gap(clv: Column, model_value: Column) -> Column:
 # 2013). Equal (frequency, recency, age) triples are counted first, so a step reads the distinct ones.
 
 
-def _lgamma(x: Column) -> Column:
-    """log Gamma for x > 0: shifted by 6, then Stirling's series (error below 1e-10)."""
+def _lgamma(x):
+    """log Gamma of an array or number above 0: shifted by 6, then Stirling's series (error below 1e-10)."""
     shift = x * (x + 1.0) * (x + 2.0) * (x + 3.0) * (x + 4.0) * (x + 5.0)
     z = x + 6.0
     w = 1.0 / (z * z)
     series = (1.0 / 12.0 + w * (-1.0 / 360.0 + w * (1.0 / 1260.0 - w / 1680.0))) / z
-    return (z - 0.5) * F.log(z) - z + series - F.log(shift) + 0.5 * math.log(2 * math.pi)
+    return (z - 0.5) * np.log(z) - z + series - np.log(shift) + 0.5 * math.log(2 * math.pi)
 
 
-def _digamma(x, log=F.log):
-    """Derivative of log Gamma for x > 0, of a column or (with ``math.log``) a number; error below 1e-10."""
+def _digamma(x):
+    """Derivative of log Gamma of an array or number above 0; error below 1e-10."""
     z = x + 6.0
     w = 1.0 / (z * z)
     series = w * (1.0 / 12.0 - w * (1.0 / 120.0 - w * (1.0 / 252.0 - w * (1.0 / 240.0 - w / 132.0))))
-    out = log(z) - 0.5 / z - series
+    out = np.log(z) - 0.5 / z - series
     for i in range(6):
         out = out - 1.0 / (x + float(i))
     return out
 
 
 def _trigamma(x):
-    """Second derivative of log Gamma for x > 0, of a column or a number; error below 1e-9."""
+    """Second derivative of log Gamma of an array or number above 0; error below 1e-9."""
     z = x + 6.0
     w = 1.0 / (z * z)
     out = (1.0 + w * (1.0 / 6.0 - w * (1.0 / 30.0 - w * (1.0 / 42.0 - w * (1.0 / 30.0 - w * 5.0 / 66.0))))) / z + 0.5 * w
@@ -175,105 +176,111 @@ def _trigamma(x):
 class Likelihood:
     """What a row adds to a log-likelihood with its first and second derivatives, and the part that rows share.
 
-    ``row`` makes named columns of a row from parameter columns: ``value``, ``g<i>`` and ``h<i>_<j>`` (missing ones are
-    zero); ``shared`` gives the same three as numbers, gradient and matrix.
+    ``row`` maps the arrays of ``columns`` and the parameters to ``value``, ``g<i>`` and ``h<i>_<j>`` (j >= i; what is
+    missing is zero); ``shared`` gives the same three as number, gradient and matrix.
     """
 
-    row: Callable[[DataFrame, Sequence[Column]], DataFrame]
+    columns: tuple[str, ...]
+    row: Callable[[Sequence[np.ndarray], np.ndarray], dict[str, np.ndarray]]
     shared: Callable[[np.ndarray], tuple[float, np.ndarray, np.ndarray]]
 
 
-def _bgnbd_row(scale: float) -> Callable[[DataFrame, Sequence[Column]], DataFrame]:
-    def row(df: DataFrame, p: Sequence[Column]) -> DataFrame:
+def bgnbd_likelihood(scale: float = 1.0) -> Likelihood:
+    """BG/NBD of frequency, recency and age in units of ``1 / scale``."""
+
+    def row(columns: Sequence[np.ndarray], p: np.ndarray) -> dict[str, np.ndarray]:
         rr, alpha, a, b = p
-        f, seen, age = F.col("f"), F.col("r") * scale + alpha, F.col("t") * scale + alpha
-        left = F.greatest(f + b - 1.0, F.lit(1e-9))
-        n = f + rr
-        base = df.withColumns({
-            "_la": F.log(age), "_ls": F.log(seen), "_age": age, "_seen": seen, "_n": n, "_left": left,
-            "_d0": _digamma(n), "_t0": _trigamma(n), "_d1": _digamma(f + b), "_t1": _trigamma(f + b),
-            "_d2": _digamma(f + a + b), "_t2": _trigamma(f + a + b), "_base": _lgamma(n) + _lgamma(f + b) - _lgamma(f + a + b),
-        })
-        la, ls, left, n = F.col("_la"), F.col("_ls"), F.col("_left"), F.col("_n")
-        base = base.withColumns({"_alive": -n * la, "_died": F.log(a / left) - n * ls})
-        gap = F.col("_died") - F.col("_alive")
+        f, seen, age = columns[0], columns[1] * scale + alpha, columns[2] * scale + alpha
+        n, left = f + rr, np.maximum(f + b - 1.0, 1e-9)
+        la, ls, ia, i_s = np.log(age), np.log(seen), 1.0 / age, 1.0 / seen
+        d2, t2 = _digamma(f + a + b), _trigamma(f + a + b)
+        alive, died = -n * la, np.log(a / left) - n * ls
         # The share of the likelihood that comes from customers who left after their last purchase.
-        base = base.withColumn("_w", F.when(f > 0, 1.0 / (1.0 + F.exp(-gap))).otherwise(0.0))
-        w, v = F.col("_w"), 1.0 - F.col("_w")
-        ia, i_s = 1.0 / F.col("_age"), 1.0 / F.col("_seen")
-        top = F.greatest("_alive", "_died") + F.log1p(F.exp(-F.abs(gap)))
+        w = np.where(f > 0, 1.0 / (1.0 + np.exp(np.clip(alive - died, -700, 700))), 0.0)
+        v = 1.0 - w
+        mix = w * v
         # Differences of the two branches' gradients.
         d = [la - ls, n * (ia - i_s), 1.0 / a, -1.0 / left]
-        mix = w * v
         out = {
-            "value": F.col("_base") + F.when(f > 0, top).otherwise(F.col("_alive")),
-            "g0": F.col("_d0") - v * la - w * ls, "g1": -n * (v * ia + w * i_s), "g2": w / a - F.col("_d2"),
-            "g3": F.col("_d1") - F.col("_d2") - w / left,
-            "h0_0": F.col("_t0") + mix * d[0] * d[0], "h0_1": -(v * ia + w * i_s) + mix * d[0] * d[1],
-            "h0_2": mix * d[0] * d[2], "h0_3": mix * d[0] * d[3],
-            "h1_1": n * (v * ia * ia + w * i_s * i_s) + mix * d[1] * d[1], "h1_2": mix * d[1] * d[2], "h1_3": mix * d[1] * d[3],
-            "h2_2": -w / (a * a) - F.col("_t2") + mix * d[2] * d[2], "h2_3": mix * d[2] * d[3] - F.col("_t2"),
-            "h3_3": w / (left * left) + F.col("_t1") - F.col("_t2") + mix * d[3] * d[3],
+            "value": _lgamma(n) + _lgamma(f + b) - _lgamma(f + a + b) + np.where(f > 0, np.logaddexp(alive, died), alive),
+            "g0": _digamma(n) - v * la - w * ls, "g1": -n * (v * ia + w * i_s), "g2": w / a - d2, "g3": _digamma(f + b) - d2 - w / left,
         }
-        return base.select("n", *[c.alias(name) for name, c in out.items()])
+        own = {
+            (0, 0): _trigamma(n), (0, 1): -(v * ia + w * i_s), (1, 1): n * (v * ia * ia + w * i_s * i_s),
+            (2, 2): -w / (a * a) - t2, (2, 3): -t2, (3, 3): w / (left * left) + _trigamma(f + b) - t2,
+        }
+        for i in range(4):
+            for j in range(i, 4):
+                out[f"h{i}_{j}"] = mix * d[i] * d[j] + own.get((i, j), 0.0)
+        return out
 
-    return row
+    return Likelihood(("f", "r", "t"), row, _bgnbd_shared)
 
 
 def _bgnbd_shared(p: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
     rr, alpha, a, b = map(float, p)
-    da, ta = _digamma(a + b, math.log), _trigamma(a + b)
+    da, ta = _digamma(a + b), _trigamma(a + b)
     value = -math.lgamma(rr) + rr * math.log(alpha) + math.lgamma(a + b) - math.lgamma(b)
-    slope = np.array([math.log(alpha) - _digamma(rr, math.log), rr / alpha, da, da - _digamma(b, math.log)])
+    slope = np.array([math.log(alpha) - _digamma(rr), rr / alpha, da, da - _digamma(b)])
     curve = np.zeros((4, 4))
     curve[0, 0], curve[0, 1], curve[1, 1] = -_trigamma(rr), 1 / alpha, -rr / alpha**2
     curve[2, 2], curve[2, 3], curve[3, 3] = ta, ta, ta - _trigamma(b)
     return value, slope, curve
 
 
-def _gamma_gamma_row(mean: float) -> Callable[[DataFrame, Sequence[Column]], DataFrame]:
-    def row(df: DataFrame, p: Sequence[Column]) -> DataFrame:
+def gamma_gamma_likelihood(mean: float = 1.0) -> Likelihood:
+    """Gamma-Gamma of frequency and average value in units of ``mean``."""
+
+    def row(columns: Sequence[np.ndarray], p: np.ndarray) -> dict[str, np.ndarray]:
         shape, q, v = p
-        f, m = F.col("f"), F.col("m") / mean
-        pf, both = f * shape, f * shape + q
-        base = df.withColumns({
-            "_in": F.log(f * m), "_out": F.log(f * m + v), "_i": 1.0 / (f * m + v), "_both": both, "_lm": F.log(m),
-            "_d0": _digamma(both), "_t0": _trigamma(both), "_d1": _digamma(pf), "_t1": _trigamma(pf), "_base": _lgamma(both) - _lgamma(pf),
-        })
-        i, both, d0, t0 = F.col("_i"), F.col("_both"), F.col("_d0"), F.col("_t0")
-        out = {
-            "value": F.col("_base") + pf * F.col("_in") - F.col("_lm") - both * F.col("_out"),
-            "g0": f * (d0 - F.col("_d1") + F.col("_in") - F.col("_out")), "g1": d0 - F.col("_out"), "g2": -both * i,
-            "h0_0": f * f * (t0 - F.col("_t1")), "h0_1": f * t0, "h0_2": -f * i, "h1_1": t0, "h1_2": -i, "h2_2": both * i * i,
+        f, m = columns[0], columns[1] / mean
+        pf, both, spent = f * shape, f * shape + q, f * m
+        i, out = 1.0 / (spent + v), np.log(spent + v)
+        d0, t0, inner = _digamma(both), _trigamma(both), np.log(spent)
+        return {
+            "value": _lgamma(both) - _lgamma(pf) + pf * inner - np.log(m) - both * out,
+            "g0": f * (d0 - _digamma(pf) + inner - out), "g1": d0 - out, "g2": -both * i,
+            "h0_0": f * f * (t0 - _trigamma(pf)), "h0_1": f * t0, "h0_2": -f * i, "h1_1": t0, "h1_2": -i, "h2_2": both * i * i,
         }
-        return base.select("n", *[c.alias(name) for name, c in out.items()])
 
-    return row
+    return Likelihood(("f", "m"), row, _gamma_gamma_shared)
 
 
 def _gamma_gamma_shared(p: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
     _, q, v = map(float, p)
     curve = np.zeros((3, 3))
     curve[1, 1], curve[1, 2], curve[2, 2] = -_trigamma(q), 1 / v, -q / v**2
-    return q * math.log(v) - math.lgamma(q), np.array([0.0, math.log(v) - _digamma(q, math.log), q / v]), curve
+    return q * math.log(v) - math.lgamma(q), np.array([0.0, math.log(v) - _digamma(q), q / v]), curve
 
 
 def likelihood_sums(counts: DataFrame, model: Likelihood, p: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
-    """Mean log-likelihood of the counted rows (``n`` each) at ``p`` with gradient and Hessian, from one aggregation."""
+    """Mean log-likelihood of the counted rows (``n`` each) at ``p`` with gradient and Hessian, from one pass.
+
+    A task returns one row per sum, whatever its rows.
+    """
     k = len(p)
-    names = [f"_p{i}" for i in range(k)]
-    # As columns of one constant row, so that the generated code stays the same from pass to pass.
-    at = counts.select("*", F.inline(F.array(F.struct(*[F.lit(float(x)).alias(n) for n, x in zip(names, p)]))))
     wanted = ["value", *[f"g{i}" for i in range(k)], *[f"h{i}_{j}" for i in range(k) for j in range(i, k)]]
-    sums = model.row(at, [F.col(n) for n in names]).agg(F.sum("n").alias("_n"), *[F.sum(F.col("n") * F.col(w)).alias(w) for w in wanted]).first()
-    total = float(sums["_n"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(len(wanted) + 1)
+        for batch in batches:
+            *columns, n = [batch.column(i).to_numpy(zero_copy_only=False).astype(float) for i in range(batch.num_columns)]
+            found = model.row(columns, p)
+            total += [n.sum(), *[n @ (found[w] + np.zeros(len(n))) for w in wanted]]
+        places = pa.array(np.arange(len(total)), pa.int32())
+        yield pa.RecordBatch.from_arrays([places, pa.array(total, pa.float64())], names=["place", "value"])
+
+    parts = counts.select(*model.columns, "n").mapInArrow(run, "place int, value double").groupBy("place").agg(F.sum("value").alias("value"))
+    sums = {r["place"]: r["value"] for r in parts.collect()}
+    total = sums[0]
+    at = {w: sums[i + 1] / total for i, w in enumerate(wanted)}
     value, slope, curve = model.shared(p)
     for i in range(k):
-        slope[i] += sums[f"g{i}"] / total
+        slope[i] += at[f"g{i}"]
         for j in range(i, k):
-            curve[i, j] += sums[f"h{i}_{j}"] / total
+            curve[i, j] += at[f"h{i}_{j}"]
             curve[j, i] = curve[i, j]
-    return value + sums["value"] / total, slope, curve
+    return value + at["value"], slope, curve
 
 
 def _maximise(counts: DataFrame, start: Sequence[float], model: Likelihood, penalty: float, rounds: int, tolerance: float) -> tuple[list[float], float]:
@@ -297,13 +304,13 @@ def _maximise(counts: DataFrame, start: Sequence[float], model: Likelihood, pena
         size, turn = np.linalg.eigh(-(h + h.T) / 2)
         step = turn @ ((turn.T @ g) / np.maximum(np.abs(size), 1e-4))
         step *= min(1.0, 2.0 / max(float(np.max(np.abs(step))), 1e-12))
-        if float(g @ step) < tolerance * 1e-4 and gained < tolerance:
+        if gained < tolerance:
             break
         x = np.clip(base + step, -12, 14)
     return [float(v) for v in np.exp(base)], best
 
 
-def fit_bgnbd(df: DataFrame, frequency="frequency", recency="recency", age="age", monetary="monetary", penalty: float = 0.01, rounds: int = 40, tolerance: float = 1e-8) -> dict[str, float]:
+def fit_bgnbd(df: DataFrame, frequency="frequency", recency="recency", age="age", monetary="monetary", penalty: float = 0.01, rounds: int = 40, tolerance: float = 1e-6) -> dict[str, float]:
     """r, alpha, a, b of BG/NBD over structurally valid rows. Time is scaled so the longest age is 10."""
     f, r, t, m = _filled(frequency, recency, age, monetary)
     bad = F.lit(False)
@@ -313,18 +320,18 @@ def fit_bgnbd(df: DataFrame, frequency="frequency", recency="recency", age="age"
         df.where(~bad).select(f.alias("f"), r.alias("r"), t.alias("t")).groupBy("f", "r", "t").agg(count_rows().alias("n")), "bgnbd"
     )
     scale = 10.0 / counts.agg(F.max("t")).first()[0]
-    params, score = _maximise(counts, [1.0, 3.0, 0.5, 2.0], Likelihood(_bgnbd_row(scale), _bgnbd_shared), penalty, rounds, tolerance)
+    params, score = _maximise(counts, [1.0, 3.0, 0.5, 2.0], bgnbd_likelihood(scale), penalty, rounds, tolerance)
     return {"r": params[0], "alpha": params[1] / scale, "a": params[2], "b": params[3], "mean_log_likelihood": float(score)}
 
 
-def fit_gamma_gamma(df: DataFrame, frequency="frequency", recency="recency", age="age", monetary="monetary", penalty: float = 0.01, rounds: int = 40, tolerance: float = 1e-8) -> dict[str, float]:
+def fit_gamma_gamma(df: DataFrame, frequency="frequency", recency="recency", age="age", monetary="monetary", penalty: float = 0.01, rounds: int = 40, tolerance: float = 1e-6) -> dict[str, float]:
     """p, q, v of Gamma-Gamma over valid repeaters. Values are scaled by their mean."""
     f, r, t, m = _filled(frequency, recency, age, monetary)
     repeaters = materialize(
         df.where((f > 0) & (m > 0) & (r >= 0) & (r <= t)).select(f.alias("f"), m.alias("m")).groupBy("f", "m").agg(count_rows().alias("n")), "gg"
     )
     mean = repeaters.agg(F.sum(F.col("m") * F.col("n")) / F.sum("n")).first()[0]
-    params, score = _maximise(repeaters, [2.0, 3.0, 2.0], Likelihood(_gamma_gamma_row(mean), _gamma_gamma_shared), penalty, rounds, tolerance)
+    params, score = _maximise(repeaters, [2.0, 3.0, 2.0], gamma_gamma_likelihood(mean), penalty, rounds, tolerance)
     return {"p": params[0], "q": params[1], "v": params[2] * mean, "mean_log_likelihood": float(score)}
 
 

@@ -41,9 +41,9 @@ def gamma_gamma(row, p):
 @pytest.mark.parametrize("name", ["bgnbd", "gamma_gamma"])
 def test_derivatives_equal_finite_differences(counts, name):
     if name == "bgnbd":
-        used, model, plain, p = counts, value.Likelihood(value._bgnbd_row(1.0), value._bgnbd_shared), bgnbd, np.array([0.8, 2.5, 0.7, 1.9])
+        used, model, plain, p = counts, value.bgnbd_likelihood(), bgnbd, np.array([0.8, 2.5, 0.7, 1.9])
     else:
-        used, model, plain, p = counts.where("f > 0"), value.Likelihood(value._gamma_gamma_row(1.0), value._gamma_gamma_shared), gamma_gamma, np.array([1.7, 3.2, 2.1])
+        used, model, plain, p = counts.where("f > 0"), value.gamma_gamma_likelihood(), gamma_gamma, np.array([1.7, 3.2, 2.1])
     rows = used.collect()
     total = sum(r["n"] for r in rows)
 
@@ -63,7 +63,7 @@ def test_derivatives_equal_finite_differences(counts, name):
 
 def test_score_equations_hold_at_the_fit(counts):
     scale = 10.0 / counts.agg(F.max("t")).first()[0]
-    model = value.Likelihood(value._bgnbd_row(scale), value._bgnbd_shared)
+    model = value.bgnbd_likelihood(scale)
     params, best = value._maximise(counts, [1.0, 3.0, 0.5, 2.0], model, 0.01, 40, 1e-8)
     p = np.array(params)
     at, slope, _ = value.likelihood_sums(counts, model, p)
