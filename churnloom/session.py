@@ -86,5 +86,6 @@ def side_by_side(calls: Sequence[Callable[[], T]], workers: int = SIDE_BY_SIDE)
 
     The first exception is raised once all calls have ended.
     """
+    shared = inheritable_thread_target(SparkSession.active())
     with ThreadPool(max(1, min(workers, len(calls)))) as pool:
-        return [r.get() for r in [pool.apply_async(inheritable_thread_target(f)) for f in calls]]
+        return [r.get() for r in [pool.apply_async(shared(f)) for f in calls]]
