@@ -26,6 +26,9 @@ EDIT_RATE = 0.06
 #: Benchmark characters that are indexed and broadcast at a time, on average.
 BLOCK_CHARS = 2_000_000
 _SLICE_CHARS = 400_000
+#: Pairs of a place and a segment with its q-gram that are held at a time.
+_POSTINGS = 500_000
+_PRUNE_EVERY = 8
 _MULTIPLIERS = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
 
 
@@ -55,9 +58,14 @@ def _grams(points: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Index:
-    """Segments with their item, length, edit budget and q-gram bound, and the places of each q-gram in them."""
+    """Distinct segments with their holders, length, edit budget and q-gram bound, and the places of each q-gram in them.
+
+    A passage that stands in many items is one segment: ``items`` has the item of each standing, ``holders`` the
+    standings of each segment.
+    """
 
     items: list
+    holders: list[list[int]]
     points: np.ndarray
     start: np.ndarray
     size: np.ndarray
@@ -73,15 +81,20 @@ class Index:
 
 def build_index(items: list[tuple[int, str | None]], segment: int = SEGMENT_CHARS, stride: int = STRIDE_CHARS, rate: float = EDIT_RATE) -> Index:
     """Indexes items; those of under ``Q`` characters after ``normalise`` are too short to be told apart and are left out."""
-    owners, parts = [], []
+    known: dict[bytes, int] = {}
+    owners, holders, parts = [], [], []
     for item, text in items:
         points = _points(normalise(text))
         last = max(len(points) - segment, 0)
         for at in sorted({*range(0, last, stride), last}):
             piece = points[at : at + segment]
             if len(piece) >= Q:
+                at_segment = known.setdefault(piece.tobytes(), len(parts))
+                if at_segment == len(parts):
+                    parts.append(piece)
+                    holders.append([])
+                holders[at_segment].append(len(owners))
                 owners.append(item)
-                parts.append(piece)
     size = np.array([len(p) for p in parts], np.int64)
     budget = np.minimum((size * rate).astype(np.int64), (size - Q) // Q)
     hashes = [_grams(p) for p in parts]
@@ -95,6 +108,7 @@ def build_index(items: list[tuple[int, str | None]], segment: int = SEGMENT_CHAR
     table[(grams >> np.uint64(64 - bits)).astype(np.int64)] = True
     return Index(
         owners,
+        holders,
         np.concatenate(parts) if parts else np.empty(0, np.uint32),
         np.cumsum(size) - size,
         size,
@@ -120,17 +134,22 @@ def _dense(places: np.ndarray, least: int, reach: int) -> np.ndarray:
     return places[np.cumsum(edges[:-1]) > 0]
 
 
-def _align(index: Index, seg: np.ndarray, low: np.ndarray, width: int, points: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Best alignment of each segment inside its band: (edits, start, end) in ``points``.
+def _align(index: Index, seg: np.ndarray, low: np.ndarray, width: int, points: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Best alignment of each segment inside its band, where it keeps the budget: (which, edits, start, end) in ``points``.
 
     The band holds the diagonals low .. low + width - 1; characters outside begin .. end match nothing. A cell is
-    edits * 2**20 + start diagonal, so that the start of the best alignment is carried along.
+    edits * 2**20 + start diagonal, so that the start of the best alignment is carried along. Edits never fall from one
+    character to the next, so a band whose cells are all over the budget is given up.
     """
     one, step = np.int64(1) << 20, np.arange(width)
+    alive = np.arange(len(seg))
     cost = np.tile(step.astype(np.int64), (len(seg), 1))
-    size = index.size[seg]
-    for i in range(int(size.max())):
-        active = size > i
+    for i in range(int(index.size[seg].max())):
+        if i % _PRUNE_EVERY == 0 and i:
+            keep = cost.min(axis=1) >> 20 <= index.budget[seg]
+            alive, seg, low, begin, end, cost = (x[keep] for x in (alive, seg, low, begin, end, cost))
+            if not len(seg):
+                break
         at = low[:, None] + step + i
         inside = (at >= begin[:, None]) & (at < end[:, None])
         there = points[np.clip(at, 0, len(points) - 1)]
@@ -138,14 +157,16 @@ def _align(index: Index, seg: np.ndarray, low: np.ndarray, width: int, points: n
         new = cost + np.where(inside & (there == mine[:, None]), 0, one)
         new[:, :-1] = np.minimum(new[:, :-1], cost[:, 1:] + one)
         new = np.minimum.accumulate(new - step * one, axis=1) + step * one
-        cost = np.where(active[:, None], new, cost)
+        cost = np.where((index.size[seg] > i)[:, None], new, cost)
     best = cost.argmin(axis=1)
     value = cost[np.arange(len(seg)), best]
-    return value >> 20, low + (value & (one - 1)), low + best + size
+    keep = value >> 20 <= index.budget[seg]
+    low, best, value = low[keep], best[keep], value[keep]
+    return alive[keep], value >> 20, low + (value & (one - 1)), low + best + index.size[seg[keep]]
 
 
 def search(index: Index, texts: list[str | None]) -> list[dict[object, tuple[set[int], tuple[int, int, int]]]]:
-    """For each text its items: (segments found, (least edits, start and end of that match in the normalised text))."""
+    """For each text its items: (standings of segments found, (least edits, start and end of that match in the normalised text))."""
     found: list[dict] = [{} for _ in texts]
     if not len(index.size):
         return found
@@ -180,37 +201,61 @@ def _search_slice(index: Index, texts: list[str], numbers: list[int], found: lis
     places, at = places[stay], at[stay]
     if not len(places):
         return
-    counts = index.first[at + 1] - index.first[at]
-    ends = np.cumsum(counts)
-    posting = np.arange(ends[-1]) + np.repeat(index.first[at] - (ends - counts), counts)
-    seg, off, place = index.segment[posting], index.offset[posting], np.repeat(places, counts)
-    doc = np.searchsorted(begin, place, side="right") - 1
-    # Diagonals of a text start at 0; band j holds those from j * step to (j + 2) * step, so any k + 1 lie in one.
-    step = index.budget[seg] + 1
-    diagonal = place - begin[doc] - off + index.size[seg]
-    band = diagonal // step
-    keys = np.stack([np.tile(doc, 2), np.tile(seg, 2), np.concatenate([band, band - 1])])
-    order = np.lexsort(keys[::-1])
-    keys = keys[:, order]
-    new = np.ones(keys.shape[1], bool)
-    new[1:] = (keys[:, 1:] != keys[:, :-1]).any(axis=0)
-    first = np.flatnonzero(new)
-    shared = np.diff(np.append(first, keys.shape[1]))
-    doc, seg, band = keys[:, first]
-    full = shared >= index.bound[seg]
-    doc, seg, band = doc[full], seg[full], band[full]
-    step, k = index.budget[seg] + 1, index.budget[seg]
-    low = begin[doc] + band * step - index.size[seg] - k
-    width = int((2 * step + 2 * k + 1).max()) if len(seg) else 0
-    for i in range(0, len(seg), 4096):
-        s = slice(i, i + 4096)
-        edits, start, stop = _align(index, seg[s], low[s], width, points, begin[doc[s]], begin[doc[s]] + sizes[doc[s]])
-        for j in np.flatnonzero(edits <= k[s]):
-            d, item = doc[s][j], index.items[seg[s][j]]
-            row = (int(edits[j]), int(start[j] - begin[d]), int(stop[j] - begin[d]))
-            mine = found[numbers[d]].setdefault(item, (set(), row))
-            mine[0].add(int(seg[s][j]))
-            found[numbers[d]][item] = (mine[0], min(mine[1], row))
+    for doc, seg, band in _full_bands(index, places, at, begin):
+        k = index.budget[seg]
+        low = begin[doc] + band * (k + 1) - index.size[seg] - k
+        width = int((4 * k + 3).max())
+        for i in range(0, len(seg), 4096):
+            s = slice(i, i + 4096)
+            which, edits, start, stop = _align(index, seg[s], low[s], width, points, begin[doc[s]], begin[doc[s]] + sizes[doc[s]])
+            owner, mine = doc[s][which], seg[s][which]
+            rows = np.stack([owner, mine, edits, start - begin[owner], stop - begin[owner]], axis=1)
+            # The best match of each text and segment is shared out to the segment's items.
+            rows = rows[np.lexsort(rows.T[::-1])]
+            first = np.ones(len(rows), bool)
+            first[1:] = (rows[1:, :2] != rows[:-1, :2]).any(axis=1)
+            for d, g, *row in rows[first].tolist():
+                items = found[numbers[d]]
+                for number in index.holders[g]:
+                    item = index.items[number]
+                    held = items.setdefault(item, (set(), tuple(row)))
+                    held[0].add(number)
+                    items[item] = (held[0], min(held[1], tuple(row)))
+
+
+def _full_bands(index: Index, places: np.ndarray, at: np.ndarray, begin: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(text, segment, band) of the bands whose shared q-grams reach the segment's bound, each once.
+
+    ``places`` ascend. Diagonals of a text start at 0; band j holds those from j * step to (j + 2) * step, so any k + 1 lie
+    in one. Pairs of a place and a segment are made for a bounded number at a time; a band is counted to its end
+    once the next place lies beyond its diagonals, and is dropped then if it is short of its bound.
+    """
+    total = np.concatenate([[0], np.cumsum(index.first[at + 1] - index.first[at])])
+    segments, bands = len(index.size), int(places[-1] + index.size.max()) + 2
+    open_codes, open_counts = np.empty(0, np.int64), np.empty(0, np.int64)
+    i = 0
+    while i < len(places):
+        j = max(i + 1, int(np.searchsorted(total, total[i] + _POSTINGS, side="right")) - 1)
+        counts = np.diff(total[i : j + 1])
+        posting = np.arange(total[j] - total[i]) + np.repeat(index.first[at[i:j]] - (total[i:j] - total[i]), counts)
+        seg, place = index.segment[posting], np.repeat(places[i:j], counts)
+        doc = np.searchsorted(begin, place, side="right") - 1
+        band = (place - begin[doc] - index.offset[posting] + index.size[seg]) // (index.budget[seg] + 1)
+        code = (doc * segments + seg) * bands + band
+        # The code of band - 1, written one higher so that it stays in the range of its text and segment.
+        codes, new_counts = np.unique(np.concatenate([code + 1, code]), return_counts=True)
+        codes, back = np.unique(np.concatenate([open_codes, codes]), return_inverse=True)
+        counted = np.bincount(back, np.concatenate([open_counts, new_counts]), len(codes)).astype(np.int64)
+        rest, band = np.divmod(codes, bands)
+        doc, seg = np.divmod(rest, segments)
+        band -= 1
+        last = begin[doc] + (band + 2) * (index.budget[seg] + 1)
+        done = np.full(len(codes), True) if j == len(places) else last < places[j]
+        full = done & (counted >= index.bound[seg])
+        if full.any():
+            yield doc[full], seg[full], band[full]
+        open_codes, open_counts = codes[~done], counted[~done]
+        i = j
 
 
 def blocks(benchmark: DataFrame, item: str = "item_id", text: str = "text", block_chars: int = BLOCK_CHARS) -> Iterator[Index]:

@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 
 import numpy as np
 
@@ -69,6 +70,44 @@ def test_search_against_full_alignment():
             assert best
 
 
+def test_items_that_share_a_phrase():
+    """A common prompt in many items, often in one text: equal to full alignment for few, quick and small for many."""
+    rng = random.Random(13)
+    prompt = prose(rng, 40)[:130]
+    items = [(i, prompt + " " + prose(rng, 20)) for i in range(12)] + [(20, prompt), (21, prompt + " " + prompt)]
+    texts = [" ".join([prompt, prose(rng, 5)] * 3), edit(rng, items[3][1], 4), prose(rng, 10) + edit(rng, prompt, 6), items[-1][1]]
+    index = d.build_index(items)
+    assert len(index.size) < len(index.items)
+    for text, found in zip(texts, d.search(index, texts)):
+        clean = d.normalise(text)
+        want = {}
+        for s, numbers in enumerate(index.holders):
+            best = within("".join(map(chr, index.points[index.start[s] : index.start[s] + index.size[s]])), clean)
+            for n in numbers if best <= index.budget[s] else ():
+                held = want.setdefault(index.items[n], [set(), 99])
+                held[0].add(n)
+                held[1] = min(held[1], best)
+        assert {k: [v[0], v[1][0]] for k, v in found.items()} == want
+
+    many = [(i, prompt + " " + prose(rng, 20)) for i in range(500)]
+    index, text = d.build_index(many), " ".join([prompt, prose(rng, 4)] * 20)
+    tracemalloc.start()
+    found = d.search(index, [text])[0]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert set(found) == set(range(500)) and peak < 100_000_000
+
+
+def test_counting_in_small_slices_gives_the_same(monkeypatch):
+    rng = random.Random(14)
+    prompt = prose(rng, 40)[:130]
+    index = d.build_index([(i, prompt + " " + prose(rng, 20)) for i in range(30)])
+    texts = [" ".join([prompt, prose(rng, 5)] * 3), prose(rng, 50), prompt[20:] + prompt]
+    whole = d.search(index, texts)
+    monkeypatch.setattr(d, "_POSTINGS", 50)
+    assert d.search(index, texts) == whole and whole[0]
+
+
 def test_slices_do_not_change_results(monkeypatch):
     rng = random.Random(10)
     items = [(i, prose(rng, 30)) for i in range(5)]
