@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from .common import attach_lists, c
 
-RATIO = 0.1
+RATIO = 0.02
 MIN_PAGES = 3
 SLICE_ROWS = 200_000
 

@@ -38,7 +38,7 @@ WITH lines AS (SELECT doc_id, source, string_split(text, chr(10)) AS ls FROM doc
 each AS (SELECT DISTINCT doc_id, source, trim(unnest(ls), ' ' || chr(9) || chr(13)) AS line FROM lines),
 totals AS (SELECT source, count(*) AS n FROM documents GROUP BY source),
 common AS (SELECT source, line FROM (SELECT source, line, count(*) AS k FROM each WHERE line <> '' GROUP BY source, line)
-  JOIN totals USING (source) WHERE k >= 3 AND k > n * 0.1),
+  JOIN totals USING (source) WHERE k >= 3 AND k > n * 0.02),
 listed AS (SELECT source, list(line) AS drops FROM common GROUP BY source),
 cut AS (SELECT doc_id, ls, list_filter(ls, lambda x: NOT list_contains(coalesce(drops, []), trim(x, ' ' || chr(9) || chr(13)))) AS stays
   FROM lines LEFT JOIN listed USING (source))

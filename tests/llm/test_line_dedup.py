@@ -11,7 +11,7 @@ def rows():
     return out
 
 
-def brute(data, ratio=0.1, least=3):
+def brute(data, ratio=0.02, least=3):
     sites = {}
     for _, t, s, _ in data:
         sites.setdefault(s, []).append({x.strip(" \t\r") for x in t.split("\n")} if t is not None else set())
