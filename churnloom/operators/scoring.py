@@ -98,16 +98,20 @@ def classification_metrics(df: DataFrame, actual: str, probability: str, predict
     )
 
 
-def regression_metrics(df: DataFrame, actual: str, predicted: str, digits: int = 4) -> DataFrame:
-    y, p = num(actual), num(predicted)
+def regression_columns(y: Column, p: Column, digits: int = 4) -> list[Column]:
+    """The aggregates of ``regression_metrics`` for two number columns without nulls."""
     e = y - p
-    n = F.count(e)
     scale = F.greatest((F.abs(y) + F.abs(p)) / 2, F.lit(1e-6))
-    return df.where(y.isNotNull() & p.isNotNull()).agg(
-        n.alias("rows"), rnd(F.avg(F.abs(e)), digits).alias("mae"), rnd(F.sqrt(F.avg(e * e)), digits).alias("rmse"),
+    return [
+        F.count(e).alias("rows"), rnd(F.avg(F.abs(e)), digits).alias("mae"), rnd(F.sqrt(F.avg(e * e)), digits).alias("rmse"),
         rnd(F.when(F.var_pop(y) > 0, 1 - F.avg(e * e) / F.var_pop(y)), digits).alias("r2"),
         rnd(F.avg(-e), digits).alias("mean_error"), rnd(F.avg(F.abs(e) / scale) * 100, digits).alias("smape"),
-    )
+    ]
+
+
+def regression_metrics(df: DataFrame, actual: str, predicted: str, digits: int = 4) -> DataFrame:
+    y, p = num(actual), num(predicted)
+    return df.where(y.isNotNull() & p.isNotNull()).agg(*regression_columns(y, p, digits))
 
 
 def reliability_curve(df: DataFrame, actual: str, probability: str, bins: int = 10) -> DataFrame:

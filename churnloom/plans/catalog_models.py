@@ -6,7 +6,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.scalar import rnd
-from ..operators import activation, linear, models, segments, value
+from ..operators import activation, linear, models, penalized, segments, value
+from ..operators.penalized import Penalty
 from ..session import materialize
 from .base import CUSTOMERS, customers, table
 from .registry import query, r
@@ -56,15 +57,45 @@ def knn_score(spark, sf):
     return metrics_with_calibration(models.train_classifier(base(spark, sf), KEY, TARGET, NUMBERS, "knn"))
 
 
+#: The penalties of ``models.regressor``.
+LINEAR_MODELS = {"linear": Penalty(), "ridge": Penalty(0.1), "lasso": Penalty(0.1, 1.0), "elasticnet": Penalty(0.1, 0.5)}
+
+
 @query()
 def train_regressors(spark, sf):
-    data, out = base(spark, sf), None
-    for m in ("linear", "ridge", "lasso", "elasticnet", "random_forest", "gradient_boosting"):
-        row = models.train_regressor(data, KEY, "value_12m", [n for n in NUMBERS if n != "value_12m"], m).metrics.select(F.lit(m).alias("model"), "*")
-        out = row if out is None else out.unionByName(row)
+    data, features = base(spark, sf), [n for n in NUMBERS if n != "value_12m"]
+    out = penalized.train_path(data, KEY, "value_12m", features, LINEAR_MODELS)[0]
+    for m in ("random_forest", "gradient_boosting"):
+        out = out.unionByName(models.train_regressor(data, KEY, "value_12m", features, m).metrics.select(F.lit(m).alias("model"), "*"))
     return out
 
 
+PATH = {f"{mix}/{strength}": Penalty(strength, mix) for mix in (0.0, 0.5, 1.0) for strength in (0.0, 100.0, 5000.0, 12000.0, 40000.0)}
+_PATH_ROWS = ", ".join(f"('{name}', {p.strength}, {p.mix})" for name, p in PATH.items())
+
+
+# The SQL descends coordinate by coordinate from the plain correlations of two columns, 80 rounds for each penalty.
+@query(f"""WITH RECURSIVE x AS (SELECT l_quantity::double AS a, (l_quantity*l_discount)::double AS b, l_extendedprice::double AS y FROM lineitem),
+  m AS (SELECT avg(a) AS ma, avg(b) AS mb, avg(y) AS my, stddev_pop(a) AS sa, stddev_pop(b) AS sb, stddev_pop(y) AS sy,
+    corr(a, b) AS rab, corr(a, y) AS ray, corr(b, y) AS rby FROM x),
+  p AS (SELECT model, strength*mix/sy AS l1, strength*(1 - mix)/sy AS l2, m.* FROM m, (VALUES {_PATH_ROWS}) v(model, strength, mix)),
+  d AS (SELECT 0 AS i, 0.0::double AS u, 0.0::double AS w, p.* FROM p
+    UNION ALL SELECT i + 1, u2, sign(rby - rab*u2)*greatest(abs(rby - rab*u2) - l1, 0)/(1 + l2), model, l1, l2, ma, mb, my, sa, sb, sy, rab, ray, rby
+    FROM (SELECT *, sign(ray - rab*w)*greatest(abs(ray - rab*w) - l1, 0)/(1 + l2) AS u2 FROM d WHERE i < 80)),
+  e AS (SELECT model, u*sy/sa AS ca, w*sy/sb AS cb, my - u*sy/sa*ma - w*sy/sb*mb AS c FROM d WHERE i = 80)
+  SELECT model, 'quantity' AS feature, {r('ca', 3)} AS coefficient, {r('c', 2)} AS intercept, true AS is_optimal FROM e
+  UNION ALL SELECT model, 'discounted', {r('cb', 3)}, {r('c', 2)}, true FROM e""")
+def penalty_path(spark, sf):
+    rows = table(spark, sf, "lineitem").select(
+        F.col("l_quantity").cast("double").alias("quantity"), (F.col("l_quantity") * F.col("l_discount")).cast("double").alias("discounted"), "l_extendedprice"
+    )
+    out = penalized.path(rows, "l_extendedprice", ["quantity", "discounted"], PATH)
+    return out.select(
+        "model", "feature", rnd(F.col("coefficient"), 3).alias("coefficient"), rnd(F.col("intercept"), 2).alias("intercept"),
+        (F.col("violation") < 1e-9).alias("is_optimal"),
+    )
+
+
 @query()
 def model_benchmark(spark, sf):
     data = base(spark, sf)
