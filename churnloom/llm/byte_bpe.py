@@ -26,6 +26,8 @@ RANKS = "byte_bpe_50k.tiktoken"
 TABLE_WORDS = 2**19
 WORD_BYTES = 64
 TABLE_BYTES = 96_000_000
+#: Words of more bytes than this are folded in blocks.
+LONG_WORD = 400
 #: Words that a worker holds, as numbers, between two searches of the table.
 HELD_WORDS = 500_000
 #: Rows of an Arrow batch: a row holds all words of a text.
@@ -120,7 +122,80 @@ def _fold(m: Column, unit: int, word: Column) -> Column:
 
     # Each byte as one character, then as the id of the single byte.
     letters = F.split(F.decode(F.encode(word, "UTF-8"), "ISO-8859-1"), "")
-    return _let(F.transform(letters, lambda x: m["single"][F.ascii(x)]), start)
+    fold = lambda p: F.when(F.size(p) > LONG_WORD, _fold_long(m, unit, p)).otherwise(start(p))
+    return _let(F.transform(letters, lambda x: m["single"][F.ascii(x)]), fold)
+
+
+def _fold_long(m: Column, unit: int, ids: Column) -> Column:
+    """``_fold`` of the byte ids of a long word, kept in blocks of about the root of its length.
+
+    A merge takes the first block with the lowest rank, and copies that block and its neighbours only, so that a word
+    of n bytes costs n to the power 1.5. Each piece has the rank of its pair with the next piece, the last one none.
+    """
+    none = F.array().cast("array<bigint>")
+
+    def struct(**fields: Column) -> Column:
+        return F.struct(*[v.alias(k) for k, v in fields.items()])
+
+    def steps(first: Column, *uses) -> Column:
+        # One after another, not nested: the time to analyse a plan grows fast with the depth of its functions. The end
+        # of an aggregate over nothing hands its value on as it is, where transform would copy all blocks.
+        nothing, value = F.array().cast("array<int>"), first
+        for use in uses:
+            value = F.aggregate(nothing, value, lambda x, _: x, use)
+        return value
+
+    def cut(p: Column, r: Column, w: Column) -> Column:
+        part = lambda i: struct(p=F.slice(p, i * w + 1, w), r=F.slice(r, i * w + 1, w))
+        return F.transform(F.sequence(F.lit(0), F.ceil(F.size(p) / w).cast("int") - 1), part)
+
+    def lows(s: Column) -> Column:
+        return struct(b=s["b"], w=s["w"], lows=F.transform(s["b"], lambda x: F.array_min(x["r"])))
+
+    def least(s: Column) -> Column:
+        return struct(b=s["b"], w=s["w"], lows=s["lows"], least=F.array_min(s["lows"]))
+
+    def find(s: Column) -> Column:
+        j = F.array_position(s["lows"], s["least"]).cast("int")
+        return struct(s=s, j=j, a=F.greatest(j - 1, F.lit(1)))
+
+    def window(f: Column) -> Column:
+        # One block before ``j`` and two after it: the pair and its neighbours on both sides are among them.
+        blocks = lambda: F.slice(f["s"]["b"], f["a"], f["j"] + 3 - f["a"])
+        before = F.when(f["j"] > f["a"], F.size(f["s"]["b"][f["a"] - 1]["p"])).otherwise(0)
+        i = before + F.array_position(f["s"]["b"][f["j"] - 1]["r"], f["s"]["least"]).cast("int")
+        p, r = F.flatten(F.transform(blocks(), lambda x: x["p"])), F.flatten(F.transform(blocks(), lambda x: x["r"]))
+        return struct(s=f["s"], j=f["j"], a=f["a"], i=i, p=p, r=r)
+
+    def join(f: Column) -> Column:
+        p, r, i, x = f["p"], f["r"], f["i"], f["s"]["least"]
+        left = F.when(i > 1, F.array(_rank(m, unit, p[i - 2], x))).otherwise(none)
+        right = F.when(i + 1 < F.size(p), _rank(m, unit, x, p[i + 1])).otherwise(F.lit(_NONE))
+        pieces = F.concat(F.slice(p, F.lit(1), i - 1), F.array(x), F.slice(p, i + 2, F.size(p)))
+        ranks = F.concat(F.slice(r, F.lit(1), F.greatest(i - 2, F.lit(0))), left, F.array(right), F.slice(r, i + 2, F.size(r)))
+        return struct(s=f["s"], j=f["j"], a=f["a"], p=pieces, r=ranks)
+
+    def cut_again(f: Column) -> Column:
+        return struct(s=f["s"], j=f["j"], a=f["a"], new=cut(f["p"], f["r"], f["s"]["w"]))
+
+    def put(f: Column) -> Column:
+        def between(old: Column, new: Column) -> Column:
+            return F.concat(F.slice(old, F.lit(1), f["a"] - 1), new, F.slice(old, f["j"] + 3, F.size(old)))
+
+        return struct(b=between(f["s"]["b"], f["new"]), w=f["s"]["w"], lows=between(f["s"]["lows"], F.transform(f["new"], lambda x: F.array_min(x["r"]))))
+
+    def merge(s: Column, _: Column) -> Column:
+        return F.when(s["least"] >= unit, s).otherwise(steps(s, find, window, join, cut_again, put, least))
+
+    def start(p: Column) -> Column:
+        near = F.zip_with(p, F.slice(p, F.lit(2), F.size(p)), lambda x, y: F.coalesce(_rank(m, unit, x, y), F.lit(_NONE)))
+        return struct(p=p, r=near, w=F.ceil(F.sqrt(F.size(p)) / 3).cast("int"))
+
+    def run(s: Column) -> Column:
+        rounds = F.sequence(F.lit(2), F.size(ids))
+        return F.aggregate(rounds, s, merge, lambda e: F.flatten(F.transform(e["b"], lambda x: x["p"])))
+
+    return steps(ids, start, lambda s: struct(b=cut(s["p"], s["r"], s["w"]), w=s["w"]), lows, least, run)
 
 
 class Merges:
