@@ -228,6 +228,15 @@ def fracdiff_per_customer(spark, sf):
     return out.select("o_orderkey", rnd(F.col("o_totalprice_fracdiff"), 2).alias("o_totalprice_fracdiff"))
 
 
+# Customers have about ten orders each, so the full window is checked on larger groups.
+@query("SELECT o_orderkey, " + r(" + ".join(
+    f"({w!r}::double)*" + ("o_totalprice" if k == 0 else f"lag(o_totalprice, {k}) OVER (PARTITION BY o_orderpriority ORDER BY o_orderdate, o_orderkey)") for k, w in enumerate(WEIGHTS)), 2) + " AS o_totalprice_fracdiff FROM orders")
+def fracdiff_per_priority(spark, sf):
+    o = table(spark, sf, "orders").select("o_orderkey", "o_orderpriority", "o_orderdate", "o_totalprice")
+    out = clean.fractional_difference(o, ["o_totalprice"], ["o_orderdate", "o_orderkey"], partition_by=["o_orderpriority"])
+    return out.select("o_orderkey", rnd(F.col("o_totalprice_fracdiff"), 2).alias("o_totalprice_fracdiff"))
+
+
 @query("""SELECT * FROM (SELECT o_orderkey, lag(o_totalprice, 1) OVER w AS lag_1, lag(o_totalprice, 2) OVER w AS lag_2, lag(o_totalprice, 4) OVER w AS seasonal_lag_4,
   CASE WHEN count(o_totalprice) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey ROWS BETWEEN 3 PRECEDING AND 1 PRECEDING) = 3
   THEN round_even(avg(o_totalprice) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey ROWS BETWEEN 3 PRECEDING AND 1 PRECEDING)*1e2,0)/1e2 END AS rolling_mean_3

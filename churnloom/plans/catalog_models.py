@@ -99,7 +99,7 @@ def penalty_path(spark, sf):
 @query()
 def model_benchmark(spark, sf):
     data = base(spark, sf)
-    return models.benchmark(data, KEY, TARGET, FEATURES, ("logistic", "random_forest", "gradient_boosting"), trees=20)[0]
+    return models.benchmark(data, KEY, TARGET, FEATURES, ("logistic", "random_forest", "gradient_boosting", "mlp"), trees=400)[0]
 
 
 @query()
@@ -109,7 +109,7 @@ def parsimony(spark, sf):
 
 @query()
 def parsimony_cv(spark, sf):
-    return models.select_by_cv_then_bic(base(spark, sf), KEY, TARGET, NUMBERS, (4, 8), folds=5)
+    return models.select_by_cv_then_bic(base(spark, sf), KEY, TARGET, FEATURES, (4, 8, 12, 18), folds=5)
 
 
 MI_BINS = 10
@@ -146,7 +146,7 @@ def calibration_comparison(spark, sf):
 
 @query()
 def purged_validation(spark, sf):
-    return models.purged_validation(base(spark, sf), KEY, TARGET, NUMBERS[:1] + NUMBERS[4:], "last_order", blocks=4)[0]
+    return models.purged_validation(base(spark, sf), KEY, TARGET, FEATURES, "last_order", blocks=4)[0]
 
 
 @query()
@@ -157,18 +157,18 @@ def quantile_validation(spark, sf):
 
 @query()
 def bootstrap_intervals(spark, sf):
-    rows, _ = models.bootstrap_intervals(base(spark, sf), KEY, TARGET, NUMBERS[:1] + NUMBERS[4:], "last_order")
+    rows, _ = models.bootstrap_intervals(base(spark, sf), KEY, TARGET, FEATURES, "last_order")
     return rows
 
 
 @query()
 def bootstrap_summary(spark, sf):
-    return models.bootstrap_intervals(base(spark, sf), KEY, TARGET, NUMBERS[:1] + NUMBERS[4:], "last_order")[1]
+    return models.bootstrap_intervals(base(spark, sf), KEY, TARGET, FEATURES, "last_order")[1]
 
 
 @query()
 def multiverse(spark, sf):
-    return models.multiverse(base(spark, sf), KEY, TARGET, FEATURES, ["monetary", "balance"], trees=100)
+    return models.multiverse(base(spark, sf), KEY, TARGET, FEATURES, ["monetary", "balance"], trees=400)
 
 
 @query()
@@ -206,7 +206,7 @@ def linear_contributions(spark, sf):
 @query()
 def value_benchmark(spark, sf):
     data = base(spark, sf)
-    return models.value_benchmark(data, KEY, "value_12m", NUMBERS[:5] + ["segment", "channel"], ("linear", "random_forest", "gradient_boosting"), trees=20)[0]
+    return models.value_benchmark(data, KEY, "value_12m", NUMBERS[:5] + ["segment", "channel"], ("linear", "random_forest", "gradient_boosting"), trees=400)[0]
 
 
 @query()

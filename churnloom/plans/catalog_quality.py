@@ -33,9 +33,9 @@ def null_profile(spark, sf):
     {r(f'(1.0::double - (count(DISTINCT {c}) + max(({c} IS NULL)::int))/count(*))*100', 2)} AS pct_duplicate_values,
     (SELECT string_agg(v, ', ' ORDER BY o_orderkey) FROM (SELECT {c}::varchar AS v, o_orderkey FROM orders_gaps WHERE {c} IS NOT NULL ORDER BY o_orderkey LIMIT 3)) AS sample,
     {r(f'count(*) FILTER ({c} = 0)/count(*)*100', 2) if c in GAP_NUMBERS else 'NULL::double'} AS pct_zero FROM orders_gaps"""
-    for c, t in GAP_TYPES.items() if c != "o_orderdate"))
+    for c, t in GAP_TYPES.items()))
 def quality_report(spark, sf):
-    return quality.quality_report(orders_gaps(spark, sf), "o_orderkey", [c for c in GAP_TYPES if c != "o_orderdate"])
+    return quality.quality_report(orders_gaps(spark, sf), "o_orderkey", list(GAP_TYPES))
 
 
 @query("""WITH c AS (SELECT o_custkey, o_orderstatus, o_orderpriority, count(*) AS n FROM orders GROUP BY ALL)

@@ -6,6 +6,8 @@ inverses are covered by the unit tests.
 
 from __future__ import annotations
 
+from statistics import NormalDist
+
 from pyspark.sql import functions as F
 
 from ..functions.scalar import rnd
@@ -319,9 +321,15 @@ def influence(spark, sf):
     return top.select("o_orderkey", rnd(F.col("cooks_distance"), 6).alias("cooks_distance"), rnd(F.col("leverage"), 6).alias("leverage"), rnd(F.col("standard_residual"), 4).alias("standard_residual"))
 
 
-@query(f"""WITH s AS (SELECT avg(l_extendedprice) AS m FROM lineitem) SELECT prob, {r('quantile', 4)} AS sample FROM (SELECT unnest([0.25, 0.5, 0.75]) AS prob, unnest(quantile_cont(l_extendedprice, [0.25, 0.5, 0.75])) AS quantile FROM lineitem)""")
+PROBES = [i / 100 for i in range(1, 100)]
+_PROBE_ROWS = ", ".join(f"({p!r}::double, {NormalDist().inv_cdf(p)!r}::double)" for p in PROBES)
+
+
+@query(f"""WITH z AS (SELECT * FROM (VALUES {_PROBE_ROWS}) v(prob, z)), s AS (SELECT avg(l_extendedprice) AS m, stddev_samp(l_extendedprice) AS d FROM lineitem),
+  q AS (SELECT unnest({PROBES}::double[]) AS prob, unnest(quantile_cont(l_extendedprice, {PROBES})) AS x FROM lineitem)
+  SELECT prob, {r('m + d*z', 2)} AS normal, {r('x', 4)} AS sample FROM q JOIN z USING (prob), s""")
 def chart_qq(spark, sf):
-    return stat_tests.qq_points(line(spark, sf), "l_extendedprice", 3).select("prob", "sample")
+    return stat_tests.qq_points(line(spark, sf), "l_extendedprice").withColumn("normal", rnd(F.col("normal"), 2))
 
 
 @query()
