@@ -129,8 +129,9 @@ def _fold(m: Column, unit: int, word: Column) -> Column:
 def _fold_long(m: Column, unit: int, ids: Column) -> Column:
     """``_fold`` of the byte ids of a long word, kept in blocks of about the root of its length.
 
-    A merge takes the first block with the lowest rank, and copies that block and its neighbours only, so that a word
-    of n bytes costs n to the power 1.5. Each piece has the rank of its pair with the next piece, the last one none.
+    A merge takes the first block with the lowest rank, and looks up and joins pieces in that block and its neighbours
+    only. Spark copies the state of an aggregate after each round all the same, so that a word of n bytes still costs
+    its length squared, by a smaller factor. Each piece has the rank of its pair with the next piece, the last one none.
     """
     none = F.array().cast("array<bigint>")
 
