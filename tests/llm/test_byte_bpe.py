@@ -89,14 +89,3 @@ def test_length_histogram_against_brute_force(spark, encoding):
     assert token_counts.quantile_length(hist, 0.5) == sorted(sizes)[(len(sizes) + 1) // 2 - 1]
     empty = spark.createDataFrame([], "text string")
     assert token_counts.length_histogram(token_counts.lengths(empty)).collect() == []
-
-
-def test_long_words_in_blocks(spark, encoding):
-    rng = random.Random(5)
-    near = range(byte_bpe.LONG_WORD - 1, byte_bpe.LONG_WORD + 3)
-    words = ["".join(rng.choice("etaoinshrdluzqx") for _ in range(n)) for n in (*near, 1000, 4000)]
-    words += ["a" * 5000, "ab" * 700, "é" * 900, "語" * 500, "TACG" * 300]
-    merges = byte_bpe.Merges(byte_bpe.read_ranks(public_tokenizers.path(byte_bpe.RANKS)))
-    df = spark.createDataFrame([(words,)], "w array<string>")
-    got = df.select(byte_bpe.fold_words(df["w"], merges).alias("x")).first()["x"]
-    assert got == [encoding.encode_ordinary(w) for w in words]
