@@ -30,8 +30,9 @@ TABLE_BYTES = 96_000_000
 HELD_WORDS = 500_000
 #: Rows of an Arrow batch: a row holds all words of a text.
 BATCH_ROWS = 500
-BUCKETS = 2**16
 _NONE = 2**62
+#: Places of the pair table that are tried at once.
+_BLOCK = 2048
 _SLICE = 200_000
 
 
@@ -55,31 +56,48 @@ def _let(value: Column, use) -> Column:
     return F.transform(F.array(value), use)[0]
 
 
-def _slot(left, right):
-    """Where the pair of two ids stands in the literal; plain integers and columns alike."""
-    return (left * 7919 + right) % BUCKETS
+def pack_pairs(ranks: dict[bytes, int], unit: int) -> tuple[list[int], list[int]]:
+    """The ranked merges in one table: a pair of ids (a, b) can only stand at ``places[a] + b``, as a * unit + rank.
 
-
-def pair_map(ranks: dict[bytes, int], unit: int) -> Column:
-    """The ranked merges as one literal: for each slot its pairs, each followed by the rank of the joined piece.
-
-    A pair of ids (a, b) is the number (a + 1) * unit + b. ``unit`` is above every rank, so that a pair that isn't found
-    reads as a number that is no rank. Spark searches a map in a row, and so the pairs are dealt over slots.
+    The pairs of one left id keep their distances and move to the first place where all of them fit, largest groups
+    first. What lies beyond either list is null, so no other id finds a pair.
     """
-    slots: list[list[int]] = [[] for _ in range(BUCKETS)]
+    most = max(ranks.values(), default=-1)
+    rows: dict[int, dict[int, int]] = {}
     for piece, rank in ranks.items():
         for i in range(1, len(piece)):
             left, right = ranks.get(piece[:i]), ranks.get(piece[i:])
             if left is not None and right is not None:
-                slots[_slot(left, right)] += [(left + 1) * unit + right, rank]
-    # from_json of a constant is folded into a literal by the optimizer.
-    return F.from_json(F.lit(json.dumps([x or [unit * (unit + 1)] for x in slots], separators=(",", ":"))), "array<array<bigint>>")
+                rows.setdefault(left, {})[right] = rank
+    places, at, size = [0] * (most + 1), 0, 0
+    table, free = np.empty(0, np.int64), np.ones(0, bool)
+    for left, row in sorted(rows.items(), key=lambda x: -len(x[1])):
+        rights = np.array(list(row))
+        # Groups of about the same size hardly fit before the last one.
+        at, size = at if len(row).bit_length() == size else 0, len(row).bit_length()
+        while True:
+            if at + most + 1 + _BLOCK > len(table):
+                more = len(table) + most + 1 + _BLOCK
+                table, free = np.append(table, np.zeros(more, np.int64)), np.append(free, np.ones(more, bool))
+            fits = at + np.flatnonzero(free[at + rights[0] : at + rights[0] + _BLOCK])
+            for right in rights[1:]:
+                if not len(fits):
+                    break
+                fits = fits[free[fits + right]]
+            if len(fits):
+                break
+            at += _BLOCK
+        places[left] = int(fits[0])
+        table[fits[0] + rights], free[fits[0] + rights] = left * unit + np.array(list(row.values())), False
+    # Left free: entries of an id that no piece has.
+    table[free] = (most + 2) * unit
+    return places, table[: max(places, default=0) + most + 1].tolist()
 
 
 def _rank(m: Column, unit: int, left: Column, right: Column) -> Column:
-    """Rank of two joined pieces by their ids; ``unit`` or more if they are no piece."""
-    slot = m["pairs"][_slot(left, right).cast("int")]
-    return F.get(slot, F.array_position(slot, (left + 1) * unit + right).cast("int"))
+    """Rank of two joined pieces by their ids; ``unit`` if they are no piece or an id is null or unknown."""
+    entry = F.get(m["table"], F.get(m["places"], left) + right)
+    return F.least(entry.bitwiseXOR(left * unit), F.lit(unit))
 
 
 def merge_bytes(word: bytes, ranks: dict[bytes, int]) -> list[bytes]:
@@ -94,42 +112,59 @@ def merge_bytes(word: bytes, ranks: dict[bytes, int]) -> list[bytes]:
 
 
 def _fold(m: Column, unit: int, word: Column) -> Column:
-    """Token ids of one word: merges the leftmost pair of lowest rank until no pair has a rank."""
-    none = F.array().cast("array<bigint>")
+    """Token ids of one word: merges the leftmost pair of lowest rank until no pair has a rank.
+
+    A piece is one number: the rank of its pair with the next piece, its place in the word and its id. The least number
+    is then the leftmost pair of lowest rank. One entry that merges with nothing stands before the first piece.
+    """
+    bits = unit.bit_length() - 1
+    high = 62 - bits
+
+    def number(rank: Column, rest: Column) -> Column:
+        return F.shiftleft(rank, high) + rest
+
+    def rest(piece: Column) -> Column:
+        return piece.bitwiseAND(F.lit(2**high - 1))
+
+    def id_of(piece: Column) -> Column:
+        return piece.bitwiseAND(F.lit(unit - 1))
 
-    def merge(state: Column) -> Column:
-        p, r = state["p"], state["r"]
+    def merge(p: Column) -> Column:
+        least = F.array_min(p)
 
         def at(found: Column) -> Column:
-            # ``i`` is the place of the pair, ``x`` the joined piece; its neighbours' ranks are looked up again.
-            i, x = found["i"], found["x"]
-            left = F.when(i > 1, F.array(_rank(m, unit, p[i - 2], x))).otherwise(none)
-            right = F.when(i < F.size(r), F.array(_rank(m, unit, x, p[i + 1]))).otherwise(none)
-            pieces = F.concat(F.slice(p, F.lit(1), i - 1), F.array(x), F.slice(p, i + 2, F.size(p)))
-            near = F.concat(F.slice(r, F.lit(1), F.greatest(i - 2, F.lit(0))), left, right, F.slice(r, i + 2, F.size(r)))
-            return F.struct(pieces.alias("p"), near.alias("r"))
-
-        least = F.array_min(r)
-        place = F.struct(F.array_position(r, least).cast("int").alias("i"), least.alias("x"))
-        return F.when(F.coalesce(least, F.lit(_NONE)) >= unit, state).otherwise(_let(place, at))
-
-    def start(p: Column) -> Column:
-        near = F.when(F.size(p) < 2, none).otherwise(F.zip_with(F.slice(p, F.lit(1), F.size(p) - 1), F.slice(p, F.lit(2), F.size(p)), lambda x, y: _rank(m, unit, x, y)))
-        rounds = F.sequence(F.lit(1), F.greatest(F.size(p) - 1, F.lit(1)))
-        return F.aggregate(rounds, F.struct(p.alias("p"), near.alias("r")), lambda state, _: merge(state), lambda state: state["p"])
+            # ``x`` is the id of the joined piece; its neighbours' ranks are looked up again.
+            i, x, before = found["i"], F.shiftright(found["x"], high), F.get(p, found["i"] - 2)
+            place = rest(found["x"]).bitwiseAND(F.lit(-unit))
+            left = number(_rank(m, unit, id_of(before), x), rest(before))
+            joined = number(_rank(m, unit, x, id_of(F.get(p, i + 1))), place + x)
+            return F.concat(F.slice(p, F.lit(1), i - 2), F.array(left, joined), F.slice(p, i + 2, F.size(p)))
+
+        found = F.struct(F.array_position(p, least).cast("int").alias("i"), least.alias("x"))
+        return F.when(least >= F.lit(unit << high), p).otherwise(_let(found, at))
+
+    def start(ids: Column) -> Column:
+        pieces = F.transform(ids, lambda x, i: number(_rank(m, unit, x, F.get(ids, i + 1)), (i + 1).cast("bigint") * unit + x))
+        first = F.array(F.lit((unit << high) + unit - 1))
+        rounds = F.sequence(F.lit(1), F.greatest(F.size(ids) - 1, F.lit(1)))
+        return F.aggregate(rounds, F.concat(first, pieces), lambda p, _: merge(p), lambda p: F.transform(F.slice(p, F.lit(2), F.size(p)), id_of))
 
     # Each byte as one character, then as the id of the single byte.
     letters = F.split(F.decode(F.encode(word, "UTF-8"), "ISO-8859-1"), "")
-    return _let(F.transform(letters, lambda x: m["single"][F.ascii(x)]), start)
+    unknown = F.raise_error(F.lit("a byte has no rank"))
+    return _let(F.transform(letters, lambda x: F.coalesce(m["single"][F.ascii(x)], unknown)), start)
 
 
 class Merges:
     """The vocabulary as literals: one column that holds the pairs and the ids of single bytes, built once."""
 
     def __init__(self, ranks: dict[bytes, int]):
-        single = F.from_json(F.lit(json.dumps([ranks.get(bytes([i]), _NONE) for i in range(256)])), "array<bigint>")
-        self.unit = 1 << max(ranks.values(), default=0).bit_length()
-        self.literals = F.array(F.struct(pair_map(ranks, self.unit).alias("pairs"), single.alias("single")))
+        # The last id below ``unit`` is no piece's.
+        self.unit = 1 << (max(ranks.values(), default=-1) + 3).bit_length()
+        places, table = pack_pairs(ranks, self.unit)
+        lists = {"single": [ranks.get(bytes([i])) for i in range(256)], "places": places, "table": table}
+        # from_json of a constant is folded into a literal by the optimizer.
+        self.literals = F.array(F.struct(*[F.from_json(F.lit(json.dumps(x, separators=(",", ":"))), "array<bigint>").alias(k) for k, x in lists.items()]))
         # A piece that its own merges don't reach is one id all the same, where it is a word by itself.
         self.odd = {p.hex().upper(): rank for p, rank in ranks.items() if len(p) > 1 and merge_bytes(p, ranks) != [p]}
 

@@ -67,6 +67,40 @@ def test_pieces_that_merges_do_not_reach(spark):
     assert got == [[257], [120, 121], [256, 256], [120, 121, 122, 256]]
 
 
+def test_pairs_stand_at_their_places():
+    ranks = byte_bpe.read_ranks(public_tokenizers.path(byte_bpe.RANKS))
+    most = max(ranks.values())
+    unit = 1 << (most + 3).bit_length()
+    places, table = byte_bpe.pack_pairs(ranks, unit)
+    pairs = {(ranks[p[:i]], ranks[p[i:]]): r for p, r in ranks.items() for i in range(1, len(p)) if p[:i] in ranks and p[i:] in ranks}
+    assert all(table[places[a] + b] == a * unit + r for (a, b), r in pairs.items())
+    # Every other entry is free: its left id is no piece's.
+    assert sum(x // unit <= most for x in table) == len(pairs) and len(table) < 2**19
+
+
+def test_pairs_are_looked_up_without_search(spark):
+    df = spark.createDataFrame([(["ab"],)], "w array<string>")
+    ranks = {b"a": 0, b"b": 1, b"ab": 2}
+    plan = df.select(byte_bpe.fold_words(df["w"], byte_bpe.Merges(ranks)).alias("x"))._jdf.queryExecution().optimizedPlan().toString()
+    # The one search left is for the place of the least pair in its word.
+    assert plan.count("array_position") == 1
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_fold_on_untrained_vocabularies(spark, seed):
+    # Ranks without order by length: later merges may have lower ranks, and one piece several splits that overlap ("aba").
+    rng = random.Random(seed)
+    pieces = [bytes([i]) for i in range(256)]
+    longer = sorted({bytes(rng.choice(b"abc") for _ in range(rng.randrange(2, 5))) for _ in range(25)} | {b"ab", b"ba", b"aba"})
+    rng.shuffle(longer)
+    ranks = {p: i for i, p in enumerate(pieces + longer)}
+    words = ["".join(rng.choice("abcd") for _ in range(rng.randrange(1, 14))) for _ in range(300)] + ["ababa" * 20, "é\x00ab"]
+    got = spark.createDataFrame([(words,)], "w array<string>").select(byte_bpe.fold_words(byte_bpe.c("w"), byte_bpe.Merges(ranks)).alias("x")).first()["x"]
+    for w, ids in zip(words, got, strict=True):
+        w = w.encode()
+        assert ids == ([ranks[w]] if w in ranks else [ranks[p] for p in byte_bpe.merge_bytes(w, ranks)])
+
+
 def test_empty_table(spark):
     assert byte_bpe.encode(spark.createDataFrame([], SCHEMA)).collect() == []
 
