@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import base64
 import json
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +27,7 @@ TABLE_WORDS = 2**19
 WORD_BYTES = 64
 TABLE_BYTES = 96_000_000
 #: Words that a worker holds, as numbers, between two searches of the table.
-HELD_WORDS = 500_000
+HELD_WORDS = 2_000_000
 #: Rows of an Arrow batch: a row holds all words of a text.
 BATCH_ROWS = 500
 _NONE = 2**62
@@ -251,13 +251,14 @@ def encode(
     path: str | None = None,
     pattern: str = public_tokenizers.PATTERN,
     table_words: int = TABLE_WORDS,
+    keep: Sequence[str] | None = None,
 ) -> DataFrame:
-    """All columns of ``docs`` and those of ``outputs``: ``n_tokens``, ``ids`` (array of int), ``packed`` (the ids as
-    little-endian unsigned 32-bit integers) and ``decoded`` (the ids' pieces joined).
+    """The columns ``keep`` of ``docs`` (all if not given) and those of ``outputs``: ``n_tokens``, ``ids`` (array of int),
+    ``packed`` (the ids as little-endian unsigned 32-bit integers) and ``decoded`` (the ids' pieces joined).
 
     Each match of ``pattern`` is encoded by itself with the ranks in ``path``; a word that is a piece is one id. Null
     and empty texts have no ids. Columns of ``docs`` with the name of an output are replaced, other columns and
-    repeated rows stay.
+    repeated rows stay. A column left out of ``keep`` is not passed through Python.
     """
     ranks = read_ranks(path or public_tokenizers.path(RANKS))
     spark: SparkSession = docs.sparkSession
@@ -274,7 +275,7 @@ def encode(
     pa.default_memory_pool().release_unused()
 
     taken = {x.lower() for x in outputs}
-    kept = [x for x in docs.columns if x.lower() not in taken]
+    kept = [x for x in (docs.columns if keep is None else keep) if x.lower() not in taken]
     w, rare = fresh(docs, "words"), fresh(docs, "rare")
     split = docs.select(*[c(x) for x in kept], words_of(c(text), pattern).alias(w))
     middle = T.StructType([*split.schema.fields[:-1], T.StructField(w, T.ArrayType(T.IntegerType())), T.StructField(rare, T.ArrayType(T.StringType()))])

@@ -125,7 +125,7 @@ def op4_language_id(spark, sf):
 
 @_query()
 def op5_byte_bpe(spark, sf):
-    out = byte_bpe.encode(_table(spark, sf, "documents").select("doc_id", "text"), outputs=("n_tokens", "packed", "decoded"))
+    out = byte_bpe.encode(_table(spark, sf, "documents"), outputs=("n_tokens", "packed", "decoded"), keep=("doc_id",))
     return out.select("doc_id", "n_tokens", F.sha2("packed", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 

@@ -31,7 +31,7 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document."""
-    return byte_bpe.encode(docs, outputs=("n_tokens", "ids")).select("doc_id", "lang", "source", "n_tokens", "ids")
+    return byte_bpe.encode(docs, outputs=("n_tokens", "ids"), keep=("doc_id", "lang", "source"))
 
 
 STAGES = [

@@ -101,6 +101,17 @@ def test_fold_on_untrained_vocabularies(spark, seed):
         assert ids == ([ranks[w]] if w in ranks else [ranks[p] for p in byte_bpe.merge_bytes(w, ranks)])
 
 
+def test_texts_do_not_pass_through_python(spark, sf):
+    from churnloom.llm.queries import QUERIES
+
+    plan = QUERIES["op5_byte_bpe"](spark, sf)._jdf.queryExecution().optimizedPlan().toString()
+    python = [line for line in plan.splitlines() if "MapInArrow" in line]
+    assert python and all("doc_id#" in line and "text#" not in line for line in python)
+    df = spark.createDataFrame([(1, "the same", "old")] * 2, SCHEMA)
+    got = byte_bpe.encode(df, keep=("ids", "doc_id"))
+    assert got.columns == ["doc_id", "n_tokens", "ids"] and [r["n_tokens"] for r in got.collect()] == [2, 2]
+
+
 def test_empty_table(spark):
     assert byte_bpe.encode(spark.createDataFrame([], SCHEMA)).collect() == []
 
