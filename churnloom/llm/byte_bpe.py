@@ -56,11 +56,11 @@ def _let(value: Column, use) -> Column:
     return F.transform(F.array(value), use)[0]
 
 
-def pack_pairs(ranks: dict[bytes, int], unit: int) -> tuple[list[int], list[int]]:
+def pack_pairs(ranks: dict[bytes, int], unit: int) -> tuple[list[int | None], list[int | None]]:
     """The ranked merges in one table: a pair of ids (a, b) can only stand at ``places[a] + b``, as a * unit + rank.
 
     The pairs of one left id keep their distances and move to the first place where all of them fit, largest groups
-    first. What lies beyond either list is null, so no other id finds a pair.
+    first. What is left free or lies beyond either list is null: no boxed number, and no other id finds a pair.
     """
     most = max(ranks.values(), default=-1)
     rows: dict[int, dict[int, int]] = {}
@@ -69,7 +69,7 @@ def pack_pairs(ranks: dict[bytes, int], unit: int) -> tuple[list[int], list[int]
             left, right = ranks.get(piece[:i]), ranks.get(piece[i:])
             if left is not None and right is not None:
                 rows.setdefault(left, {})[right] = rank
-    places, at, size = [0] * (most + 1), 0, 0
+    places, at, size = [None] * (most + 1), 0, 0
     table, free = np.empty(0, np.int64), np.ones(0, bool)
     for left, row in sorted(rows.items(), key=lambda x: -len(x[1])):
         rights = np.array(list(row))
@@ -89,9 +89,10 @@ def pack_pairs(ranks: dict[bytes, int], unit: int) -> tuple[list[int], list[int]
             at += _BLOCK
         places[left] = int(fits[0])
         table[fits[0] + rights], free[fits[0] + rights] = left * unit + np.array(list(row.values())), False
-    # Left free: entries of an id that no piece has.
-    table[free] = (most + 2) * unit
-    return places, table[: max(places, default=0) + most + 1].tolist()
+    last = int(np.flatnonzero(~free).max(initial=-1)) + 1
+    packed = table[:last].astype(object)
+    packed[free[:last]] = None
+    return places, packed.tolist()
 
 
 def _rank(m: Column, unit: int, left: Column, right: Column) -> Column:
@@ -272,7 +273,7 @@ def encode(
     lists = spark.sparkContext.broadcast((np.diff(_offsets(ids)).astype(np.int32), ids.flatten().to_numpy().astype(np.int32), Pieces(ranks)))
     # The table lives on in the broadcasts' files only.
     del table, words, ids
-    pa.default_memory_pool().release_unused()
+    give_back()
 
     taken = {x.lower() for x in outputs}
     kept = [x for x in (docs.columns if keep is None else keep) if x.lower() not in taken]
