@@ -48,3 +48,27 @@ def test_few_candidates_and_empty_table(spark):
     assert run(spark, [(0, [1.0], ""), (1, [2.0], "")]) == [(0, 1, 1, 1024 * 2048)]
     assert run(spark, [(0, [1.0], "")]) == []
     assert run(spark, []) == []
+
+
+def test_queries_in_rounds_and_blocks_of_any_kind(spark, monkeypatch):
+    rng = random.Random(9)
+    rows = [(i, [rng.gauss(0, 1) * (1000.0 if i % 7 == 0 else 1.0) for _ in range(6)], "s") for i in range(800)]
+    monkeypatch.setattr(topk_search, "ROUND_BYTES", 150)
+    monkeypatch.setattr(topk_search, "TASK_BLOCKS", 3)
+    assert run(spark, rows, block_rows=40, query_rows=3) == brute(rows)
+
+
+def test_queries_are_not_repeated_for_every_block(spark):
+    df = spark.createDataFrame([(i, [float(i % 13), 1.0], "s") for i in range(300)], SCHEMA)
+    plan = topk_search.top_k(df, F.col("vec_id") % 100 == 0, block_rows=10)._jdf.queryExecution().toString()
+    assert "Join" not in plan and "Generate" not in plan
+
+
+def test_a_block_below_the_kth_best_is_not_read(monkeypatch):
+    x = np.array([[10.0, 1.0], [9.0, 2.0], [8.0, 3.0]])
+    best = topk_search._nothing(1)
+    topk_search._improve(np.array([9]), np.array([[1.0, 0.0]]), np.array([0, 1, 2]), x, 2, 6, best)
+    assert best[0][0].tolist() == [0, 1] and best[0][1].tolist() == [10, 9]
+    monkeypatch.setattr(topk_search, "_exact_scores", None)
+    topk_search._improve(np.array([9]), np.array([[1.0, 0.0]]), np.array([3, 4]), x[:2] - 8, 2, 6, best)
+    assert best[0][0].tolist() == [0, 1]
