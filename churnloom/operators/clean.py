@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from typing import Any
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import (
     OneHotEncoder,
@@ -18,7 +20,7 @@ from pyspark.ml.feature import (
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalar import clip, melt_numeric, num, numeric_columns, rnd, rounded, share, text_columns
+from ..functions.scalar import clip, num, numeric_columns, rnd, rounded, share, text_columns
 from ..session import materialize
 from .describe import corrected_kurtosis, corrected_skewness
 from .ordered import group_moving, moving, with_codes
@@ -27,6 +29,9 @@ from .quantiles import bin_of, distinct_edges, mode_table, quantiles
 
 
 MAX_LEVELS = 10_000
+_GRID_ROWS = pa.schema(
+    [("place", pa.int32()), ("n", pa.int64()), ("j", pa.float64()), *[(n, pa.list_(pa.float64())) for n in ("rows", "mean", "square")]]
+)
 
 
 def iqr_bounds(df: DataFrame, columns: Sequence[str], factor: float = 1.5) -> dict[str, tuple[float, float]]:
@@ -277,35 +282,114 @@ def box_cox(x: Column, lam: float | Column) -> Column:
     return F.when(F.abs(k) < 1e-9, F.log(x)).otherwise((F.pow(x, k) - 1) / k)
 
 
+#: Values that are transformed at once, so that a grid's working arrays stay in the processor's cache.
+POWER_ROWS = 8192
+
+
+def _powers(u: np.ndarray, exponents: Sequence[float]) -> dict[int, np.ndarray]:
+    """``exp(k * u)`` for evenly spaced exponents: from the middle one outwards, each step is one product."""
+    middle, h = len(exponents) // 2, (exponents[-1] - exponents[0]) / max(len(exponents) - 1, 1)
+    out = {middle: np.exp(exponents[middle] * u)}
+    up, down = np.exp(h * u), np.exp(-h * u)
+    for i in range(middle + 1, len(exponents)):
+        out[i] = out[i - 1] * up
+    for i in range(middle - 1, -1, -1):
+        out[i] = out[i + 1] * down
+    return out
+
+
+def _scaled_powers(u: np.ndarray, exponents: Sequence[float]) -> Iterator[np.ndarray]:
+    """``(exp(k * u) - 1) / k`` in the exponents' order; ``u`` itself where k is 0."""
+    found = _powers(u, exponents)
+    for i, k in enumerate(exponents):
+        yield u if abs(k) < 1e-9 else (found[i] - 1) / k
+
+
+def _transformed(x: np.ndarray, grid: Sequence[float], method: str) -> Iterator[np.ndarray]:
+    """``x`` under each lambda of an evenly spaced grid, as ``yeo_johnson`` and ``box_cox`` have it."""
+    if method == "yeo_johnson":
+        below = x < 0
+        if not below.any():
+            yield from _scaled_powers(np.log1p(x), grid)
+            return
+        out = np.empty_like(x)
+        for up, down in zip(_scaled_powers(np.log1p(x[~below]), grid), _scaled_powers(np.log1p(-x[below]), [2 - k for k in grid])):
+            out[~below], out[below] = up, -down
+            yield out
+    elif x.min(initial=1.0) > 0:
+        yield from _scaled_powers(np.log(x), grid)
+    else:
+        for k in grid:
+            yield np.log(x[x > 0]) if abs(k) < 1e-9 else (np.power(x, k) - 1) / k
+
+
+def _joined(a: tuple, b: tuple) -> tuple:
+    """Count, mean and squared deviations of two parts as one."""
+    (na, ma, sa), (nb, mb, sb) = a, b
+    n = na + nb
+    d = mb - ma
+    share = nb / np.maximum(n, 1.0)
+    return n, np.where(na == 0, mb, np.where(nb == 0, ma, ma + d * share)), np.where(na == 0, sb, np.where(nb == 0, sa, sa + sb + d * d * na * share))
+
+
+def _grid_moments(x: np.ndarray, grid: Sequence[float], method: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Count, mean and squared deviations of ``x`` under each lambda of the grid."""
+    n, mean, square = (np.zeros(len(grid)) for _ in range(3))
+    for i, t in enumerate(_transformed(x, grid, method)):
+        if len(t):
+            n[i], mean[i] = len(t), t.mean()
+            d = t - mean[i]
+            square[i] = d @ d
+    return n, mean, square
+
+
 def power_lambdas(
     df: DataFrame, columns: Sequence[str], method: str = "yeo_johnson", steps: int = 21, refinements: int = 4
 ) -> dict[str, float]:
-    """Maximum-likelihood lambda per column: a grid for all columns in one aggregation, then finer grids around the best."""
-    transform = yeo_johnson if method == "yeo_johnson" else box_cox
-    slope = F.signum("value") * F.log1p(F.abs("value")) if method == "yeo_johnson" else F.log("value")
-    cells = melt_numeric(df, columns)
+    """Maximum-likelihood lambda per column: a grid for all columns in one pass, then finer grids around the best.
+
+    A task returns one row per column with the moments of its values under the whole grid.
+    """
+    columns = list(columns)
+    numbers = df.select(*[num(c).alias(f"x{i}") for i, c in enumerate(columns)])
     spans = {c: (-3.0, 5.0) for c in columns}
     best = {c: 1.0 for c in columns}
     for _ in range(refinements):
         grids = {c: [low + (high - low) * i / (steps - 1) for i in range(steps)] for c, (low, high) in spans.items()}
-        known = F.create_map(*[x for c, g in grids.items() for x in (F.lit(c), F.array(*[F.lit(k) for k in g]))])
-        # One row per value throughout: the grid is as many variances beside it.
-        spread = [F.var_pop(transform(F.col("value"), F.col("_grid")[i])).alias(f"v{i}") for i in range(steps)]
-        found = (
-            cells.withColumn("_grid", known[F.col("column_name")])
-            .groupBy("column_name")
-            .agg(F.count("value").alias("n"), F.sum(slope).alias("j"), *spread)
-        )
-        scores: dict[str, dict[float, float]] = {}
-        for r in found.collect():
-            for i, k in enumerate(grids[r["column_name"]]):
-                v = r[f"v{i}"]
-                if v is not None and 0 < v < math.inf:
-                    scores.setdefault(r["column_name"], {})[k] = -r["n"] / 2 * math.log(v) + (k - 1) * r["j"]
-        for c, per in scores.items():
-            best[c] = max(per, key=per.get)
-            step = (spans[c][1] - spans[c][0]) / (steps - 1)
-            spans[c] = (best[c] - step, best[c] + step)
+        of = list(grids.values())
+
+        def sums(batches: Iterator[pa.RecordBatch], of: list[list[float]] = of) -> Iterator[pa.RecordBatch]:
+            nothing = tuple(np.zeros(steps) for _ in range(3))
+            count, slope, moments = [0] * len(of), [0.0] * len(of), [nothing] * len(of)
+            with np.errstate(all="ignore"):
+                for batch in batches:
+                    for c, grid in enumerate(of):
+                        values = batch.column(c).drop_null().to_numpy()
+                        for start in range(0, len(values), POWER_ROWS):
+                            x = values[start : start + POWER_ROWS]
+                            count[c] += len(x)
+                            slope[c] += float((np.sign(x) * np.log1p(np.abs(x))).sum() if method == "yeo_johnson" else np.log(x[x > 0]).sum())
+                            moments[c] = _joined(moments[c], _grid_moments(x, grid, method))
+            rows = [(c, count[c], slope[c], *[m.tolist() for m in moments[c]]) for c in range(len(of)) if count[c]]
+            names = ("place", "n", "j", "rows", "mean", "square")
+            yield pa.RecordBatch.from_pydict({name: [r[i] for r in rows] for i, name in enumerate(names)}, schema=_GRID_ROWS)
+
+        found: dict[str, list] = {}
+        for r in numbers.mapInArrow(sums, "place int, n bigint, j double, rows array<double>, mean array<double>, square array<double>").collect():
+            part = [r["n"], r["j"], tuple(np.array(r[name]) for name in ("rows", "mean", "square"))]
+            whole = found.setdefault(columns[r["place"]], [0, 0.0, tuple(np.zeros(steps) for _ in range(3))])
+            with np.errstate(all="ignore"):
+                whole[:] = whole[0] + part[0], whole[1] + part[1], _joined(whole[2], part[2])
+        for c, (n, j, (rows, _, square)) in found.items():
+            per: dict[float, float] = {}
+            for k, m, s in zip(grids[c], rows, square):
+                v = float(s / m) if m else math.nan
+                if 0 < v < math.inf:
+                    per[k] = -n / 2 * math.log(v) + (k - 1) * j
+            if per:
+                best[c] = max(per, key=per.get)
+                step = (spans[c][1] - spans[c][0]) / (steps - 1)
+                spans[c] = (best[c] - step, best[c] + step)
     return best
 
 
@@ -323,6 +407,9 @@ def compare_power_transforms(df: DataFrame, column: str) -> DataFrame:
         lam = power_lambda(df, column, "box_cox")
         options.append(("box_cox", lam, box_cox(x, lam)))
     names = [n for n, _, _ in options]
+    # Each transform is evaluated once per row and then read by its name.
+    df = df.select(*[e.alias(n) for n, _, e in options])
+    options = [(n, v, F.col(n)) for n, v, _ in options]
     wide = df.agg(
         *[F.lit(v).cast("double").alias(f"lambda__{i}") for i, (_, v, _) in enumerate(options)],
         *[rnd(F.abs(corrected_skewness(e)), 4).alias(f"abs_skewness__{i}") for i, (_, _, e) in enumerate(options)],

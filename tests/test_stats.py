@@ -181,3 +181,47 @@ def test_many_groups_compare_without_a_list(spark):
     df = spark.range(60_000).select((F.col("id") % 15_000).cast("string").alias("g"), F.pmod(F.xxhash64("id"), F.lit(97)).cast("double").alias("v"))
     row = stat_tests.anova(df, "v", "g").first()
     assert row.groups == 15_000 and 0 <= row.p_value <= 1
+
+
+def direct_power(x, k, method):
+    if method == "box_cox":
+        return np.log(x) if abs(k) < 1e-9 else (x**k - 1) / k
+    up = np.log1p(np.abs(x)) if abs(k) < 1e-9 else ((np.abs(x) + 1) ** k - 1) / k
+    down = np.log1p(np.abs(x)) if abs(k - 2) < 1e-9 else ((np.abs(x) + 1) ** (2 - k) - 1) / (2 - k)
+    return np.where(x >= 0, up, -down)
+
+
+def test_grid_moments_match_direct_powers():
+    rng = np.random.default_rng(3)
+    for x, method in ((rng.lognormal(2, 1, 500), "box_cox"), (rng.lognormal(2, 1, 500), "yeo_johnson"), (rng.normal(0, 4, 500), "yeo_johnson")):
+        for low, high in ((-3.0, 5.0), (-0.4, 0.4), (1.96, 2.04)):
+            grid = [low + (high - low) * i / 20 for i in range(21)]
+            joined = clean._joined(clean._grid_moments(x[:123], grid, method), clean._grid_moments(x[123:], grid, method))
+            want = [direct_power(x, k, method) for k in grid]
+            assert joined[0].tolist() == [500.0] * 21
+            assert np.allclose(joined[1], [t.mean() for t in want], rtol=1e-9)
+            assert np.allclose(joined[2] / joined[0], [t.var() for t in want], rtol=1e-7)
+
+
+def test_power_lambdas_of_several_columns_match_brute_force(spark):
+    rng = np.random.default_rng(8)
+    wide = {"a": rng.lognormal(1, 0.7, 400), "b": rng.normal(1, 3, 400), "c": rng.gamma(2.0, 3.0, 400)}
+    rows = [tuple(None if i % 50 == j else float(wide[c][i]) for j, c in enumerate(wide)) for i in range(400)]
+    df = spark.createDataFrame(rows, "a double, b double, c double").repartition(3)
+    got = clean.power_lambdas(df, list(wide))
+    for j, c in enumerate(wide):
+        x = np.array([r[j] for r in rows if r[j] is not None])
+        low, high, best = -3.0, 5.0, 1.0
+        for _ in range(4):
+            grid = [low + (high - low) * i / 20 for i in range(21)]
+            slope = (np.sign(x) * np.log1p(np.abs(x))).sum()
+            best = max(grid, key=lambda k: -len(x) / 2 * np.log(direct_power(x, k, "yeo_johnson").var()) + (k - 1) * slope)
+            step = (high - low) / 20
+            low, high = best - step, best + step
+        assert abs(got[c] - best) < 1e-9
+
+
+def test_transforms_are_evaluated_once_per_row(spark):
+    df = spark.createDataFrame([(float(i),) for i in range(1, 60)], "x double")
+    plan = clean.compare_power_transforms(df, "x")._jdf.queryExecution().optimizedPlan().toString()
+    assert 0 < plan.upper().count("POWER(") <= 3
