@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalar import clip, count_rows, hash_unit, logit, num, numeric_columns, require_columns, rnd, text_columns
+from ..session import materialize
 from .clean import preprocessing_stages
 from .scoring import classification_metrics
 from .skew import GROUP_ROWS, largest_group, with_group_values
@@ -171,9 +172,12 @@ def train_event_model(
     """Scores of held-out whole events, softmaxed per event, and the binary metrics."""
     rows = valid_events(df, event, target, min_rows).withColumn("label", num(target))
     held_out = hash_unit(event, seed) < test_size
-    train, test = rows.where(~held_out), rows.where(held_out)
     numeric = [c for c in features if c in numeric_columns(df)]
     text = [c for c in features if c in text_columns(df)]
+    # Fitting and scoring read their rows many times, but not the window that tells valid events; only scoring needs names.
+    used = list(dict.fromkeys([*numeric, *text, "label"]))
+    train = materialize(rows.where(~held_out).select(*used), "event_train")
+    test = materialize(rows.where(held_out).select(*dict.fromkeys([event, key, *used])), "event_test")
     if algorithm == "logistic":
         model = LogisticRegression(featuresCol="features", labelCol="label", maxIter=100, regParam=1e-6)
     elif algorithm == "random_forest":

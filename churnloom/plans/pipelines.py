@@ -320,9 +320,10 @@ def event_run(df: DataFrame, event: str, key: str, target: str, position: str, f
 
     ``key`` names a competitor, who may come back in other events. The first numeric feature is the one examined.
     """
+    # Written once; clipping is a projection, so the clean rows are read from the same table.
+    df = materialize(df, "events")
     audit = quality.audit(df, key, target, [key])
     tidy, treated = clean.handle_outliers(df, outlier_columns, "clip_iqr")
-    tidy = materialize(tidy, "events")
     numeric = [f for f in features if f in numeric_columns(df)]
     scored, metrics = events.train_event_model(tidy, event, key, target, features, **training)
     # A competitor may come back in other events, so the event is part of the key.

@@ -172,3 +172,18 @@ def test_event_run_with_competitors_that_return(spark):
     held = out["event_report"].count()
     assert 5 <= held <= 30 and out["board"].agg(F.count("*")).first()[0] == held
     assert {"normality", "transforms", "correlation", "winners"} <= set(out) and out["winners"].first().rejects
+
+
+def test_event_run_evaluates_its_input_once(spark):
+    rows = [(e, f"c{i}", float((e * 7 + i * 3) % 11), float((e + i) % 5), int(i == e % 4), 1 + (i - e) % 4) for e in range(60) for i in range(4)]
+    read = spark.sparkContext.accumulator(0)
+
+    def count(x):
+        read.add(1)
+        return x
+
+    df = spark.createDataFrame(rows, "event long, who string, a double, b double, won int, place int")
+    df = df.withColumn("a", F.udf(count, "double")("a"))
+    out = event_run(df, "event", "who", "won", "place", ["a", "b"], ["b"])
+    assert out["tickets"].first()["n_events"] > 0 and out["transforms"].count() > 0
+    assert read.value == len(rows)
