@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from functools import reduce
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -16,43 +17,85 @@ from .quantiles import quantiles
 from .skew import attach
 
 
-#: Rows per block of donors and of rows to fill; each block of one meets each block of the other once.
-DONOR_ROWS = 20_000
+#: Rows with gaps that are compared with a batch of donors at once, donors of a batch, and rows with gaps that all tasks hold at once.
 GAP_ROWS = 500
-
-
-def _gap_neighbors(asked: list[dict], donors: list[dict], columns: Sequence[str], center: np.ndarray, k: int) -> list[tuple]:
-    """(key, column, distance, donor, value) of the k nearest donors of one block for each missing cell."""
-    values = lambda rows: np.array([[np.nan if v is None else v for v in r["x"]] for r in rows], dtype=float)
-    raw_q, raw_x = values(asked), values(donors)
-    q, x = raw_q - center, raw_x - center
-    mq, mx = (~np.isnan(q)).astype(float), (~np.isnan(x)).astype(float)
-    q0, x0 = np.nan_to_num(q), np.nan_to_num(x)
-    shared = mq @ mx.T
-    square = (q0**2) @ mx.T - 2 * q0 @ x0.T + mq @ (x0**2).T
-    # Distances over the shared columns are scaled up to all columns.
-    with np.errstate(divide="ignore", invalid="ignore"):
-        far = np.where(shared > 0, np.sqrt(np.maximum(square, 0.0) * len(columns) / shared), np.inf)
-    names = np.array([str(d["key"]) for d in donors])
-    slack = 1e-6 * (1.0 + np.sqrt(max((q0**2).max(initial=0), (x0**2).max(initial=0))))
-    out = []
-    for j, column in enumerate(columns):
-        able = np.flatnonzero(mx[:, j] > 0)
-        if not len(able):
-            continue
-        for i in np.flatnonzero(mq[:, j] == 0):
-            d = far[i, able]
-            reach = np.flatnonzero(np.isfinite(d))
-            if len(reach) > k:
-                # The products round; what is near the bound is measured again value by value.
-                bound = np.partition(d[reach], k - 1)[k - 1]
-                reach = reach[d[reach] <= bound * (1 + 1e-6) + slack]
-            own = np.flatnonzero(mq[i] > 0)
-            apart = np.nansum((raw_x[able[reach]][:, own] - raw_q[i, own]) ** 2, axis=1)
-            exact = np.sqrt(apart * len(columns) / shared[i, able[reach]])
-            best = sorted(range(len(reach)), key=lambda t: (exact[t], names[able[reach[t]]]))[:k]
-            out += [(asked[i]["key"], column, float(exact[t]), str(names[able[reach[t]]]), float(raw_x[able[reach[t]], j])) for t in best]
-    return out
+DONOR_ROWS = 4_000
+ROUND_ROWS = 200_000
+#: Donors that a task takes, where there are more tasks than cores.
+TASK_DONORS = 500_000
+
+
+class _Pattern:
+    """Rows that miss the same columns, and the k nearest donors so far of each missing cell."""
+
+    def __init__(self, keys: list, x: np.ndarray, k: int):
+        self.keys, self.x = keys, x
+        self.own = np.flatnonzero(~np.isnan(x[0]))
+        self.missing = np.flatnonzero(np.isnan(x[0]))
+        empty = lambda fill, kind: {j: np.full((len(x), k), fill, kind) for j in self.missing}
+        self.far, self.value, self.name = empty(np.inf, float), empty(np.nan, float), empty("", "U1")
+
+
+def _patterns(keys: list, x: np.ndarray, k: int) -> list[_Pattern]:
+    """Rows with gaps by their null pattern; rows without any value have no neighbours."""
+    kinds, which = np.unique(np.isnan(x), axis=0, return_inverse=True)
+    which = which.ravel()
+    groups = [np.flatnonzero(which == i) for i, kind in enumerate(kinds) if not kind.all()]
+    return [_Pattern([keys[i] for i in g], x[g], k) for g in groups]
+
+
+def _keep_nearest(p: _Pattern, j: int, row: np.ndarray, far: np.ndarray, name: np.ndarray, value: np.ndarray, k: int) -> None:
+    """Takes found donors (one entry each) into the k nearest of their rows; ties go to the smaller name."""
+    hit = np.unique(row)
+    entries = [
+        np.concatenate([np.repeat(hit, k), row]), np.concatenate([p.far[j][hit].ravel(), far]),
+        np.concatenate([p.name[j][hit].ravel(), name]), np.concatenate([p.value[j][hit].ravel(), value]),
+    ]
+    order = np.lexsort((entries[3], entries[2], entries[1], entries[0]))
+    row = entries[0][order]
+    place = np.arange(len(row)) - np.searchsorted(row, row)
+    first = place < k
+    row, place, order = row[first], place[first], order[first]
+    if entries[2].dtype.itemsize > p.name[j].dtype.itemsize:
+        p.name[j] = p.name[j].astype(entries[2].dtype)
+    for table, new in ((p.far, entries[1]), (p.name, entries[2]), (p.value, entries[3])):
+        table[j][row, place] = new[order]
+
+
+def _meet(p: _Pattern, names: np.ndarray, x: np.ndarray, center: np.ndarray, k: int) -> None:
+    """Compares the rows of a pattern with a batch of donors.
+
+    Distances run over the columns that a row and a donor share, scaled up to all columns; one matrix product gives the squares
+    of all pairs. It rounds, so pairs near or below the k-th best so far are measured again value by value.
+    """
+    known = ~np.isnan(x[:, p.own])
+    some = known.any(axis=1)
+    names, x, known = names[some], x[some], known[some]
+    if not len(x):
+        return
+    width = x.shape[1]
+    scale = width / known.sum(axis=1)
+    x0 = np.nan_to_num(x[:, p.own] - center[p.own])
+    right = np.hstack([known, x0, x0**2]) * scale[:, None]
+    able = ~np.isnan(x)
+    for start in range(0, len(p.x), GAP_ROWS):
+        raw = p.x[start : start + GAP_ROWS, p.own]
+        q = raw - center[p.own]
+        square = np.hstack([q**2, -2 * q, np.ones_like(q)]) @ right.T
+        slack = 1e-6 * (1.0 + np.sqrt(max((q**2).max(initial=0), (x0**2).max(initial=0))))
+        for j in p.missing:
+            bound = p.far[j][start : start + GAP_ROWS, -1]
+            open_ = np.isinf(bound)
+            mine = square if able[:, j].all() else np.where(able[:, j], square, np.inf)
+            if open_.any() and len(x) > k:
+                # No k donors yet: the batch's own k-th square bounds them.
+                bound = np.where(open_, np.sqrt(np.maximum(np.partition(mine, k - 1, axis=1)[:, k - 1], 0.0)), bound)
+            row, donor = np.nonzero((mine <= ((bound * (1 + 1e-6) + slack) ** 2)[:, None]) & np.isfinite(mine))
+            # Equal donors can all be near: they are taken in slices.
+            for part in range(0, len(row), 1_000_000):
+                r, d = row[part : part + 1_000_000], donor[part : part + 1_000_000]
+                far = np.sqrt(np.nansum((x[d][:, p.own] - raw[r]) ** 2, axis=1) * scale[d])
+                _keep_nearest(p, j, r + start, far, names[d], x[d, j], k)
 
 
 def knn_impute(df: DataFrame, key: str, columns: Sequence[str], k: int = 5, donors: DataFrame | None = None) -> DataFrame:
@@ -60,30 +103,53 @@ def knn_impute(df: DataFrame, key: str, columns: Sequence[str], k: int = 5, dono
 
     Distances are Euclidean over the columns that both rows have, scaled up to all columns; ties go to the smaller key as
     text. Donors are all rows, or those of ``donors``. Where no donor shares a column with the row, the
-    donors' column mean is used. Rows with gaps are compared with all donors, block by block, in one pass whatever
-    the null patterns are.
+    donors' column mean is used. Rows with gaps go to all tasks, at most ``ROUND_ROWS`` at once; a task compares them with its
+    donors batch by batch, whatever the null patterns are, and returns k donors per missing cell.
     """
     columns = list(columns)
+    spark = df.sparkSession
     cells = F.array(*[num(c) for c in columns]).alias("x")
     gaps = F.exists("x", lambda v: v.isNull())
     asked = materialize(df.select(F.col(key).alias("key"), cells).where(gaps), "gaps")
     given = materialize((df if donors is None else donors).select(F.col(key).alias("key"), cells).where(F.exists("x", lambda v: v.isNotNull())), "donors")
     means = given.agg(*[F.avg(F.col("x")[i]).alias(f"m{i}") for i in range(len(columns))], count_rows().alias("n")).first()
-    center = [m if (m := means[f"m{i}"]) is not None else 0.0 for i in range(len(columns))]
-    blocks, parts = max(1, -(-means["n"] // DONOR_ROWS)), max(1, -(-asked.count() // GAP_ROWS))
-    mark = F.xxhash64("key", "x")
-    packed = F.collect_list(F.struct("key", "x"))
-    left = asked.groupBy(F.pmod(mark, F.lit(parts)).alias("part")).agg(packed.alias("asked"))
-    left = left.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
-    right = given.groupBy(F.pmod(mark, F.lit(blocks)).alias("block")).agg(packed.alias("donors"))
-
-    def search(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for a, b in zip(frame["asked"], frame["donors"]):
-                yield pd.DataFrame(_gap_neighbors(a, b, columns, np.array(center), k), columns=["key", "column", "distance", "donor", "value"])
-
-    kind = df.schema[key].dataType.simpleString()
-    near = left.join(right, "block").select("asked", "donors").mapInPandas(search, f"key {kind}, column string, distance double, donor string, value double")
+    center = np.array([m if (m := means[f"m{i}"]) is not None else 0.0 for i in range(len(columns))])
+    kind = df.schema[key].dataType
+    rounds = max(1, -(-asked.count() // ROUND_ROWS))
+    tasks = max(min(2 * spark.sparkContext.defaultParallelism, -(-means["n"] // DONOR_ROWS)), -(-means["n"] // TASK_DONORS), 1)
+    dealt = given.repartition(tasks)
+
+    def rows_of(keys: pa.Array, x: pa.Array) -> tuple[list, np.ndarray]:
+        return keys.to_pylist(), x.flatten().to_numpy(zero_copy_only=False).astype(float).reshape(len(keys), len(columns))
+
+    def search(r: int) -> DataFrame:
+        mine = asked.where(F.pmod(F.xxhash64("key", "x"), F.lit(rounds)) == r).toArrow().combine_chunks()
+        told = spark.sparkContext.broadcast(rows_of(*(c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c for c in mine.columns)))
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            patterns = _patterns(*told.value, k)
+            for batch in batches:
+                for start in range(0, batch.num_rows, DONOR_ROWS):
+                    keys, x = rows_of(*batch.slice(start, DONOR_ROWS).columns)
+                    names = np.array([str(v) for v in keys])
+                    for p in patterns:
+                        _meet(p, names, x, center, k)
+            for p in patterns:
+                for j in p.missing:
+                    found = np.isfinite(p.far[j])
+                    for start in range(0, len(found), 50_000):
+                        part = slice(start, start + 50_000)
+                        at = np.repeat(np.arange(len(found))[part], found[part].sum(axis=1))
+                        columns_ = [
+                            pa.array([p.keys[i] for i in at], dealt_key), pa.array([columns[j]] * len(at), pa.string()), pa.array(p.far[j][part][found[part]]),
+                            pa.array(p.name[j][part][found[part]].tolist(), pa.string()), pa.array(p.value[j][part][found[part]]),
+                        ]
+                        yield pa.RecordBatch.from_arrays(columns_, names=["key", "column", "distance", "donor", "value"])
+
+        dealt_key = mine.schema.field("key").type
+        return dealt.mapInArrow(run, f"key {kind.simpleString()}, column string, distance double, donor string, value double")
+
+    near = reduce(DataFrame.union, [search(r) for r in range(rounds)])
     order = Window.partitionBy("key", "column").orderBy("distance", "donor", "value")
     chosen = near.withColumn("_place", F.row_number().over(order)).where(F.col("_place") <= k)
     wide = chosen.groupBy("key").agg(*[F.avg(F.when(F.col("column") == c, F.col("value"))).alias(f"_f_{i}") for i, c in enumerate(columns)])

@@ -217,3 +217,17 @@ def test_little_mcar_patterns_on_the_executors(spark):
         d = part[:, seen].mean(axis=0) - mean[seen]
         stat, dof = stat + len(part) * d @ np.linalg.pinv(cov[np.ix_(seen, seen)]) @ d, dof + len(seen)
     assert one.statistic == pytest.approx(stat, abs=1e-3) and one.dof == dof - 3
+
+
+def test_knn_impute_in_rounds_with_many_ties_and_repeated_keys(spark, monkeypatch):
+    rng = random.Random(12)
+    rows = [(i % 190, *[None if rng.random() < 0.2 else float(rng.randrange(4)) for _ in range(3)]) for i in range(200)]
+    df = spark.createDataFrame(rows, "k long, a double, b double, c double").repartition(4)
+    want = sorted(map(str, impute.knn_impute(df, "k", ["a", "b", "c"], 4).collect()))
+    monkeypatch.setattr(impute, "ROUND_ROWS", 30)
+    monkeypatch.setattr(impute, "GAP_ROWS", 7)
+    monkeypatch.setattr(impute, "DONOR_ROWS", 11)
+    got = impute.knn_impute(df, "k", ["a", "b", "c"], 4)
+    assert sorted(map(str, got.collect())) == want
+    # Donors are never gathered into lists, so a task holds a batch of them.
+    assert "collect_list" not in got._jdf.queryExecution().toString()
