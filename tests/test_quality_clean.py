@@ -231,3 +231,22 @@ def test_knn_impute_in_rounds_with_many_ties_and_repeated_keys(spark, monkeypatc
     assert sorted(map(str, got.collect())) == want
     # Donors are never gathered into lists, so a task holds a batch of them.
     assert "collect_list" not in got._jdf.queryExecution().toString()
+
+
+def test_nearest_in_rounds_returns_k_entries_per_query(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    points, asked = np.round(rng.normal(size=(400, 3)), 1), np.round(rng.normal(size=(70, 3)), 1)
+    points = np.unique(points, axis=0)
+    values = np.round(rng.random(len(points)), 1)
+    donors = spark.createDataFrame([(*map(float, p), float(v)) for p, v in zip(points, values)], "a double, b double, c double, v double")
+    queries = spark.createDataFrame([(i, *map(float, q)) for i, q in enumerate(asked)] + [(99, None, 1.0, 1.0)], "k long, a double, b double, c double")
+    monkeypatch.setattr(neighbors, "ROUND_BYTES", 4_000)
+    near = neighbors.nearest(queries, "k", donors, "v", ["a", "b", "c"], 6, block=16, pivots=20)
+    got = {r.k: [(e.distance, e.value) for e in r.neighbors] for r in near.collect()}
+    assert sorted(got) == list(range(70))
+    for i, q in enumerate(asked):
+        d = np.sqrt(((points - q) ** 2).sum(axis=1))
+        order = np.lexsort((values, d))[:6]
+        assert got[i] == [(d[j], values[j]) for j in order]
+    # Tasks keep the k nearest of their queries instead of sending k per query and cell.
+    assert "CoGroups" not in near._jdf.queryExecution().toString()
