@@ -90,7 +90,12 @@ class Boxes:
             r, c = np.nonzero(square <= limit[rows][:, None])
             if not len(r):
                 continue
-            found = np.sqrt(np.maximum(((mine[r] - p[c]) ** 2).sum(axis=1), 0.0))
+            found = np.zeros(len(r))
+            # Column by column, so that a distance does not depend on how rows lie in memory.
+            for j in range(q.shape[1]):
+                gap = mine[r, j] - p[c, j]
+                found += gap * gap
+            found = np.sqrt(found)
             hit = np.unique(r)
             r = np.concatenate([np.repeat(hit, k), r])
             d = np.concatenate([far[rows[hit]].ravel(), found])
